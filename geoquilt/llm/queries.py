@@ -5,17 +5,72 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import near_duplicates as nd
+from . import mixing, near_duplicates, near_vectors, nearest, packing, tokens
 from .common import read
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return nearest.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5, scale=256.0)
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    room = packing.Room()
+    cut = tokens.pieces(read(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end=0, most=room.tokens)
+    return packing.pack(cut, room)
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nd.near_duplicates(read(spark, sf_dir, "documents"), nd.Forest(words=2))
+    return near_duplicates.near_duplicates(read(spark, sf_dir, "documents"), near_duplicates.Forest(words=2))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = tokens.prefix_counts(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+    last = F.when(F.size("prefix_tokens") > 0, F.element_at("prefix_tokens", -1)).otherwise(0).cast("long")
+    return counted.select("doc_id", "n_bytes", last.alias("n_tokens")).withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mix_sources": op1_mix_sources,
+    "op3_embedding_near_dedup": op3_embedding_near_dedup,
+    "op4_exact_top_k": op4_exact_top_k,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op9_token_counts": op9_token_counts,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_exact_top_k": """
+with whole as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where vec_id is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+), scored as (
+  select q.vec_id as query_id, c.vec_id as vec_id,
+    cast(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) as bigint) as score
+  from whole q join whole c on q.vec_id <> c.vec_id and len(q.v) = len(c.v)
+  where q.vec_id % 50 = 0
+)
+select query_id, cast(rank as integer) as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
+where rank <= 5
+""",
+}
