@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, near_duplicates, near_vectors, nearest, packing, tokens
+from . import language, mixing, near_duplicates, near_vectors, nearest, packing, quality, tokens
 from .common import read
 
 
@@ -41,6 +41,24 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(read(spark, sf_dir, "documents"), near_duplicates.Forest(words=2))
 
 
+def held_out():
+    """Documents that no model learns from."""
+    return F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = language.fit(docs.where(~F.coalesce(held_out(), F.lit(True))))
+    return language.identify(docs, model).select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    weights = quality.fit(docs, read(spark, sf_dir, "labels").where(~F.coalesce(held_out(), F.lit(True))))
+    scored = quality.score(docs, weights).select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score")
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = tokens.prefix_counts(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
     last = F.when(F.size("prefix_tokens") > 0, F.element_at("prefix_tokens", -1)).otherwise(0).cast("long")
@@ -53,7 +71,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_top_k": op4_exact_top_k,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLES: dict[str, str] = {
