@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, near_duplicates, near_vectors, nearest, packing, quality, tokens
+from . import language, mixing, near_duplicates, near_vectors, nearest, packing, pii, quality, tokens
 from .common import read
 
 
@@ -41,6 +41,12 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(read(spark, sf_dir, "documents"), near_duplicates.Forest(words=2))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(read(spark, sf_dir, "documents"), keep=["doc_id"])
+    counts = [pii.count("base", kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.digest("base"), 256).alias("base_sha256"), pii.digest("spans").alias("spans"))
+
+
 def held_out():
     """Documents that no model learns from."""
     return F.crc32(F.col("doc_id").cast("string")) % 3 == 1
@@ -71,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_top_k": op4_exact_top_k,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_pii": op7_pii,
     "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
     "op10_quality_classifier": op10_quality_classifier,
