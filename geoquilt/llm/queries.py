@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, near_duplicates, near_vectors, nearest, packing, pii, quality, tokens
+from . import language, licenses, mixing, near_duplicates, near_vectors, nearest, packing, pii, quality, tokens
 from .common import read
 
 
@@ -22,6 +22,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(read(spark, sf_dir, "documents"))
+
+
 def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(read(spark, sf_dir, "embeddings"))
 
@@ -73,6 +77,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_license_scan": op2_license_scan,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_exact_top_k": op4_exact_top_k,
     "op5_best_fit_packing": op5_best_fit_packing,
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_license_scan": licenses.oracle(),
     "op4_exact_top_k": """
 with whole as (
   select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
