@@ -5,22 +5,66 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoquilt.llm import common
-from geoquilt.llm import near_duplicates as nd
+from geoquilt.llm import common, mixing, near_duplicates, packing, pii, quality, queries, tokens
+
+
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, learned on the labels of these, does not reject."""
+    labels = common.read(spark, sf_dir, "labels").where(~F.coalesce(queries.held_out(), F.lit(True)))
+    scored = quality.score(docs, quality.fit(docs, labels))
+    return scored.where("quality_score >= 0.5").select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = nd.near_duplicates(docs)
-    return docs.join(found.where("kept").select("doc_id").distinct(), "doc_id", "left_semi")
+    """One document of each group of near copies, that with the smallest id; of rows with one id, one.
+
+    Only ids are joined: those that go, and those that occur more than once. Documents without an id stay.
+    """
+    found = common.written(near_duplicates.near_duplicates(docs).where("doc_id is not null"), "groups")
+    gone = common.small_or_not(common.written(found.where("not kept").select("doc_id").distinct(), "gone"))
+    again = common.written(found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id"), "again")
+    again = common.small_or_not(again)
+    left = docs.join(gone, "doc_id", "left_anti")
+    once = left.join(again, "doc_id", "left_anti")
+    return once.unionByName(left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*docs.columns)
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind in brackets; n_chars follows the text."""
+    found = pii.find(docs)
+    text = pii.redacted(found)
+    return found.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it, up to three times."""
+    key = F.coalesce(F.col("doc_id"), F.xxhash64("text", "source"))
+    times = mixing.mix(docs.withColumn("mix_key", key), id_col="mix_key").where("times > 0").groupBy(F.col("doc_id").alias("mix_key")).agg(F.max("times").alias("mix_times"))
+    times = common.written(times, "times")
+    taken = docs.withColumn("mix_key", key).join(common.small_or_not(times), "mix_key")
+    return taken.withColumn("mix_turn", F.explode(F.sequence(F.lit(1), "mix_times"))).select(*docs.columns)
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document stands in the training sequences."""
+    room = packing.Room()
+    return packing.pack(tokens.pieces(docs, queries.vocabulary("word_bpe_49k.json"), end=0, most=room.tokens), room)
 
 
-STAGES = [("near_dedup", one_of_each_group)]
+STAGES = [
+    ("quality", good_documents),
+    ("near_dedup", one_of_each_group),
+    ("pii", without_personal_data),
+    ("mix", mixed_sources),
+    ("pack", packed_sequences),
+]
 
+#: The learned, hashed and packed stages have no SQL; tests compare them with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.read(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = common.written(stage(spark, docs, sf_dir), name)
+        docs = common.written(stage(spark, docs, sf_dir), f"stage_{name}")
     return docs

@@ -121,7 +121,7 @@ def count(array: str, kind: str) -> Column:
 
 
 def candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with base, array<struct<kind, start, end>>, and proposed, array<struct<kind, start, end, features, known>>.
+    """docs with pii_base, array<struct<kind, start, end>>, and pii_proposed, array<struct<kind, start, end, features, known>>.
 
     known tells that a proposal is one of the base spans.
     """
@@ -140,7 +140,7 @@ def candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
     for kind in KINDS:
         rows = rows.withColumn(f"pii_more_{kind}", _proposed(text, kind))
     base = F.concat(*[_of_kind(f"pii_{k}", i) for i, k in enumerate(KINDS)])
-    return rows.withColumn("base", base).withColumn("proposed", F.concat(*[F.col(f"pii_more_{k}") for k in KINDS])).drop("pii_text", *[f"pii_{x}{k}" for x in ("", "more_", "strict_", "wide_") for k in KINDS])
+    return rows.withColumn("pii_base", base).withColumn("pii_proposed", F.concat(*[F.col(f"pii_more_{k}") for k in KINDS])).drop("pii_text", *[f"pii_{x}{k}" for x in ("", "more_", "strict_", "wide_") for k in KINDS])
 
 
 @dataclass
@@ -167,8 +167,8 @@ def fit(found: DataFrame, boosting: Boosting | None = None) -> Trees:
     documents there are; only these counts come to the driver.
     """
     boosting = boosting or Boosting()
-    each = found.select(F.explode("proposed").alias("x"), F.col("base"))
-    half = F.pmod(F.xxhash64("x.start", "x.end", F.size("base")), F.lit(2))
+    each = found.select(F.explode("pii_proposed").alias("x"), F.col("pii_base"))
+    half = F.pmod(F.xxhash64("x.start", "x.end", F.size("pii_base")), F.lit(2))
     counted = each.select("x.features", F.col("x.known").cast("int").alias("known"), half.alias("half")).groupBy("features").agg(*[F.count_if((F.col("half") == h) & (F.col("known") == k)).alias(f"n{h}{k}") for h in (0, 1) for k in (0, 1)])
     rows = [(r["features"], r["n00"], r["n01"], r["n10"], r["n11"]) for r in counted.orderBy("features").collect()]
     positive, total = sum(r[2] for r in rows), sum(r[1] + r[2] for r in rows)
@@ -203,12 +203,12 @@ def fit(found: DataFrame, boosting: Boosting | None = None) -> Trees:
 
 
 def spans(found: DataFrame, trees: Trees) -> DataFrame:
-    """found with spans, array<struct<kind, start, end>> in order: base spans and the selected proposals that touch none."""
-    picked = F.filter("proposed", lambda x: ~x["known"] & (trees.column(x["features"]) >= F.lit(trees.threshold - 1e-9)) & ~F.exists("base", lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])))
+    """found with pii_spans, array<struct<kind, start, end>> in order: base spans and the selected proposals that touch none."""
+    picked = F.filter("pii_proposed", lambda x: ~x["known"] & (trees.column(x["features"]) >= F.lit(trees.threshold - 1e-9)) & ~F.exists("pii_base", lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])))
     if math.isinf(trees.threshold):
         picked = F.array().cast("array<struct<kind:int,start:int,end:int,features:int,known:boolean>>")
     plain = F.transform(picked, lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
-    return found.withColumn("spans", F.array_sort(F.concat("base", plain)))
+    return found.withColumn("pii_spans", F.array_sort(F.concat("pii_base", plain)))
 
 
 def digest(array: str) -> Column:
@@ -218,20 +218,20 @@ def digest(array: str) -> Column:
 
 
 def find(docs: DataFrame, boosting: Boosting | None = None, keep: list[str] | None = None, text_col: str = "text") -> DataFrame:
-    """The columns ``keep`` of docs with base and spans: the personal data of each whole text.
+    """The columns ``keep`` of docs with pii_base and pii_spans: the personal data of each whole text.
 
     Null texts count as empty and have none. Every row is searched on its own, so repeated and
     null ids stay; an empty table gives no rows. The trees are learned on the same documents.
     """
     keep = keep if keep is not None else docs.columns
-    found = candidates(docs.select(*dict.fromkeys([*keep, text_col])), text_col).select(*keep, "base", "proposed")
+    found = candidates(docs.select(*dict.fromkeys([*keep, text_col])), text_col).select(*keep, "pii_base", "pii_proposed")
     found = common.written(found, "pii")
-    return spans(found, fit(found, boosting)).drop("proposed")
+    return spans(found, fit(found, boosting)).drop("pii_proposed")
 
 
 def redacted(found: DataFrame, text_col: str = "text") -> Column:
     """The text with each span replaced by its kind in brackets; spans that overlap are replaced together."""
-    by_place = F.array_sort(F.transform("spans", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))))
+    by_place = F.array_sort(F.transform("pii_spans", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))))
     name = lambda x: F.concat(F.lit("["), F.element_at(F.array(*map(F.lit, KINDS)), x["kind"] + 1), F.lit("]"))
     text = F.col(text_col)
 
@@ -240,4 +240,4 @@ def redacted(found: DataFrame, text_col: str = "text") -> Column:
         return F.struct(F.greatest(done["at"], x["end"]).alias("at"), F.when(x["start"] >= done["at"], new).otherwise(done["out"]).alias("out"))
 
     rest = lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))
-    return F.when(F.size("spans") > 0, F.aggregate(by_place, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), add, rest)).otherwise(text)
+    return F.when(F.size("pii_spans") > 0, F.aggregate(by_place, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), add, rest)).otherwise(text)

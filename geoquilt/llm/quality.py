@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common, wordhash
 
@@ -124,27 +125,31 @@ def fit(docs: DataFrame, labels: DataFrame, learner: Learner | None = None, id_c
 
 
 def _score(batches: Iterator[pa.RecordBatch], weights, learner: Learner) -> Iterator[pa.RecordBatch]:
+    """The batches, whose last column is the text, with a score in its place."""
     w = weights.value
     for batch in batches:
         scores = np.empty(batch.num_rows)
-        for begin, end, data, offsets in wordhash.slices(batch.column(1)):
+        for begin, end, data, offsets in wordhash.slices(batch.column(batch.num_columns - 1)):
             total = np.full(end - begin, w[-1])
             for feature, first, last in ngrams(data, offsets, learner.dimensions):
                 sums = np.concatenate([[0.0], np.cumsum(w[feature])])
                 total += (sums[last] - sums[first]) / np.maximum(1, last - first) * learner.scale
             scores[begin:end] = 1 / (1 + np.exp(-np.clip(total, -35, 35)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=["doc_id", "score"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores)], names=[*batch.schema.names[:-1], "quality_score"])
 
 
-def score(docs: DataFrame, weights: np.ndarray, learner: Learner | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, score): how likely each whole text is to have label 1, from 0 to 1.
+def score(docs: DataFrame, weights: np.ndarray, learner: Learner | None = None, keep: list[str] | None = None, text_col: str = "text") -> DataFrame:
+    """The columns ``keep`` of docs, all if none are named, and quality_score: from 0 to 1, how likely the text has label 1.
 
     Null texts and texts without words get what the constant alone gives. Each row is scored on its
-    own, from its text alone; repeated and null ids stay as they are, other columns are ignored.
+    own, from its whole text alone; repeated and null ids stay as they are. A column of docs that is
+    called quality_score must not be kept.
     """
     learner = learner or Learner()
     spark = docs.sparkSession
     common.importable(spark)
     sent = spark.sparkContext.broadcast(weights)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(lambda it: _score(it, sent, learner), "doc_id long, score double")
+    kept = docs.select(*(keep if keep is not None else docs.columns))
+    rows = docs.select(*kept.columns, F.col(text_col).cast("string").alias("quality_score"))
+    schema = T.StructType([*kept.schema.fields, T.StructField("quality_score", T.DoubleType())])
+    return rows.mapInArrow(lambda it: _score(it, sent, learner), schema)

@@ -47,8 +47,8 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(read(spark, sf_dir, "documents"), keep=["doc_id"])
-    counts = [pii.count("base", kind).alias(f"n_{kind}") for kind in pii.KINDS]
-    return found.select("doc_id", *counts, F.sha2(pii.digest("base"), 256).alias("base_sha256"), pii.digest("spans").alias("spans"))
+    counts = [pii.count("pii_base", kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.digest("pii_base"), 256).alias("base_sha256"), pii.digest("pii_spans").alias("spans"))
 
 
 def held_out():
@@ -65,7 +65,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     weights = quality.fit(docs, read(spark, sf_dir, "labels").where(~F.coalesce(held_out(), F.lit(True))))
-    scored = quality.score(docs, weights).select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score")
+    scored = quality.score(docs, weights, keep=["doc_id"]).select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), F.col("quality_score").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
