@@ -7,10 +7,12 @@ keeps the result; a bounded number is kept.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -20,8 +22,8 @@ from pyspark.sql import functions as F
 
 from . import common, wordhash
 
-#: Stretches that a worker keeps; all are forgotten when there are more.
-KEPT = 300_000
+#: Stretches that a worker keeps; when there are more, those that came only once are forgotten.
+KEPT = 1_500_000
 #: Longer stretches are encoded each time.
 LONG = 80
 #: White space goes with what follows it; other white space than ASCII's never ends a stretch.
@@ -43,29 +45,97 @@ def load(path: str) -> Callable[[list[str]], list[list[int]]]:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    return lambda texts: [x.ids for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    return lambda texts: [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+#: A run of Latin letters, with a space before it or not, and punctuation after it. No token holds a
+#: part of both, as the tokenizers that ``words_of`` knows part letters from other characters. Left out
+#: are characters that occur in contractions or special tokens.
+WORD = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:;=?@\[-`{}~]*)")
+
+
+def words_of(path: str) -> Callable[[list[str]], list[list[int]]] | None:
+    """A quicker function for single words, which need no search for where words end.
+
+    Only for byte-level BPE whose words are runs of letters, None for others.
+    """
+    if not path.endswith(".json"):
+        return None
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    with open(path, encoding="utf-8") as file:
+        said = json.load(file)
+    before, changed = said.get("pre_tokenizer") or {}, json.dumps(said.get("normalizer"))
+    kinds = {x["type"]: x for x in before.get("pretokenizers", [before]) if x}
+    by_letters = "+" in str(kinds.get("Split", {}).get("pattern", "")) and "\\p{L}" in str(kinds["Split"]["pattern"]["Regex"]) if "Split" in kinds else kinds.get("ByteLevel", {}).get("use_regex")
+    if said["model"]["type"] != "BPE" or "ByteLevel" not in kinds or not by_letters or kinds["ByteLevel"].get("add_prefix_space"):
+        return None
+    model = Tokenizer.from_file(path).model
+    if hasattr(model, "_resize_cache"):
+        model._resize_cache(0)  # no word comes twice
+    plain, lower = Tokenizer(model), "Lowercase" in changed
+    # How byte-level models write each byte: printable ones as themselves, the others further up in order.
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    table = {b: b for b in seen} | {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in seen)}
+    assert {chr(x) for x in table.values()} == set(pre_tokenizers.ByteLevel.alphabet())
+
+    def encode(words: list[str]) -> list[list[int]]:
+        words = [x.lower() for x in words] if lower else words
+        return [x.ids for x in plain.encode_batch_fast([x.encode().decode("latin-1").translate(table) for x in words], add_special_tokens=False)]
+
+    return encode
 
 
 class Stretches:
-    """``of(texts)`` gives for each text its stretches, and ``known[stretch]`` is what ``make`` made of its ids."""
+    """``of(texts)`` gives for each text its stretches, and ``known[stretch]`` is what ``make`` made of its ids.
+
+    What is made of two stretches in a row must be the sum of what is made of each.
+    """
 
     def __init__(self, path: str, pattern: str, make: Callable[[list[int]], object]):
         self.encode, self.find, self.make = load(path), re.compile(pattern).findall, make
+        self.words = words_of(path)
         self.known: dict[str, object] = {}
+        self.again: set[str] = set()  # known ones that came once more
+        self.passing: list[str] = []
 
-    def of(self, texts: list[str]) -> list[list[str]]:
-        found = [self.find(x) for x in texts]
-        if len(self.known) > KEPT:
-            self.known.clear()
-        new = [x for x in set(chain.from_iterable(found)) if x not in self.known]
+    def _learn(self, new: list[str], encode: Callable[[list[str]], list[list[int]]]) -> None:
         for begin in range(0, len(new), 4096):
             part = new[begin : begin + 4096]
-            self.known.update(zip(part, map(self.make, self.encode(part)), strict=True))
+            self.known.update(zip(part, map(self.make, encode(part)), strict=True))
+
+    def of(self, texts: list[str]) -> list[list[str]]:
+        for x in self.passing:
+            self.known.pop(x, None)
+        if len(self.known) > KEPT:
+            self.known = {x: self.known[x] for x in self.again if x in self.known} if len(self.again) < KEPT // 2 else {}
+            self.again = set()
+        found = [self.find(x) for x in texts]
+        distinct = set(chain.from_iterable(found))
+        new = distinct.difference(self.known)
+        self.again |= distinct - new
+        self.passing = [x for x in new if len(x) > LONG]
+        if self.words:
+            parted = {x: m for x in new if len(x) <= LONG and (m := WORD.fullmatch(x))}
+            pairs = {x: m.groups() for x, m in parted.items() if m[2]}
+            tails = {tail for _, tail in pairs.values()}.difference(self.known)
+            self._learn([*tails, *(x for x in new if x not in parted and x not in tails)], self.encode)
+            self._learn([x for x in {m[1] for m in parted.values()} if x not in self.known], self.words)
+            self.known.update((x, self.known[head] + self.known[tail]) for x, (head, tail) in pairs.items())
+        else:
+            self._learn(list(new), self.encode)
         return found
 
-    def forget_long(self) -> None:
-        for x in [x for x in self.known if len(x) > LONG]:
-            del self.known[x]
+
+@cache
+def stretches_of(path: str, pattern: str, make: Callable[[list[int]], object]) -> Stretches:
+    """One for all tasks that a worker runs."""
+    return Stretches(path, pattern, make)
+
+
+def as_bytes(ids: list[int]) -> bytes:
+    """Unsigned little-endian 32-bit numbers."""
+    return np.array(ids, "<u4").tobytes()
 
 
 def _texts(batch: pa.RecordBatch, column: int, most: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
@@ -79,7 +149,7 @@ _PREFIXES = "doc_id long, n_bytes long, n_tokens long, prefix_chars array<int>,
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    stretches = Stretches(path, WITH_SPACE, len)
+    stretches = stretches_of(path, WITH_SPACE, len)
     lengths = pa.list_(pa.int32())
     for batch in batches:
         for first, texts in _texts(batch, 1):
@@ -96,7 +166,6 @@ def _prefixes(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Recor
             local = [pa.ListArray.from_arrays(offsets, pa.array((x - np.repeat(before(x), sizes)).astype(np.int32))).cast(lengths) for x in (chars, tokens)]
             n_bytes = pa.array([len(x.encode()) for x in texts], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), n_bytes, pa.array(total), *local], names=["doc_id", "n_bytes", "n_tokens", "prefix_chars", "prefix_tokens"])
-            stretches.forget_long()
 
 
 def prefix_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -131,18 +200,17 @@ _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, end: int, most: int) -> Iterator[pa.RecordBatch]:
-    stretches = Stretches(path, WITHOUT_SPACE, tuple)
+    stretches, close = stretches_of(path, WITHOUT_SPACE, as_bytes), as_bytes([end])
     for batch in batches:
         for first, texts in _texts(batch, 1):
             rows: list[list] = [[], [], [], [], []]
             for doc, found in zip(batch.column(0).slice(first, len(texts)).to_pylist(), stretches.of(texts), strict=True):
-                ids = np.fromiter(chain(chain.from_iterable(map(stretches.known.__getitem__, found)), (end,)), "<u4")
-                for piece, start in enumerate(range(0, len(ids), most)):
-                    part = ids[start : start + most]
-                    for x, value in zip(rows, (doc, piece, start, len(part), zlib.crc32(part.tobytes())), strict=True):
+                ids = b"".join(map(stretches.known.__getitem__, found)) + close
+                for piece, start in enumerate(range(0, len(ids) // 4, most)):
+                    part = ids[4 * start : 4 * (start + most)]
+                    for x, value in zip(rows, (doc, piece, start, len(part) // 4, zlib.crc32(part)), strict=True):
                         x.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
-            stretches.forget_long()
 
 
 def pieces(docs: DataFrame, path: str, end: int, most: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
