@@ -67,19 +67,23 @@ def license_code(text: Column) -> Column:
     """
     raw = F.trim(text)
     key = F.trim(F.regexp_replace(F.upper(raw), "[^A-Z0-9]+", "_"), F.lit("_"))
-    lower = F.lower(raw)
-    word = lambda *names: reduce(lambda a, b: a & b, (F.array_contains(F.split(lower, "[^a-z0-9]+"), n) for n in names))
-    cc = word("creativecommons") | word("creative", "commons") | word("cc")
-    nc, sa = word("nc") | word("noncommercial"), word("sa") | word("sharealike")
-    nd = word("nd") | word("noderivatives") | word("no", "derivatives")
-    by = word("by") | word("attribution")
-    found = F.when(word("cc0") | word("publicdomain") | word("public", "domain"), "CC0").when(~cc, None)
-    found = found.when(nc & sa, "CC_BY_NC_SA").when(nc & nd, "CC_BY_NC_ND").when(nc, "CC_BY_NC").when(sa, "CC_BY_SA").when(nd, "CC_BY_ND").when(by, "CC_BY")
-    for part, code in reversed(LICENSE_ADDRESSES):
-        found = F.when(lower.contains(part), code).otherwise(found)
-    for code, names in LICENSE_ALIASES.items():
-        found = F.when(key.isin(*names), code).otherwise(found)
-    return F.when(raw != "", found)
+    spellings = F.create_map(*[F.lit(x) for code, names in LICENSE_ALIASES.items() for name in names for x in (name, code)])
+
+    def judged(x: Column) -> Column:
+        word = lambda *names: reduce(lambda a, b: a & b, (F.array_contains(x["words"], n) for n in names))
+        cc = word("creativecommons") | word("creative", "commons") | word("cc")
+        nc, sa = word("nc") | word("noncommercial"), word("sa") | word("sharealike")
+        nd = word("nd") | word("noderivatives") | word("no", "derivatives")
+        found = F.when(x["raw"].isNull() | (x["raw"] == ""), None).when(x["spelled"].isNotNull(), x["spelled"])
+        for part, code in LICENSE_ADDRESSES:
+            found = found.when(x["lower"].contains(part), code)
+        found = found.when(word("cc0") | word("publicdomain") | word("public", "domain"), "CC0").when(~cc, None)
+        found = found.when(nc & sa, "CC_BY_NC_SA").when(nc & nd, "CC_BY_NC_ND").when(nc, "CC_BY_NC").when(sa, "CC_BY_SA").when(nd, "CC_BY_ND")
+        return found.when(word("by") | word("attribution"), "CC_BY")
+
+    # What all conditions look at is made once, as the one element of an array.
+    parts = F.struct(raw.alias("raw"), F.lower(raw).alias("lower"), F.split(F.lower(raw), "[^a-z0-9]+").alias("words"), F.try_element_at(spellings, F.coalesce(key, F.lit(""))).alias("spelled"))
+    return F.transform(F.array(parts), judged)[0]
 
 
 def license_allowed(text: Column, allowed: list[str]) -> Column:
