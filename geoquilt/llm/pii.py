@@ -95,9 +95,8 @@ def _features(text: Column, kind: str, x: Column) -> Column:
     value, n = x["value"], F.length(_digits(x["value"]))
     before = F.substring(text, F.greatest(F.lit(1), x["start"] - 23), F.least(F.lit(24), x["start"]))
     after = F.substring(text, x["end"] + 1, F.lit(1))
-    own = BASE[kind].replace(r"(?:\G|(?<![A-Za-z0-9._%+-]))", "").replace(r"(?:\G|(?<![0-9]))", "")
     tests = [
-        F.lit(KINDS.index(kind) % 2 == 1), F.lit(KINDS.index(kind) >= 2), value.rlike(f"^(?:{own})$"), n.between(9, 15), n.between(13, 19), _luhn(value), _octets(value), value.startswith("+"),
+        F.lit(KINDS.index(kind) % 2 == 1), F.lit(KINDS.index(kind) >= 2), value.rlike(r"^(?:[0-9]{4}[ -]?){3}[0-9]+$"), n.between(9, 15), n.between(13, 19), _luhn(value), _octets(value), value.startswith("+"),
         value.contains("@"), value.rlike(r"\.[A-Za-z]{2,}$"), value.contains(" "), value.contains("-"), value.contains("("), before.rlike(_CONTEXT), before.rlike(r"[\w=#/]$"), after.rlike(r"[\w=#/]"),
     ]
     return sum((F.when(F.coalesce(t, F.lit(False)), 1 << i).otherwise(0) for i, t in enumerate(tests)), F.lit(0)).cast("int")
@@ -108,8 +107,9 @@ def _proposed(text: Column, kind: str) -> Column:
     plausible = lambda x: F.length(_digits(x["value"])).between(7, 24)
     found = matches(f"pii_wide_{kind}")
     found = F.filter(found, plausible) if kind in ("card", "phone") else found
-    same = lambda x: F.exists(f"pii_{kind}", lambda y: (y["start"] == x["start"]) & (y["end"] == x["end"]))
-    return F.transform(found, lambda x: F.struct(F.lit(KINDS.index(kind)).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), _features(text, kind, x).alias("features"), same(x).alias("known")))
+    place = lambda x: F.shiftleft(x["start"].cast("long"), 32) + x["end"]
+    same = lambda x: F.array_contains(F.col(f"pii_places_{kind}"), place(x))
+    return F.transform(found, lambda x: F.struct(F.lit(KINDS.index(kind)).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), _features(text, kind, x).alias("features"), same(x).alias("known"), F.pmod(F.xxhash64(x["value"]), F.lit(2)).cast("int").alias("half")))
 
 
 def _of_kind(array: str, number: int) -> Column:
@@ -121,9 +121,9 @@ def count(array: str, kind: str) -> Column:
 
 
 def candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with pii_base, array<struct<kind, start, end>>, and pii_proposed, array<struct<kind, start, end, features, known>>.
+    """docs with pii_base, array<struct<kind, start, end>>, and pii_proposed, array<struct<kind, start, end, features, known, half>>.
 
-    known tells that a proposal is one of the base spans.
+    known tells that a proposal is one of the base spans; half is 0 or 1 by a hash of its text.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     marks = text.contains("\x01") | text.contains("\x02")
@@ -138,9 +138,10 @@ def candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
     for kind in KINDS:
         rows = rows.withColumn(f"pii_{kind}", F.filter(matches(f"pii_strict_{kind}"), _valid(kind)))
     for kind in KINDS:
+        rows = rows.withColumn(f"pii_places_{kind}", F.transform(f"pii_{kind}", lambda x: F.shiftleft(x["start"].cast("long"), 32) + x["end"]))
         rows = rows.withColumn(f"pii_more_{kind}", _proposed(text, kind))
     base = F.concat(*[_of_kind(f"pii_{k}", i) for i, k in enumerate(KINDS)])
-    return rows.withColumn("pii_base", base).withColumn("pii_proposed", F.concat(*[F.col(f"pii_more_{k}") for k in KINDS])).drop("pii_text", *[f"pii_{x}{k}" for x in ("", "more_", "strict_", "wide_") for k in KINDS])
+    return rows.withColumn("pii_base", base).withColumn("pii_proposed", F.concat(*[F.col(f"pii_more_{k}") for k in KINDS])).drop("pii_text", *[f"pii_{x}{k}" for x in ("", "more_", "places_", "strict_", "wide_") for k in KINDS])
 
 
 @dataclass
@@ -167,9 +168,8 @@ def fit(found: DataFrame, boosting: Boosting | None = None) -> Trees:
     documents there are; only these counts come to the driver.
     """
     boosting = boosting or Boosting()
-    each = found.select(F.explode("pii_proposed").alias("x"), F.col("pii_base"))
-    half = F.pmod(F.xxhash64("x.start", "x.end", F.size("pii_base")), F.lit(2))
-    counted = each.select("x.features", F.col("x.known").cast("int").alias("known"), half.alias("half")).groupBy("features").agg(*[F.count_if((F.col("half") == h) & (F.col("known") == k)).alias(f"n{h}{k}") for h in (0, 1) for k in (0, 1)])
+    each = found.select(F.explode("pii_proposed").alias("x"))
+    counted = each.select("x.features", F.col("x.known").cast("int").alias("known"), "x.half").groupBy("features").agg(*[F.count_if((F.col("half") == h) & (F.col("known") == k)).alias(f"n{h}{k}") for h in (0, 1) for k in (0, 1)])
     rows = [(r["features"], r["n00"], r["n01"], r["n10"], r["n11"]) for r in counted.orderBy("features").collect()]
     positive, total = sum(r[2] for r in rows), sum(r[1] + r[2] for r in rows)
     start = math.log((positive + 1) / (total - positive + 1))
@@ -206,7 +206,7 @@ def spans(found: DataFrame, trees: Trees) -> DataFrame:
     """found with pii_spans, array<struct<kind, start, end>> in order: base spans and the selected proposals that touch none."""
     picked = F.filter("pii_proposed", lambda x: ~x["known"] & (trees.column(x["features"]) >= F.lit(trees.threshold - 1e-9)) & ~F.exists("pii_base", lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])))
     if math.isinf(trees.threshold):
-        picked = F.array().cast("array<struct<kind:int,start:int,end:int,features:int,known:boolean>>")
+        picked = F.array().cast("array<struct<kind:int,start:int,end:int,features:int,known:boolean,half:int>>")
     plain = F.transform(picked, lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
     return found.withColumn("pii_spans", F.array_sort(F.concat("pii_base", plain)))
 
