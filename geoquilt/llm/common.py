@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -59,6 +60,22 @@ def small_or_not(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def smallest_hashed(df: DataFrame, key: str, rows: int, by: str | None = None) -> DataFrame:
+    """The ``rows`` rows whose hashed keys are smallest, of each value of ``by`` if that is named; with ``place``, from 1.
+
+    Rows are counted first, and those whose hash is clearly too large are left out before the window,
+    so what goes to one task is little more than what it keeps, however many rows or tasks there are.
+    """
+    group = [F.col(by)] if by else [F.lit(1).alias("all")]
+    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("hashed_n"))
+    counted = df.join(small_or_not(written(counts, "counts")), by) if by else df.crossJoin(F.broadcast(counts.select("hashed_n")))
+    hashed = F.xxhash64(key)
+    share = (rows + 8 * math.sqrt(rows) + 40) / F.col("hashed_n")
+    likely = counted.where(hashed.cast("double") / float(1 << 64) + 0.5 <= share).drop("hashed_n")
+    order = Window.partitionBy(*([by] if by else [F.lit(1)])).orderBy(hashed, key)
+    return likely.withColumn("place", F.row_number().over(order)).where(F.col("place") <= rows)
+
+
 def running_total(df: DataFrame, order: list, value: str, total: str, name: str) -> DataFrame:
     """df with ``total``, the sum of ``value`` over all rows up to and including each one in ``order``.
 

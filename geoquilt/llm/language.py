@@ -16,7 +16,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from . import common, wordhash
 
@@ -116,8 +115,7 @@ def fit(docs: DataFrame, learner: Learner | None = None, id_col: str = "doc_id",
     learner = learner or Learner()
     common.importable(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text is not null and lang is not null")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.select("doc_id", "lang").withColumn("place", F.row_number().over(order)).where(F.col("place") <= learner.rows)
+    chosen = common.smallest_hashed(rows.select("doc_id", "lang"), "doc_id", learner.rows, "lang")
     chosen = common.written(chosen, "chosen_texts")
     texts = common.written(rows.join(common.small_or_not(chosen), ["doc_id", "lang"]).select("text", "lang", "place"), "learned_from")
     languages = sorted(x[0] for x in chosen.select("lang").distinct().collect())

@@ -114,7 +114,8 @@ def fit(docs: DataFrame, labels: DataFrame, learner: Learner | None = None, id_c
     learner = learner or Learner()
     common.importable(docs.sparkSession)
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).where("doc_id is not null and label in (0, 1)")
-    chosen = common.written(known.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(learner.rows), "chosen")
+    known = common.written(known.groupBy("doc_id").agg(F.max("label").alias("label")), "known")
+    chosen = common.written(common.smallest_hashed(known, "doc_id", learner.rows).select("doc_id", "label"), "chosen")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
     rows = rows.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "text").select("text", "label")
     found = rows.mapInArrow(lambda it: _train(it, learner), "place long, weight double").collect()  # of a fixed number
