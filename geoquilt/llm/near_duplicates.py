@@ -4,6 +4,8 @@ Every document has a signature of ``hashes`` minima. Each tree of the forest sor
 the signature in an order of its own; documents that stand within ``window`` places of each other
 and agree on a prefix of at least ``least_depth`` values are candidates. So a sparse region is
 searched from a shallow prefix on, and a dense one only as deep as its neighbours agree.
+The forest joins most copies at little cost; what it leaves apart then meets in an exact join on
+the rarest shingles, so that no link depends on windows, forests or chance.
 Documents with equal sets are one class throughout, however many there are.
 """
 
@@ -32,9 +34,32 @@ class Forest:
     window: int = 64
     block: int = 4096  # rows of one sorted order that a task compares at a time
     slack: float = 0.2  # a pair is a candidate if its estimate is less by so much at most
+    sample: int = 10_000  # documents that tell which shingles are frequent; that sets an order only, links are the same in any
+    frequent: int = 1 << 18  # shingles of that sample that are told apart at most
 
 
-_SIGN = "doc_id long, n_shingles long, set_id binary, signature binary"
+_SIGN = "doc_id long, n_shingles long, set_id binary, signature binary, bits binary"
+#: Least bytes of a set's parities: each shingle turns over one of the bits, so two sets differ in as many shingles as bits at least.
+FOLDED = 128
+
+
+def _folded(values: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """Parities of each set, of two bits a shingle at least and a power of two; a longer one folds to a shorter one."""
+    size = np.maximum(FOLDED, 1 << np.ceil(np.log2(np.maximum(counts, 1) / 4)).astype(np.int64).clip(0))
+    ends, row = np.cumsum(size), np.repeat(np.arange(len(counts)), counts)
+    bits = np.zeros(ends[-1] if len(ends) else 0, np.uint8)
+    place = (ends - size)[row] + ((values >> np.uint32(3)).astype(np.int64) & (size - 1)[row])
+    np.bitwise_xor.at(bits, place, np.uint8(1) << (values & np.uint32(7)).astype(np.uint8))
+    return [bits[e - n : e].tobytes() for e, n in zip(ends.tolist(), size.tolist(), strict=True)]
+
+
+def _bits_apart(a: bytes, b: bytes) -> int:
+    a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    if len(a) < len(b):
+        a, b = b, a
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum(dtype=np.int64))
 
 
 def _signatures(batches: Iterator[pa.RecordBatch], words: int, hashes: int) -> Iterator[pa.RecordBatch]:
@@ -54,9 +79,10 @@ def _signatures(batches: Iterator[pa.RecordBatch], words: int, hashes: int) -> I
                 for k in range(hashes):
                     spread = np.minimum.reduceat(values * times[k] + plus[k], starts)
                     least[full, k] = (spread * np.uint32(0x9E3779B1)) >> np.uint32(24)  # a byte of each minimum is kept
+            bits = _folded(values, counts)
             return pa.RecordBatch.from_arrays(
-                [ids.slice(at, len(sets)), pa.array(counts), pa.array([wordhash.digest(s) for s in sets], pa.binary()), pa.array([x.tobytes() if c else None for x, c in zip(least, counts, strict=True)], pa.binary())],
-                names=["doc_id", "n_shingles", "set_id", "signature"],
+                [ids.slice(at, len(sets)), pa.array(counts), pa.array([wordhash.digest(s) for s in sets], pa.binary()), pa.array([x.tobytes() if c else None for x, c in zip(least, counts, strict=True)], pa.binary()), pa.array(bits, pa.binary())],
+                names=["doc_id", "n_shingles", "set_id", "signature", "bits"],
             )
 
         held = 0
@@ -198,6 +224,18 @@ def _spanning(found: np.ndarray, node: np.ndarray, component: np.ndarray, forest
     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["u", "v"])
 
 
+def _possible(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs (u, v, size and bits of each) without those whose sizes or bits alone say that they are no link."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        both, less = (f(batch.column(2).to_numpy(), batch.column(3).to_numpy()) for f in (np.add, np.minimum))
+        apart = np.array([_bits_apart(a, b) for a, b in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)])
+        # Of both sizes together, links have no more than (100 - percent) / (100 + percent) on one side only.
+        keep = ((100 + percent) * apart <= (100 - percent) * both) & (100 * less >= percent * (both - less))
+        yield batch.select([0, 1]).filter(pa.array(keep))
+
+
 def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = np.zeros(batch.num_rows, bool)
@@ -209,6 +247,124 @@ def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
         yield batch.select([0, 1]).filter(pa.array(keep))
 
 
+def _counted(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = list(wordhash.shingle_sets(batch.column(0), words))
+        if sets:
+            values, counts = np.unique(np.concatenate(sets), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts)], names=["shingle", "n"])
+
+
+def _frequent(source: DataFrame, f: Forest) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that occur more than once in a sample of a fixed number of documents, sorted, and how often they do."""
+    total = source.select("doc_id").count()
+    share = int(min(1.0, f.sample / max(1, total)) * (1 << 20))
+    texts = source.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share).select("text")
+    counted = texts.mapInArrow(lambda it, w=f.words: _counted(it, w), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 1")
+    rows = counted.orderBy(F.desc("n"), "shingle").limit(f.frequent).toArrow()
+    shingle, n = (rows.column(i).to_numpy() for i in (0, 1))
+    shingle = shingle.view(np.uint64)
+    order = np.argsort(shingle)
+    return shingle[order], n[order]
+
+
+def _postings(batches: Iterator[pa.RecordBatch], f: Forest, frequent: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The first shingles of each set in the one order of all sets, rare ones first.
+
+    A set linked with another holds at least ``percent`` of its own shingles in common with it, so of
+    the sets' common shingles the first stands among these in both.
+    """
+    for batch in batches:
+        rows, at, held = [], 0, 0
+
+        def flush(rows, at):
+            size = np.array([len(s) for s in rows], np.int64)
+            values, row = np.concatenate(rows), np.repeat(np.arange(len(rows)), size)
+            often = np.zeros(len(values), np.int64)
+            if len(frequent):
+                place = np.minimum(np.searchsorted(frequent, values), len(frequent) - 1)
+                often = np.where(frequent[place] == values, counts[place], 0)
+            order = np.lexsort((values, often, row))
+            place = np.arange(len(values)) - np.repeat(np.cumsum(size) - size, size)
+            first = place < np.repeat(size + 1 - (f.percent * size + 99) // 100, size)
+            of = row[first]
+            ends = [pa.array(np.asarray(batch.column(k).slice(at, len(rows)).to_numpy())[of]) for k in (0, 1)]
+            return pa.RecordBatch.from_arrays([pa.array(values[order][first].view(np.int64)), *ends, pa.array(size[of]), pa.array(place[first])], names=["shingle", "node", "component", "size", "place"])
+
+        for s in wordhash.shingle_sets(batch.column(2), f.words):
+            rows.append(s)
+            held += len(s)
+            if held > 500_000:
+                yield flush(rows, at)
+                rows, at, held = [], at + len(rows), 0
+        if rows:
+            yield flush(rows, at)
+
+
+def _groups(batches: Iterator[pa.RecordBatch], rows: int = 200_000) -> Iterator[list[np.ndarray]]:
+    """The columns of sorted rows, in pieces of at least so many rows that end where a value of the first column ends."""
+    open_, held, name = [], 0, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy() for k in range(batch.num_columns)]
+        if held >= rows and columns[0][-1] != name:
+            cut = int(np.searchsorted(columns[0], columns[0][-1]))
+            yield [np.concatenate(x) for x in zip(*open_, [c[:cut] for c in columns], strict=True)]
+            columns, open_, held = [c[cut:] for c in columns], [], 0
+        open_.append(columns)
+        held, name = held + len(columns[0]), columns[0][-1]
+    if open_:
+        yield [np.concatenate(x) for x in zip(*open_, strict=True)]
+
+
+def _partners(begins: np.ndarray, ends: np.ndarray, component: np.ndarray, most: int = 32, places: int = 2_000_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of all pairs of different components within each group of rows, and some pairs of one component."""
+    length = ends - begins
+    for n in np.unique(length[length <= most]).tolist():
+        groups, (i, j) = begins[length == n], np.triu_indices(n, 1)
+        step = max(1, places // len(i))
+        for at in range(0, len(groups), step):
+            part = groups[at : at + step, None]
+            yield (part + i).ravel(), (part + j).ravel()
+    for begin, end in zip(begins[length > most].tolist(), ends[length > most].tolist(), strict=True):
+        # The largest component is joined already: only what stands outside it has to meet all.
+        _, of, n = np.unique(component[begin:end], return_inverse=True, return_counts=True)
+        others, step = begin + np.flatnonzero(of != n.argmax()), max(1, places // (end - begin))
+        for at in range(0, len(others), step):
+            part = others[at : at + step]
+            yield np.repeat(part, end - begin), np.tile(np.arange(begin, end), len(part))
+
+
+def _meeting(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """All pairs of different components that share a posted shingle and could be as alike as a link."""
+    for shingle, node, component, size, place in _groups(batches):
+        begins = np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]])
+        ends = np.r_[begins[1:], len(shingle)]
+        mixed = np.minimum.reduceat(component, begins) != np.maximum.reduceat(component, begins)
+        found, held = [], 0
+        for a, b in _partners(begins[mixed], ends[mixed], component):
+            both, less = size[a] + size[b], np.minimum(size[a], size[b])
+            ok = (component[a] != component[b]) & (100 * less >= percent * (both - less))
+            # The first shingle in common leaves room for all the others behind it.
+            ok &= (100 + percent) * np.minimum(size[a] - place[a], size[b] - place[b]) >= percent * both
+            a, b = node[a[ok]], node[b[ok]]
+            found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
+            held += len(a)
+            if held > 1_000_000:
+                yield _distinct(found)
+                found, held = [], 0
+        if held:
+            yield _distinct(found)
+
+
+def _distinct(found: list[np.ndarray]) -> pa.RecordBatch:
+    pairs = np.concatenate(found)
+    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+    pairs = pairs[np.r_[True, (pairs[1:] != pairs[:-1]).any(axis=1)]]
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
+
+
 def near_duplicates(docs: DataFrame, forest: Forest | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): documents with the class of near copies that they are in.
 
@@ -224,10 +380,9 @@ def near_duplicates(docs: DataFrame, forest: Forest | None = None, id_col: str =
     common.importable(spark)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed = common.written(source.mapInArrow(lambda it, w=f.words, n=f.hashes: _signatures(it, w, n), _SIGN), "signatures")
-    classes = signed.where("doc_id is not null and n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("node"), F.min("signature").alias("signature"))
+    classes = signed.where("doc_id is not null and n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("node"), *[F.min(x).alias(x) for x in ("signature", "n_shingles", "bits")])
     classes = common.written(classes, "classes")
-    nodes = classes.select("node", "signature").dropDuplicates(["node"])
-    labels = _join_classes(source, nodes, f)
+    labels = _join_classes(source, classes, f)
     of_class = classes.select("set_id", "node").join(labels, "node", "left").select("set_id", F.coalesce("component", "node").alias("component"))
     # The class of a document's id, and its set where rows share an id, so this is a join on the set.
     out = signed.select("doc_id", "n_shingles", "set_id").join(of_class, "set_id", "left")
@@ -235,9 +390,10 @@ def near_duplicates(docs: DataFrame, forest: Forest | None = None, id_col: str =
     return out.select("doc_id", "n_shingles", component.cast("long").alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
-def _join_classes(source: DataFrame, nodes: DataFrame, f: Forest) -> DataFrame:
+def _join_classes(source: DataFrame, classes: DataFrame, f: Forest) -> DataFrame:
     """(node, component) of the nodes that link with another."""
     spark = source.sparkSession
+    nodes = classes.select("node", "signature").dropDuplicates(["node"])
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     alone = nodes.select("node", F.col("node").alias("component"), "signature")
     first, rest = list(range(f.first_trees)), list(range(f.trees))
@@ -251,12 +407,31 @@ def _join_classes(source: DataFrame, nodes: DataFrame, f: Forest) -> DataFrame:
         rows = now.mapInArrow(lambda it, f=f, trees=trees: _sorted_orders(it, f, trees), "tree int, key binary, node long, component long")
         rows = rows.repartitionByRange(parts, "tree", "key", "node").sortWithinPartitions("tree", "key", "node")
         pairs = common.written(rows.mapInArrow(lambda it, f=f, forests=forests: _neighbours(it, f, forests), "u long, v long").distinct(), "pairs")
-        needed = common.written(pairs.select(F.col("u").alias("doc_id")).union(pairs.select(F.col("v").alias("doc_id"))).distinct(), "needed")
-        texts = source.join(common.small_or_not(needed), "doc_id", "left_semi")
-        sets = common.written(texts.mapInArrow(lambda it, w=f.words: _sets(it, w), "node long, hashes binary").dropDuplicates(["node"]), "sets")
-        both = pairs.join(sets.select(F.col("node").alias("u"), F.col("hashes").alias("set_u")), "u").join(sets.select(F.col("node").alias("v"), F.col("hashes").alias("set_v")), "v")
-        found = both.select("u", "v", "set_u", "set_v").mapInArrow(lambda it, p=f.percent: _confirm(it, p), "u long, v long")
+        found = _confirmed(source, classes, pairs, f)
         links = found if links is None else links.union(found)
         links = common.written(links, "links")
         labels = common.written(components(links), "labels")
-    return labels
+    # What is still apart, however crowded its regions: all pairs that can link, each confirmed.
+    now = common.written(nodes.join(labels, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "now")
+    texts = source.join(common.small_or_not(now), source.doc_id == now.node).select("node", "component", "text")
+    frequent, counts = _frequent(source, f)
+    posted = texts.mapInArrow(lambda it, f=f: _postings(it, f, frequent, counts), "shingle long, node long, component long, size long, place long")
+    posted = posted.repartition(parts, "shingle").sortWithinPartitions("shingle")
+    pairs = common.written(posted.mapInArrow(lambda it, p=f.percent: _meeting(it, p), "u long, v long").distinct(), "pairs")
+    found = common.written(_confirmed(source, classes, pairs, f), "links")
+    if found.isEmpty():
+        return labels
+    joined = found.union(labels.select(F.col("node").alias("u"), F.col("component").alias("v")))
+    return common.written(components(joined), "labels")
+
+
+def _confirmed(source: DataFrame, classes: DataFrame, pairs: DataFrame, f: Forest) -> DataFrame:
+    """Those of the pairs (u, v) that are links, by their whole sets, which are made only where sizes and bits leave it open."""
+    of = lambda end: classes.select(F.col("node").alias(end), F.col("n_shingles").alias(f"size_{end}"), F.col("bits").alias(f"bits_{end}"))
+    light = pairs.join(of("u"), "u").join(of("v"), "v").select("u", "v", "size_u", "size_v", "bits_u", "bits_v")
+    pairs = common.written(light.mapInArrow(lambda it, p=f.percent: _possible(it, p), "u long, v long").distinct(), "possible")
+    needed = common.written(pairs.select(F.col("u").alias("doc_id")).union(pairs.select(F.col("v").alias("doc_id"))).distinct(), "needed")
+    texts = source.join(common.small_or_not(needed), "doc_id", "left_semi")
+    sets = common.written(texts.mapInArrow(lambda it, w=f.words: _sets(it, w), "node long, hashes binary").dropDuplicates(["node"]), "sets")
+    both = pairs.join(sets.select(F.col("node").alias("u"), F.col("hashes").alias("set_u")), "u").join(sets.select(F.col("node").alias("v"), F.col("hashes").alias("set_v")), "v")
+    return both.select("u", "v", "set_u", "set_v").mapInArrow(lambda it, p=f.percent: _confirm(it, p), "u long, v long")

@@ -63,6 +63,36 @@ def test_near_duplicates(spark, words):
     assert sorted((repr(r.doc_id), r.n_shingles, repr(r.component_id), r.kept) for r in got) == wanted
 
 
+def crowded(n=1500, pairs=60):
+    """Documents that share a long passage and are each a little too different, and pairs of them just alike enough."""
+    passage, out = [f"p{i}" for i in range(168)], []
+    for i in range(n):  # 164 shingles in common of 164 + 2 * 32: 0.72
+        out.append((i, " ".join(passage + [f"d{i}x{k}" for k in range(32)])))
+    for i in range(pairs):  # 178 shingles in common of 178 + 2 * 18: 0.83
+        out.append((n + i, " ".join(passage + [f"d{i}x{k}" for k in range(14)] + [f"e{i}x{k}" for k in range(18)])))
+    return out
+
+
+def test_near_duplicates_in_a_crowded_region(spark):
+    n, pairs = 1500, 60
+    rows_ = near_duplicates.near_duplicates(documents(spark, crowded(n, pairs))).collect()
+    got = {r.doc_id: r.component_id for r in rows_}
+    assert got == {i: i if i < n else i - n for i in range(n + pairs)}
+
+
+def test_link_between_crowds(spark):
+    """Two crowds that are a little too different, and one document that is near to one member of the second only."""
+    passage = [f"p{i}" for i in range(168)]
+    crowd = lambda side, i: " ".join(passage + [f"{side}{k}" for k in range(28)] + [f"{side}{i}x{k}" for k in range(4)])
+    texts = [(base + i, crowd(side, i)) for base, side in ((0, "a"), (1000, "b")) for i in range(150)]
+    texts.append((4000, " ".join(passage + [f"a{k}" for k in range(16)] + [f"b{k}" for k in range(16, 28)] + [f"b149x{k}" for k in range(4)])))
+    sets = {i: shingle_set(t, 5) for i, t in texts}
+    near = {i // 1000 for i, s in sets.items() if i != 4000 and 100 * len(s & sets[4000]) >= 80 * len(s | sets[4000])}
+    got = {r.component_id for r in near_duplicates.near_duplicates(documents(spark, texts)).collect()}
+    assert near == {0, 1}
+    assert got == {0}
+
+
 def test_empty_tables(spark):
     docs = documents(spark, [])
     path = queries.vocabulary("word_bpe_49k.json")
