@@ -3,24 +3,28 @@
 Every document has a signature of ``hashes`` minima. Each tree of the forest sorts all documents by
 the signature in an order of its own; documents that stand within ``window`` places of each other
 and agree on a prefix of at least ``least_depth`` values are candidates. So a sparse region is
-searched from a shallow prefix on, and a dense one only as deep as its neighbours agree.
-The forest joins most copies at little cost; what it leaves apart then meets in an exact join on
-the rarest shingles, so that no link depends on windows, forests or chance.
+searched from a shallow prefix on, and a dense one first as deep as its neighbours agree.
+That joins most copies at little cost. What it leaves apart in a region, however many rows that
+has, then meets pair by pair: sizes and parities, which no link can fail, refute nearly all, and
+the others are compared on whole sets. So links depend on no window or number of neighbours, only
+on a link sharing a region in one tree at least. The more documents there are, the deeper regions
+begin and the more trees there are, which keeps that chance and the regions' sizes where they are.
 Documents with equal sets are one class throughout, however many there are.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common, wordhash
-from .components import components, join_up
+from .components import components
 
 
 @dataclass(frozen=True)
@@ -34,8 +38,15 @@ class Forest:
     window: int = 64
     block: int = 4096  # rows of one sorted order that a task compares at a time
     slack: float = 0.2  # a pair is a candidate if its estimate is less by so much at most
-    sample: int = 10_000  # documents that tell which shingles are frequent; that sets an order only, links are the same in any
-    frequent: int = 1 << 18  # shingles of that sample that are told apart at most
+    cell: int = 4096  # rows of a region that meet at a time; larger regions meet block by block
+    miss: float = 1.1e-5  # chance that a link at the threshold shares no region in any tree
+    crowd: int = 256  # documents that may share a region by accident, before regions begin a value deeper
+
+    def sized(self, documents: int) -> Forest:
+        """The forest for so many documents: as deep as that takes, and as many trees as that depth takes."""
+        depth = max(self.least_depth, math.ceil(math.log(max(1, documents / self.crowd), 256)))
+        trees = max(self.trees, math.ceil(math.log(self.miss) / math.log1p(-((self.percent / 100) ** depth))))
+        return replace(self, least_depth=depth, trees=trees, hashes=max(self.hashes, depth * trees))
 
 
 _SIGN = "doc_id long, n_shingles long, set_id binary, signature binary, bits binary"
@@ -155,7 +166,6 @@ def _neighbours(batches: Iterator[pa.RecordBatch], f: Forest, forests: int) -> I
                     alike = (key[left] == key[left + step]).mean(axis=1)
                     near = alike >= floor
                     found.append(np.stack([left[near], left[near] + step, (alike[near] * 1000).astype(np.int64)], axis=1))
-            found += _beside_crowds(prefix, key, component, old, f)
             if found and len(found := np.concatenate(found)):
                 found[:, 2] += _jitter(node[found[:, 0]], node[found[:, 1]], tree[found[:, 0]])
                 yield from _spanning(found, node, component, forests)
@@ -167,29 +177,6 @@ def _jitter(a: np.ndarray, b: np.ndarray, tree: np.ndarray) -> np.ndarray:
     return (mixed % np.uint64(101)).astype(np.int64)
 
 
-def _beside_crowds(prefix: np.ndarray, key: np.ndarray, component: np.ndarray, old: int, f: Forest) -> list[np.ndarray]:
-    """Candidate pairs of a crowd, a component that could fill whole windows, and what else is in its regions.
-
-    Members of a crowd are already joined, so the places between them and others must not be used up by them.
-    """
-    found = []
-    names, counts = np.unique(component, return_counts=True)
-    for name in names[counts > f.window // 2]:
-        crowd = np.flatnonzero(component == name)
-        for region in np.unique(prefix[crowd]):
-            inside, others = crowd[prefix[crowd] == region], np.flatnonzero((prefix == region) & (component != name))
-            step = max(1, 4_000_000 // len(inside))
-            for at in range(0, len(others), step):
-                part = others[at : at + step]
-                equal = np.zeros((len(part), len(inside)), np.uint8)
-                for k in range(f.hashes):
-                    equal += key[part, k][:, None] == key[inside, k][None, :]
-                a, b = np.nonzero(equal >= (f.percent / 100 - f.slack) * f.hashes)
-                pairs = np.stack([np.minimum(part[a], inside[b]), np.maximum(part[a], inside[b]), equal[a, b].astype(np.int64) * 1000 // f.hashes], axis=1)
-                found.append(pairs[pairs[:, 1] >= old])
-    return found
-
-
 def _spanning(found: np.ndarray, node: np.ndarray, component: np.ndarray, forests: int) -> Iterator[pa.RecordBatch]:
     """Of the candidates those that could join components, most alike first: forests, one after the other.
 
@@ -247,121 +234,101 @@ def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
         yield batch.select([0, 1]).filter(pa.array(keep))
 
 
-def _counted(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sets = list(wordhash.shingle_sets(batch.column(0), words))
-        if sets:
-            values, counts = np.unique(np.concatenate(sets), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts)], names=["shingle", "n"])
-
-
-def _frequent(source: DataFrame, f: Forest) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that occur more than once in a sample of a fixed number of documents, sorted, and how often they do."""
-    total = source.select("doc_id").count()
-    share = int(min(1.0, f.sample / max(1, total)) * (1 << 20))
-    texts = source.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share).select("text")
-    counted = texts.mapInArrow(lambda it, w=f.words: _counted(it, w), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 1")
-    rows = counted.orderBy(F.desc("n"), "shingle").limit(f.frequent).toArrow()
-    shingle, n = (rows.column(i).to_numpy() for i in (0, 1))
-    shingle = shingle.view(np.uint64)
-    order = np.argsort(shingle)
-    return shingle[order], n[order]
-
-
-def _postings(batches: Iterator[pa.RecordBatch], f: Forest, frequent: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """The first shingles of each set in the one order of all sets, rare ones first.
-
-    A set linked with another holds at least ``percent`` of its own shingles in common with it, so of
-    the sets' common shingles the first stands among these in both.
-    """
+def _regions(batches: Iterator[pa.RecordBatch], f: Forest) -> Iterator[pa.RecordBatch]:
+    """(region, node, component): where each node stands in each tree, down to the least depth."""
+    orders = _orders(f)
     for batch in batches:
-        rows, at, held = [], 0, 0
-
-        def flush(rows, at):
-            size = np.array([len(s) for s in rows], np.int64)
-            values, row = np.concatenate(rows), np.repeat(np.arange(len(rows)), size)
-            often = np.zeros(len(values), np.int64)
-            if len(frequent):
-                place = np.minimum(np.searchsorted(frequent, values), len(frequent) - 1)
-                often = np.where(frequent[place] == values, counts[place], 0)
-            order = np.lexsort((values, often, row))
-            place = np.arange(len(values)) - np.repeat(np.cumsum(size) - size, size)
-            first = place < np.repeat(size + 1 - (f.percent * size + 99) // 100, size)
-            of = row[first]
-            ends = [pa.array(np.asarray(batch.column(k).slice(at, len(rows)).to_numpy())[of]) for k in (0, 1)]
-            return pa.RecordBatch.from_arrays([pa.array(values[order][first].view(np.int64)), *ends, pa.array(size[of]), pa.array(place[first])], names=["shingle", "node", "component", "size", "place"])
-
-        for s in wordhash.shingle_sets(batch.column(2), f.words):
-            rows.append(s)
-            held += len(s)
-            if held > 500_000:
-                yield flush(rows, at)
-                rows, at, held = [], at + len(rows), 0
-        if rows:
-            yield flush(rows, at)
+        if not batch.num_rows:
+            continue
+        signature = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(-1, f.hashes)
+        for t in range(f.trees):
+            region = np.full(len(signature), t, np.int64)
+            for k in orders[t][: f.least_depth]:
+                region = region * 256 + signature[:, k]
+            yield pa.RecordBatch.from_arrays([pa.array(region), batch.column(0), batch.column(1)], names=["region", "node", "component"])
 
 
-def _groups(batches: Iterator[pa.RecordBatch], rows: int = 200_000) -> Iterator[list[np.ndarray]]:
-    """The columns of sorted rows, in pieces of at least so many rows that end where a value of the first column ends."""
-    open_, held, name = [], 0, None
+def _cells(batches: Iterator[pa.RecordBatch], least: int = 4096) -> Iterator[pa.RecordBatch]:
+    """Sorted rows in runs that end where a cell (the first three columns) ends."""
+    kept: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
             continue
-        columns = [batch.column(k).to_numpy() for k in range(batch.num_columns)]
-        if held >= rows and columns[0][-1] != name:
-            cut = int(np.searchsorted(columns[0], columns[0][-1]))
-            yield [np.concatenate(x) for x in zip(*open_, [c[:cut] for c in columns], strict=True)]
-            columns, open_, held = [c[cut:] for c in columns], [], 0
-        open_.append(columns)
-        held, name = held + len(columns[0]), columns[0][-1]
-    if open_:
-        yield [np.concatenate(x) for x in zip(*open_, strict=True)]
-
-
-def _partners(begins: np.ndarray, ends: np.ndarray, component: np.ndarray, most: int = 32, places: int = 2_000_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places of all pairs of different components within each group of rows, and some pairs of one component."""
-    length = ends - begins
-    for n in np.unique(length[length <= most]).tolist():
-        groups, (i, j) = begins[length == n], np.triu_indices(n, 1)
-        step = max(1, places // len(i))
-        for at in range(0, len(groups), step):
-            part = groups[at : at + step, None]
-            yield (part + i).ravel(), (part + j).ravel()
-    for begin, end in zip(begins[length > most].tolist(), ends[length > most].tolist(), strict=True):
-        # The largest component is joined already: only what stands outside it has to meet all.
-        _, of, n = np.unique(component[begin:end], return_inverse=True, return_counts=True)
-        others, step = begin + np.flatnonzero(of != n.argmax()), max(1, places // (end - begin))
-        for at in range(0, len(others), step):
-            part = others[at : at + step]
-            yield np.repeat(part, end - begin), np.tile(np.arange(begin, end), len(part))
+        kept.append(batch)
+        if sum(x.num_rows for x in kept) < least and sum(x.nbytes for x in kept) < 32_000_000:
+            continue
+        table = pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
+        columns = [table.column(k).to_numpy() for k in range(3)]
+        last = np.flatnonzero(np.any([c != c[-1] for c in columns], axis=0))
+        cut = int(last[-1]) + 1 if len(last) else 0
+        if cut:
+            yield table.slice(0, cut)
+        kept = [table.slice(cut)]
+    if kept:
+        yield pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
+
+
+class _Bits:
+    """Parities of a run of rows, by their lengths, each also folded once; sizes of links differ so little that this is enough."""
+
+    def __init__(self, bits: list[bytes]):
+        self.length = np.array([len(x) for x in bits])
+        self.place = np.zeros(len(bits), np.int64)
+        self.whole, self.half = {}, {}
+        for n in np.unique(self.length).tolist():
+            rows = np.flatnonzero(self.length == n)
+            self.place[rows] = np.arange(len(rows))
+            self.whole[n] = np.frombuffer(b"".join(bits[i] for i in rows.tolist()), np.uint64).reshape(len(rows), -1)
+            self.half[n] = self.whole[n][:, : n // 16] ^ self.whole[n][:, n // 16 :]
+
+    def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Bits in which rows differ, pair by pair; 0, which refutes nothing, where one is more than twice as long."""
+        out = np.zeros(len(a), np.int64)
+        la, lb = self.length[a], self.length[b]
+        for n in self.whole:
+            for left, right, x, y in ((self.whole, self.whole, n, n), (self.half, self.whole, n, n // 2), (self.whole, self.half, n // 2, n)):
+                if x in left and y in right:
+                    of = np.flatnonzero((la == x) & (lb == y))
+                    step = max(1, 16_000_000 // n)
+                    for at in range(0, len(of), step):
+                        some = of[at : at + step]
+                        out[some] = np.bitwise_count(left[x][self.place[a[some]]] ^ right[y][self.place[b[some]]]).sum(axis=1, dtype=np.int64)
+        return out
 
 
 def _meeting(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """All pairs of different components that share a posted shingle and could be as alike as a link."""
-    for shingle, node, component, size, place in _groups(batches):
-        begins = np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]])
-        ends = np.r_[begins[1:], len(shingle)]
-        mixed = np.minimum.reduceat(component, begins) != np.maximum.reduceat(component, begins)
-        found, held = [], 0
-        for a, b in _partners(begins[mixed], ends[mixed], component):
-            both, less = size[a] + size[b], np.minimum(size[a], size[b])
-            ok = (component[a] != component[b]) & (100 * less >= percent * (both - less))
-            # The first shingle in common leaves room for all the others behind it.
-            ok &= (100 + percent) * np.minimum(size[a] - place[a], size[b] - place[b]) >= percent * both
-            a, b = node[a[ok]], node[b[ok]]
+    """Of all pairs of different components that share a cell those that sizes and parities do not refute.
+
+    Columns: region, first, second, block, node, component, n_shingles, bits. In a cell of two blocks
+    rows of one block have met elsewhere.
+    """
+    for table in _cells(batches):
+        region, first, second, block, node, component, size = (table.column(k).to_numpy() for k in range(7))
+        cell = np.cumsum(np.r_[True, (region[1:] != region[:-1]) | (first[1:] != first[:-1]) | (second[1:] != second[:-1])])
+        within, bits = first == second, _Bits(table.column(7).to_pylist())
+        step, left, found, held = 1, np.arange(len(cell) - 1), [], 0
+        while len(left):
+            left = left[left + step < len(cell)]
+            left = left[cell[left] == cell[left + step]]
+            right = left + step
+            both, less = size[left] + size[right], np.minimum(size[left], size[right])
+            ok = (component[left] != component[right]) & (within[left] | (block[left] != block[right])) & (100 * less >= percent * (both - less))
+            a, b = left[ok], right[ok]
+            # Of both sizes together, links have no more than (100 - percent) / (100 + percent) on one side only.
+            near = (100 + percent) * bits.apart(a, b) <= (100 - percent) * both[ok]
+            a, b = node[a[near]], node[b[near]]
             found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
             held += len(a)
-            if held > 1_000_000:
+            if held > 500_000:
                 yield _distinct(found)
                 found, held = [], 0
+            step += 1
         if held:
             yield _distinct(found)
 
 
 def _distinct(found: list[np.ndarray]) -> pa.RecordBatch:
-    pairs = np.concatenate(found)
-    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
-    pairs = pairs[np.r_[True, (pairs[1:] != pairs[:-1]).any(axis=1)]]
+    pairs = np.unique(np.concatenate(found), axis=0)
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
 
 
@@ -375,8 +342,8 @@ def near_duplicates(docs: DataFrame, forest: Forest | None = None, id_col: str =
     count and a null component, and link with nothing. Rows that share an id are one document.
     Other columns are ignored. An empty table gives no rows.
     """
-    f = forest or Forest()
     spark = docs.sparkSession
+    f = (forest or Forest()).sized(docs.count())
     common.importable(spark)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed = common.written(source.mapInArrow(lambda it, w=f.words, n=f.hashes: _signatures(it, w, n), _SIGN), "signatures")
@@ -407,29 +374,47 @@ def _join_classes(source: DataFrame, classes: DataFrame, f: Forest) -> DataFrame
         rows = now.mapInArrow(lambda it, f=f, trees=trees: _sorted_orders(it, f, trees), "tree int, key binary, node long, component long")
         rows = rows.repartitionByRange(parts, "tree", "key", "node").sortWithinPartitions("tree", "key", "node")
         pairs = common.written(rows.mapInArrow(lambda it, f=f, forests=forests: _neighbours(it, f, forests), "u long, v long").distinct(), "pairs")
-        found = _confirmed(source, classes, pairs, f)
+        found = _confirmed(source, _open(classes, pairs, f), f)
         links = found if links is None else links.union(found)
         links = common.written(links, "links")
         labels = common.written(components(links), "labels")
-    # What is still apart, however crowded its regions: all pairs that can link, each confirmed.
-    now = common.written(nodes.join(labels, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "now")
-    texts = source.join(common.small_or_not(now), source.doc_id == now.node).select("node", "component", "text")
-    frequent, counts = _frequent(source, f)
-    posted = texts.mapInArrow(lambda it, f=f: _postings(it, f, frequent, counts), "shingle long, node long, component long, size long, place long")
-    posted = posted.repartition(parts, "shingle").sortWithinPartitions("shingle")
-    pairs = common.written(posted.mapInArrow(lambda it, p=f.percent: _meeting(it, p), "u long, v long").distinct(), "pairs")
-    found = common.written(_confirmed(source, classes, pairs, f), "links")
+    # What is still apart, however crowded its regions: all pairs of a region that can link, each confirmed.
+    now = common.written(nodes.join(labels, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "signature"), "now")
+    found = common.written(_confirmed(source, _apart(now, classes, f), f), "links")
     if found.isEmpty():
         return labels
     joined = found.union(labels.select(F.col("node").alias("u"), F.col("component").alias("v")))
     return common.written(components(joined), "labels")
 
 
-def _confirmed(source: DataFrame, classes: DataFrame, pairs: DataFrame, f: Forest) -> DataFrame:
-    """Those of the pairs (u, v) that are links, by their whole sets, which are made only where sizes and bits leave it open."""
+def _apart(now: DataFrame, classes: DataFrame, f: Forest) -> DataFrame:
+    """Pairs (u, v) of different components that share a region of some tree and that sizes and parities leave open.
+
+    Regions are counted first: only the rows of those that hold more than one component travel on,
+    with their parities; large regions meet block by block in cells of their own.
+    """
+    parts = int(now.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = common.written(now.mapInArrow(lambda it, f=f: _regions(it, f), "region long, node long, component long"), "regions")
+    mixed = rows.groupBy("region").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("n")).where("least <> most")
+    mixed = common.written(mixed.select("region", F.ceil(F.col("n") / f.cell).cast("long").alias("blocks")), "mixed")
+    met = rows.join(common.small_or_not(mixed), "region")
+    met = met.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    cells = met.select("region", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "block", "node", "component")
+    cells = cells.join(classes.select("node", "n_shingles", "bits").dropDuplicates(["node"]), "node").select(*cells.columns, "n_shingles", "bits")
+    by = ["region", "first", "second"]
+    cells = cells.repartition(parts, *by).sortWithinPartitions(*by)
+    return common.written(cells.mapInArrow(lambda it, p=f.percent: _meeting(it, p), "u long, v long").distinct(), "possible")
+
+
+def _open(classes: DataFrame, pairs: DataFrame, f: Forest) -> DataFrame:
+    """Those of the pairs (u, v) that sizes and parities do not refute."""
     of = lambda end: classes.select(F.col("node").alias(end), F.col("n_shingles").alias(f"size_{end}"), F.col("bits").alias(f"bits_{end}"))
     light = pairs.join(of("u"), "u").join(of("v"), "v").select("u", "v", "size_u", "size_v", "bits_u", "bits_v")
-    pairs = common.written(light.mapInArrow(lambda it, p=f.percent: _possible(it, p), "u long, v long").distinct(), "possible")
+    return common.written(light.mapInArrow(lambda it, p=f.percent: _possible(it, p), "u long, v long").distinct(), "possible")
+
+
+def _confirmed(source: DataFrame, pairs: DataFrame, f: Forest) -> DataFrame:
+    """Those of the pairs (u, v), a written table, that are links, by their whole sets."""
     needed = common.written(pairs.select(F.col("u").alias("doc_id")).union(pairs.select(F.col("v").alias("doc_id"))).distinct(), "needed")
     texts = source.join(common.small_or_not(needed), "doc_id", "left_semi")
     sets = common.written(texts.mapInArrow(lambda it, w=f.words: _sets(it, w), "node long, hashes binary").dropDuplicates(["node"]), "sets")
