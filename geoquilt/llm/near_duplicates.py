@@ -38,7 +38,7 @@ class Forest:
     window: int = 64
     block: int = 4096  # rows of one sorted order that a task compares at a time
     slack: float = 0.2  # a pair is a candidate if its estimate is less by so much at most
-    cell: int = 4096  # rows of a region that meet at a time; larger regions meet block by block
+    cell: int = 1024  # rows of a region that meet at a time; larger regions meet block by block
     miss: float = 1.1e-5  # chance that a link at the threshold shares no region in any tree
     crowd: int = 256  # documents that may share a region by accident, before regions begin a value deeper
 
