@@ -4,6 +4,11 @@ Strict patterns find the base spans, which always stay. Wide generators propose
 overlap; each gets a set of yes-or-no features of its format and its context. Boosted trees, learned
 on the counts of feature sets, tell how likely a proposal is to be personal data, and a threshold
 calibrated on proposals that were not learned from selects the ones that are added.
+
+There are no labels, so examples are made. Personal data are the base spans, the same values written
+in ways that the base patterns miss (``DISGUISES``), and proposals of a valid format after a word that
+announces their kind. Look-alikes are all other proposals, and base values spoilt so that their check
+digit or number range is wrong (``SPOILT``).
 """
 
 from __future__ import annotations
@@ -29,23 +34,44 @@ BASE = {
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 #: What proposes further spans of each kind.
 PROPOSALS = {
-    "email": r"(?:\G|(?<![^\s@<>()\[\],;:\"|]))[^\s@<>()\[\],;:\"|]++@[^\s@<>()\[\],;:\"|]++",
-    "ip": r"(?:\G|(?<![0-9]))[0-9]++(?:[.,:][0-9]++){3}",
+    "email": r"(?:\G|(?<![^\s@<>()\[\],;:\"|]))[^\s@<>()\[\],;:\"|]++(?:@| ?[(\[]at[)\]] ?)[^\s@<>()\[\],;:\"|]++",
+    "ip": r"(?:\G|(?<![0-9]))[0-9]++(?:(?:[.,:]|\[\.\])[0-9]++){3}",
     "card": r"[0-9](?:[\x20./_-]?[0-9])++",
     "phone": r"[+(]?[0-9](?:[\x20()./-]{0,3}[0-9])++",
 }
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
-_CONTEXT = r"(?i)(mail|contact|call|tel|phone|fax|mobile|cell|card|visa|pay|ip|addr|server|host)[^\n]{0,12}$"
+#: Words that announce each kind, shortly before it.
+CONTEXT = {
+    "email": r"(?i)\b(?:e-?mails?|mail me|contact|write to|reach me)\b[^\n]{0,8}$",
+    "ip": r"(?i)\b(?:ip|ip address|host|server|ping|ssh)\b[^\n]{0,8}$",
+    "card": r"(?i)\b(?:card|credit|debit|visa|mastercard|amex)\b[^\n]{0,10}$",
+    "phone": r"(?i)\b(?:call|tel|phone|fax|mobile|cell|whatsapp)\b[^\n]{0,8}$",
+}
+#: Other ways to write a value of each kind: (pattern, what takes its place).
+DISGUISES = {
+    "email": [("@", " (at) "), ("@", "[at]")],
+    "ip": [(r"\.", "[.]")],
+    "card": [("[ -]", ""), ("[ -]?([0-9]{4})(?=[ -]?[0-9])", "$1."), ("[ -]?([0-9]{4})(?=[ -]?[0-9])", "$1_")],
+    "phone": [(r"^\+", ""), (r"^\+", "00"), (r"^\+|[()]", ""), (r"\+?([0-9]+)[ ().-]+(?=[0-9])", "$1/")],
+}
+#: What makes a look-alike of a value: a wrong check digit or range, a version number, plain digits.
+SPOILT = {
+    "email": [(r"\.[A-Za-z]+$", ".9"), (r"@.*", "@1x2.3")],
+    "ip": [(r"^[0-9]+", "999"), (r"^[0-9]+\.[0-9]+", "1.0"), (r"\.", ","), (r"\.", ":")],
+    "card": [("0$", "7"), ("[1-9]$", "0"), ("[0-9]{4}$", "")],
+    "phone": [(r"^\+|[^0-9]", ""), (r"^\+([0-9]+).*", "$1 12 1999"), ("[0-9]{4}$", "")],
+}
 FEATURES = 16
 
 
 @dataclass(frozen=True)
 class Boosting:
-    trees: int = 40
+    trees: int = 80
     rate: float = 0.3
     ridge: float = 1.0
-    precision: float = 0.99  # of the proposals at or above the threshold, among those not learned from
+    precision: float = 0.98  # of the examples at or above the threshold that are neither base spans nor learned from
     least: int = 20  # of these there must be at least so many
+    weakest: float = 0.9  # precision of a feature set by itself, where the threshold may not go below it
 
 
 _NONE = "array<struct<start:int,end:int,value:string>>"
@@ -90,18 +116,31 @@ def _valid(kind: str):
     return lambda x: valid(kind, x["value"])
 
 
+def _before(text: Column, x: Column) -> Column:
+    return F.substring(text, F.greatest(F.lit(1), x["start"] - 23), F.least(F.lit(24), x["start"]))
+
+
 def _features(text: Column, kind: str, x: Column) -> Column:
     """A whole number with a bit for each feature."""
     value, n = x["value"], F.length(_digits(x["value"]))
-    before = F.substring(text, F.greatest(F.lit(1), x["start"] - 23), F.least(F.lit(24), x["start"]))
-    after = F.substring(text, x["end"] + 1, F.lit(1))
+    before, after = _before(text, x), F.substring(text, x["end"] + 1, F.lit(1))
+    dotted, numeric = F.replace(value, F.lit("[.]"), F.lit(".")), F.lit(kind != "email")
     tests = [
-        F.lit(KINDS.index(kind) % 2 == 1), F.lit(KINDS.index(kind) >= 2), value.rlike(r"^(?:[0-9]{4}[ -]?){3}[0-9]+$"), n.between(9, 15), n.between(13, 19), _luhn(value), _octets(value), value.startswith("+"),
-        value.contains("@"), value.rlike(r"\.[A-Za-z]{2,}$"), value.contains(" "), value.contains("-"), value.contains("("), before.rlike(_CONTEXT), before.rlike(r"[\w=#/]$"), after.rlike(r"[\w=#/]"),
+        F.lit(KINDS.index(kind) % 2 == 1), F.lit(KINDS.index(kind) >= 2), value.rlike(r"^(?:[0-9]{4}[^0-9]?){3}[0-9]+$"), numeric & n.between(9, 15), numeric & n.between(13, 19), numeric & _luhn(value), _octets(dotted), value.rlike(r"^(?:\+|00)"),
+        value.rlike(r"(?:@| ?[(\[]at[)\]] ?)[A-Za-z0-9.-]*[A-Za-z0-9-]\.[A-Za-z]{2,}$"), dotted.rlike(r"^(?:0|1)\."), value.rlike(r"[,:]"), numeric & value.rlike(r"[0-9][^0-9]+[0-9]"), numeric & value.rlike(r"^\+?[0-9]*[^0-9]*\(|[0-9]{3}[^0-9]+[0-9]{3}[^0-9]+[0-9]{4}$"), before.rlike(CONTEXT[kind]), before.rlike(r"[\w=#/.]$"), after.rlike(r"^[\w=#/]"),
     ]
     return sum((F.when(F.coalesce(t, F.lit(False)), 1 << i).otherwise(0) for i, t in enumerate(tests)), F.lit(0)).cast("int")
 
 
+def _announced(text: Column, kind: str, x: Column) -> Column:
+    """Whether a word before the span announces its kind, and it could be of it."""
+    return _before(text, x).rlike(CONTEXT[kind]) & F.coalesce({"email": x["value"].rlike(r"[A-Za-z0-9-]\.[A-Za-z]{2,}$"), "ip": _octets(F.replace(x["value"], F.lit("[.]"), F.lit(".")))}.get(kind, valid(kind, x["value"])), F.lit(False))
+
+
+def _half(x: Column) -> Column:
+    return F.pmod(F.xxhash64(x["value"]), F.lit(2)).cast("int")
+
+
 def _proposed(text: Column, kind: str) -> Column:
     """The proposals of a kind."""
     plausible = lambda x: F.length(_digits(x["value"])).between(7, 24)
@@ -109,7 +148,19 @@ def _proposed(text: Column, kind: str) -> Column:
     found = F.filter(found, plausible) if kind in ("card", "phone") else found
     place = lambda x: F.shiftleft(x["start"].cast("long"), 32) + x["end"]
     same = lambda x: F.array_contains(F.col(f"pii_places_{kind}"), place(x))
-    return F.transform(found, lambda x: F.struct(F.lit(KINDS.index(kind)).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), _features(text, kind, x).alias("features"), same(x).alias("known"), F.pmod(F.xxhash64(x["value"]), F.lit(2)).cast("int").alias("half")))
+    return F.transform(found, lambda x: F.struct(F.lit(KINDS.index(kind)).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), _features(text, kind, x).alias("features"), same(x).alias("known"), _announced(text, kind, x).alias("announced"), _half(x).alias("half")))
+
+
+def _made(text: Column, kind: str) -> Column:
+    """Examples made of the base spans of a kind: struct<features, good, half>; those that change nothing are left out."""
+
+    def made(x: Column) -> Column:
+        ways = [(w, good) for good, all_ways in ((True, DISGUISES), (False, SPOILT)) for w in all_ways[kind]]
+        changed = F.array(*[F.struct(x["start"].alias("start"), x["end"].alias("end"), F.regexp_replace(x["value"], pattern, to).alias("value"), F.lit(good).alias("good")) for (pattern, to), good in ways])
+        changed = F.filter(changed, lambda y: y["value"] != x["value"])
+        return F.transform(changed, lambda y: F.struct(_features(text, kind, y).alias("features"), y["good"].alias("good"), _half(x).alias("half")))
+
+    return F.flatten(F.transform(f"pii_{kind}", made))
 
 
 def _of_kind(array: str, number: int) -> Column:
@@ -121,9 +172,10 @@ def count(array: str, kind: str) -> Column:
 
 
 def candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with pii_base, array<struct<kind, start, end>>, and pii_proposed, array<struct<kind, start, end, features, known, half>>.
+    """docs with pii_base, pii_proposed (features, known, announced and half of each proposal) and pii_made (examples made of base spans).
 
-    known tells that a proposal is one of the base spans; half is 0 or 1 by a hash of its text.
+    known tells that a proposal is one of the base spans, announced that a word before it names its
+    kind and its format is valid; half is 0 or 1 by a hash of its text.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     marks = text.contains("\x01") | text.contains("\x02")
@@ -134,14 +186,14 @@ def candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
     for kind in KINDS:
         needed = text.contains(NEEDS[kind]) if NEEDS[kind] else text.rlike("[0-9]")
         rows = rows.withColumn(f"pii_strict_{kind}", F.when(needed, marked(text, BASE[kind])).otherwise(none))
-        rows = rows.withColumn(f"pii_wide_{kind}", F.when(text.contains("@") if kind == "email" else text.rlike("[0-9]"), marked(text, PROPOSALS[kind])).otherwise(none))
+        rows = rows.withColumn(f"pii_wide_{kind}", F.when(text.rlike(r"@|[(\[]at[)\]]") if kind == "email" else text.rlike("[0-9]"), marked(text, PROPOSALS[kind])).otherwise(none))
     for kind in KINDS:
         rows = rows.withColumn(f"pii_{kind}", F.filter(matches(f"pii_strict_{kind}"), _valid(kind)))
     for kind in KINDS:
         rows = rows.withColumn(f"pii_places_{kind}", F.transform(f"pii_{kind}", lambda x: F.shiftleft(x["start"].cast("long"), 32) + x["end"]))
-        rows = rows.withColumn(f"pii_more_{kind}", _proposed(text, kind))
+        rows = rows.withColumn(f"pii_more_{kind}", _proposed(text, kind)).withColumn(f"pii_made_{kind}", _made(text, kind))
     base = F.concat(*[_of_kind(f"pii_{k}", i) for i, k in enumerate(KINDS)])
-    return rows.withColumn("pii_base", base).withColumn("pii_proposed", F.concat(*[F.col(f"pii_more_{k}") for k in KINDS])).drop("pii_text", *[f"pii_{x}{k}" for x in ("", "more_", "places_", "strict_", "wide_") for k in KINDS])
+    return rows.withColumn("pii_base", base).withColumn("pii_proposed", F.concat(*[F.col(f"pii_more_{k}") for k in KINDS])).withColumn("pii_made", F.concat(*[F.col(f"pii_made_{k}") for k in KINDS])).drop("pii_text", *[f"pii_{x}{k}" for x in ("", "more_", "made_", "places_", "strict_", "wide_") for k in KINDS])
 
 
 @dataclass
@@ -162,14 +214,17 @@ class Trees:
 
 
 def fit(found: DataFrame, boosting: Boosting | None = None) -> Trees:
-    """Trees learned on all proposals of ``found``, by half of the proposals; the other half sets the threshold.
+    """Trees learned on the examples of ``found``, by half of their values; the other half sets the threshold.
 
-    Proposals are counted by their feature set, of which there are at most 2^16 however many
-    documents there are; only these counts come to the driver.
+    Examples are counted by their feature set, of which there are at most 2^16 however many
+    documents there are; only these counts come to the driver. Base spans are learned from, but do
+    not count for the threshold, which is for what they leave out.
     """
     boosting = boosting or Boosting()
-    each = found.select(F.explode("pii_proposed").alias("x"))
-    counted = each.select("x.features", F.col("x.known").cast("int").alias("known"), "x.half").groupBy("features").agg(*[F.count_if((F.col("half") == h) & (F.col("known") == k)).alias(f"n{h}{k}") for h in (0, 1) for k in (0, 1)])
+    proposed = F.transform("pii_proposed", lambda x: F.struct(x["features"].alias("features"), (x["known"] | x["announced"]).alias("good"), x["half"].alias("half"), x["known"].alias("known")))
+    made = F.transform("pii_made", lambda x: F.struct(x["features"].alias("features"), x["good"].alias("good"), x["half"].alias("half"), F.lit(False).alias("known")))
+    each = found.select(F.explode(F.concat(proposed, made)).alias("x")).select("x.*").where((F.col("half") == 0) | ~F.col("known"))
+    counted = each.groupBy("features").agg(*[F.count_if((F.col("half") == h) & (F.col("good") == bool(g))).alias(f"n{h}{g}") for h in (0, 1) for g in (0, 1)])
     rows = [(r["features"], r["n00"], r["n01"], r["n10"], r["n11"]) for r in counted.orderBy("features").collect()]
     positive, total = sum(r[2] for r in rows), sum(r[1] + r[2] for r in rows)
     start = math.log((positive + 1) / (total - positive + 1))
@@ -178,37 +233,54 @@ def fit(found: DataFrame, boosting: Boosting | None = None) -> Trees:
         best = (1e-6, None)
         chance = {f: 1 / (1 + math.exp(-score[f])) for f in score}
         slope = [(f, n1 * (1 - chance[f]) - n0 * chance[f], (n0 + n1) * chance[f] * (1 - chance[f])) for f, n0, n1, _, _ in rows]
-        for a in range(FEATURES):
-            for b in range(a + 1):
-                g, h = [0.0] * 4, [boosting.ridge] * 4
-                for f, up, weight in slope:
-                    leaf = (f >> a & 1) * 2 + (f >> b & 1)
-                    g[leaf] += up
-                    h[leaf] += weight
-                gain = sum(x * x / y for x, y in zip(g, h, strict=True))
-                if gain > best[0] + 1e-9:
-                    best = (gain, (a, b, tuple(boosting.rate * x / y for x, y in zip(g, h, strict=True))))
+        # Sums over the rows that have both features of a pair; those of the other three answers follow from totals.
+        both = {(a, b): [0.0, 0.0] for a in range(FEATURES) for b in range(a + 1)}
+        all_up, all_weight = sum(x[1] for x in slope), sum(x[2] for x in slope)
+        for f, up, weight in slope:
+            bits = [i for i in range(FEATURES) if f >> i & 1]
+            for i, a in enumerate(bits):
+                for b in bits[: i + 1]:
+                    sums = both[a, b]
+                    sums[0] += up
+                    sums[1] += weight
+        for (a, b), (up, weight) in both.items():
+            (up_a, weight_a), (up_b, weight_b) = both[a, a], both[b, b]
+            g = [all_up - up_a - up_b + up, up_b - up, up_a - up, up]
+            h = [x + boosting.ridge for x in (all_weight - weight_a - weight_b + weight, weight_b - weight, weight_a - weight, weight)]
+            gain = sum(x * x / y for x, y in zip(g, h, strict=True))
+            if gain > best[0] + 1e-9:
+                best = (gain, (a, b, tuple(boosting.rate * x / y for x, y in zip(g, h, strict=True))))
         if best[1] is None:
             break
         a, b, v = best[1]
         trees.append(best[1])
         score = {f: s + v[(f >> a & 1) * 2 + (f >> b & 1)] for f, s in score.items()}
-    # The lowest score down to which the proposals not learned from are personal data often enough.
+    # The lowest score down to which the examples not learned from are personal data often enough, all together and each set by itself.
     threshold, good, seen = math.inf, 0, 0
-    for s, n0, n1 in sorted(((score[r[0]], r[3], r[4]) for r in rows), reverse=True):
+    for s, n0, n1 in sorted(((score[r[0]], r[3], r[4]) for r in rows if r[3] + r[4]), reverse=True):
         good, seen = good + n1, seen + n0 + n1
-        if seen >= boosting.least and good >= boosting.precision * seen:
+        if n1 < boosting.weakest * (n0 + n1) or good < boosting.precision * seen:
+            break
+        if seen >= boosting.least:
             threshold = s
     return Trees(trees, start, threshold)
 
 
 def spans(found: DataFrame, trees: Trees) -> DataFrame:
-    """found with pii_spans, array<struct<kind, start, end>> in order: base spans and the selected proposals that touch none."""
-    picked = F.filter("pii_proposed", lambda x: ~x["known"] & (trees.column(x["features"]) >= F.lit(trees.threshold - 1e-9)) & ~F.exists("pii_base", lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])))
-    if math.isinf(trees.threshold):
-        picked = F.array().cast("array<struct<kind:int,start:int,end:int,features:int,known:boolean,half:int>>")
-    plain = F.transform(picked, lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
-    return found.withColumn("pii_spans", F.array_sort(F.concat("pii_base", plain)))
+    """found with pii_spans, array<struct<kind, start, end>> in order: base spans, and the selected proposals that touch none.
+
+    Of selected proposals that overlap the likeliest stays, of equally likely ones the first kind's.
+    """
+    meet = lambda x, y: (y["start"] < x["end"]) & (x["start"] < y["end"])
+    picked = F.array().cast("array<struct<kind:int,start:int,end:int,score:double>>")
+    if not math.isinf(trees.threshold):
+        free = F.filter("pii_proposed", lambda x: ~x["known"] & ~F.exists("pii_base", lambda y: meet(x, y)))
+        picked = F.filter(F.transform(free, lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"), trees.column(x["features"]).alias("score"))), lambda x: x["score"] >= F.lit(trees.threshold - 1e-9))
+    found = found.withColumn("pii_picked", picked)
+    better = lambda x, y: (y["score"] > x["score"]) | ((y["score"] == x["score"]) & (F.struct(y["kind"], y["start"]) < F.struct(x["kind"], x["start"])))
+    best = F.filter("pii_picked", lambda x: ~F.exists("pii_picked", lambda y: meet(x, y) & better(x, y)))
+    plain = F.transform(best, lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
+    return found.withColumn("pii_spans", F.array_sort(F.concat("pii_base", plain))).drop("pii_picked")
 
 
 def digest(array: str) -> Column:
@@ -217,16 +289,35 @@ def digest(array: str) -> Column:
     return F.array_join(F.transform(array, lambda x: F.concat_ws(":", name(x), x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
+def _found(docs: DataFrame, boosting: Boosting | None, text_col: str) -> DataFrame:
+    """(pii_row, pii_base, pii_spans): the rows of docs as structs, so that their columns meet no others."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("pii_row"), F.col(text_col).cast("string").alias("pii_read"))
+    found = common.written(candidates(rows, "pii_read").drop("pii_read"), "pii")
+    return spans(found, fit(found, boosting)).select("pii_row", "pii_base", "pii_spans")
+
+
 def find(docs: DataFrame, boosting: Boosting | None = None, keep: list[str] | None = None, text_col: str = "text") -> DataFrame:
-    """The columns ``keep`` of docs with pii_base and pii_spans: the personal data of each whole text.
+    """The columns ``keep`` of docs, all if none are named, with pii_base and pii_spans: the personal data of each whole text.
 
     Null texts count as empty and have none. Every row is searched on its own, so repeated and
-    null ids stay; an empty table gives no rows. The trees are learned on the same documents.
+    null ids stay; an empty table gives no rows. The trees are learned on the same documents. A
+    column of docs called pii_base or pii_spans is not kept, any other name is free.
+    """
+    keep = [c for c in (keep if keep is not None else docs.columns) if c not in ("pii_base", "pii_spans")]
+    needed = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text_col])])
+    found = _found(needed, boosting, text_col)
+    return found.select(*[F.col(f"pii_row.`{c}`") for c in keep], "pii_base", "pii_spans")
+
+
+def clean(docs: DataFrame, boosting: Boosting | None = None, text_col: str = "text", length_col: str | None = None) -> DataFrame:
+    """docs with each text's personal data replaced by its kind in brackets, and ``length_col``, if named, the new length.
+
+    All columns stay under their names, whatever these are; null texts stay null, as do all else as in ``find``.
     """
-    keep = keep if keep is not None else docs.columns
-    found = candidates(docs.select(*dict.fromkeys([*keep, text_col])), text_col).select(*keep, "pii_base", "pii_proposed")
-    found = common.written(found, "pii")
-    return spans(found, fit(found, boosting)).drop("pii_proposed")
+    found = _found(docs, boosting, text_col)
+    text = redacted(found, f"pii_row.`{text_col}`")
+    changed = {text_col: text.alias(text_col)} | ({length_col: F.length(text).cast(docs.schema[length_col].dataType).alias(length_col)} if length_col else {})
+    return found.select(*[changed.get(c, F.col(f"pii_row.`{c}`")) for c in docs.columns])
 
 
 def redacted(found: DataFrame, text_col: str = "text") -> Column:
