@@ -110,14 +110,17 @@ def fit(docs: DataFrame, learner: Learner | None = None, id_col: str = "doc_id",
     """A model from the texts of documents with a language; null texts and languages are passed over.
 
     For each language the ``learner.rows`` documents with the smallest hashed ids are used; which
-    ones is settled on ids alone. To the driver come landmarks and sums of a fixed size.
+    ones is settled on ids alone, of rows with one id and language one is used, those without an id
+    are not. Other columns are ignored; without rows no language is learned. To the driver come
+    landmarks and sums of a fixed size, and the names of the languages.
     """
     learner = learner or Learner()
     common.importable(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text is not null and lang is not null")
-    chosen = common.smallest_hashed(rows.select("doc_id", "lang"), "doc_id", learner.rows, "lang")
+    chosen = common.smallest_hashed(rows.where("doc_id is not null").select("doc_id", "lang").distinct(), "doc_id", learner.rows, "lang")
     chosen = common.written(chosen, "chosen_texts")
-    texts = common.written(rows.join(common.small_or_not(chosen), ["doc_id", "lang"]).select("text", "lang", "place"), "learned_from")
+    texts = rows.join(common.small_or_not(chosen), ["doc_id", "lang"]).dropDuplicates(["doc_id", "lang"])
+    texts = common.written(texts.select("text", "lang", "place"), "learned_from")
     languages = sorted(x[0] for x in chosen.select("lang").distinct().collect())
     if not languages:
         return Model([], np.zeros(0, np.int64), np.zeros((0, 1), np.float32), np.zeros((2, 0)))

@@ -70,3 +70,18 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, se
     times = F.size(F.filter("finish", lambda at: F.struct(at.alias("at"), F.col("turn"), F.col("doc_id")) <= F.col("cut")))
     out = queued.crossJoin(F.broadcast(cut)).withColumn("times", F.coalesce(F.when(F.col("cut").isNull(), 0).otherwise(times), F.lit(0)))
     return out.select("doc_id", "size", "source", "source_size", "target", (F.col("times") * F.col("size")).cast("long").alias("taken"), F.col("times").cast("int").alias("times"))
+
+
+def mixed(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of docs as often as the mix takes them, with all their columns, whatever these are called.
+
+    Rows without an id are told apart by text and source. Rows that share an id all come as often as
+    the one of them that is taken most. An empty table gives no rows.
+    """
+    key = F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text_col, source_col))
+    rows = docs.select(key.alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    taken = rows.select("key", F.col(f"row.`{text_col}`").alias("text"), F.col(f"row.`{source_col}`").alias("source"))
+    times = mix(taken, weights, most, seed, "key", "text", "source").where("times > 0").groupBy(F.col("doc_id").alias("key")).agg(F.max("times").alias("times"))
+    times = common.written(times, "times")
+    turns = rows.join(common.small_or_not(times), "key").select("row", F.explode(F.sequence(F.lit(1), "times")).alias("turn"))
+    return turns.select(*[F.col(f"row.`{c}`") for c in docs.columns])

@@ -357,6 +357,23 @@ def near_duplicates(docs: DataFrame, forest: Forest | None = None, id_col: str =
     return out.select("doc_id", "n_shingles", component.cast("long").alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
+def one_of_each(docs: DataFrame, forest: Forest | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs of which one document of each group of near copies stays, that with the smallest id.
+
+    Of rows with one id one stays; rows without an id all stay. All columns stay, whatever these are
+    called. Only ids are joined: those that go, and those that occur more than once.
+    """
+    found = common.written(near_duplicates(docs, forest, id_col, text_col).where("doc_id is not null"), "groups")
+    gone = common.small_or_not(common.written(found.where("not kept").select("doc_id").distinct(), "gone"))
+    again = common.written(found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id"), "again")
+    again = common.small_or_not(again)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    left = rows.join(gone, "doc_id", "left_anti")
+    once = left.join(again, "doc_id", "left_anti")
+    out = once.unionByName(left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    return out.select(*[F.col(f"row.`{c}`") for c in docs.columns])
+
+
 def _join_classes(source: DataFrame, classes: DataFrame, f: Forest) -> DataFrame:
     """(node, component) of the nodes that link with another."""
     spark = source.sparkSession

@@ -70,7 +70,8 @@ def _pack(rows: pd.DataFrame, room: Room) -> pd.DataFrame:
 
 def _packed(pieces: DataFrame, room: Room, name: str) -> DataFrame:
     shards = max(1, -(-pieces.count() // room.shard))
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards)))
+    # The pieces are a written table, so row numbers are the same whenever they are read; they deal equal rows to all shards.
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(shards)))
 
     def shard(key, rows):
         return _pack(rows, room).assign(shard=key[0])

@@ -72,18 +72,26 @@ def ngrams(data: np.ndarray, offsets: np.ndarray, dimensions: int) -> Iterator[t
         yield (pairs & mask).astype(np.int64), np.minimum(first, len(pairs)), np.maximum(np.minimum(first, len(pairs)), last - 1)
 
 
+def _counted(batches: Iterator[pa.RecordBatch], learner: Learner) -> Iterator[pa.RecordBatch]:
+    """(doc_id, label, where, value): the features of each text."""
+    for batch in batches:
+        for begin, end, data, offsets in wordhash.slices(batch.column(2)):
+            where, value = ([[] for _ in range(end - begin)] for _ in range(2))
+            for feature, first, last in ngrams(data, offsets, learner.dimensions):
+                for row in range(end - begin):
+                    places, counts = np.unique(feature[first[row] : last[row]], return_counts=True)
+                    where[row].append(places.astype(np.int32).tobytes())
+                    value[row].append((counts / max(1, counts.sum()) * learner.scale).astype(np.float32).tobytes())
+            listed = [pa.array([b"".join(x) for x in c], pa.binary()) for c in (where, value)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, end - begin), batch.column(1).slice(begin, end - begin), *listed], names=["doc_id", "label", "where", "value"])
+
+
 def _train(batches: Iterator[pa.RecordBatch], learner: Learner) -> Iterator[pa.RecordBatch]:
     """One task: (place, weight) of the weights that aren't 0; place -1 is the constant."""
     examples = []
     for batch in batches:
-        label = batch.column(1).to_numpy()
-        for row, _, data, offsets in ((a, b, c, d) for a, b, c, d in wordhash.slices(batch.column(0), 1)):
-            where, value = [], []
-            for feature, first, last in ngrams(data, offsets, learner.dimensions):
-                places, counts = np.unique(feature[first[0] : last[0]], return_counts=True)
-                where.append(places)
-                value.append(counts / max(1, counts.sum()) * learner.scale)
-            examples.append((np.concatenate(where).astype(np.int32), np.concatenate(value).astype(np.float32), float(label[row])))
+        for label, where, value in zip(*(batch.column(k).to_pylist() for k in range(1, 4)), strict=True):
+            examples.append((np.frombuffer(where, np.int32), np.frombuffer(value, np.float32), float(label)))
     z, n = np.zeros(learner.dimensions + 1), np.zeros(learner.dimensions + 1)
 
     def weights(where):
@@ -108,8 +116,11 @@ def _train(batches: Iterator[pa.RecordBatch], learner: Learner) -> Iterator[pa.R
 def fit(docs: DataFrame, labels: DataFrame, learner: Learner | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> np.ndarray:
     """Weights learned from the texts of labelled documents (label 0 or 1; others are passed over).
 
-    At most ``learner.rows`` labels are used, in the order of their hashed ids, in one task; the
-    weights are of a fixed number. Without labels all weights are 0.
+    At most ``learner.rows`` labels are used, in the order of their hashed ids, in one task that gets
+    the n-grams' counts, not the texts; the weights are of a fixed number. Of repeated labels of an id
+    the larger counts, of rows with one id the one whose text has the smallest hash. Null ids and null
+    labels are passed over, null texts count as empty; without labels all weights are 0. Other columns
+    are ignored.
     """
     learner = learner or Learner()
     common.importable(docs.sparkSession)
@@ -117,8 +128,10 @@ def fit(docs: DataFrame, labels: DataFrame, learner: Learner | None = None, id_c
     known = common.written(known.groupBy("doc_id").agg(F.max("label").alias("label")), "known")
     chosen = common.written(common.smallest_hashed(known, "doc_id", learner.rows).select("doc_id", "label"), "chosen")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
-    rows = rows.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "text").select("text", "label")
-    found = rows.mapInArrow(lambda it: _train(it, learner), "place long, weight double").collect()  # of a fixed number
+    counts = rows.select("doc_id", "label", "text").mapInArrow(lambda it: _counted(it, learner), "doc_id long, label int, where binary, value binary")
+    counts = counts.groupBy("doc_id").agg(F.min_by(F.struct("label", "where", "value"), F.xxhash64("where", "value")).alias("x")).select("doc_id", "x.*")
+    counts = counts.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id")
+    found = counts.mapInArrow(lambda it: _train(it, learner), "place long, weight double").collect()  # of a fixed number
     weights = np.zeros(learner.dimensions + 1)
     for place, weight in found:
         weights[place] = weight
@@ -126,31 +139,44 @@ def fit(docs: DataFrame, labels: DataFrame, learner: Learner | None = None, id_c
 
 
 def _score(batches: Iterator[pa.RecordBatch], weights, learner: Learner) -> Iterator[pa.RecordBatch]:
-    """The batches, whose last column is the text, with a score in its place."""
+    """(row, text) with a score in the text's place."""
     w = weights.value
     for batch in batches:
         scores = np.empty(batch.num_rows)
-        for begin, end, data, offsets in wordhash.slices(batch.column(batch.num_columns - 1)):
+        for begin, end, data, offsets in wordhash.slices(batch.column(1)):
             total = np.full(end - begin, w[-1])
             for feature, first, last in ngrams(data, offsets, learner.dimensions):
                 sums = np.concatenate([[0.0], np.cumsum(w[feature])])
                 total += (sums[last] - sums[first]) / np.maximum(1, last - first) * learner.scale
             scores[begin:end] = 1 / (1 + np.exp(-np.clip(total, -35, 35)))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores)], names=[*batch.schema.names[:-1], "quality_score"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=["row", "score"])
+
+
+def _scored(docs: DataFrame, weights: np.ndarray, learner: Learner, keep: list[str], text_col: str) -> DataFrame:
+    """(row, score): the columns ``keep`` of each row as a struct, so that they meet no others."""
+    spark = docs.sparkSession
+    common.importable(spark)
+    sent = spark.sparkContext.broadcast(weights)
+    # A struct has to have a field; the mark stands for rows of which nothing is kept.
+    row = F.struct(F.lit(True).alias("quality_mark"), *[F.col(f"`{c}`") for c in keep]) if "quality_mark" not in keep else F.struct(*[F.col(f"`{c}`") for c in keep])
+    rows = docs.select(row.alias("row"), F.col(text_col).cast("string").alias("text"))
+    schema = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(lambda it: _score(it, sent, learner), schema)
 
 
 def score(docs: DataFrame, weights: np.ndarray, learner: Learner | None = None, keep: list[str] | None = None, text_col: str = "text") -> DataFrame:
     """The columns ``keep`` of docs, all if none are named, and quality_score: from 0 to 1, how likely the text has label 1.
 
     Null texts and texts without words get what the constant alone gives. Each row is scored on its
-    own, from its whole text alone; repeated and null ids stay as they are. A column of docs that is
-    called quality_score must not be kept.
+    own, from its whole text alone; repeated and null ids stay as they are; an empty table gives no
+    rows. A column of docs called quality_score is not kept, any other name is free.
     """
-    learner = learner or Learner()
-    spark = docs.sparkSession
-    common.importable(spark)
-    sent = spark.sparkContext.broadcast(weights)
-    kept = docs.select(*(keep if keep is not None else docs.columns))
-    rows = docs.select(*kept.columns, F.col(text_col).cast("string").alias("quality_score"))
-    schema = T.StructType([*kept.schema.fields, T.StructField("quality_score", T.DoubleType())])
-    return rows.mapInArrow(lambda it: _score(it, sent, learner), schema)
+    keep = [c for c in (keep if keep is not None else docs.columns) if c != "quality_score"]
+    found = _scored(docs, weights, learner or Learner(), keep, text_col)
+    return found.select(*[F.col(f"row.`{c}`") for c in keep], F.col("score").alias("quality_score"))
+
+
+def good(docs: DataFrame, weights: np.ndarray, least: float = 0.5, learner: Learner | None = None, text_col: str = "text") -> DataFrame:
+    """The rows of docs whose score is at least ``least``, with all their columns, whatever these are called."""
+    found = _scored(docs, weights, learner or Learner(), docs.columns, text_col).where(F.col("score") >= least)
+    return found.select(*[F.col(f"row.`{c}`") for c in docs.columns])
