@@ -9,44 +9,35 @@ from geoquilt.llm import common, mixing, near_duplicates, packing, pii, quality,
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier, learned on the labels of these, does not reject."""
+    """Documents that the quality classifier, learned on the labels of these, does not reject.
+
+    Null and empty texts get the score of the constant alone; repeated rows are judged alike. Nothing
+    is learned from an empty table or without labels, and then all scores are 0.5, which keeps a row.
+    """
     labels = common.read(spark, sf_dir, "labels").where(~F.coalesce(queries.held_out(), F.lit(True)))
-    scored = quality.score(docs, quality.fit(docs, labels))
-    return scored.where("quality_score >= 0.5").select(*docs.columns)
+    return quality.good(docs, quality.fit(docs, labels), least=0.5)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that with the smallest id; of rows with one id, one.
 
-    Only ids are joined: those that go, and those that occur more than once. Documents without an id stay.
+    Documents without an id, and those without words, stay.
     """
-    found = common.written(near_duplicates.near_duplicates(docs).where("doc_id is not null"), "groups")
-    gone = common.small_or_not(common.written(found.where("not kept").select("doc_id").distinct(), "gone"))
-    again = common.written(found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id"), "again")
-    again = common.small_or_not(again)
-    left = docs.join(gone, "doc_id", "left_anti")
-    once = left.join(again, "doc_id", "left_anti")
-    return once.unionByName(left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*docs.columns)
+    return near_duplicates.one_of_each(docs)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data replaced by its kind in brackets; n_chars follows the text."""
-    found = pii.find(docs)
-    text = pii.redacted(found)
-    return found.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """All documents, personal data replaced by its kind in brackets; n_chars, if there is one, follows the text. Null texts stay null."""
+    return pii.clean(docs, length_col="n_chars" if "n_chars" in docs.columns else None)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, up to three times."""
-    key = F.coalesce(F.col("doc_id"), F.xxhash64("text", "source"))
-    times = mixing.mix(docs.withColumn("mix_key", key), id_col="mix_key").where("times > 0").groupBy(F.col("doc_id").alias("mix_key")).agg(F.max("times").alias("mix_times"))
-    times = common.written(times, "times")
-    taken = docs.withColumn("mix_key", key).join(common.small_or_not(times), "mix_key")
-    return taken.withColumn("mix_turn", F.explode(F.sequence(F.lit(1), "mix_times"))).select(*docs.columns)
+    """Each document as often as the mix takes it, up to three times; null is a source of its own. Repeated rows and null ids are documents like others."""
+    return mixing.mixed(docs)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document stands in the training sequences."""
+    """Where each piece of each document stands in the training sequences. A null or empty text is one token long, a repeated row is packed again."""
     room = packing.Room()
     return packing.pack(tokens.pieces(docs, queries.vocabulary("word_bpe_49k.json"), end=0, most=room.tokens), room)
 
