@@ -71,8 +71,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = tokens.prefix_counts(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
-    last = F.when(F.size("prefix_tokens") > 0, F.element_at("prefix_tokens", -1)).otherwise(0).cast("long")
-    return counted.select("doc_id", "n_bytes", last.alias("n_tokens")).withColumn("over_limit", F.col("n_tokens") > 1024)
+    return counted.select("doc_id", "n_bytes", tokens.tokens_within(F.size("prefix_tokens")).alias("n_tokens")).withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

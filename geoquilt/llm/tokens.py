@@ -10,17 +10,18 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
 import zlib
 from collections.abc import Callable, Iterator
-from functools import cache
+from functools import cache, reduce
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import common, wordhash
+from . import common, prefixes, wordhash
 
 #: Stretches that a worker keeps; when there are more, those that came only once are forgotten.
 KEPT = 1_000_000
@@ -115,6 +116,10 @@ class Stretches:
         new = distinct.difference(self.known)
         self.again |= distinct - new
         self.passing = [x for x in new if len(x) > LONG]
+        self._learn_all(list(new))
+        return found
+
+    def _learn_all(self, new: list[str]) -> None:
         if self.words:
             parted = {x: m for x in new if len(x) <= LONG and (m := WORD.fullmatch(x))}
             pairs = {x: m.groups() for x, m in parted.items() if m[2]}
@@ -123,8 +128,45 @@ class Stretches:
             self._learn([x for x in {m[1] for m in parted.values()} if x not in self.known], self.words)
             self.known.update((x, self.known[head] + self.known[tail]) for x, (head, tail) in pairs.items())
         else:
-            self._learn(list(new), self.encode)
-        return found
+            self._learn(new, self.encode)
+
+
+class Tables(Stretches):
+    """Stretches of which the counts of all prefixes are known, 32-bit numbers as bytes."""
+
+    def __init__(self, path: str, pattern: str):
+        self.find, self.counter, self.words = re.compile(pattern).findall, prefixes.PrefixCounter(path), words_of(path)
+        self.known, self.again, self.passing = {}, set(), []
+
+    def _after(self, first: bytes, second: bytes) -> bytes:
+        """The counts of two stretches that share no token, one behind the other."""
+        return first + (np.frombuffer(second, np.uint32) + np.uint32(int.from_bytes(first[-4:], sys.byteorder))).tobytes()
+
+    def _learn_all(self, new: list[str]) -> None:
+        parts = {}
+        for x in new:
+            line = x[0] == "\n" and len(x) > 1 and x[1] not in prefixes.WHITE_SPACE  # a line break before a word stands alone
+            found = WORD.fullmatch(x, int(line)) if len(x) <= LONG else None
+            if found:
+                parts[x] = ([x[0]] if line else []) + [y for y in found.groups() if y]
+        pieces = set(chain.from_iterable(parts.values())).difference(self.known)
+        heads = [x for x in pieces if x[-1].isalpha()]
+        counts = self.counter.single(heads)
+        for x, whole, table in zip(heads, self.words(heads), counts, strict=True):
+            if len(whole) != int.from_bytes(table[-4:], sys.byteorder):
+                raise ValueError(f"{x!r}: {len(whole)} tokens by the library, not {np.frombuffer(table, np.uint32)[-1]}")
+        self.known.update(zip(heads, counts, strict=True))
+        rest = [x for x in pieces if not x[-1].isalpha()] + [x for x in new if x not in parts and x not in pieces]
+        self.known.update(zip(rest, self.counter.counts(rest), strict=True))
+        for x, of in parts.items():
+            if len(of) > 1:
+                self.known[x] = reduce(self._after, (self.known[y] for y in of))
+
+
+@cache
+def tables_of(path: str, pattern: str) -> Tables:
+    """One for all tasks that a worker runs."""
+    return Tables(path, pattern)
 
 
 @cache
@@ -145,38 +187,39 @@ def _texts(batch: pa.RecordBatch, column: int, most: int = 1 << 20) -> Iterator[
         yield first, [x or "" for x in texts.slice(first, last - first).to_pylist()]
 
 
-_PREFIXES = "doc_id long, n_bytes long, n_tokens long, prefix_chars array<int>, prefix_tokens array<int>"
+_PREFIXES = "doc_id long, n_bytes long, n_tokens long, prefix_tokens array<int>"
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    stretches = stretches_of(path, WITH_SPACE, len)
-    lengths = pa.list_(pa.int32())
+    tables = tables_of(path, WITH_SPACE)
     for batch in batches:
         for first, texts in _texts(batch, 1):
-            found = stretches.of(texts)
-            sizes = np.array([len(x) for x in found], np.int64)
-            ends = np.cumsum(sizes)
-            flat = list(chain.from_iterable(found))
-            # The recurrence over prefixes: the count up to a cut is the one up to the cut before and the tokens between.
-            tokens = np.cumsum(np.fromiter(map(stretches.known.__getitem__, flat), np.int64, len(flat)))
-            chars = np.cumsum(np.fromiter(map(len, flat), np.int64, len(flat)))
-            before = lambda x: np.concatenate([[0], x])[ends - sizes]
-            total = np.concatenate([[0], tokens])[ends] - before(tokens)
-            offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
-            local = [pa.ListArray.from_arrays(offsets, pa.array((x - np.repeat(before(x), sizes)).astype(np.int32))).cast(lengths) for x in (chars, tokens)]
+            found = tables.of(texts)
+            flat = [tables.known[x] for x in chain.from_iterable(found)]
+            sizes = np.fromiter(map(len, flat), np.int64, len(flat)) // 4
+            counts = np.frombuffer(b"".join(flat), np.uint32).astype(np.int32)
+            # The recurrence over stretches: the count at a prefix is the one at the cut before and that within the stretch.
+            each = np.array([len(x) for x in found], np.int64)
+            of_doc = np.repeat(np.arange(len(texts)), each)
+            whole = counts[np.cumsum(sizes) - 1] if len(sizes) else np.zeros(0, np.int32)
+            before = np.cumsum(whole) - whole
+            starts = np.concatenate([before, [0]])[np.minimum(np.cumsum(each) - each, len(before))]
+            counts = counts + np.repeat(before - starts[of_doc], sizes).astype(np.int32)
+            ends = np.concatenate([[0], np.cumsum(np.bincount(of_doc, sizes, len(texts)).astype(np.int64))])
+            total = np.where(np.diff(ends) > 0, counts[np.maximum(ends[1:] - 1, 0)] if len(counts) else 0, 0)
+            listed = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(counts))
             n_bytes = pa.array([len(x.encode()) for x in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), n_bytes, pa.array(total), *local], names=["doc_id", "n_bytes", "n_tokens", "prefix_chars", "prefix_tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), n_bytes, pa.array(total.astype(np.int64)), listed], names=["doc_id", "n_bytes", "n_tokens", "prefix_tokens"])
 
 
 def prefix_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_bytes, n_tokens, prefix_chars, prefix_tokens): exact token counts of the prefixes of each text.
-
-    prefix_tokens[i] is the number of tokens of the text's first prefix_chars[i] code points; the
-    last pair is that of the whole text. The table holds every place where a text can be cut
-    without changing a token, so it answers questions on any prefix: ``tokens_within`` and
-    ``truncated`` look up the cut before and encode at most the one stretch after it.
-    Null texts count as empty: 0 bytes, 0 tokens, empty arrays. Each row is counted on its own,
-    repeated ids and null ids too; other columns are ignored.
+    """(doc_id, n_bytes, n_tokens, prefix_tokens): exact token counts of all prefixes of each text.
+
+    prefix_tokens[i] is the number of tokens of the text's first i + 1 code points, by themselves; the
+    last is that of the whole text. So questions on budgets and truncation are lookups: see
+    ``tokens_within`` and ``truncated``. The vocabulary must be a plain byte-level BPE, anything else is
+    an error. Null texts count as empty: 0 bytes, 0 tokens, an empty array. Each row is counted on its
+    own, repeated ids and null ids too; other columns are ignored. An empty table gives no rows.
     """
     common.importable(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -184,16 +227,16 @@ def prefix_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
 
 
 def truncated(counted: DataFrame, budget: int) -> DataFrame:
-    """counted with chars_within long: code points up to the last cut at which ``budget`` tokens suffice."""
-    fits = F.filter(F.arrays_zip("prefix_chars", "prefix_tokens"), lambda x: x["prefix_tokens"] <= budget)
-    return counted.withColumn("chars_within", F.coalesce(F.array_max(F.transform(fits, lambda x: x["prefix_chars"])), F.lit(0)).cast("long"))
+    """counted with chars_within long: code points of the longest prefix for which ``budget`` tokens suffice."""
+    # A longer prefix may have fewer tokens, so all are looked at.
+    fits = F.transform("prefix_tokens", lambda n, i: F.when(n <= budget, i + 1))
+    return counted.withColumn("chars_within", F.coalesce(F.array_max(fits), F.lit(0)).cast("long"))
 
 
-def tokens_within(text: str, chars: int, prefix_chars: list[int], prefix_tokens: list[int], encode: Callable[[list[str]], list[list[int]]]) -> int:
-    """The exact token count of ``text[:chars]``, from the table and the stretch in which the prefix ends."""
-    at = int(np.searchsorted(np.asarray(prefix_chars), chars, side="right"))
-    known, begin = (prefix_tokens[at - 1], prefix_chars[at - 1]) if at else (0, 0)
-    return known + (len(encode([text[begin:chars]])[0]) if chars > begin else 0)
+def tokens_within(chars: Column) -> Column:
+    """The exact token count of a text's first ``chars`` code points, from the table; beyond its end that of the whole text."""
+    at = F.least(chars, F.size("prefix_tokens"))
+    return F.when(at > 0, F.get("prefix_tokens", at - 1)).otherwise(0).cast("long")
 
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"

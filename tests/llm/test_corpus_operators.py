@@ -183,20 +183,21 @@ def test_best_fit_fills_sequences():
 
 def test_token_counts(spark):
     path = queries.vocabulary("byte_bpe_50k.json")
-    texts = [*awkward(), (500, "a <|endoftext|>b<|endoftext|> c"), (501, "  two  spaces\n\nlines   x\x1cy don't we'll "), (502, "(word), [x]: {y}! 'quoted' 3.14"), (503, "tab\t\tend\t")]
+    texts = [*awkward(), (500, "a <|endoftext|>b<|endoftext|> c"), (501, "  two  spaces\n\nlines   x\x1cy don't we'll "), (502, "(word), [x]: {y}! 'quoted' 3.14"), (503, "tab\t\tend\t"), (504, "你好世界"), (505, "a  b'll've''re\n\n x \x85\xa0\u3000 y"), (506, "supercalifragilistic"), (507, "   \n\t  ")]
     counted = tokens.prefix_counts(documents(spark, texts), path)
     encode = tokens.load(path)
     got = counted.collect()
     assert sorted((repr(r.doc_id), r.n_bytes, r.n_tokens) for r in got) == sorted((repr(i), len((t or "").encode()), len(encode([t or ""])[0])) for i, t in texts)
-    by = {r.doc_id: r for r in got}
-    for i, t in texts:
-        if i in (2, 402, 501, 502, 503):
-            r = by[i]
-            for at in range(0, len(t) + 1, 3):
-                assert tokens.tokens_within(t, at, r.prefix_chars, r.prefix_tokens, encode) == len(encode([t[:at]])[0])
-    short = {r.doc_id: r.chars_within for r in tokens.truncated(counted, 10).collect()}
-    text = dict(texts)[2]
-    assert len(encode([text[: short[2]]])[0]) <= 10 and short[300] == 0
+    by = {r.doc_id: r for r in got if r.doc_id not in (None, 3)}
+    for i, t in texts:  # every prefix, by itself
+        if i in by and len(t or "") < 600:
+            assert by[i].prefix_tokens == [len(x) for x in encode([t[: at + 1] for at in range(len(t or ""))])], i
+    F = __import__("pyspark").sql.functions
+    text = {i: t or "" for i, t in texts}
+    for budget in (0, 1, 3, 10):
+        for r in tokens.truncated(counted, budget).where("doc_id >= 300 and n_bytes < 600").withColumn("again", tokens.tokens_within(F.col("chars_within"))).collect():
+            fits = [k for k in range(1, len(text[r.doc_id]) + 1) if len(encode([text[r.doc_id][:k]])[0]) <= budget]
+            assert r.chars_within == max(fits, default=0) and r.again <= budget
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"])
