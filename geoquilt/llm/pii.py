@@ -289,9 +289,10 @@ def digest(array: str) -> Column:
     return F.array_join(F.transform(array, lambda x: F.concat_ws(":", name(x), x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
-def _found(docs: DataFrame, boosting: Boosting | None, text_col: str) -> DataFrame:
-    """(pii_row, pii_base, pii_spans): the rows of docs as structs, so that their columns meet no others."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("pii_row"), F.col(text_col).cast("string").alias("pii_read"))
+def _found(docs: DataFrame, keep: list[str], boosting: Boosting | None, text_col: str) -> DataFrame:
+    """(pii_row, pii_base, pii_spans): the columns ``keep`` of docs as structs, so that they meet no others."""
+    row = F.struct(*([F.col(f"`{c}`") for c in keep] or [F.lit(True).alias("nothing")]))
+    rows = docs.select(row.alias("pii_row"), F.col(text_col).cast("string").alias("pii_read"))
     found = common.written(candidates(rows, "pii_read").drop("pii_read"), "pii")
     return spans(found, fit(found, boosting)).select("pii_row", "pii_base", "pii_spans")
 
@@ -304,8 +305,7 @@ def find(docs: DataFrame, boosting: Boosting | None = None, keep: list[str] | No
     column of docs called pii_base or pii_spans is not kept, any other name is free.
     """
     keep = [c for c in (keep if keep is not None else docs.columns) if c not in ("pii_base", "pii_spans")]
-    needed = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text_col])])
-    found = _found(needed, boosting, text_col)
+    found = _found(docs, keep, boosting, text_col)
     return found.select(*[F.col(f"pii_row.`{c}`") for c in keep], "pii_base", "pii_spans")
 
 
@@ -314,7 +314,7 @@ def clean(docs: DataFrame, boosting: Boosting | None = None, text_col: str = "te
 
     All columns stay under their names, whatever these are; null texts stay null, as do all else as in ``find``.
     """
-    found = _found(docs, boosting, text_col)
+    found = _found(docs, docs.columns, boosting, text_col)
     text = redacted(found, f"pii_row.`{text_col}`")
     changed = {text_col: text.alias(text_col)} | ({length_col: F.length(text).cast(docs.schema[length_col].dataType).alias(length_col)} if length_col else {})
     return found.select(*[changed.get(c, F.col(f"pii_row.`{c}`")) for c in docs.columns])
