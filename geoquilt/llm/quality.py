@@ -72,26 +72,19 @@ def ngrams(data: np.ndarray, offsets: np.ndarray, dimensions: int) -> Iterator[t
         yield (pairs & mask).astype(np.int64), np.minimum(first, len(pairs)), np.maximum(np.minimum(first, len(pairs)), last - 1)
 
 
-def _counted(batches: Iterator[pa.RecordBatch], learner: Learner) -> Iterator[pa.RecordBatch]:
-    """(doc_id, label, where, value): the features of each text."""
+def _train(batches: Iterator[pa.RecordBatch], learner: Learner) -> Iterator[pa.RecordBatch]:
+    """One task: (place, weight) of the weights that aren't 0; place -1 is the constant."""
+    examples = []
     for batch in batches:
-        for begin, end, data, offsets in wordhash.slices(batch.column(2)):
+        label = batch.column(0).to_numpy()
+        for begin, end, data, offsets in wordhash.slices(batch.column(1)):
             where, value = ([[] for _ in range(end - begin)] for _ in range(2))
             for feature, first, last in ngrams(data, offsets, learner.dimensions):
                 for row in range(end - begin):
                     places, counts = np.unique(feature[first[row] : last[row]], return_counts=True)
-                    where[row].append(places.astype(np.int32).tobytes())
-                    value[row].append((counts / max(1, counts.sum()) * learner.scale).astype(np.float32).tobytes())
-            listed = [pa.array([b"".join(x) for x in c], pa.binary()) for c in (where, value)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, end - begin), batch.column(1).slice(begin, end - begin), *listed], names=["doc_id", "label", "where", "value"])
-
-
-def _train(batches: Iterator[pa.RecordBatch], learner: Learner) -> Iterator[pa.RecordBatch]:
-    """One task: (place, weight) of the weights that aren't 0; place -1 is the constant."""
-    examples = []
-    for batch in batches:
-        for label, where, value in zip(*(batch.column(k).to_pylist() for k in range(1, 4)), strict=True):
-            examples.append((np.frombuffer(where, np.int32), np.frombuffer(value, np.float32), float(label)))
+                    where[row].append(places.astype(np.int32))
+                    value[row].append((counts / max(1, counts.sum()) * learner.scale).astype(np.float32))
+            examples += [(np.concatenate(w), np.concatenate(v), float(y)) for w, v, y in zip(where, value, label[begin:end], strict=True)]
     z, n = np.zeros(learner.dimensions + 1), np.zeros(learner.dimensions + 1)
 
     def weights(where):
@@ -116,8 +109,8 @@ def _train(batches: Iterator[pa.RecordBatch], learner: Learner) -> Iterator[pa.R
 def fit(docs: DataFrame, labels: DataFrame, learner: Learner | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> np.ndarray:
     """Weights learned from the texts of labelled documents (label 0 or 1; others are passed over).
 
-    At most ``learner.rows`` labels are used, in the order of their hashed ids, in one task that gets
-    the n-grams' counts, not the texts; the weights are of a fixed number. Of repeated labels of an id
+    At most ``learner.rows`` labels are used, in the order of their hashed ids, in one task; the
+    weights are of a fixed number. Of repeated labels of an id
     the larger counts, of rows with one id the one whose text has the smallest hash. Null ids and null
     labels are passed over, null texts count as empty; without labels all weights are 0. Other columns
     are ignored.
@@ -128,10 +121,9 @@ def fit(docs: DataFrame, labels: DataFrame, learner: Learner | None = None, id_c
     known = common.written(known.groupBy("doc_id").agg(F.max("label").alias("label")), "known")
     chosen = common.written(common.smallest_hashed(known, "doc_id", learner.rows).select("doc_id", "label"), "chosen")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
-    counts = rows.select("doc_id", "label", "text").mapInArrow(lambda it: _counted(it, learner), "doc_id long, label int, where binary, value binary")
-    counts = counts.groupBy("doc_id").agg(F.min_by(F.struct("label", "where", "value"), F.xxhash64("where", "value")).alias("x")).select("doc_id", "x.*")
-    counts = counts.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id")
-    found = counts.mapInArrow(lambda it: _train(it, learner), "place long, weight double").collect()  # of a fixed number
+    once = rows.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    once = once.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id").select("label", "text")
+    found = once.mapInArrow(lambda it: _train(it, learner), "place long, weight double").collect()  # of a fixed number
     weights = np.zeros(learner.dimensions + 1)
     for place, weight in found:
         weights[place] = weight

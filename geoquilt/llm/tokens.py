@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from . import common, prefixes, wordhash
 
 #: Stretches that a worker keeps; when there are more, those that came only once are forgotten.
-KEPT = 1_000_000
+KEPT = 900_000
 #: Longer stretches are encoded each time.
 LONG = 80
 #: White space goes with what follows it; other white space than ASCII's never ends a stretch.
