@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from . import common, prefixes, wordhash
 
-#: Stretches that a worker keeps; when there are more, those that came only once are forgotten.
+#: Stretches that a worker keeps; beyond half of them a new generation begins, and those that do not come again are forgotten with the old one.
 KEPT = 900_000
 #: Longer stretches are encoded each time.
 LONG = 80
@@ -97,7 +97,7 @@ class Stretches:
         self.encode, self.find, self.make = load(path), re.compile(pattern).findall, make
         self.words = words_of(path)
         self.known: dict[str, object] = {}
-        self.again: set[str] = set()  # known ones that came once more
+        self.old: dict[str, object] = {}  # the generation before
         self.passing: list[str] = []
 
     def _learn(self, new: list[str], encode: Callable[[list[str]], list[list[int]]]) -> None:
@@ -108,13 +108,15 @@ class Stretches:
     def of(self, texts: list[str]) -> list[list[str]]:
         for x in self.passing:
             self.known.pop(x, None)
-        if len(self.known) > KEPT:
-            self.known = {x: self.known[x] for x in self.again if x in self.known} if len(self.again) < KEPT // 2 else {}
-            self.again = set()
+        if len(self.known) > KEPT // 2:
+            self.old, self.known = self.known, {}
         found = [self.find(x) for x in texts]
         distinct = set(chain.from_iterable(found))
         new = distinct.difference(self.known)
-        self.again |= distinct - new
+        if self.old:
+            back = new.intersection(self.old)
+            self.known.update((x, self.old[x]) for x in back)
+            new -= back
         self.passing = [x for x in new if len(x) > LONG]
         self._learn_all(list(new))
         return found
@@ -136,7 +138,7 @@ class Tables(Stretches):
 
     def __init__(self, path: str, pattern: str):
         self.find, self.counter, self.words = re.compile(pattern).findall, prefixes.PrefixCounter(path), words_of(path)
-        self.known, self.again, self.passing = {}, set(), []
+        self.known, self.old, self.passing = {}, {}, []
 
     def _after(self, first: bytes, second: bytes) -> bytes:
         """The counts of two stretches that share no token, one behind the other."""

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts are taken in slices of about this many bytes, which bounds the working arrays.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 
 _random = np.random.default_rng(20240229)
 #: A random number for each byte value; the base of the polynomial, odd and so invertible.
