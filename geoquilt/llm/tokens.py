@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import sys
 import zlib
 from collections.abc import Callable, Iterator
@@ -31,6 +32,8 @@ LONG = 80
 WITH_SPACE = r"\s*\S+(?:[^\S \t\n\r\x0b\x0c]\s*\S*)*|\s+"
 #: For tokenizers that drop white space.
 WITHOUT_SPACE = r"[^ \t\n\r\x0b\x0c]+"
+#: The same where ``words_of`` knows the tokenizer: a first run of Latin letters stands apart from punctuation behind it.
+LETTERS_APART = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+(?=[!-&(-/:;=?@\[-`{}~ \t\n\r\x0b\x0c]|\Z)|" + WITHOUT_SPACE
 
 
 def load(path: str) -> Callable[[list[str]], list[list[int]]]:
@@ -87,6 +90,20 @@ def words_of(path: str) -> Callable[[list[str]], list[list[int]]] | None:
     return encode
 
 
+#: Characters beyond Latin-1, whose lower case and normal form may hang on their neighbours.
+_WIDE = re.compile(r"[^\x00-\xff]")
+
+
+def _lowers(path: str) -> tuple[bool, list[str]]:
+    """Whether a tokenizer does nothing to Latin-1 texts but lower their letters and join white space, and its special strings in lower case."""
+    with open(path, encoding="utf-8") as file:
+        said = json.load(file)
+    steps = said.get("normalizer") or {}
+    kinds = {(x["type"], str(x.get("pattern", "")), x.get("content", "")) for x in steps.get("normalizers", [steps]) if x}
+    plain = {("Lowercase", "", ""), ("NFC", "", ""), ("Replace", str({"Regex": r"\s+"}), " ")}
+    return ("Lowercase", "", "") in kinds and kinds <= plain, [x["content"].lower() for x in said.get("added_tokens", [])]
+
+
 class Stretches:
     """``of(texts)`` gives for each text its stretches, and ``known[stretch]`` is what ``make`` made of its ids.
 
@@ -94,12 +111,21 @@ class Stretches:
     """
 
     def __init__(self, path: str, pattern: str, make: Callable[[list[int]], object]):
-        self.encode, self.find, self.make = load(path), re.compile(pattern).findall, make
+        self.encode, self.make = load(path), make
         self.words = words_of(path)
+        self.find = re.compile(LETTERS_APART if self.words and pattern == WITHOUT_SPACE else pattern).findall
+        self.lower, self.special = _lowers(path) if self.words else (False, [])
         self.known: dict[str, object] = {}
         self.old: dict[str, object] = {}  # the generation before
         self.passing: list[str] = []
 
+    def _same(self, text: str) -> str:
+        """A text with the same tokens, in lower case if the tokenizer makes it so and nothing in it depends on more than its letters."""
+        if not self.lower or not text.isascii() and _WIDE.search(text):
+            return text
+        low = text.lower()
+        return text if any(x in low for x in self.special) else low
+
     def _learn(self, new: list[str], encode: Callable[[list[str]], list[list[int]]]) -> None:
         for begin in range(0, len(new), 4096):
             part = new[begin : begin + 4096]
@@ -110,7 +136,7 @@ class Stretches:
             self.known.pop(x, None)
         if len(self.known) > KEPT // 2:
             self.old, self.known = self.known, {}
-        found = [self.find(x) for x in texts]
+        found = [self.find(self._same(x)) for x in texts]
         distinct = set(chain.from_iterable(found))
         new = distinct.difference(self.known)
         if self.old:
@@ -122,15 +148,11 @@ class Stretches:
         return found
 
     def _learn_all(self, new: list[str]) -> None:
-        if self.words:
-            parted = {x: m for x in new if len(x) <= LONG and (m := WORD.fullmatch(x))}
-            pairs = {x: m.groups() for x, m in parted.items() if m[2]}
-            tails = {tail for _, tail in pairs.values()}.difference(self.known)
-            self._learn([*tails, *(x for x in new if x not in parted and x not in tails)], self.encode)
-            self._learn([x for x in {m[1] for m in parted.values()} if x not in self.known], self.words)
-            self.known.update((x, self.known[head] + self.known[tail]) for x, (head, tail) in pairs.items())
-        else:
-            self._learn(new, self.encode)
+        single = [x for x in new if len(x) <= LONG and (m := WORD.fullmatch(x)) and not m[2]] if self.words else []
+        if single:
+            self._learn(single, self.words)
+            new = list(set(new).difference(single))
+        self._learn(new, self.encode)
 
 
 class Tables(Stretches):
@@ -138,7 +160,7 @@ class Tables(Stretches):
 
     def __init__(self, path: str, pattern: str):
         self.find, self.counter, self.words = re.compile(pattern).findall, prefixes.PrefixCounter(path), words_of(path)
-        self.known, self.old, self.passing = {}, {}, []
+        self.known, self.old, self.passing, self.lower = {}, {}, [], False
 
     def _after(self, first: bytes, second: bytes) -> bytes:
         """The counts of two stretches that share no token, one behind the other."""
@@ -179,7 +201,7 @@ def stretches_of(path: str, pattern: str, make: Callable[[list[int]], object]) -
 
 def as_bytes(ids: list[int]) -> bytes:
     """Unsigned little-endian 32-bit numbers."""
-    return np.array(ids, "<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def _texts(batch: pa.RecordBatch, column: int, most: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:

@@ -474,3 +474,13 @@ def test_set_digest_is_that_of_the_set():
 
     a, b, c = wordhash.shingle_sets(pa.array(["x y z x y", "X Y z x y z x", "x y z y"]), 2)
     assert wordhash.digest(a) == wordhash.digest(b) != wordhash.digest(c) and hashlib and len(a) == 3
+
+
+def test_stretches_have_the_ids_of_the_library():
+    """Letters apart from punctuation, lowered first where nothing hangs on it: special strings, wide letters, contractions, odd spaces."""
+    path = queries.vocabulary("word_bpe_49k.json")
+    texts = ["It's CAFÉ’s ét", "ÀÉ, Foo!!bar", "a<|ENDOFTEXT|>b <|endoftext|>X", "Σίσυφος ΟΔΟΣ", "x\x85Y\xa0Z, İstanbul", "ABC123,d4 µ ª º"]
+    texts += ["don't'LL we’ve abc'dEf", "word\x1cword, word\x1f", "a'SB, ['s'] L'ÉTÉ. ŉ ǅ", "foo.́bar ẞ", "ab—cd, Ȩ́, É,̧", "", " ", "Aa" * 200 + ",B"]
+    found = tokens.Stretches(path, tokens.WITHOUT_SPACE, tokens.as_bytes)
+    got = [b"".join(found.known[y] for y in x) for x in found.of(texts)]
+    assert got == [np.array(x, "<u4").tobytes() for x in tokens.load(path)(texts)]
