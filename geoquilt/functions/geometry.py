@@ -21,8 +21,8 @@ def overlap_area(a: tuple, b: tuple) -> Column:
 
 def _edges(ring: Column) -> Column:
     """array<struct<a, b>>: the ends of each edge of a closed ring."""
-    n = F.size(ring)
-    return F.zip_with(F.slice(ring, 1, n - 1), F.slice(ring, 2, n - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    n = F.greatest(F.size(ring) - 1, F.lit(0))
+    return F.zip_with(F.slice(ring, 1, n), F.slice(ring, 2, n), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
 
 
 def in_ring(x: Column, y: Column, ring: Column, edge: bool = False) -> Column:
@@ -56,6 +56,52 @@ def ring_area(ring: Column) -> Column:
     return F.abs(twice) / 2
 
 
+def ring_meets_box(ring: Column, box: tuple[Column, Column, Column, Column]) -> Column:
+    """Whether a closed ring's area and a box share a point, borders included."""
+    xmin, ymin, xmax, ymax = box
+
+    def touches(e: Column) -> Column:
+        a, b = e["a"], e["b"]
+        near = (F.least(a["x"], b["x"]) <= xmax) & (F.greatest(a["x"], b["x"]) >= xmin) & (F.least(a["y"], b["y"]) <= ymax) & (F.greatest(a["y"], b["y"]) >= ymin)
+        sides = [(b["x"] - a["x"]) * (y - a["y"]) - (b["y"] - a["y"]) * (x - a["x"]) for x in (xmin, xmax) for y in (ymin, ymax)]
+        return near & (F.least(*sides) <= 0) & (F.greatest(*sides) >= 0)
+
+    # Without an edge that touches it, the box is as a whole inside or outside.
+    return F.exists(_edges(ring), touches) | in_ring(xmin, ymin, ring)
+
+
+def clipped_ring(ring: Column, box: tuple[Column, Column, Column, Column]) -> Column:
+    """The closed ring of what a ring and a box share, empty if nothing: cut at one side of the box after the other.
+
+    Parts that a box cuts off from each other stay joined along its border, which adds no area.
+    """
+    xmin, ymin, xmax, ymax = box
+    side = lambda x, y, c: F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y"), c.cast("double").alias("c"))
+    sides = F.array(side(1, 0, xmin), side(-1, 0, -xmax), side(0, 1, ymin), side(0, -1, -ymax))
+    point = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+
+    def cut(ring: Column, s: Column) -> Column:
+        depth = lambda p: s["x"] * p["x"] + s["y"] * p["y"] - s["c"]
+
+        def kept(e: Column) -> Column:
+            a, b = e["a"], e["b"]
+            share = depth(a) / (depth(a) - depth(b))
+            border = point(a["x"] + share * (b["x"] - a["x"]), a["y"] + share * (b["y"] - a["y"]))
+            inside = F.when(depth(b) >= 0, F.array(point(b["x"], b["y"]))).otherwise(F.array().cast("array<struct<x:double,y:double>>"))
+            return F.when((depth(a) >= 0) != (depth(b) >= 0), F.concat(F.array(border), inside)).otherwise(inside)
+
+        left = F.flatten(F.transform(_edges(ring), kept))
+        return F.concat(left, F.slice(left, 1, 1))
+
+    return F.aggregate(sides, ring, cut)
+
+
+def small_or_not(keyed: DataFrame, ring: str = "ring", vertices: int = 1_000_000) -> DataFrame:
+    """Rings with cell keys, marked for broadcast if they have at most so many vertices in all, else for a shuffled hash join."""
+    total = keyed.agg(F.sum(F.size(ring))).first()[0] or 0
+    return F.broadcast(keyed) if total <= vertices else keyed.hint("shuffle_hash")
+
+
 def cell(value: Column, size: float) -> Column:
     return F.floor(value / size).cast("long")
 

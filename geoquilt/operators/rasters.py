@@ -45,13 +45,18 @@ def overlapping_tiles(tiles: DataFrame, areas: DataFrame, size: float = 4.0) ->
     return hit.groupBy("relpath").agg(F.min(F.struct("tile_id", *BOX)).alias("t")).select("relpath", "t.*")
 
 
-def best_overlap(rasters: DataFrame, areas: DataFrame) -> DataFrame:
-    """(aoi_id, path, area): the raster that shares most with each area's box, the first path of equals; none without overlap."""
-    box = areas.select("aoi_id", geometry.ring_box(F.col("ring")).alias("b")).groupBy("aoi_id").agg(*[f(f"b.{c}").alias(f"a_{c}") for f, c in zip((F.min, F.min, F.max, F.max), BOX, strict=True)])
-    left, right = geometry.with_box_cells(rasters, BOX, 4.0), geometry.with_box_cells(box, tuple(f"a_{c}" for c in BOX), 4.0)
-    area = geometry.overlap_area(BOX, tuple(f"a_{c}" for c in BOX))
-    met = left.join(right, ["cell_x", "cell_y"]).select("aoi_id", "path", area.alias("area")).where("area > 0").distinct()
-    return met.groupBy("aoi_id").agg(F.min_by("path", F.struct(-F.col("area"), F.col("path"))).alias("path"), F.max("area").alias("area"))
+def best_overlap(rasters: DataFrame, areas: DataFrame, size: float = 4.0) -> DataFrame:
+    """(aoi_id, path, area): the raster that shares most with each area, the first path of equals (to nine decimals); none without overlap.
+
+    A ring given twice counts once; an area's different rings must not overlap.
+    """
+    rings = areas.select("aoi_id", "ring").distinct().withColumn("b", geometry.ring_box(F.col("ring"))).select("aoi_id", "ring", *[F.col(f"b.{x}").alias(f"a_{x}") for x in BOX])
+    left, right = geometry.with_box_cells(rasters, BOX, size), geometry.with_box_cells(rings, tuple(f"a_{c}" for c in BOX), size)
+    met = left.join(geometry.small_or_not(right), ["cell_x", "cell_y"]).where(geometry.boxes_touch(BOX, tuple(f"a_{x}" for x in BOX)))
+    once = met.select("aoi_id", "ring", "path", *BOX).distinct()
+    shared = geometry.ring_area(geometry.clipped_ring(F.col("ring"), tuple(map(F.col, BOX))))
+    sums = once.groupBy("aoi_id", "path", *BOX).agg(F.round(F.sum(shared), 9).alias("area")).where("area > 0")
+    return sums.groupBy("aoi_id").agg(F.min_by("path", F.struct(-F.col("area"), F.col("path"))).alias("path"), F.max("area").alias("area"))
 
 
 def tile_mosaic(pixels: DataFrame, order: str = "tile_ord", value: str = "v") -> DataFrame:
@@ -67,21 +72,23 @@ def north_up(pixels: DataFrame, grid: DataFrame) -> DataFrame:
 
 
 def clip(pixels: DataFrame, areas: DataFrame, touched: bool = False, size: float = 4.0) -> DataFrame:
-    """Pixels whose centre is in an area; with ``touched``, all whose square shares a point with the area's box or ring.
+    """Pixels whose centre is in an area; with ``touched``, all whose square shares a point with an area.
 
-    ``touched`` is asked for, it is no silent second attempt.
+    ``touched`` is asked for, it is no silent second attempt. Repeated rows stay.
     """
     from .occurrences import in_areas
 
-    centred = pixels.withColumns({"centre_x": F.col("col") + 0.5, "centre_y": F.col("row") + 0.5})
-    inside = in_areas(centred, areas, size, "centre_x", "centre_y", edge=False)
-    if touched:
-        corner = lambda dx, dy: in_areas(centred.withColumns({"corner_x": F.col("col") + dx, "corner_y": F.col("row") + dy}), areas, size, "corner_x", "corner_y").drop("corner_x", "corner_y")
-        for dx in (0.0, 1.0):
-            for dy in (0.0, 1.0):
-                inside = inside.unionByName(corner(dx, dy))
-        inside = inside.distinct()
-    return inside.drop("centre_x", "centre_y")
+    if not touched:
+        centred = pixels.withColumns({"centre_x": F.col("col") + 0.5, "centre_y": F.col("row") + 0.5})
+        return in_areas(centred, areas, size, "centre_x", "centre_y", edge=False).drop("centre_x", "centre_y")
+    # Boxes of areas are wider by one pixel, so that a square's first corner is enough to find them by.
+    rings = areas.select("ring").distinct().withColumn("b", geometry.ring_box(F.col("ring")))
+    rings = rings.select("ring", (F.col("b.xmin") - 1).alias("a_xmin"), (F.col("b.ymin") - 1).alias("a_ymin"), F.col("b.xmax").alias("a_xmax"), F.col("b.ymax").alias("a_ymax"))
+    rings = geometry.with_box_cells(rings, tuple(f"a_{c}" for c in BOX), size)
+    placed = geometry.with_point_cells(pixels, "col", "row", size)
+    square = (F.col("col"), F.col("row"), F.col("col") + 1, F.col("row") + 1)
+    on = (placed.cell_x == rings.cell_x) & (placed.cell_y == rings.cell_y) & geometry.ring_meets_box(F.col("ring"), square)
+    return placed.join(geometry.small_or_not(rings), on, "left_semi").drop("cell_x", "cell_y")
 
 
 def resample_nearest(source: DataFrame, target: DataFrame, ratio: float, bands: list[str]) -> DataFrame:
@@ -150,15 +157,22 @@ def overviews(pixels: DataFrame, levels: int = 3, block: int = 512) -> DataFrame
 
 
 def area_tiles(areas: DataFrame, step: float) -> DataFrame:
-    """(aoi_id, i, j, xmin … ymax): boxes of ``step`` that cover each area's box, cut off at it, of those that meet the area's box.
+    """(aoi_id, i, j, xmin … ymax, parts): boxes of ``step`` from the corner of each area's box, cut off at it, of those that meet the area.
 
-    Edges come from the number of steps, so they don't drift.
+    ``parts`` are the rings of what the box and the area's features share; a ring given twice counts
+    once. A box that only touches the area stays, its parts have no area. Edges come from the number
+    of steps, so they don't drift.
     """
-    box = areas.select("aoi_id", geometry.ring_box(F.col("ring")).alias("b")).groupBy("aoi_id").agg(*[f(f"b.{c}").alias(f"a_{c}") for f, c in zip((F.min, F.min, F.max, F.max), BOX, strict=True)])
+    boxed = areas.select("aoi_id", "ring", geometry.ring_box(F.col("ring")).alias("b"))
+    box = boxed.groupBy("aoi_id").agg(F.collect_set("ring").alias("rings"), *[f(f"b.{c}").alias(f"a_{c}") for f, c in zip((F.min, F.min, F.max, F.max), BOX, strict=True)])
     many = lambda low, high: F.sequence(F.lit(0), F.greatest(F.ceil((F.col(high) - F.col(low)) / step).cast("int") - 1, F.lit(0)))
     cells = box.withColumn("i", F.explode(many("a_xmin", "a_xmax"))).withColumn("j", F.explode(many("a_ymin", "a_ymax")))
-    edge = lambda low, high, k: F.least(F.col(low) + F.col(k) * step, F.col(high))
-    return cells.select("aoi_id", "i", "j", edge("a_xmin", "a_xmax", "i").alias("xmin"), edge("a_ymin", "a_ymax", "j").alias("ymin"), F.least(F.col("a_xmin") + (F.col("i") + 1) * step, F.col("a_xmax")).alias("xmax"), F.least(F.col("a_ymin") + (F.col("j") + 1) * step, F.col("a_ymax")).alias("ymax"))
+    edge = lambda low, high, k: F.least(F.col(low) + k * step, F.col(high))
+    i, j = F.col("i"), F.col("j")
+    ends = {"xmin": edge("a_xmin", "a_xmax", i), "ymin": edge("a_ymin", "a_ymax", j), "xmax": edge("a_xmin", "a_xmax", i + 1), "ymax": edge("a_ymin", "a_ymax", j + 1)}
+    tile = tuple(map(F.col, BOX))
+    met = cells.select("aoi_id", "i", "j", *[c.alias(n) for n, c in ends.items()], "rings").withColumn("rings", F.filter("rings", lambda r: geometry.ring_meets_box(r, tile))).where(F.size("rings") > 0)
+    return met.select("aoi_id", "i", "j", *BOX, F.transform("rings", lambda r: geometry.clipped_ring(r, tile)).alias("parts"))
 
 
 def tile_shrink(points: DataFrame, start: float, most: int, floor: float, x: str = "x", y: str = "y") -> DataFrame:

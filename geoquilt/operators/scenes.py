@@ -18,11 +18,12 @@ def cloud_at_most(scenes: DataFrame, limit: float) -> DataFrame:
 
 
 def scenes_in_area(scenes: DataFrame, areas: DataFrame, size: float = 4.0) -> DataFrame:
-    """Scenes whose footprint touches the box of an area. A cell key makes it a hash join; duplicate areas double nothing."""
-    boxes = areas.select(geometry.ring_box(F.col("ring")).alias("b")).select(*[F.col(f"b.{x}").alias(f"a_{x}") for x in BOX]).distinct()
+    """Scenes whose footprint touches an area, its border included. A cell key makes it a hash join; duplicate areas double nothing."""
+    rings = areas.select("ring").distinct().withColumn("b", geometry.ring_box(F.col("ring"))).select("ring", *[F.col(f"b.{x}").alias(f"a_{x}") for x in BOX])
     left = geometry.with_box_cells(scenes.withColumn("scene_row", F.monotonically_increasing_id()), BOX, size)
-    right = geometry.with_box_cells(boxes, tuple(f"a_{x}" for x in BOX), size)
-    hit = left.join(right.hint("shuffle_hash"), (left.cell_x == right.cell_x) & (left.cell_y == right.cell_y) & geometry.boxes_touch(BOX, tuple(f"a_{x}" for x in BOX)), "left_semi")
+    right = geometry.with_box_cells(rings, tuple(f"a_{x}" for x in BOX), size)
+    near = geometry.boxes_touch(BOX, tuple(f"a_{x}" for x in BOX)) & geometry.ring_meets_box(F.col("ring"), tuple(map(F.col, BOX)))
+    hit = left.join(geometry.small_or_not(right), (left.cell_x == right.cell_x) & (left.cell_y == right.cell_y) & near, "left_semi")
     return hit.dropDuplicates(["scene_row"]).drop("scene_row", "cell_x", "cell_y")
 
 

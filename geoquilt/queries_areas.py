@@ -54,9 +54,17 @@ def p6_cloud_filter(spark, d):
     return cube.unionByName(sc.cloud_at_most(view(spark, d, "scenes"), 40.0).select(F.lit("catalogue").alias("kind"), F.col("scene_id").alias("id")))
 
 
-@query("j5_scene_intersects", "select scene_id from scenes where xmin <= 12 and xmax >= 4 and ymin <= 12 and ymax >= 4")
+MEETS_B = """exists (select 1 from aoi_b e where least(e.x1, e.x2) <= xmax and greatest(e.x1, e.x2) >= xmin and least(e.y1, e.y2) <= ymax and greatest(e.y1, e.y2) >= ymin
+ and abs(list_sum([sign(v) for v in [(e.x2 - e.x1) * (ymin - e.y1) - (e.y2 - e.y1) * (xmin - e.x1), (e.x2 - e.x1) * (ymin - e.y1) - (e.y2 - e.y1) * (xmax - e.x1), (e.x2 - e.x1) * (ymax - e.y1) - (e.y2 - e.y1) * (xmin - e.x1), (e.x2 - e.x1) * (ymax - e.y1) - (e.y2 - e.y1) * (xmax - e.x1)]])) < 4)
+ or (select count(*) from aoi_b e where (e.y1 > ymin) <> (e.y2 > ymin) and xmin < (e.x2 - e.x1) * (ymin - e.y1) / (e.y2 - e.y1) + e.x1) % 2 = 1"""
+
+
+@query("j5_scene_intersects", f"select 'A' as aoi, scene_id from scenes where xmin <= 12 and xmax >= 4 and ymin <= 12 and ymax >= 4 union all select 'B', scene_id from scenes where {MEETS_B}")
 def j5_scene_intersects(spark, d):
-    return sc.scenes_in_area(view(spark, d, "scenes"), aoi(spark, "A")).select("scene_id")
+    """Footprints that touch a square and a concave area."""
+    scenes = view(spark, d, "scenes")
+    part = lambda name: sc.scenes_in_area(scenes, aoi(spark, name)).select(F.lit(name).alias("aoi"), "scene_id")
+    return part("A").unionByName(part("B"))
 
 
 STATS = "select acq_date, coalesce(avg(cloud), 1e9) as mean_cloud, count(*) as n_items from scenes group by acq_date"
@@ -263,10 +271,15 @@ def j3_tile_overlap(spark, d):
     return ra.overlapping_tiles(view(spark, d, "tiles"), aoi(spark, "A")).select("relpath")
 
 
-AOI_BOXES = "select aoi_id, min(least(x1, x2)) as ax0, min(least(y1, y2)) as ay0, max(greatest(x1, x2)) as ax1, max(greatest(y1, y2)) as ay1 from aoi_all group by aoi_id"
+# The area that a polygon and a box share, as the integral along the polygon's edges of their height above the box's lower side.
+UNDER = "case when {u} <= 0 then 0 when {u} <= h then {u} * {u} / 2 else h * {u} - h * h / 2 end"
+EDGES = "select distinct aoi_id, x1, y1, x2, y2 from aoi_all where x1 <> x2"
+CUT = "select r.path, r.ymax - r.ymin as h, e.aoi_id, sign(e.x2 - e.x1) as s, (e.y2 - e.y1) / (e.x2 - e.x1) as m, greatest(least(e.x1, e.x2), r.xmin) as l, least(greatest(e.x1, e.x2), r.xmax) as r, e.x1, e.y1 - r.ymin as v1 from rasters r, edges e"
+PARTS = "select *, v1 + m * (l - x1) as ul, v1 + m * (r - x1) as ur from cut where l < r"
+SHARED = f"select aoi_id, path, round(abs(sum(s * case when m = 0 then greatest(0, least(h, ul)) * (r - l) else ({UNDER.format(u='ur')} - ({UNDER.format(u='ul')})) / m end)), 9) as area from parts group by aoi_id, path"
 
 
-@query("j4_best_overlap", ", shared as (select aoi_id, path, greatest(least(xmax, ax1) - greatest(xmin, ax0), 0) * greatest(least(ymax, ay1) - greatest(ymin, ay0), 0) as area from rasters, boxes) select aoi_id, path, area from (select *, row_number() over (partition by aoi_id order by area desc, path) as n from shared where area > 0) where n = 1", boxes=AOI_BOXES)
+@query("j4_best_overlap", "select aoi_id, path, area from (select *, row_number() over (partition by aoi_id order by area desc, path) as n from shared where area > 0) where n = 1", edges=EDGES, cut=CUT, parts=PARTS, shared=SHARED)
 def j4_best_overlap(spark, d):
     return ra.best_overlap(view(spark, d, "rasters"), aoi(spark))
 
@@ -281,9 +294,16 @@ def a13_bounds(spark, d):
     return ra.bounds(view(spark, d, "tiles").withColumn("grp", F.col("tile_id") % 7), ["grp"])
 
 
-@query("t1_grid_tiles", "select tile_id, cast(i as integer) as i, cast(j as integer) as j, round(least(xmin + i * 0.75, xmax), 9) as x0, round(least(ymin + j * 0.75, ymax), 9) as y0, round(least(xmin + (i + 1) * 0.75, xmax), 9) as x1, round(least(ymin + (j + 1) * 0.75, ymax), 9) as y1 from (select *, unnest(range(cast(ceil((xmax - xmin) / 0.75) as bigint))) as i from tiles), lateral (select unnest(range(cast(ceil((ymax - ymin) / 0.75) as bigint))) as j)")
+# Boxes for even tiles, for odd ones the lower left triangle; the share of a triangle is an integral below its long side.
+GRID = "select *, least(xmin + i * 0.75e0, xmax) as x0, least(ymin + j * 0.75e0, ymax) as y0, least(xmin + (i + 1) * 0.75e0, xmax) as x1, least(ymin + (j + 1) * 0.75e0, ymax) as y1 from (select *, unnest(range(cast(ceil((xmax - xmin) / 0.75) as bigint))) as i from tiles), lateral (select unnest(range(cast(ceil((ymax - ymin) / 0.75) as bigint))) as j)"
+SLOPED = "select *, y1 - y0 as h, (ymax - ymin) / (xmax - xmin) as m, ymax - (x0 - xmin) * (ymax - ymin) / (xmax - xmin) - y0 as ul, ymax - (x1 - xmin) * (ymax - ymin) / (xmax - xmin) - y0 as ur from grid_cells"
+
+
+@query("t1_grid_tiles", f"select tile_id, cast(i as integer) as i, cast(j as integer) as j, round(x0, 9) as x0, round(y0, 9) as y0, round(x1, 9) as x1, round(y1, 9) as y1, round(case when tile_id % 2 = 0 then (x1 - x0) * (y1 - y0) else ({UNDER.format(u='ul')} - ({UNDER.format(u='ur')})) / m end, 6) + 0.0e0 as area from sloped where tile_id % 2 = 0 or (x0 - xmin) * (ymax - ymin) + (y0 - ymin) * (xmax - xmin) <= (xmax - xmin) * (ymax - ymin)", grid_cells=GRID, sloped=SLOPED)
 def t1_grid_tiles(spark, d):
-    ring = F.array(*[F.struct(F.col(x).alias("x"), F.col(y).alias("y")) for x, y in (("xmin", "ymin"), ("xmax", "ymin"), ("xmax", "ymax"), ("xmin", "ymax"), ("xmin", "ymin"))])
-    areas = view(spark, d, "tiles").select(F.col("tile_id").alias("aoi_id"), ring.alias("ring"))
-    out = ra.area_tiles(areas, 0.75)
-    return rounded(out.select(F.col("aoi_id").alias("tile_id"), "i", "j", F.col("xmin").alias("x0"), F.col("ymin").alias("y0"), F.col("xmax").alias("x1"), F.col("ymax").alias("y1")), "x0", "y0", "x1", "y1")
+    corner = {k: F.struct(F.col(x).alias("x"), F.col(y).alias("y")) for k, (x, y) in {"ll": ("xmin", "ymin"), "lr": ("xmax", "ymin"), "ur": ("xmax", "ymax"), "ul": ("xmin", "ymax")}.items()}
+    ring = F.when(F.col("tile_id") % 2 == 0, F.array(*[corner[k] for k in ("ll", "lr", "ur", "ul", "ll")])).otherwise(F.array(*[corner[k] for k in ("ll", "lr", "ul", "ll")]))
+    out = ra.area_tiles(view(spark, d, "tiles").select(F.col("tile_id").alias("aoi_id"), ring.alias("ring")), 0.75)
+    area = F.aggregate("parts", F.lit(0.0), lambda s, r: s + geometry.ring_area(r))
+    named = out.select(F.col("aoi_id").alias("tile_id"), "i", "j", F.col("xmin").alias("x0"), F.col("ymin").alias("y0"), F.col("xmax").alias("x1"), F.col("ymax").alias("y1"), F.round(area, 6).alias("area"))
+    return rounded(named, "x0", "y0", "x1", "y1")

@@ -40,8 +40,8 @@ def s2_cube_scan(spark, d):
 @query("p5_bbox_filter", "select obs_id from obs, (select min(least(x1, x2)) as x0, max(greatest(x1, x2)) as x1, min(least(y1, y2)) as y0, max(greatest(y1, y2)) as y1 from aoi_b) b where col + 0.5 between b.x0 and b.x1 and row + 0.5 between b.y0 and b.y1")
 def p5_bbox_filter(spark, d):
     corner = aoi(spark, "B").select(F.explode("ring").alias("p")).agg(F.min("p.x").alias("x0"), F.max("p.x").alias("x1"), F.min("p.y").alias("y0"), F.max("p.y").alias("y1"))
-    joined = view(spark, d, "obs").crossJoin(F.broadcast(corner))
-    return joined.where((F.col("col") + 0.5).between(F.col("x0"), F.col("x1")) & (F.col("row") + 0.5).between(F.col("y0"), F.col("y1"))).select("obs_id")
+    box = corner.first()  # four numbers
+    return view(spark, d, "obs").where((F.col("col") + 0.5).between(box.x0, box.x1) & (F.col("row") + 0.5).between(box.y0, box.y1)).select("obs_id")
 
 
 @query("p7_scl_mask", "select obs_id, " + ", ".join(f"{keep(b)} as {b}" for b in BANDS) + " from obs")

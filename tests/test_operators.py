@@ -73,6 +73,49 @@ def test_all_touched_is_asked_for(spark):
     assert {tuple(r) for r in ra.clip(pixels, aoi(spark, "A"), touched=True).collect()} == {(4, 3), (4, 4), (3, 3)}
 
 
+TRIANGLE = [(0.0, 0.0), (10.0, 0.0), (0.0, 10.0), (0.0, 0.0)]
+
+
+def areas_of(spark, *rings):
+    return spark.createDataFrame([("t", i, ring) for i, ring in enumerate(rings)], "aoi_id string, feature_id int, ring array<struct<x:double,y:double>>")
+
+
+def test_a_thin_area_touches_whole_pixels(spark):
+    strip = [(0.2, 0.7), (3.8, 0.7), (3.8, 0.75), (0.2, 0.75), (0.2, 0.7)]
+    pixels = spark.createDataFrame([(r, c) for r in range(3) for c in range(-1, 6)] + [(0, 2), (None, 1)], "row long, col long")
+    touched = ra.clip(pixels, areas_of(spark, strip, strip), touched=True)
+    assert sorted(tuple(r) for r in touched.collect()) == [(0, 0), (0, 1), (0, 2), (0, 2), (0, 3)]
+    assert ra.clip(pixels, areas_of(spark, strip)).count() == 0
+
+
+def test_the_best_raster_is_that_of_the_polygon_not_of_its_box(spark):
+    rasters = spark.createDataFrame([("corner", 5.0, 5.0, 10.0, 10.0), ("inside", 1.0, 1.0, 5.0, 5.0), ("cut", 0.0, 4.0, 4.0, 9.0)], "path string, xmin double, ymin double, xmax double, ymax double")
+    assert [tuple(r) for r in ra.best_overlap(rasters, areas_of(spark, TRIANGLE, TRIANGLE)).collect()] == [("t", "inside", 16.0)]
+    assert ra.best_overlap(rasters.where("path = 'corner'"), areas_of(spark, TRIANGLE)).count() == 0
+    two = areas_of(spark, TRIANGLE, [(20.0, 20.0), (21.0, 20.0), (21.0, 21.0), (20.0, 21.0), (20.0, 20.0)])
+    wide = spark.createDataFrame([("all", -5.0, -5.0, 30.0, 30.0)], "path string, xmin double, ymin double, xmax double, ymax double")
+    assert ra.best_overlap(wide, two).first()["area"] == pytest.approx(51.0)
+
+
+def test_tiles_of_an_area_that_is_no_box(spark):
+    triangle = [(x * 0.4, y * 0.4) for x, y in TRIANGLE]
+    tiles = ra.area_tiles(areas_of(spark, triangle, triangle), 1.0).collect()
+    assert {(r.i, r.j) for r in tiles} == {(i, j) for i in range(4) for j in range(4) if i + j <= 4}
+    areas = ra.area_tiles(areas_of(spark, triangle), 1.0).select("i", "j", F.aggregate("parts", F.lit(0.0), lambda s, r: s + geometry.ring_area(r)).alias("a")).collect()
+    assert {(r.i, r.j): round(r.a, 9) for r in areas} == {(i, j): 1.0 if i + j < 3 else 0.5 if i + j == 3 else 0.0 for i in range(4) for j in range(4) if i + j <= 4}
+
+
+def test_footprints_beside_a_slope_are_not_in_the_area(spark):
+    scenes = spark.createDataFrame([(1, 6.0, 6.0, 9.0, 9.0), (2, 5.0, 5.0, 9.0, 9.0), (3, 1.0, 1.0, 2.0, 2.0), (4, -5.0, -5.0, 20.0, 20.0), (5, None, 1.0, 2.0, 2.0)], "scene_id int, xmin double, ymin double, xmax double, ymax double")
+    assert sorted(r[0] for r in sc.scenes_in_area(scenes, areas_of(spark, TRIANGLE)).select("scene_id").collect()) == [2, 3, 4]
+
+
+def test_points_stay_where_they_are_for_few_areas(spark):
+    points = spark.range(1000).select((F.col("id") % 17).cast("double").alias("lon"), (F.col("id") % 13).cast("double").alias("lat"))
+    plan = oc.in_areas(points, aoi(spark, "B"))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "ShuffledHashJoin" not in plan
+
+
 def test_reprojecting_onto_the_same_grid_changes_nothing(spark):
     source = spark.createDataFrame([(r, c, float(r * 3 + c)) for r in range(3) for c in range(3)], "row long, col long, v double")
     grid = ra.target_grid(spark, 3, 3)
