@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import common
 
@@ -39,11 +40,20 @@ TEMPLATES = (
     ("GPL-2.0", "licensed under the GNU General Public License, version 2"),
     ("GPL-3.0", "licensed under the GNU General Public License, version 3"),
     ("ISC", "Released under the ISC License"),
+    ("LGPL-2.1", "licensed under the GNU Lesser General Public License, version 2.1"),
     ("LGPL-3.0", "licensed under the GNU Lesser General Public License, version 3"),
     ("MIT", "Released under the MIT License"),
     ("MIT", "Licensed under the MIT License"),
     ("MPL-2.0", "subject to the terms of the Mozilla Public License, v. 2.0"),
     ("Unlicense", "free and unencumbered software released into the public domain"),
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("GPL-2.0", "under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License"),
+    ("GPL-3.0", "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License"),
+    ("LGPL-2.1", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License"),
+    ("LGPL-3.0", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License"),
+    ("AGPL-3.0", "under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
 )
 
 
@@ -107,6 +117,8 @@ def licenses(docs: DataFrame, scan: Scan | None = None, id_col: str = "doc_id",
     met = banded.join(F.broadcast(meant), ["length", "band"]).dropDuplicates(["row", "at", "template"])
     share = F.size(F.array_intersect("window", "own")) / F.col("length")
     found = met.select("doc_id", "row", "license", "at", share.alias("containment")).where(F.col("containment") >= scan.containment)
+    top = F.max("containment").over(Window.partitionBy("row", "at"))
+    found = found.withColumn("top", top).where("containment = top").drop("top")
     best = found.groupBy("row", "license").agg(F.first("doc_id").alias("doc_id"), F.min(F.struct((-F.col("containment")).alias("less"), F.col("at"))).alias("best"))
     return best.select("doc_id", "license", (-F.col("best.less")).alias("containment"), F.col("best.at").cast("long").alias("first_word"))
 
@@ -131,8 +143,10 @@ win as (
   select a.r, a.doc_id, a.template, a.license, a.pos, count(distinct b.shingle) / cast(a.length as double) as containment
   from hit a join hit b on a.r = b.r and a.template = b.template and b.pos >= a.pos and b.pos < a.pos + a.length
   group by a.r, a.doc_id, a.template, a.license, a.pos, a.length
+), topped as (
+  select *, max(containment) over (partition by r, pos) as top from win where containment >= {scan.containment}
 ), ranked as (
-  select *, row_number() over (partition by r, license order by containment desc, pos) as place from win where containment >= {scan.containment}
+  select *, row_number() over (partition by r, license order by containment desc, pos) as place from topped where containment = top
 )
 select doc_id, license, containment, cast(pos as bigint) as first_word from ranked where place = 1
 """

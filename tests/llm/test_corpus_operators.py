@@ -330,6 +330,9 @@ def test_licenses(spark):
     texts = awkward() + [
         (700, "Text before. Released under the MIT License. And Licensed under CC BY-NC 4.0."), (701, "released UNDER the mit license"), (702, "This work is licensed under the GNU General Public License, version 3."),
         (703, "licensed under the GNU General Public Licence version 3 only"), (704, "the MIT License"), (705, "Released under the MIT License. " * 400),
+        (706, "It is licensed under the GNU General Public License, version 2."), (707, "This is licensed under the GNU Lesser General Public License, version 2.1 only."),
+        (708, "You can redistribute it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or later."),
+        (709, "Permission is hereby granted, free of charge, to any person getting a copy of this software and associated documentation files (the Software)"),
     ]
     docs = documents(spark, texts)
     got = licenses.licenses(docs).toPandas()
@@ -339,6 +342,8 @@ def test_licenses(spark):
     c.sql("create or replace temp view documents as select * from given")
     assert rows(got) == rows(c.sql(licenses.oracle()).df())
     assert {(r.doc_id, r.license) for r in got.itertuples()} >= {(700, "MIT"), (700, "CC-BY-NC-4.0"), (701, "MIT"), (702, "GPL-3.0"), (705, "MIT")}
+    of = {d: {r.license for r in got.itertuples() if r.doc_id == d} for d in (702, 706, 707, 708)}
+    assert of == {702: {"GPL-3.0"}, 706: {"GPL-2.0"}, 707: {"LGPL-2.1"}, 708: {"GPL-3.0"}}
     assert not {(704, "MIT"), (702, "AGPL-3.0")} & {(r.doc_id, r.license) for r in got.itertuples()}
 
 
