@@ -115,3 +115,19 @@ def statistic_name(text: Column) -> Column:
     """A soil statistic: quantiles with a capital Q, others in lower case, blank is the mean."""
     lower = F.lower(F.trim(text))
     return F.when(F.coalesce(lower, F.lit("")) == "", "mean").when(lower.startswith("q"), F.concat(F.lit("Q"), F.substring(lower, 2, 99))).otherwise(lower)
+
+
+# Catalogue ids of collections.
+COLLECTIONS = {"SENTINEL2_L2A": "sentinel-2-l2a", "SENTINEL2_L2A_SENTINELHUB": "sentinel-2-l2a"}
+
+
+def catalogue_id(collection: Column) -> Column:
+    """The catalogue's id of a satellite collection: its exact name, else its mission and level in any case; NULL if unknown."""
+    upper, exact = F.upper(collection), F.create_map(*[F.lit(x) for pair in COLLECTIONS.items() for x in pair])
+    level = F.when(upper.contains("L2A"), "sentinel-2-l2a").when(upper.contains("L1C"), "sentinel-2-l1c")
+    return F.coalesce(F.try_element_at(exact, collection), F.when(upper.contains("SENTINEL2"), level))
+
+
+def first_given(*values: Column) -> Column:
+    """The first value that is neither NULL nor blank: an argument, then settings, then a constant."""
+    return F.coalesce(*[F.when(F.trim(v.cast("string")) != "", v) for v in values])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import spectral
+from . import ranks
 
 PIXEL = ("row", "col")
 BANDS = ("b02", "b03", "b04", "b08", "b11")
@@ -52,10 +53,8 @@ def median_of_index(obs: DataFrame, index: str) -> DataFrame:
 
 
 def percentiles(values: DataFrame, column: str, low: float = 0.05, high: float = 0.95) -> DataFrame:
-    """(low, high): percentiles with linear interpolation. Equal values are counted first, so that no task holds them all."""
-    counted = values.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("times"))
-    p = counted.agg(F.percentile(column, F.array(F.lit(low), F.lit(high)), F.col("times")).alias("p"))
-    return p.select(F.col("p")[0].alias("low"), F.col("p")[1].alias("high"))
+    """(low, high): percentiles with linear interpolation, picked by rank from ranges of the counted values."""
+    return ranks.quantiles(values, column, {"low": low, "high": high})
 
 
 def fractional_cover(ndvi: DataFrame, column: str = "ndvi") -> DataFrame:

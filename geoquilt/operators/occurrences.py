@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import geometry, text
+from ..sources.readers import RECORD_FIELDS, RECORD_NAMES
 
 # Names of taxon keys.
 KINGDOMS = {1: "Animalia", 2: "Archaea", 3: "Bacteria", 4: "Chromista", 5: "Fungi", 6: "Plantae", 7: "Protozoa", 8: "Viruses"}
 CLASSES = {212: "Aves", 359: "Mammalia"}
+TAXON_KEYS = ("taxon_key", "species_key", "genus_key", "family_key", "order_key", "class_key", "phylum_key", "kingdom_key")
+_FIELD_OF = {ours: field for field, ours in RECORD_NAMES.items()} | {"dataset_key": "datasetKey", "basis_of_record": "basisOfRecord", "occurrence_status": "occurrenceStatus", "taxon_key": "taxonKey"}
 
 
 def select_taxa(occ: DataFrame, kingdoms: list[int] | None = None, classes: list[int] | None = None) -> DataFrame:
@@ -27,6 +30,32 @@ def select_taxa(occ: DataFrame, kingdoms: list[int] | None = None, classes: list
     return out
 
 
+def requested(occ: DataFrame, taxon: int | None = None, dataset: str | None = None, basis: str | None = None, status: str | None = None) -> DataFrame:
+    """Records with coordinates that a request names: of a taxon (their own key or one above it), a dataset, a basis of record and a status.
+
+    Basis and status are compared in upper case; what is not named, or blank, does not filter.
+    """
+    out = occ.where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
+    if taxon is not None:
+        keys = [c for c in TAXON_KEYS if c in occ.columns]
+        of = F.lit(False)
+        for c in keys:
+            of = of | F.coalesce(F.col(c).try_cast("int") == taxon, F.lit(False))
+        out = out.where(of)
+    for column, wanted in (("dataset_key", dataset), ("basis_of_record", (basis or "").upper()), ("occurrence_status", (status or "").upper())):
+        if wanted and wanted.strip():
+            have = F.col(column) if column == "dataset_key" else F.upper(column)
+            out = out.where(have == wanted.strip())
+    return out
+
+
+def as_records(occ: DataFrame, *also: str) -> DataFrame:
+    """Normalized records with the published fields, in their order and by their names; fields that occ lacks are NULL, other columns go but those named."""
+    done = normalize(occ)
+    known = {field: F.col(f"`{name}`") for name in done.columns for field in [_FIELD_OF.get(name, name)] if field in RECORD_FIELDS}
+    return done.select(*also, *[known.get(field, F.lit(None).cast("string")).alias(field) for field in RECORD_FIELDS])
+
+
 def allowed_licenses(occ: DataFrame, allowed: list[str]) -> DataFrame:
     return occ.where(text.license_allowed(F.col("license"), allowed))
 
@@ -88,12 +117,18 @@ def tile_counts(points: DataFrame, size: float, x: str = "lon", y: str = "lat")
     return geometry.with_point_cells(points.where(F.col(x).isNotNull() & F.col(y).isNotNull()), x, y, size).groupBy("cell_x", "cell_y").agg(F.count(F.lit(1)).alias("n"))
 
 
-def quadtree(points: DataFrame, box: tuple[float, float, float, float], target: int, depth: int = 6, x: str = "x", y: str = "y") -> DataFrame:
+def quadtree(points: DataFrame, box: tuple[float, float, float, float], target: int, depth: int = 6, x: str = "x", y: str = "y", max_records: int | None = None, limit: int = 200_000) -> DataFrame:
     """(depth, ix, iy, n): the boxes that come from cutting a box in four until it holds at most ``target`` points.
 
-    Points are counted once, at the deepest level; counts of larger boxes are sums of these. Boxes of
-    the deepest level stay whatever they hold, empty ones are left out.
+    Points are counted once, at the deepest level; counts of larger boxes are sums of these. Empty boxes are left out.
+    A request for at most ``target`` records (``max_records``) is one box, whatever it holds. A box of the deepest level
+    with more than ``limit`` points, which no page of a source reaches, fails the job.
     """
+    target = max(1, target)
+    if max_records is not None and max_records <= target:
+        inside = points.where(F.col(x).between(box[0], box[2]) & F.col(y).between(box[1], box[3]))
+        whole = inside.agg(F.count(F.lit(1)).alias("n")).where("n > 0")
+        return whole.select(F.lit(0).alias("depth"), F.lit(0).cast("long").alias("ix"), F.lit(0).cast("long").alias("iy"), "n")
     side = 1 << depth
     place = lambda c, low, high: F.least(F.floor((F.col(c) - low) / (high - low) * side), F.lit(side - 1)).cast("long")
     deep = points.where(F.col(x).between(box[0], box[2]) & F.col(y).between(box[1], box[3])).select(place(x, box[0], box[2]).alias("ix"), place(y, box[1], box[3]).alias("iy")).groupBy("ix", "iy").agg(F.count(F.lit(1)).alias("n"))
@@ -103,4 +138,7 @@ def quadtree(points: DataFrame, box: tuple[float, float, float, float], target:
     above = counts.select((F.col("depth") + 1).alias("depth"), F.col("ix").alias("px"), F.col("iy").alias("py"), F.col("n").alias("parent"))
     joined = counts.withColumn("px", F.expr("ix div 2")).withColumn("py", F.expr("iy div 2")).join(above, ["depth", "px", "py"], "left")
     leaf = (F.col("n") <= target) | (F.col("depth") == depth)
-    return joined.where(leaf & (F.col("parent").isNull() | (F.col("parent") > target))).select("depth", "ix", "iy", "n")
+    leaves = joined.where(leaf & (F.col("parent").isNull() | (F.col("parent") > target)))
+    beyond = (F.col("depth") == depth) & (F.col("n") > max(target, limit))
+    n = F.when(beyond, F.raise_error(F.lit(f"a box of the deepest level holds more than {limit} points")).cast("long")).otherwise(F.col("n"))
+    return leaves.select("depth", "ix", "iy", n.alias("n"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import crs, geometry
+from .ranks import upper_median
 
 BOX = ("xmin", "ymin", "xmax", "ymax")
 
@@ -18,31 +19,72 @@ def tile_stats(tiles: DataFrame, by: list[str]) -> DataFrame:
     return sized.groupBy(*by).agg(upper("w").alias("median_width"), upper("h").alias("median_height"))
 
 
-def upper_median(df: DataFrame, column: str) -> DataFrame:
-    """The upper median of a whole column, from counts of its values, so that no task holds all rows."""
-    counted = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    up_to = Window.orderBy(column).rowsBetween(Window.unboundedPreceding, 0)
-    total = F.sum("n").over(Window.partitionBy())
-    return counted.select(column, F.sum("n").over(up_to).alias("upto"), total.alias("total")).where(F.col("upto") > F.floor(F.col("total") / 2)).agg(F.min(column).alias(column))
-
-
 def bounds(df: DataFrame, by: list[str]) -> DataFrame:
     return df.groupBy(*by).agg(F.min("xmin").alias("xmin"), F.min("ymin").alias("ymin"), F.max("xmax").alias("xmax"), F.max("ymax").alias("ymax"))
 
 
-def overlapping_tiles(tiles: DataFrame, areas: DataFrame, size: float = 4.0) -> DataFrame:
-    """Tiles that touch the areas' common box, widened by half the median tile; each relpath once, the smallest id.
+def overlapping_tiles(tiles: DataFrame, areas: DataFrame, size: float = 4.0, areas_wgs84: DataFrame | None = None, order: str = "tile_id", required: bool = False) -> DataFrame:
+    """(relpath, tile_id, xmin … ymax): the tiles to read for some areas, each relpath once, the first in ``order``.
 
-    The box is one row, so its cells are few and a cell key makes the test a hash join.
+    These are the tiles that touch the areas' common box, widened by half the median tile; any tile that touches an
+    area itself is one of them. If there are none, those whose box in degrees (w_xmin … w_ymax, see ``tile_index``)
+    touches the box of ``areas_wgs84``. With ``required`` it is an error to find none. A box is one row, so its cells
+    are few and a cell key makes the tests hash joins.
     """
-    box = areas.select(geometry.ring_box(F.col("ring")).alias("b")).agg(*[f(f"b.{c}").alias(c) for f, c in zip((F.min, F.min, F.max, F.max), BOX, strict=True)])
     sized = tiles.withColumn("w", F.col("xmax") - F.col("xmin")).withColumn("h", F.col("ymax") - F.col("ymin"))
     half = upper_median(sized, "w").crossJoin(upper_median(sized, "h"))
-    wide = box.crossJoin(half).select((F.col("xmin") - F.col("w") / 2).alias("a_xmin"), (F.col("ymin") - F.col("h") / 2).alias("a_ymin"), (F.col("xmax") + F.col("w") / 2).alias("a_xmax"), (F.col("ymax") + F.col("h") / 2).alias("a_ymax"))
-    left = geometry.with_box_cells(tiles, BOX, size)
-    right = geometry.with_box_cells(wide, ("a_xmin", "a_ymin", "a_xmax", "a_ymax"), size)
-    hit = left.join(right.hint("shuffle_hash"), (left.cell_x == right.cell_x) & (left.cell_y == right.cell_y) & geometry.boxes_touch(BOX, ("a_xmin", "a_ymin", "a_xmax", "a_ymax")), "left_semi")
-    return hit.groupBy("relpath").agg(F.min(F.struct("tile_id", *BOX)).alias("t")).select("relpath", "t.*")
+    box = common_box(areas).crossJoin(half)
+    wide = box.select((F.col("xmin") - F.col("w") / 2).alias("a_xmin"), (F.col("ymin") - F.col("h") / 2).alias("a_ymin"), (F.col("xmax") + F.col("w") / 2).alias("a_xmax"), (F.col("ymax") + F.col("h") / 2).alias("a_ymax"))
+    hit = touching_box(tiles, BOX, wide, size)
+    if (areas_wgs84 is not None or required) and hit.isEmpty():
+        # No tile touches the widened box, so none touches an area inside it: only boxes in degrees are left.
+        if areas_wgs84 is not None:
+            degrees = common_box(areas_wgs84).select(*[F.col(c).alias(f"a_{c}") for c in BOX])
+            hit = touching_box(tiles, tuple(f"w_{c}" for c in BOX), degrees, size)
+        if required and hit.isEmpty():
+            raise ValueError("the areas touch no tile")
+    first = F.min_by(F.struct("tile_id", *BOX), F.struct(order, "tile_id"))
+    return hit.where("relpath <> ''").groupBy("relpath").agg(first.alias("t")).select("relpath", "t.*")
+
+
+def common_box(areas: DataFrame) -> DataFrame:
+    """One row: the box around all rings."""
+    return areas.select(geometry.ring_box(F.col("ring")).alias("b")).agg(*[f(f"b.{c}").alias(c) for f, c in zip((F.min, F.min, F.max, F.max), BOX, strict=True)])
+
+
+def touching_box(tiles: DataFrame, sides: tuple, box: DataFrame, size: float = 4.0) -> DataFrame:
+    """The tiles whose box, four named columns, touches the one of ``box`` (a_xmin, a_ymin, a_xmax, a_ymax); those without a box touch nothing."""
+    left = geometry.with_box_cells(tiles.where(F.col(sides[0]).isNotNull()), sides, size)
+    right = geometry.with_box_cells(box, ("a_xmin", "a_ymin", "a_xmax", "a_ymax"), size)
+    met = (left.cell_x == right.cell_x) & (left.cell_y == right.cell_y) & geometry.boxes_touch(sides, ("a_xmin", "a_ymin", "a_xmax", "a_ymax"))
+    return left.join(right.hint("shuffle_hash"), met, "left_semi").select(*tiles.columns)
+
+
+def normalize_dims(raster: DataFrame, dims: list[str]) -> DataFrame:
+    """A raster, one row a cell, with the dimensions ``dims`` in their order: the last two become y and x.
+
+    A band or variable dimension of one value is dropped, one of several stays and is no spatial dimension. If x and y
+    are among the dimensions nothing is renamed; with fewer than two it is an error.
+    """
+    one = [d for d in dims if d in ("band", "variable") and raster.select(d).distinct().limit(2).count() == 1]
+    left = [d for d in dims if d not in one]
+    out = raster.drop(*one)
+    if {"x", "y"} <= set(left):
+        return out
+    spatial = [d for d in left if d not in ("band", "variable")]
+    spatial = spatial if len(spatial) >= 2 else left
+    if len(spatial) < 2:
+        raise ValueError(f"no two spatial dimensions among {dims}")
+    return out.withColumnsRenamed({spatial[-2]: "y", spatial[-1]: "x"})
+
+
+def recode_landcover(pixels: DataFrame, column: str, nodata: int = -9999, missing: int | None = None) -> DataFrame:
+    """Land cover classes as whole numbers: 0, NULL and the source's own ``missing`` value become ``nodata``."""
+    c = F.col(column)
+    none = c.isNull() | (c == 0)
+    if missing is not None:
+        none = none | (c == missing)
+    return pixels.withColumn(column, F.when(none, nodata).otherwise(c).cast("int"))
 
 
 def best_overlap(rasters: DataFrame, areas: DataFrame, size: float = 4.0) -> DataFrame:
@@ -91,6 +133,37 @@ def clip(pixels: DataFrame, areas: DataFrame, touched: bool = False, size: float
     return placed.join(geometry.small_or_not(rings), on, "left_semi").drop("cell_x", "cell_y")
 
 
+def clip_or_whole(pixels: DataFrame, areas: DataFrame, size: float = 4.0) -> DataFrame:
+    """Pixels whose centre is in an area; if none is, those that an area touches; if none is touched, all of them.
+
+    An area that does not meet the box around the pixels is an error. Each step is tried only when the one before is empty.
+    """
+    for touched in (False, True):
+        found = clip(pixels, areas, touched, size)
+        if not found.isEmpty():
+            return found
+    box = pixels.agg(F.min("col").alias("xmin"), F.min("row").alias("ymin"), (F.max("col") + 1).alias("xmax"), (F.max("row") + 1).alias("ymax"))
+    met = areas.crossJoin(F.broadcast(box)).where(geometry.ring_meets_box(F.col("ring"), tuple(map(F.col, BOX))))  # the box is one row
+    if met.isEmpty():
+        raise ValueError("no area meets the raster")
+    return pixels
+
+
+def tile_index(tiles: DataFrame, system: str, scale: float = 1.0) -> DataFrame:
+    """tiles with w_xmin … w_ymax, the box in degrees around their four corners, and ``crs``; without a box where a corner has no place.
+
+    Tile sides are ``scale`` metres (or degrees) each.
+    """
+    corners = [crs.transform(F.col(x) * scale, F.col(y) * scale, system, "EPSG:4326") for x in ("xmin", "xmax") for y in ("ymin", "ymax")]
+    lons, lats = [c[0] for c in corners], [c[1] for c in corners]
+    out_of_place = lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))
+    failed = out_of_place(lons[0])
+    for v in lons[1:] + lats:
+        failed = failed | out_of_place(v)
+    box = {"w_xmin": F.least(*lons), "w_ymin": F.least(*lats), "w_xmax": F.greatest(*lons), "w_ymax": F.greatest(*lats)}
+    return tiles.withColumns({name: F.when(~failed, value) for name, value in box.items()} | {"crs": F.lit(system)})
+
+
 def resample_nearest(source: DataFrame, target: DataFrame, ratio: float, bands: list[str]) -> DataFrame:
     """target (row, col) with the bands of the source cell under its centre; source cells are ``ratio`` times as small.
 

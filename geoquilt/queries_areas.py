@@ -10,6 +10,7 @@ from .operators import occurrences as oc
 from .operators import rasters as ra
 from .operators import scenes as sc
 from .registry import query, rounded
+from .sources import readers
 from .sources.views import aoi, view
 
 BOX = ["xmin", "ymin", "xmax", "ymax"]
@@ -128,6 +129,21 @@ def p22_occ_filter(spark, d):
     return oc.select_taxa(view(spark, d, "occ"), [1, 6], [212, 359]).select("pos")
 
 
+REQUESTED = "select *, 'd' || cast(pos % 3 as varchar) as dataset_key, case when pos % 2 = 0 then 'Human_Observation' else 'PRESERVED_SPECIMEN' end as basis_of_record, case when pos % 7 = 0 then 'absent' else 'PRESENT' end as occurrence_status from occ"
+
+
+@query("p22_occ_request", "select pos from asked where lon is not null and lat is not null and coalesce(class_key, '') = '212' and dataset_key = 'd1' and upper(basis_of_record) = 'HUMAN_OBSERVATION' and upper(occurrence_status) = 'PRESENT'", asked=REQUESTED)
+def p22_occ_request(spark, d):
+    """Records that a request names: a taxon, a dataset, a basis and a status."""
+    pos = F.col("pos")
+    occ = view(spark, d, "occ").withColumns({
+        "dataset_key": F.concat(F.lit("d"), pos % 3),
+        "basis_of_record": F.when(pos % 2 == 0, "Human_Observation").otherwise("PRESERVED_SPECIMEN"),
+        "occurrence_status": F.when(pos % 7 == 0, "absent").otherwise("PRESENT"),
+    })
+    return oc.requested(occ, 212, "d1", "human_observation", "present").select("pos")
+
+
 @query("p23_occ_license", "select pos from codes where code in ('CC0', 'CC_BY', 'CC_BY_SA', 'CC_BY_ND')", codes=LICENSE_SQL)
 def p23_occ_license(spark, d):
     return oc.allowed_licenses(view(spark, d, "occ"), ["COMMERCIAL"]).select("pos")
@@ -145,6 +161,16 @@ def p25_occ_normalize(spark, d):
     return oc.normalize(raw).select("pos", "species", "year", "issues", "gbif_id")
 
 
+FIELDS_SQL = {"gbifID": "coalesce(gbif_id, cast(pos as varchar))", "occurrenceID": "occurrence_id", "scientificName": "scientific_name", "species": "coalesce(nullif(species, ''), scientific_name)", "classKey": "class_key", "kingdomKey": "kingdom_key", "eventDate": "event_date", "year": "coalesce(year, try_cast(nullif(regexp_extract(event_date, '[0-9]{4}'), '') as integer))", "decimalLatitude": "lat", "decimalLongitude": "lon", "license": "license"}
+
+
+@query("p25_occ_record", "select pos as key, " + ", ".join(f'{FIELDS_SQL.get(f, "null")} as "{f}"' for f in readers.RECORD_FIELDS) + " from occ")
+def p25_occ_record(spark, d):
+    """All published fields of normalized records."""
+    keyed = view(spark, d, "occ").withColumn("key", F.col("pos"))
+    return oc.as_records(keyed, "key")
+
+
 @query("p26_taxon_labels", "select pos, coalesce(case kingdom_key when '1' then 'Animalia' when '5' then 'Fungi' when '6' then 'Plantae' end, kingdom_key) as kingdom, coalesce(case class_key when '212' then 'Aves' when '359' then 'Mammalia' end, class_key) as class_name from occ")
 def p26_taxon_labels(spark, d):
     occ = oc.with_labels(view(spark, d, "occ"), "kingdom_key", oc.KINGDOMS, "kingdom")
@@ -195,6 +221,13 @@ def t3_quadtree_tiles(spark, d):
     return oc.quadtree(occ, (0.0, 0.0, 1.0, 1.0), 200)
 
 
+@query("t3_capped_request", "select cast(0 as integer) as depth, 0 as ix, 0 as iy, count(*) as n from skewed", skewed=SKEWED)
+def t3_capped_request(spark, d):
+    """A request for no more records than a box may hold is one box."""
+    occ = view(spark, d, "occ").where("lon is not null").select((F.col("lon") * F.col("lon") / 400).alias("x"), (F.col("lat") * F.col("lat") / 400).alias("y"))
+    return oc.quadtree(occ, (0.0, 0.0, 1.0, 1.0), 200, max_records=100)
+
+
 @query("t2_tile_shrink", ", w as (select k, 0.25 / (1 << k) as step, max(n) as heaviest from (select k, floor(x / (0.25 / (1 << k))), floor(y / (0.25 / (1 << k))), count(*) as n from skewed, (select range as k from range(6)) group by all) group by k) select cast(step as double) as step, heaviest from w order by heaviest > 60, case when heaviest > 60 then -k else k end limit 1", skewed=SKEWED)
 def t2_tile_shrink(spark, d):
     occ = view(spark, d, "occ").where("lon is not null").select((F.col("lon") * F.col("lon") / 400).alias("x"), (F.col("lat") * F.col("lat") / 400).alias("y"))
@@ -254,10 +287,8 @@ def t6_native_grid(spark, d):
 @query("s5_tile_index", "select relpath, round(degrees(xmin * 100000 / 6378137e0), 9) as lon_min, round(degrees(2 * atan(exp(ymin * 100000 / 6378137e0)) - pi() / 2), 9) as lat_min, round(degrees(xmax * 100000 / 6378137e0), 9) as lon_max, round(degrees(2 * atan(exp(ymax * 100000 / 6378137e0)) - pi() / 2), 9) as lat_max from tiles")
 def s5_tile_index(spark, d):
     """Tiles with the envelope in degrees of their four corners."""
-    tiles = view(spark, d, "tiles")
-    corners = [crs.transform(F.col(x) * 100000, F.col(y) * 100000, "EPSG:3857", "EPSG:4326") for x in ("xmin", "xmax") for y in ("ymin", "ymax")]
-    lons, lats = [c[0] for c in corners], [c[1] for c in corners]
-    out = tiles.select("relpath", F.least(*lons).alias("lon_min"), F.least(*lats).alias("lat_min"), F.greatest(*lons).alias("lon_max"), F.greatest(*lats).alias("lat_max"))
+    tiles = ra.tile_index(view(spark, d, "tiles"), "EPSG:3857", 100_000)
+    out = tiles.select("relpath", F.col("w_xmin").alias("lon_min"), F.col("w_ymin").alias("lat_min"), F.col("w_xmax").alias("lon_max"), F.col("w_ymax").alias("lat_max"))
     return rounded(out, "lon_min", "lat_min", "lon_max", "lat_max")
 
 

@@ -50,8 +50,8 @@ def u3_common_seasons(spark, d):
     return catalog.common_seasons(requests(spark, d), "job").select("job", F.array_join("seasons", ",").alias("seasons"))
 
 
-JOBS = """select n_nationkey as job, ['A', 'B', 'A'] as aois, ['summer', 'winter', 'summer'] as seasons, [2020 + n_nationkey % 2, 2021, 2021] as years,
- case n_nationkey % 4 when 0 then ['ndvi', 'NDMI', 'msi', 'clay', 'gbif_occurrences', 'ndvi'] when 1 then ['msi', 'fvc'] when 2 then ['bdod', 'sand'] else ['BSI', 'ndmi', 'msi', 'rgb'] end as variables from nation"""
+JOBS = """select s_suppkey as job, ['A', 'B', 'A'] as aois, ['summer', 'winter', 'summer'] as seasons, [2020 + s_suppkey % 2, 2021, 2021] as years,
+ case s_suppkey % 4 when 0 then ['ndvi', 'NDMI', 'msi', 'clay', 'gbif_occurrences', 'ndvi'] when 1 then ['msi', 'fvc'] when 2 then ['bdod', 'sand'] else ['BSI', 'ndmi', 'msi', 'rgb'] end as variables from supplier"""
 TASKS = """select job, aoi, season, year, task_type, variables from (
  with j as (select job, unnest(list_distinct(aois)) as aoi, seasons, years, list_transform(variables, lambda v: lower(v)) as vs from jobs),
  v as (select job, aoi, unnest(list_distinct(vs)) as v from j),
@@ -64,11 +64,11 @@ TASKS = """select job, aoi, season, year, task_type, variables from (
 
 
 def jobs(spark, d):
-    nation = spark.read.parquet(f"{d}/nation.parquet")
+    supplier = spark.read.parquet(f"{d}/supplier.parquet")
     text = lambda *x: F.array(*map(F.lit, x))
-    k = F.col("n_nationkey") % 4
+    k = F.col("s_suppkey") % 4
     variables = F.when(k == 0, text("ndvi", "NDMI", "msi", "clay", "gbif_occurrences", "ndvi")).when(k == 1, text("msi", "fvc")).when(k == 2, text("bdod", "sand")).otherwise(text("BSI", "ndmi", "msi", "rgb"))
-    return nation.select(F.col("n_nationkey").alias("job"), text("A", "B", "A").alias("aois"), text("summer", "winter", "summer").alias("seasons"), F.array(F.lit(2020) + F.col("n_nationkey") % 2, F.lit(2021), F.lit(2021)).alias("years"), variables.alias("variables"))
+    return supplier.select(F.col("s_suppkey").alias("job"), text("A", "B", "A").alias("aois"), text("summer", "winter", "summer").alias("seasons"), F.array(F.lit(2020) + F.col("s_suppkey") % 2, F.lit(2021), F.lit(2021)).alias("years"), variables.alias("variables"))
 
 
 @query("j12_extraction_plan", "select * from tasks", jobs=JOBS, tasks=TASKS)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .functions import dates, spectral
 from .operators import observations as ob
 from .operators import rasters as ra
+from .plans import plugins
 from .registry import query, rounded
 from .sources.views import aoi, view
 
@@ -148,14 +149,14 @@ def p18_rgba8(spark, d):
 
 @query("p19_landcover_recode", "select row, col, cast(case when cls is null or cls = 0 then -9999 else cls end as integer) as cls from lc")
 def p19_landcover_recode(spark, d):
-    return view(spark, d, "lc").withColumn("cls", F.when(F.col("cls").isNull() | (F.col("cls") == 0), -9999).otherwise(F.col("cls")).cast("int"))
+    return ra.recode_landcover(view(spark, d, "lc"), "cls")
 
 
 @query("p20_dim_normalize", "select row as y, col as x, cls as value from lc")
 def p20_dim_normalize(spark, d):
     """A raster whose last two dimensions have other names and whose only band is a dimension too."""
     raster = view(spark, d, "lc").withColumnsRenamed({"row": "latitude", "col": "longitude", "cls": "value"}).withColumn("band", F.lit(1))
-    return raster.withColumnsRenamed({"latitude": "y", "longitude": "x"}).drop("band")
+    return ra.normalize_dims(raster, ["band", "latitude", "longitude"])
 
 
 @query("p21_north_up", "select tile_ord, case when tile_ord % 2 = 1 then 19 - row else row end as row, col, v, cast(case when tile_ord % 2 = 1 then 100 + 20 * 10 else 300 end as double) as y0, cast(-10 as double) as dy from tile_px")
@@ -305,3 +306,32 @@ def w9_tile_mosaic(spark, d):
 @query("t7_overviews", "select level, row // (1 << level) as row, col // (1 << level) as col, cls, (row // (1 << level)) // 4 as block_row, (col // (1 << level)) // 4 as block_col from lc, (select cast(range as integer) as level from range(4)) where row % (1 << level) = 0 and col % (1 << level) = 0")
 def t7_overviews(spark, d):
     return ra.overviews(view(spark, d, "lc"), levels=3, block=4).select("level", "row", "col", "cls", F.col("block_row").cast("long").alias("block_row"), F.col("block_col").cast("long").alias("block_col"))
+
+
+@query("v_plugin_layers", "select row, col, 'ndvi' as variable, 10.0 as resolution, round((b08 - b04) / nullif(b08 + b04, 0), 9) as value from medians union all select row, col, 'ndmi', 20.0, round((b08 - b11) / nullif(b08 + b11, 0), 9) from medians", medians=SUMMER_MEDIANS)
+def v_plugin_layers(spark, d):
+    """Two indices as plug-ins: each extracts its own bands of a season, and a transform rounds and names the layer."""
+    from pyspark.sql import DataFrame
+
+    known = plugins.Variables()
+
+    def index(name: str) -> plugins.Variable:
+        def extractor(options):
+            def extract(areas: DataFrame, year, season, resolution):
+                start, end = dates.season_window(F.lit(year), F.lit(season))
+                days = spark.range(1).select(start.cast("string").alias("start"), end.cast("string").alias("end")).first()
+                bands = spectral.required_bands([name])
+                obs = ob.mask_classes(ob.scan(view(spark, d, "obs"), bands, *days, max_cloud=options["cloud"]), bands)
+                return ob.index_composite(obs, [name])
+
+            return extract
+
+        as_layer = lambda df: rounded(df.select("row", "col", F.lit(name).alias("variable"), F.col(name).alias("value")), "value")
+        return plugins.Variable(extractor, lambda options: as_layer)
+
+    layers = []
+    for name in ("ndvi", "ndmi"):
+        known.add(name, index(name))
+        layer, resolution = known.layer(name.upper(), aoi(spark, "A"), 1996, "summer", options={"cloud": 40.0})
+        layers.append(layer.withColumn("resolution", F.lit(float(resolution))))
+    return layers[0].unionByName(layers[1])

@@ -10,7 +10,7 @@ from .operators import rasters as ra
 from .plans import tracking
 from .registry import query, rounded
 from .sources import readers, scratch, sinks
-from .sources.views import view
+from .sources.views import aoi, view
 from .streaming import occurrences as stream
 
 BOX = ["xmin", "ymin", "xmax", "ymax"]
@@ -76,13 +76,28 @@ def s6_listing_links(spark, d):
     return readers.listing_links(spark.read.parquet(f"{d}/pages.parquet"))
 
 
-@query("s7_raster_catalog", "select distinct path, greatest(abs(xmax - xmin) / (raster_id % 5 + 1), abs(ymax - ymin) / (raster_id % 3 + 1)) as resolution from rasters where regexp_matches(path, '[0-4]$')")
+FILES_SQL = "select distinct 'data/' || path || case raster_id % 5 when 0 then '.tif' when 1 then '.tiff' when 2 then '.vrt' when 3 then '.txt' else '_tif' end as path, xmin, ymin, xmax, ymax, greatest((xmax - xmin) / (raster_id % 7 + 1), (ymax - ymin) / (raster_id % 3 + 1)) as resolution from rasters where raster_id % 5 < 3"
+
+
+@query("s7_raster_catalog", FILES_SQL)
 def s7_raster_catalog(spark, d):
-    """Rasters whose names match a pattern, each once, with their coarser pixel side."""
-    r = view(spark, d, "rasters").withColumns({"width": F.col("raster_id") % 5 + 1, "height": F.col("raster_id") % 3 + 1})
-    found = r.where(F.col("path").rlike("[0-2]$")).unionByName(r.where(F.col("path").rlike("[1-4]$")))
-    step = F.greatest(F.abs((F.col("xmax") - F.col("xmin")) / F.col("width")), F.abs((F.col("ymax") - F.col("ymin")) / F.col("height")))
-    return found.select("path", step.alias("resolution")).distinct()
+    """Rasters whose file names fit a pattern, each once, with the longer side of their pixels; every file is listed twice."""
+    end = F.element_at(F.array(*map(F.lit, (".tif", ".tiff", ".vrt", ".txt", "_tif"))), (F.col("raster_id") % 5 + 1).cast("int"))
+    files = view(spark, d, "rasters").withColumns({"path": F.concat(F.lit("data/"), "path", end), "width": F.col("raster_id") % 7 + 1, "height": F.col("raster_id") % 3 + 1})
+    return readers.raster_catalog(files.unionByName(files))
+
+
+IMAGES_SQL = "select vec_id as image_id, make_date(2017 + vec_id % 5, 1 + vec_id % 12, 1 + vec_id % 28) as image_date, cast(vec_id * 7 % 20 as double) as xmin, cast(vec_id * 11 % 20 as double) as ymin from emb_px"
+FIRST_SQL = "select image_id, image_date, row_number() over (order by image_date, image_id) as n from images where image_date >= date '2019-01-01' and image_date < date '2020-01-01' and xmin <= 12 and xmin + 3 >= 4 and ymin <= 12 and ymin + 3 >= 4"
+
+
+@query("s8_first_image", "select 'A' as aoi_id, image_id, cast(image_date as varchar) as image_date from first where n = 1", images=IMAGES_SQL, first=FIRST_SQL)
+def s8_first_image(spark, d):
+    """The first image of a year over an area."""
+    low = lambda k: (F.col("vec_id") * k % 20).cast("double")
+    date = F.make_date((F.lit(2017) + F.col("vec_id") % 5).cast("int"), (F.col("vec_id") % 12 + 1).cast("int"), (F.col("vec_id") % 28 + 1).cast("int"))
+    images = view(spark, d, "emb_px").select(F.col("vec_id").alias("image_id"), date.alias("image_date"), low(7).alias("xmin"), low(11).alias("ymin"), (low(7) + 3).alias("xmax"), (low(11) + 3).alias("ymax"))
+    return readers.annual_images(images, aoi(spark, "A"), 2019).select("aoi_id", "image_id", F.col("image_date").cast("string").alias("image_date"))
 
 
 @query("s8_embedding_scan", "select tile, min(vec_id) as vec_id from emb_px where year = 2019 group by tile")
@@ -143,6 +158,17 @@ def k4_write_run_report(spark, d):
     return flat.groupBy("job_name").agg(F.count("output_id").alias("n"), F.count_distinct("job_name", "ts", "git_commit").alias("runs"))
 
 
+COLLECTION_SQL = "case event_id % 7 when 0 then 'SENTINEL2_L2A' when 1 then 'my_sentinel2_l2a' when 2 then 'Sentinel2-L1C' when 3 then 'landsat_l2a' when 4 then '' when 5 then null else 'SENTINEL2_L2A_SENTINELHUB' end"
+
+
+@query("fn_catalogue_id", f"select event_id, case when c like '%SENTINEL2%' then case when c like '%L2A%' then 'sentinel-2-l2a' when c like '%L1C%' then 'sentinel-2-l1c' end end as catalogue_id, case when event_id % 3 = 0 and trim(coalesce(raw, '')) <> '' then raw when event_id % 5 <> 0 then 'from settings' else 'SENTINEL2_L2A' end as collection from (select event_id, {COLLECTION_SQL} as raw, upper({COLLECTION_SQL}) as c from events)")
+def fn_catalogue_id(spark, d):
+    """Catalogue ids of collections; and the collection of a job: its argument, else the settings', else the usual one."""
+    events = spark.read.parquet(f"{d}/events.parquet").select("event_id", F.expr(COLLECTION_SQL).alias("raw"))
+    given = text.first_given(F.when(F.col("event_id") % 3 == 0, F.col("raw")), F.when(F.col("event_id") % 5 == 0, F.lit("  ")).otherwise(F.lit("from settings")), F.lit("SENTINEL2_L2A"))
+    return events.select("event_id", text.catalogue_id(F.col("raw")).alias("catalogue_id"), given.alias("collection"))
+
+
 @query("fn_slug_and_paths", "select output_id, trim(regexp_replace(lower(job_name || ' / ' || variable), '[^a-z0-9]+', '_', 'g'), '_') as slug, variable || '_' || year || '_' || season || '_' || lower(job_name) || '.tif' as name, 'base/' || variable || '/' || year as path from outputs")
 def fn_slug_and_paths(spark, d):
     o = view(spark, d, "outputs")

@@ -5,12 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import text
+from ..functions import geometry
 
+BOX = ("xmin", "ymin", "xmax", "ymax")
 _POINT = "array<array<array<double>>>"
 FEATURES = f"crs struct<properties:struct<name:string>>, features array<struct<properties:struct<id:bigint>, geometry:struct<type:string, coordinates:{_POINT}>>>"
 ITEMS = f"features array<struct<id:bigint, bbox:array<double>, geometry:struct<type:string, coordinates:{_POINT}>, properties:struct<datetime:string, start_datetime:string, `eo:cloud_cover`:double, cloudCover:double, `s2:cloud_coverage`:double>>>"
-RECORDS = "results array<struct<gbifID:string, key:bigint, occurrenceID:string, decimalLongitude:double, decimalLatitude:double, kingdomKey:string, classKey:string, license:string, eventDate:string, year:int, species:string, scientificName:string, issues:array<string>>>"
+# The fields of an occurrence record, in their order.
+RECORD_FIELDS = (
+    "gbifID", "occurrenceID", "datasetKey", "basisOfRecord", "occurrenceStatus", "scientificName", "species", "speciesKey", "genus", "genusKey",
+    "family", "familyKey", "order", "orderKey", "class", "classKey", "phylum", "phylumKey", "kingdom", "kingdomKey", "taxonRank", "taxonKey",
+    "eventDate", "year", "month", "day", "country", "countryCode", "stateProvince", "locality", "decimalLatitude", "decimalLongitude",
+    "coordinateUncertaintyInMeters", "elevation", "depth", "recordedBy", "identifiedBy", "institutionCode", "collectionCode", "catalogNumber",
+    "license", "rightsHolder", "references", "lastInterpreted", "issues",
+)
+_TEXT = "string"
+_NOT_TEXT = dict.fromkeys(("year", "month", "day"), "int") | dict.fromkeys(("decimalLatitude", "decimalLongitude", "coordinateUncertaintyInMeters", "elevation", "depth"), "double") | {"issues": "array<string>"}
+RECORDS = f"results array<struct<key:bigint, {', '.join(f'`{name}`:{_NOT_TEXT.get(name, _TEXT)}' for name in RECORD_FIELDS)}>>"
+#: Names used here for fields of a record.
+RECORD_NAMES = {"gbifID": "gbif_id", "occurrenceID": "occurrence_id", "decimalLongitude": "lon", "decimalLatitude": "lat", "kingdomKey": "kingdom_key", "classKey": "class_key", "eventDate": "event_date", "scientificName": "scientific_name"}
 RUNS = "job_info struct<job_name:string, ts:string, git_commit:string>, execution struct<total_outputs:int, successful_outputs:int, failed_outputs:int>, outputs array<struct<output_id:bigint, variable:string, year:string, season:string, gcs_uri:string>>"
 HISTORY = "job_name string, ts string, git_commit string, output_id bigint, variable string, year string, season string, gcs_uri string"
 
@@ -43,10 +56,9 @@ def scene_items(spark: SparkSession, path: str) -> DataFrame:
 
 
 def occurrence_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Records of result pages, in the names used here."""
+    """Records of result pages with all their fields, the most used ones (RECORD_NAMES) by the names used here."""
     r = spark.read.schema(RECORDS).json(path).select(F.explode("results").alias("r")).select("r.*")
-    names = {"gbifID": "gbif_id", "occurrenceID": "occurrence_id", "decimalLongitude": "lon", "decimalLatitude": "lat", "kingdomKey": "kingdom_key", "classKey": "class_key", "eventDate": "event_date", "scientificName": "scientific_name"}
-    return r.withColumnsRenamed(names)
+    return r.withColumnsRenamed(RECORD_NAMES)
 
 
 def run_records(spark: SparkSession, path: str) -> DataFrame:
@@ -73,3 +85,40 @@ def tile_files(spark: SparkSession, path: str) -> DataFrame:
 def annual_layer(embeddings: DataFrame, year: int, label: str = "year") -> DataFrame:
     """The rows of one year; years are half-open, from January 1 to before the next."""
     return embeddings.where((F.col(label) >= year) & (F.col(label) < year + 1))
+
+
+def annual_images(images: DataFrame, areas: DataFrame, year: int, date: str = "image_date", key: str = "image_id", required: bool = False) -> DataFrame:
+    """For each area (aoi_id, ring) the first image (date, then key) of a year whose box meets it; a year ends before January 1 of the next.
+
+    The dates are plain filters and reach the scan. With ``required`` an area without an image is an error.
+    """
+    of_year = images.where((F.col(date) >= F.lit(f"{year}-01-01").cast("date")) & (F.col(date) < F.lit(f"{year + 1}-01-01").cast("date")))
+    columns = [c for c in images.columns if c != "aoi_id"]
+    rings = areas.select("aoi_id", "ring").distinct()
+    box = geometry.ring_box(F.col("ring"))
+    keyed = geometry.with_box_cells(rings.select("aoi_id", "ring", *[box[c].alias(f"a_{c}") for c in BOX]), tuple(f"a_{c}" for c in BOX), 4.0)
+    met = geometry.with_box_cells(of_year, BOX, 4.0).join(geometry.small_or_not(keyed), ["cell_x", "cell_y"])
+    met = met.where(geometry.ring_meets_box(F.col("ring"), tuple(map(F.col, BOX))))
+    first = met.groupBy("aoi_id").agg(F.min_by(F.struct(*columns), F.struct(date, key)).alias("image"))
+    if required:
+        missing = rings.select("aoi_id").distinct().join(first, "aoi_id", "left_anti").limit(1).collect()
+        if missing:
+            raise ValueError(f"no image of {year} for area {missing[0].aoi_id}")
+    return first.select("aoi_id", "image.*")
+
+
+def raster_catalog(files: DataFrame, patterns: tuple[str, ...] = ("*.tif", "*.tiff", "*.vrt"), required: bool = False) -> DataFrame:
+    """(path, xmin, ymin, xmax, ymax, resolution): the rasters whose file name fits a pattern, each path once, in order of the path.
+
+    ``files`` has path, the sides of the box, width and height in pixels. The resolution is the longer side of a pixel, NULL
+    where a side is 0. With ``required`` it is an error to find none.
+    """
+    name = F.element_at(F.split("path", "/"), -1)
+    fits = F.lit(False)
+    for p in patterns:
+        fits = fits | name.like(p.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_").replace("*", "%").replace("?", "_"))
+    wide, high = F.abs(F.try_divide(F.col("xmax") - F.col("xmin"), F.col("width"))), F.abs(F.try_divide(F.col("ymax") - F.col("ymin"), F.col("height")))
+    found = files.where(fits).dropDuplicates(["path"]).select("path", *BOX, F.when((wide > 0) & (high > 0), F.greatest(wide, high)).alias("resolution")).orderBy("path")
+    if required and found.isEmpty():
+        raise ValueError(f"no file fits {', '.join(patterns)}")
+    return found

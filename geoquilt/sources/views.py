@@ -30,8 +30,8 @@ VIEWS = {
  case when event_id%7=0 then '' when event_id%7=1 then null else concat('sp-',cast(user_id%40 as string)) end as species, concat('sci-',cast(user_id%40 as string)) as scientific_name from events""",
     "tiles": """select p_partkey as tile_id, concat('tileSG-',cast(p_partkey as string)) as relpath, cast((p_partkey*7)%20 as double) as xmin, cast((p_partkey*13)%20 as double) as ymin,
  cast((p_partkey*7)%20+1+p_size%4 as double) as xmax, cast((p_partkey*13)%20+1+p_size%3 as double) as ymax from part""",
-    "rasters": """select n_nationkey as raster_id, n_name as path, cast((n_nationkey*5)%17 as double) as xmin, cast((n_nationkey*3)%11 as double) as ymin,
- cast((n_nationkey*5)%17+6 as double) as xmax, cast((n_nationkey*3)%11+5 as double) as ymax from nation""",
+    "rasters": """select s_suppkey as raster_id, s_name as path, cast((s_suppkey*5)%17 as double) as xmin, cast((s_suppkey*3)%11 as double) as ymin,
+ cast((s_suppkey*5)%17+6 as double) as xmax, cast((s_suppkey*3)%11+5 as double) as ymax from supplier""",
     "tile_px": """select l_suppkey%6 as tile_ord, l_suppkey%20 as row, l_partkey%20 as col,
  case when max(l_orderkey)%5=0 then null else cast(max(l_orderkey) as double) end as v from lineitem group by l_suppkey%6,l_suppkey%20,l_partkey%20""",
     "lc": """select l_suppkey%20 as row, l_partkey%20 as col, case when min(l_orderkey)%9=0 then null else cast(min(l_orderkey)%12 as int) end as cls from lineitem group by l_suppkey%20,l_partkey%20""",

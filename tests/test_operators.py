@@ -194,3 +194,102 @@ def test_without_the_corpus_operators_the_rest_imports():
 
     code = "import sys; sys.modules['geoquilt.llm'] = None; import __spark_entry__ as e; assert e.queries() and not any(n.startswith('op1_') for n in e.queries())"
     subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parents[1])
+
+
+def _points(spark, n, x=0.5, y=0.5):
+    return spark.range(n).select(F.lit(x).alias("x"), F.lit(y).alias("y"))
+
+
+def test_a_full_box_of_the_deepest_level_fails(spark):
+    box = (0.0, 0.0, 1.0, 1.0)
+    assert oc.quadtree(_points(spark, 30), box, 5, depth=2, limit=30).collect()[0].n == 30
+    with pytest.raises(Exception, match="more than 29 points"):
+        oc.quadtree(_points(spark, 30), box, 5, depth=2, limit=29).collect()
+    assert [tuple(r) for r in oc.quadtree(_points(spark, 30), box, 5, depth=2, max_records=5).collect()] == [(0, 0, 0, 30)]
+    assert oc.quadtree(_points(spark, 0), box, 5, max_records=5).isEmpty()
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 5, 1000])
+def test_quantiles_like_numpy(spark, n):
+    from geoquilt.operators import ranks
+
+    values = np.random.default_rng(n).integers(0, max(1, n // 3), n) / 7
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double")
+    row = ranks.quantiles(df, "v", {"low": 0.05, "high": 0.95}).collect()[0]
+    if n == 0:
+        assert row.low is None and row.high is None
+    else:
+        assert np.allclose([row.low, row.high], np.percentile(values, [5, 95]))
+        assert ranks.upper_median(df, "v").collect()[0].v == sorted(values)[n // 2]
+
+
+def test_tile_files_by_their_numbers(spark, tmp_path):
+    for name in ("merged_tile10", "merged_tile2", "tilex", "other"):
+        spark.range(2).toPandas().to_parquet(tmp_path / f"{name}.parquet")
+    found = {r.path.rsplit("/", 1)[1]: r.number for r in readers.tile_files(spark, str(tmp_path)).collect()}
+    assert found == {"merged_tile10.parquet": 10, "merged_tile2.parquet": 2, "tilex.parquet": 0, "other.parquet": 0}
+
+
+def _area(spark, *points):
+    return spark.createDataFrame([("a", 0, [(float(x), float(y)) for x, y in points])], "aoi_id string, feature_id int, ring array<struct<x:double,y:double>>")
+
+
+def test_tiles_by_degrees_only_without_others(spark):
+    tiles = spark.createDataFrame([(1, "one", 0.0, 0.0, 1.0, 1.0), (2, "two", 2.0, 0.0, 3.0, 1.0), (3, "", 0.0, 0.0, 1.0, 1.0)], "tile_id int, relpath string, xmin double, ymin double, xmax double, ymax double")
+    indexed = ra.tile_index(tiles, "EPSG:3857", 100_000)
+    near, far = _area(spark, (0, 0), (1, 0), (1, 1), (0, 0)), _area(spark, (70, 70), (71, 70), (71, 71), (70, 70))
+    degrees = _area(spark, (2, 0.1), (2.1, 0.1), (2.1, 0.2), (2, 0.1))
+    ids = lambda df: sorted(r.relpath for r in df.collect())
+    assert ids(ra.overlapping_tiles(indexed, near, areas_wgs84=degrees)) == ["one"]
+    assert ids(ra.overlapping_tiles(indexed, far, areas_wgs84=degrees)) == ["two"]
+    assert ids(ra.overlapping_tiles(indexed, far)) == []
+    with pytest.raises(ValueError, match="no tile"):
+        ra.overlapping_tiles(indexed, far, areas_wgs84=far, required=True)
+
+
+def test_clip_falls_back_step_by_step(spark):
+    pixels = spark.createDataFrame([(r, c) for r in range(4) for c in range(4) if (r, c) != (1, 1)], "row int, col int")
+    count = lambda *points: ra.clip_or_whole(pixels, _area(spark, *points)).count()
+    assert count((0, 0), (1, 0), (1, 1), (0, 1), (0, 0)) == 1  # one centre
+    assert count((2.1, 2.1), (2.2, 2.1), (2.2, 2.2), (2.1, 2.1)) == 1  # no centre, one touched
+    assert count((1.4, 1.4), (1.6, 1.4), (1.6, 1.6), (1.4, 1.4)) == 15  # in the gap
+    with pytest.raises(ValueError, match="no area meets"):
+        count((9, 9), (10, 9), (10, 10), (9, 9))
+
+
+def test_dimensions_of_any_name(spark):
+    cells = spark.createDataFrame([(1, 5, 6, 0.5), (1, 5, 7, 0.5)], "band int, lat int, lon int, v double")
+    assert ra.normalize_dims(cells, ["band", "lat", "lon"]).columns == ["y", "x", "v"]
+    two = cells.union(cells.selectExpr("2", "lat", "lon", "v"))
+    assert ra.normalize_dims(two, ["lat", "lon", "band"]).columns == ["band", "y", "x", "v"]
+    named = cells.withColumnsRenamed({"lat": "y", "lon": "x"})
+    assert ra.normalize_dims(named, ["band", "x", "y"]).columns == ["y", "x", "v"]
+    with pytest.raises(ValueError):
+        ra.normalize_dims(cells.select("lat", "v"), ["lat"])
+
+
+def test_a_year_without_images_is_an_error(spark):
+    import datetime
+
+    image = lambda k, *date: (k, datetime.date(*date), 0.0, 0.0, 1.0, 1.0)
+    images = spark.createDataFrame([image(1, 2020, 1, 1), image(2, 2019, 12, 31), image(3, 2019, 12, 31), image(4, 2018, 12, 31)], "image_id int, image_date date, xmin double, ymin double, xmax double, ymax double")
+    area = _area(spark, (0, 0), (1, 0), (1, 1), (0, 0))
+    assert [r.image_id for r in readers.annual_images(images, area, 2019, required=True).collect()] == [2]
+    with pytest.raises(ValueError, match="no image of 2021"):
+        readers.annual_images(images, area, 2021, required=True)
+
+
+def test_plugins_by_name_and_their_resolutions(spark):
+    from geoquilt.plans import plugins
+
+    known = plugins.Variables()
+    found = lambda df: plugins.Variable(lambda options: lambda areas, year, season, resolution: df, ext=lambda options: options.get("format", "tif"))
+    known.add("Swi", found(spark.range(3)))
+    known.add("own", found((spark.range(2), 7.5)))
+    assert known.names() == ["own", "swi"] and known.ext("SWI", {"format": "zarr"}) == "zarr"
+    assert known.layer("swi", None, 2020, "summer")[1] == 1000 and known.layer("swi", None, 2020, "summer", 50.0)[1] == 50.0
+    assert known.layer("own", None, 2020, "summer", 50.0)[1] == 7.5
+    with pytest.raises(ValueError, match="twice"):
+        known.add("SWI", found(None))
+    with pytest.raises(ValueError, match="unknown variable"):
+        known.get("x")
