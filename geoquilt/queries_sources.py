@@ -24,7 +24,7 @@ def _collections(spark, d, crs):
     """Tiles as feature collections, a line for every hundred."""
     polygon = F.struct(F.lit("Polygon").alias("type"), F.array(_ring()).alias("coordinates"))
     feature = F.struct(F.lit("Feature").alias("type"), F.struct(F.col("tile_id").alias("id")).alias("properties"), polygon.alias("geometry"))
-    grouped = view(spark, d, "tiles").groupBy((F.col("tile_id") % 20).alias("part")).agg(F.collect_list(feature).alias("features"))
+    grouped = view(spark, d, "tiles").groupBy(F.expr("tile_id div 100").alias("part")).agg(F.collect_list(feature).alias("features"))
     whole = F.struct(F.lit("FeatureCollection").alias("type"), *([F.struct(F.struct(F.lit(crs).alias("name")).alias("properties")).alias("crs")] if crs else []), "features")
     path = scratch.new_path(spark, "features")
     grouped.select(F.to_json(whole).alias("value")).write.text(path)
@@ -58,7 +58,7 @@ def s3_scene_catalog(spark, d):
     polygon = F.struct(F.lit("Polygon").alias("type"), F.array(_ring()).alias("coordinates"))
     item = F.struct(F.col("scene_id").alias("id"), F.when(odd, F.array(*BOX)).alias("bbox"), F.when(~odd, polygon).alias("geometry"), properties.alias("properties"))
     path = scratch.new_path(spark, "items")
-    s.groupBy((F.col("scene_id") % 97).alias("page")).agg(F.collect_list(item).alias("features")).select(F.to_json(F.struct("features")).alias("value")).write.text(path)
+    s.groupBy(F.expr("scene_id div 100").alias("page")).agg(F.collect_list(item).alias("features")).select(F.to_json(F.struct("features")).alias("value")).write.text(path)
     return readers.scene_items(spark, path).withColumn("acq_date", F.col("acq_date").cast("string"))
 
 
@@ -67,7 +67,7 @@ def s4_occurrence_pages(spark, d):
     names = {"gbif_id": "gbifID", "occurrence_id": "occurrenceID", "lon": "decimalLongitude", "lat": "decimalLatitude", "kingdom_key": "kingdomKey", "class_key": "classKey", "event_date": "eventDate", "scientific_name": "scientificName", "pos": "key"}
     raw = view(spark, d, "occ").withColumnsRenamed(names)
     path = scratch.new_path(spark, "pages")
-    raw.groupBy((F.col("key") % 50).alias("page")).agg(F.collect_list(F.struct(*raw.columns)).alias("results")).select(F.to_json(F.struct("results")).alias("value")).write.text(path)
+    raw.groupBy(F.expr("key div 100").alias("page")).agg(F.collect_list(F.struct(*raw.columns)).alias("results")).select(F.to_json(F.struct("results")).alias("value")).write.text(path)
     return readers.occurrence_pages(spark, path).select("gbif_id", "occurrence_id", "lon", "lat", "kingdom_key", "license", "year", "key")
 
 
