@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, licenses, mixing, near_duplicates, near_vectors, nearest, packing, pii, quality, tokens
+from . import importance, katz, language, licenses, mixing, near_duplicates, near_vectors, nearest, packing, pii, quality, tokens
 from .common import read
 
 
@@ -74,6 +74,18 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", tokens.tokens_within(F.size("prefix_tokens")).alias("n_tokens")).withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op12_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    scored = katz.score(docs, ~F.coalesce(held, F.lit(True)), order=2)
+    return scored.select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), percent=5, least_words=20, seed=42)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_license_scan": op2_license_scan,
@@ -85,6 +97,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
     "op10_quality_classifier": op10_quality_classifier,
+    "op12_katz_scores": op12_katz_scores,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 ORACLES: dict[str, str] = {
