@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import importance, katz, language, licenses, mixing, near_duplicates, near_vectors, nearest, packing, pii, quality, tokens
+from . import conversations, importance, katz, language, licenses, mixing, near_duplicates, near_vectors, nearest, packing, pii, quality, tokens
 from .common import read
 
 
@@ -74,6 +74,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", tokens.tokens_within(F.size("prefix_tokens")).alias("n_tokens")).withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(read(spark, sf_dir, "conversations"))
+
+
 def op12_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     held = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
@@ -97,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_katz_scores": op12_katz_scores,
     "op13_importance_resampling": op13_importance_resampling,
 }
