@@ -25,25 +25,37 @@ from pyspark.sql import functions as F
 from . import common, wordhash
 
 BEGIN, END = np.uint64(1), np.uint64(2)
-SLICE_TOKENS = 1 << 20
+#: Tokens of a slice, and for each partition of a count table.
+SLICE_TOKENS, PART_TOKENS = 3 << 18, 1 << 21
 #: Counts above this are kept whole.
 RARE = 5
 
-_SLICE = "slice long, words binary, codes binary, row array<long>, doc array<long>, train array<boolean>, size array<long>"
+_SLICE = "slice long, words binary, rank binary, codes binary, row array<long>, doc array<long>, train array<boolean>, size array<long>"
 _ASK = "part long, slice long, first binary, runs binary, last binary, n binary, uses binary, lower binary"
 _SCORED = "row long, doc_id long, learned boolean, n_tokens long, n_known long, base_score double, score double"
-_ANSWER = "slice long, part long, level int, ids binary, counts binary, hists binary, seen binary, key long, stats array<double>"
+_ANSWER = "slice long, part long, level int, ids binary, counts binary, totals binary, seen binary, rest binary, key long, stats array<double>"
+
+
+def _squeezed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd", 3).compress(data, asbytes=True) if data else b""
+
+
+def _expanded(data) -> np.ndarray:
+    data = memoryview(data)
+    if not len(data):
+        return np.zeros(0, np.uint8)
+    return np.frombuffer(pa.Codec("zstd").decompress(data[8:], int.from_bytes(data[:8], "little")), np.uint8)
 
 
 def _pack(x: np.ndarray) -> bytes:
     """Whole numbers in as few bytes as the largest takes, low bytes first together, so that they compress."""
     x = np.ascontiguousarray(x, "<u8")
     width = 1 if not len(x) else max(1, (int(x.max()).bit_length() + 7) // 8)
-    return bytes([width]) + np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+    return _squeezed(bytes([width]) + np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes())
 
 
 def _unpack(data) -> np.ndarray:
-    data = np.frombuffer(data, np.uint8)
+    data = _expanded(data)
     width = int(data[0])
     planes = data[1:].reshape(width, -1)
     out = np.zeros((planes.shape[1], 8), np.uint8)
@@ -51,6 +63,15 @@ def _unpack(data) -> np.ndarray:
     return out.view("<u8").ravel().astype(np.int64)
 
 
+def _pack_rising(x: np.ndarray) -> bytes:
+    """Rising unsigned numbers by their steps."""
+    return _pack(np.diff(x.astype(np.uint64), prepend=np.uint64(0)))
+
+
+def _unpack_rising(data) -> np.ndarray:
+    return np.cumsum(_unpack(data).view(np.uint64), dtype=np.uint64)
+
+
 def _bytes(column: pa.ChunkedArray | pa.Array, i: int):
     return column[i].as_buffer()
 
@@ -69,7 +90,8 @@ def _sliced(batches: Iterator[pa.RecordBatch], order: int, most: int) -> Iterato
         rank = np.empty(len(words), np.int64)
         rank[place] = np.arange(len(words))
         columns = [pa.array([x], t) for x, t in zip(zip(*about, strict=True), (pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64())), strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array([part << 32 | seq]), pa.array([words[place].tobytes()], pa.binary()), pa.array([_pack(rank[codes])], pa.binary()), *columns], names=["slice", "words", "codes", "row", "doc", "train", "size"])
+        packed = [pa.array([x], pa.binary()) for x in (_pack_rising(words), _pack(rank), _pack(rank[codes]))]
+        return pa.RecordBatch.from_arrays([pa.array([part << 32 | seq]), *packed, *columns], names=["slice", "words", "rank", "codes", "row", "doc", "train", "size"])
 
     for batch in batches:
         docs, trains = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -103,14 +125,22 @@ class _Level:
     free: float = 0  # of the first order: what discounts leave, and the probability of an unknown word
     unknown: float = 1
 
+    def word_share(self, c: np.ndarray) -> np.ndarray:
+        """The probability of words of the first order by their counts."""
+        taken = c * np.where(c > RARE, 1.0, self.discounts[np.minimum(c, RARE)])
+        return np.where(c > 0, _seen_share(self.total, self.free) * taken / max(1.0, self.total), self.unknown)
+
 
 def _mixed(x: np.ndarray) -> np.ndarray:
     return wordhash.mix(x.astype(np.uint64))
 
 
-def _parts(first: np.ndarray | None, last: np.ndarray, parts: int, hot: np.ndarray) -> np.ndarray:
-    if first is None:
-        return (_mixed(last) % np.uint64(parts)).astype(np.int64)
+def _ranges(words: np.ndarray, parts: int) -> np.ndarray:
+    """Partitions of hashes that rise with them."""
+    return ((words >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+def _parts(first: np.ndarray, last: np.ndarray, parts: int, hot: np.ndarray) -> np.ndarray:
     spread = np.isin(first, hot)
     key = np.where(spread, _mixed(first) + _mixed(last), _mixed(first))
     return (_mixed(key) % np.uint64(parts)).astype(np.int64)
@@ -120,7 +150,8 @@ class _Slice:
     """A slice with the answers that it has so far, order by order."""
 
     def __init__(self, table: pa.Table, order: int):
-        self.words = np.frombuffer(_bytes(table.column("words"), 0), np.uint64)
+        self.words = _unpack_rising(_bytes(table.column("words"), 0)) if "words" in table.column_names else None
+        self.rank = _unpack(_bytes(table.column("rank"), 0))  # the code of each of the words, these by their hashes
         self.codes = _unpack(_bytes(table.column("codes"), 0))
         self.row, self.doc, self.train, self.size = (table.column(c)[0].as_py() for c in ("row", "doc", "train", "size"))
         self.order = order
@@ -135,7 +166,7 @@ class _Slice:
     def grams(self, level: int) -> tuple:
         """The distinct n-grams of the slice: (history code or None, word code, count among what is learned, uses), and each place's."""
         if level == 1:
-            kinds = len(self.words)
+            kinds = len(self.rank)
             return None, np.arange(kinds), np.bincount(self.codes[self.learned], minlength=kinds), np.bincount(self.codes, minlength=kinds), self.codes
         here = self.at >= level - 1
         places = np.flatnonzero(here)
@@ -146,30 +177,37 @@ class _Slice:
         gram[places] = code
         return distinct >> 32, distinct & 0xFFFFFFFF, n, uses, gram
 
+    def lower(self, gram: np.ndarray, kinds: int) -> np.ndarray:
+        """The probability of one order less for each n-gram; it is the same wherever the n-gram stands."""
+        out, tokens = np.ones(kinds), np.flatnonzero(self.token)
+        out[gram[tokens]] = self.p[tokens]
+        return out
+
     def ask(self, parts: int, about: list[_Level]) -> Iterator[dict]:
         """What the slice asks at the next level, a row for each partition."""
         level = self.level + 1
         first, last, n, uses, gram = self.grams(level)
-        keys = self.words[last].view(np.int64) if level == 1 else self.word_ids[last]
-        hists = None if first is None else self.ids[first]
-        part = _parts(hists, keys, parts, about[level - 1].hot)
-        order = np.argsort(part, kind="stable")
-        ends = np.searchsorted(part[order], np.arange(parts + 1))
-        lower = None
-        if level > 1:
-            # Of a history and a word the shorter history is the same wherever they stand, and so is the lower probability.
-            lower = np.ones(len(last))
-            tokens = np.flatnonzero(self.token)
-            lower[gram[tokens]] = self.p[tokens]
+        if level == 1:
+            order, part = self.rank, _ranges(self.words, parts)
+            ends = np.searchsorted(part, np.arange(parts + 1))
+        else:
+            keys, hists, lower = self.word_ids[last], self.ids[first], self.lower(gram, len(last))
+            part = _parts(hists, keys, parts, about[level - 1].hot)
+            order = np.argsort(part, kind="stable")
+            ends = np.searchsorted(part[order], np.arange(parts + 1))
         for k in range(parts):
             some = order[ends[k] : ends[k + 1]]
             if not len(some):
                 continue
-            row = {"part": k, "last": keys[some].tobytes() if level == 1 else _pack(keys[some]), "n": _pack(n[some]), "uses": _pack(uses[some]), "first": b"", "runs": b"", "lower": b""}
-            if level > 1:
+            row = {"part": k, "n": _pack(n[some]), "uses": _pack(uses[some]) if level < self.order else b""}
+            if level == 1:
+                row |= {"last": _pack_rising(self.words[ends[k] : ends[k + 1]])}
+            else:
                 h = hists[some]
                 new = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-                row |= {"first": _pack(h[new]), "runs": _pack(np.diff(np.r_[new, len(h)])), "lower": lower[some].tobytes()}
+                # After one word the lower probability follows from the count of the next.
+                lowers = _pack(self.counts[last[some]]) if level == 2 else _squeezed(lower[some].tobytes())
+                row |= {"last": _pack(keys[some]), "first": _pack(h[new]), "runs": _pack(np.diff(np.r_[new, len(h)])), "lower": lowers}
             yield row
 
     def hear(self, answers: pa.Table, parts: int, about: list[_Level]) -> None:
@@ -177,27 +215,36 @@ class _Slice:
         level = self.level + 1
         known = about[level - 1]
         first, last, _, _, gram = self.grams(level)
-        keys = self.words[last].view(np.int64) if level == 1 else self.word_ids[last]
-        hists = None if first is None else self.ids[first]
-        order = np.argsort(_parts(hists, keys, parts, known.hot), kind="stable")
         rows = sorted(range(answers.num_rows), key=lambda i: answers.column("part")[i].as_py())
-        ids, c = (np.empty(len(last), np.int64) for _ in range(2))
-        ids[order], c[order] = (np.concatenate([_unpack(_bytes(answers.column(x), i)) for i in rows]) for x in ("ids", "counts"))
+        part = [answers.column("part")[i].as_py() for i in rows]
+        whole = lambda name: np.concatenate([_unpack(_bytes(answers.column(name), i)) for i in rows])
+        hists = None if level == 1 else self.ids[first]
+        order = self.rank if level == 1 else np.argsort(_parts(hists, self.word_ids[last], parts, known.hot), kind="stable")
+        c, ids = np.empty(len(last), np.int64), np.zeros(len(last), np.int64)
+        c[order] = whole("counts")
+        if level < self.order:
+            if level == 1:
+                ids[order] = np.concatenate([_unpack_rising(_bytes(answers.column("ids"), i)).astype(np.int64) * parts + p for i, p in zip(rows, part, strict=True)])
+            else:
+                ids[order] = np.concatenate([_unpack(_bytes(answers.column("ids"), i)) * parts + p for i, p in zip(rows, part, strict=True)])
         taken = c * np.where(c > RARE, 1.0, known.discounts[np.minimum(c, RARE)])
         if level == 1:
-            p = _seen_share(known.total, known.free) * taken / max(1.0, known.total)
-            p = np.where(c > 0, p, known.unknown)
+            p = known.word_share(c)
             self.word_ids, self.counts = ids, c
         else:
-            stats = np.concatenate([np.frombuffer(_bytes(answers.column("seen"), i), np.float64).reshape(-1, RARE + 2) for i in rows])
-            runs = np.concatenate([_unpack(_bytes(answers.column("hists"), i)) for i in rows])
+            h, of_part = hists[order], _parts(hists, self.word_ids[last], parts, known.hot)[order]
+            run = np.cumsum(np.r_[True, (h[1:] != h[:-1]) | (of_part[1:] != of_part[:-1])]) - 1
+            totals = whole("totals")
+            full = np.zeros((len(totals), RARE + 2))
+            full[:, 0], full[:, 1] = totals >> 1, totals & 1
+            missing = np.flatnonzero(np.bincount(run, c[order] == 0))
+            full[missing, 1 : RARE + 1] = np.concatenate([_unpack(_bytes(answers.column("seen"), i)).reshape(RARE, -1).T for i in rows])
+            full[missing, RARE + 1] = np.concatenate([_expanded(_bytes(answers.column("rest"), i)).view(np.float64) for i in rows])
             of = np.empty((len(last), RARE + 2))
-            of[order] = np.repeat(stats, runs, axis=0)
-            for h, s in known.hot_stats.items():
-                of[hists == h] = s
-            lower = np.ones(len(last))
-            tokens = np.flatnonzero(self.token)
-            lower[gram[tokens]] = self.p[tokens]
+            of[order] = full[run]
+            for key, stats in known.hot_stats.items():
+                of[hists == key] = stats
+            lower = self.lower(gram, len(last))
             total = of[:, 0]
             free = of[:, 1 : RARE + 1] @ ((1 - known.discounts[1:]) * np.arange(1, RARE + 1))
             seen = _seen_share(total, free)
@@ -212,42 +259,49 @@ def _seen_share(total, free):
     return np.where(free > 0, 1.0, total / (total + 1.0))
 
 
-def _add_up(table: pa.Table, level: int, parts: int, hot_from: float, hot: np.ndarray) -> Iterator[dict]:
+def _add_up(table: pa.Table, level: int, order: int, parts: int, hot_from: float, hot: np.ndarray, words: _Level | None) -> Iterator[dict]:
     """A partition of the count table: what all slices ask of it, added up, and its answers to each."""
     n_rows, part = table.num_rows, table.column("part")[0].as_py()
     col = lambda c: [_bytes(table.column(c), i) for i in range(n_rows)]
-    last = [np.frombuffer(x, np.int64) if level == 1 else _unpack(x) for x in col("last")]
+    last = [_unpack_rising(x) if level == 1 else _unpack(x) for x in col("last")]
     sizes, last = np.array([len(x) for x in last]), np.concatenate(last)
-    n, uses = (np.concatenate([_unpack(x) for x in col(c)]) for c in ("n", "uses"))
+    n = np.concatenate([_unpack(x) for x in col("n")])
     if level == 1:
-        order = np.argsort(last, kind="stable")
-        new = np.r_[True, last[order][1:] != last[order][:-1]]
+        place = np.argsort(last, kind="stable")
+        new = np.r_[True, last[place][1:] != last[place][:-1]]
     else:
         firsts, runs = [_unpack(x) for x in col("first")], [_unpack(x) for x in col("runs")]
         first = np.concatenate([np.repeat(f, r) for f, r in zip(firsts, runs, strict=True)])
-        order = np.lexsort((last, first))
-        new = np.r_[True, (last[order][1:] != last[order][:-1]) | (first[order][1:] != first[order][:-1])]
+        place = np.lexsort((last, first))
+        new = np.r_[True, (last[place][1:] != last[place][:-1]) | (first[place][1:] != first[place][:-1])]
     code = np.empty(len(last), np.int64)
-    code[order] = np.cumsum(new) - 1
+    code[place] = np.cumsum(new) - 1
     c = np.bincount(code, n).astype(np.int64)  # whole numbers, exact up to 2^53
-    ids = np.arange(len(c)) * parts + part
-    used = np.bincount(code, uses)
-    one_of = order[new]
+    one_of = place[new]
     ends = np.cumsum(sizes)
     slices = table.column("slice").to_pylist()
     if level > 1:
-        lower = np.concatenate([np.frombuffer(x, np.float64) for x in col("lower")])[one_of]
+        lower = np.concatenate([words.word_share(_unpack(x)) if level == 2 else _expanded(x).view(np.float64) for x in col("lower")])[one_of]
         of_first, h = np.unique(first[one_of], return_inverse=True)
         held = np.stack([np.bincount(h, c, len(of_first)), *[np.bincount(h, c == r, len(of_first)) for r in range(1, RARE + 1)], np.bincount(h, np.where(c > 0, lower, 0), len(of_first))], axis=1)
     for i, s in enumerate(slices):
         some = code[ends[i] - sizes[i] : ends[i]]
-        row = {"slice": s, "part": part, "level": level, "ids": _pack(ids[some]), "counts": _pack(c[some])}
+        # An id is the place in the partition, times partitions, and the partition.
+        row = {"slice": s, "part": part, "level": level, "counts": _pack(c[some])}
+        if level < order:
+            row |= {"ids": _pack_rising(some) if level == 1 else _pack(some)}
         if level > 1:
-            row |= {"hists": _pack(runs[i]), "seen": held[np.searchsorted(of_first, firsts[i])].tobytes()}
+            # All of a history's sums are needed only where the slice holds it with a word that did not follow it.
+            of = held[np.searchsorted(of_first, firsts[i])]
+            missing = np.bincount(np.repeat(np.arange(len(runs[i])), runs[i]), c[some] == 0) > 0
+            rare = of[:, 1 : RARE + 1].any(axis=1)
+            row |= {"totals": _pack(of[:, 0].astype(np.int64) * 2 + rare), "seen": _pack(of[missing, 1 : RARE + 1].T.ravel()), "rest": _squeezed(of[missing, RARE + 1].tobytes())}
         yield row
     yield {"slice": -1, "part": part, "level": level, "stats": [float(np.count_nonzero(c == r)) for r in range(1, RARE + 2)] + [float(c.sum()), float(np.count_nonzero(c))]}
-    for i in np.flatnonzero(used > hot_from).tolist():
-        yield {"slice": -2, "part": part, "level": level, "key": int(ids[i])}
+    if level < order:
+        used = np.bincount(code, np.concatenate([_unpack(x) for x in col("uses")]))
+        for i in np.flatnonzero(used > hot_from).tolist():
+            yield {"slice": -2, "part": part, "level": level, "key": i * parts + part}
     if level > 1:
         for i in np.flatnonzero(np.isin(of_first, hot)).tolist():
             yield {"slice": -3, "part": part, "level": level, "key": int(of_first[i]), "stats": held[i].tolist()}
@@ -275,8 +329,8 @@ def _asked(table: pa.Table, heard: pa.Table | None, order: int, parts: int, know
     return pa.Table.from_pylist([r | {"slice": name} for r in s.ask(parts, about)], schema=_schema(_ASK))
 
 
-def _added(table: pa.Table, level: int, parts: int, hot_from: float, hot: np.ndarray) -> pa.Table:
-    return pa.Table.from_pylist(list(_add_up(table, level, parts, hot_from, hot)), schema=_schema(_ANSWER))
+def _added(table: pa.Table, level: int, order: int, parts: int, hot_from: float, hot: np.ndarray, words: _Level | None) -> pa.Table:
+    return pa.Table.from_pylist(list(_add_up(table, level, order, parts, hot_from, hot, words)), schema=_schema(_ANSWER))
 
 
 def _scored(table: pa.Table, heard: pa.Table, order: int, parts: int, about: list[_Level], total: float, kinds: float) -> pa.Table:
@@ -325,7 +379,7 @@ def score(docs: DataFrame, learn: Column, order: int = 2, id_col: str = "doc_id"
     source = docs.select(F.col(id_col).cast("long").alias("doc"), F.coalesce(learn.cast("boolean"), F.lit(False)).alias("train"), F.col(text_col).cast("string").alias("text"))
     slices = common.written(source.mapInArrow(lambda it: _sliced(it, order, slice_tokens), _SLICE), "slices")
     tokens = slices.agg(F.sum(F.aggregate("size", F.lit(0).cast("long"), lambda s, x: s + x))).first()[0] or 0
-    parts = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // SLICE_TOKENS))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // PART_TOKENS))
     about: list[_Level] = []
     answers = None
 
@@ -337,10 +391,10 @@ def score(docs: DataFrame, learn: Column, order: int = 2, id_col: str = "doc_id"
         if level == 1:
             asks = slices.mapInArrow(lambda it: (b for batch in it for i in range(batch.num_rows) for b in asked(pa.Table.from_batches([batch.slice(i, 1)]), None).to_batches()), _ASK)
         else:
-            asks = slices.groupBy("slice").cogroup(answers.where("slice >= 0").groupBy("slice")).applyInArrow(lambda table, heard: asked(table, heard), _ASK)  # noqa: B023
-        hot_from = max(hot_uses, tokens / (4 * parts)) if level < order else math.inf
+            asks = slices.drop("words").groupBy("slice").cogroup(answers.where("slice >= 0").groupBy("slice")).applyInArrow(lambda table, heard: asked(table, heard), _ASK)  # noqa: B023
+        hot_from = max(hot_uses, tokens / (4 * parts))
 
-        added = partial(_added, level=level, parts=parts, hot_from=hot_from, hot=now.hot)
+        added = partial(_added, level=level, order=order, parts=parts, hot_from=hot_from, hot=now.hot, words=about[0] if about else None)
         heard = common.written(asks.groupBy("part").applyInArrow(lambda table: added(table), _ANSWER), "answers")  # noqa: B023  run at once
         stats = heard.where("slice = -1").agg(*[F.sum(F.col("stats")[i]) for i in range(RARE + 3)]).first()
         stats = [x or 0.0 for x in stats]
@@ -355,7 +409,7 @@ def score(docs: DataFrame, learn: Column, order: int = 2, id_col: str = "doc_id"
     total, kinds = (about[0].total, about[0].kinds) if about else (0, 0)
 
     final = partial(_scored, order=order, parts=parts, about=about, total=total, kinds=kinds)
-    found = slices.groupBy("slice").cogroup(answers.where("slice >= 0").groupBy("slice")).applyInArrow(lambda table, heard: final(table, heard), _SCORED)
+    found = slices.drop("words").groupBy("slice").cogroup(answers.where("slice >= 0").groupBy("slice")).applyInArrow(lambda table, heard: final(table, heard), _SCORED)
     sums = [F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")]
     out = found.groupBy("row", "doc_id", "learned").agg(*sums)
     return out.withColumn("train_tokens", F.lit(int(total)).cast("long"))
