@@ -62,8 +62,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, se
     queued = queued.join(common.small_or_not(goal), F.col("source").eqNullSafe(F.col("goal_source"))).drop("goal_source")
     finish = [(F.col("words_to") - F.col("words_before") + k * F.col("source_size")) / F.col("target") for k in range(most)]
     queued = common.written(queued.withColumn("finish", F.when(F.col("target") > 0, F.array(*finish)).otherwise(F.array())), "finish")
-    # A pass that ends well beyond the common end of all sources can't be reached before the budget is spent.
-    passes = queued.select("doc_id", "turn", "size", F.explode("finish").alias("at")).where("at <= 2")
+    # All passes, at most ``most`` for each document: which of them the budget reaches is known only in their common order.
+    passes = queued.select("doc_id", "turn", "size", F.explode("finish").alias("at"))
     total = queued.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("budget"))
     sums = common.running_total(passes, [F.col("at"), F.col("turn"), F.col("doc_id"), F.col("size")], "size", "words_so_far", "passes")
     cut = sums.crossJoin(F.broadcast(total)).where("words_so_far <= budget").agg(F.max(F.struct("at", "turn", "doc_id")).alias("cut"))

@@ -108,16 +108,25 @@ def _signatures(batches: Iterator[pa.RecordBatch], words: int, hashes: int) -> I
 
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """(set_id, hashes): the names and the whole sets of texts."""
     for batch in batches:
-        held, rows, at = 0, [], 0
-        for s in wordhash.shingle_sets(batch.column(1), words):
+        held, rows, names = 0, [], []
+        for s in wordhash.shingle_sets(batch.column(0), words):
             rows.append(s.tobytes())
+            names.append(wordhash.digest(s))
             held += len(rows[-1])
             if held > 8_000_000:
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(rows)), pa.array(rows, pa.binary())], names=["node", "hashes"])
-                held, rows, at = 0, [], at + len(rows)
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(rows, pa.binary())], names=["set_id", "hashes"])
+                held, rows, names = 0, [], []
         if rows:
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(rows)), pa.array(rows, pa.binary())], names=["node", "hashes"])
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(rows, pa.binary())], names=["set_id", "hashes"])
+
+
+def _named(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text, set_id, n_shingles) of (doc_id, text)."""
+    for batch in batches:
+        sets = [(wordhash.digest(s), len(s)) for s in wordhash.shingle_sets(batch.column(1), words)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([d for d, _ in sets], pa.binary()), pa.array([n for _, n in sets], pa.int64())], names=["doc_id", "text", "set_id", "n_shingles"])
 
 
 def _orders(f: Forest) -> list[np.ndarray]:
@@ -339,45 +348,60 @@ def near_duplicates(docs: DataFrame, forest: Forest | None = None, id_col: str =
     shingles of ``forest.words`` words. Texts of fewer words have one shingle; null texts and texts
     without words have none and link with nothing. component_id is the smallest id that links
     reach, kept says that it is the document's own. Rows whose id is null are returned, with their
-    count and a null component, and link with nothing. Rows that share an id are one document.
-    Other columns are ignored. An empty table gives no rows.
+    count and a null component, and link with nothing. Rows that share an id are told apart by their
+    sets: each is linked by its own, and its component_id is the smallest id of all rows reached.
+    Very long texts are hashed whole. Other columns are ignored. An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    f = (forest or Forest()).sized(docs.count())
-    common.importable(spark)
+    return _classified(docs, forest or Forest(), id_col, text_col).drop("set_id", "group")
+
+
+def _classified(docs: DataFrame, forest: Forest, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``near_duplicates`` with the names of their sets, and the numbers of their groups."""
+    f = forest.sized(docs.count())
+    common.importable(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed = common.written(source.mapInArrow(lambda it, w=f.words, n=f.hashes: _signatures(it, w, n), _SIGN), "signatures")
-    classes = signed.where("doc_id is not null and n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("node"), *[F.min(x).alias(x) for x in ("signature", "n_shingles", "bits")])
-    classes = common.written(classes, "classes")
-    labels = _join_classes(source, classes, f)
-    of_class = classes.select("set_id", "node").join(labels, "node", "left").select("set_id", F.coalesce("component", "node").alias("component"))
-    # The class of a document's id, and its set where rows share an id, so this is a join on the set.
+    classes = signed.where("doc_id is not null and n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("least_id"), *[F.min(x).alias(x) for x in ("signature", "n_shingles", "bits")])
+    # Classes are numbered, as ids may stand for several sets; written, so that numbers stay.
+    classes = common.written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    linked = _join_classes(source, classes, f).join(classes.select("node", "set_id", "least_id"), "node")
+    least = linked.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    linked = common.written(linked.join(least, "component").select("set_id", "component", "component_id"), "linked")
+    of_class = classes.select("set_id", "node", "least_id").join(common.small_or_not(linked), "set_id", "left")
+    of_class = of_class.select("set_id", F.coalesce("component_id", "least_id").alias("component_id"), F.coalesce("component", "node").alias("group"))
     out = signed.select("doc_id", "n_shingles", "set_id").join(of_class, "set_id", "left")
-    component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.cast("long").alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).cast("long")
+    return out.select("doc_id", "n_shingles", "set_id", "group", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
 def one_of_each(docs: DataFrame, forest: Forest | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs of which one document of each group of near copies stays, that with the smallest id.
 
-    Of rows with one id one stays; rows without an id all stay. All columns stay, whatever these are
-    called. Only ids are joined: those that go, and those that occur more than once.
+    Rows that share an id are documents of their own if their texts differ, and one if they don't; where the smallest id of a
+    group stands for several of its texts, the one whose set has the least name stays. Rows without an id all stay, and texts
+    without words. All columns stay, whatever these are called. Only ids are joined, and for those that occur more than once texts.
     """
-    found = common.written(near_duplicates(docs, forest, id_col, text_col).where("doc_id is not null"), "groups")
-    gone = common.small_or_not(common.written(found.where("not kept").select("doc_id").distinct(), "gone"))
-    again = common.written(found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id"), "again")
+    f = forest or Forest()
+    found = common.written(_classified(docs, f, id_col, text_col).where("doc_id is not null"), "groups")
+    again = common.written(found.groupBy("doc_id").count().where("count > 1").select("doc_id"), "again")
     again = common.small_or_not(again)
+    gone = common.small_or_not(common.written(found.where("not kept").select("doc_id").distinct(), "gone"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    left = rows.join(gone, "doc_id", "left_anti")
-    once = left.join(again, "doc_id", "left_anti")
-    out = once.unionByName(left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    return out.select(*[F.col(f"row.`{c}`") for c in docs.columns])
+    once = rows.join(again, "doc_id", "left_anti").join(gone, "doc_id", "left_anti")
+    several = common.written(rows.join(again, "doc_id", "left_semi").withColumn("text", F.col(f"row.`{text_col}`").cast("string")), "several")
+    first = found.join(again, "doc_id", "left_semi").where("kept and n_shingles > 0").groupBy("doc_id", "group").agg(F.min("set_id").alias("set_id"))
+    named = several.select("doc_id", "text").distinct().mapInArrow(lambda it, w=f.words: _named(it, w), "doc_id long, text string, set_id binary, n_shingles long")
+    named = common.written(named, "named")
+    stay = named.join(first, ["doc_id", "set_id"], "left_semi").groupBy("doc_id", "set_id").agg(F.min("text").alias("text")).select("doc_id", "text")
+    stay = common.written(stay.union(named.where("n_shingles = 0").select("doc_id", "text")), "stay").withColumnsRenamed({"doc_id": "id2", "text": "text2"})
+    one = several.dropDuplicates(["doc_id", "text"]).join(stay, (F.col("doc_id") == F.col("id2")) & F.col("text").eqNullSafe(F.col("text2")), "left_semi")
+    return once.select("row").unionByName(one.select("row")).select(*[F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def _join_classes(source: DataFrame, classes: DataFrame, f: Forest) -> DataFrame:
     """(node, component) of the nodes that link with another."""
     spark = source.sparkSession
-    nodes = classes.select("node", "signature").dropDuplicates(["node"])
+    nodes = classes.select("node", "signature")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     alone = nodes.select("node", F.col("node").alias("component"), "signature")
     first, rest = list(range(f.first_trees)), list(range(f.trees))
@@ -391,13 +415,13 @@ def _join_classes(source: DataFrame, classes: DataFrame, f: Forest) -> DataFrame
         rows = now.mapInArrow(lambda it, f=f, trees=trees: _sorted_orders(it, f, trees), "tree int, key binary, node long, component long")
         rows = rows.repartitionByRange(parts, "tree", "key", "node").sortWithinPartitions("tree", "key", "node")
         pairs = common.written(rows.mapInArrow(lambda it, f=f, forests=forests: _neighbours(it, f, forests), "u long, v long").distinct(), "pairs")
-        found = _confirmed(source, _open(classes, pairs, f), f)
+        found = _confirmed(source, classes, _open(classes, pairs, f), f)
         links = found if links is None else links.union(found)
         links = common.written(links, "links")
         labels = common.written(components(links), "labels")
     # What is still apart, however crowded its regions: all pairs of a region that can link, each confirmed.
     now = common.written(nodes.join(labels, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "signature"), "now")
-    found = common.written(_confirmed(source, _apart(now, classes, f), f), "links")
+    found = common.written(_confirmed(source, classes, _apart(now, classes, f), f), "links")
     if found.isEmpty():
         return labels
     joined = found.union(labels.select(F.col("node").alias("u"), F.col("component").alias("v")))
@@ -417,7 +441,7 @@ def _apart(now: DataFrame, classes: DataFrame, f: Forest) -> DataFrame:
     met = rows.join(common.small_or_not(mixed), "region")
     met = met.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     cells = met.select("region", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "block", "node", "component")
-    cells = cells.join(classes.select("node", "n_shingles", "bits").dropDuplicates(["node"]), "node").select(*cells.columns, "n_shingles", "bits")
+    cells = cells.join(classes.select("node", "n_shingles", "bits"), "node").select(*cells.columns, "n_shingles", "bits")
     by = ["region", "first", "second"]
     cells = cells.repartition(parts, *by).sortWithinPartitions(*by)
     return common.written(cells.mapInArrow(lambda it, p=f.percent: _meeting(it, p), "u long, v long").distinct(), "possible")
@@ -430,10 +454,12 @@ def _open(classes: DataFrame, pairs: DataFrame, f: Forest) -> DataFrame:
     return common.written(light.mapInArrow(lambda it, p=f.percent: _possible(it, p), "u long, v long").distinct(), "possible")
 
 
-def _confirmed(source: DataFrame, pairs: DataFrame, f: Forest) -> DataFrame:
+def _confirmed(source: DataFrame, classes: DataFrame, pairs: DataFrame, f: Forest) -> DataFrame:
     """Those of the pairs (u, v), a written table, that are links, by their whole sets."""
-    needed = common.written(pairs.select(F.col("u").alias("doc_id")).union(pairs.select(F.col("v").alias("doc_id"))).distinct(), "needed")
-    texts = source.join(common.small_or_not(needed), "doc_id", "left_semi")
-    sets = common.written(texts.mapInArrow(lambda it, w=f.words: _sets(it, w), "node long, hashes binary").dropDuplicates(["node"]), "sets")
+    needed = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
+    needed = common.written(needed.join(classes.select("node", "set_id", "least_id"), "node"), "needed")
+    texts = source.join(common.small_or_not(needed.select(F.col("least_id").alias("doc_id"))), "doc_id", "left_semi")
+    sets = texts.select("text").mapInArrow(lambda it, w=f.words: _sets(it, w), "set_id binary, hashes binary")
+    sets = common.written(sets.join(common.small_or_not(needed.select("set_id", "node")), "set_id").dropDuplicates(["set_id"]).select("node", "hashes"), "sets")
     both = pairs.join(sets.select(F.col("node").alias("u"), F.col("hashes").alias("set_u")), "u").join(sets.select(F.col("node").alias("v"), F.col("hashes").alias("set_v")), "v")
     return both.select("u", "v", "set_u", "set_v").mapInArrow(lambda it, p=f.percent: _confirm(it, p), "u long, v long")

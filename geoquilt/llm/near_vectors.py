@@ -54,7 +54,7 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i, x in zip(rows.tolist(), matrix + 0.0, strict=True):  # -0.0 becomes 0.0
                 if x.any():
                     keys[i] = hashlib.blake2b(x.tobytes(), digest_size=16).digest()
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.binary())], names=["vec_id", "label", "key"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.binary()), batch.column(2)], names=["vec_id", "label", "key", "embedding"])
 
 
 def _unit(matrix: np.ndarray) -> np.ndarray:
@@ -208,17 +208,22 @@ def near_vectors(vectors: DataFrame, codes: Codes | None = None, id_col: str = "
     ``codes.cosine``. Vectors that are null, empty, zero or hold a null or non-finite component, and
     those without a label or an id, link with nothing, nor do vectors of different lengths. n_links
     counts other rows linked directly, repeated rows among them; component_id is the smallest id
-    that links reach. Equal vectors of a label are one class throughout. Other columns are ignored.
+    of all rows that links reach. Equal vectors of a label are one class throughout. Rows that share
+    an id are told apart by label and vector: each is linked by its own. Other columns are ignored.
+    An empty table gives no rows.
     """
     codes = codes or Codes()
     common.importable(vectors.sparkSession)
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("long").alias("label"), F.col(vector_col).cast("array<double>").alias("embedding"))
-    keyed = common.written(rows.mapInArrow(_classes, "vec_id long, label long, key binary"), "vector_keys")
+    with_keys = rows.mapInArrow(_classes, "vec_id long, label long, key binary, embedding array<double>")
+    keyed = common.written(with_keys.drop("embedding"), "vector_keys")
     usable = keyed.where("key is not null and label is not null and vec_id is not null")
-    classes = common.written(usable.groupBy("label", "key").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")), "vector_classes")
+    classes = usable.groupBy("label", "key").agg(F.min("vec_id").alias("least_id"), F.count(F.lit(1)).alias("copies"))
+    # Classes are numbered, as an id may stand for several vectors; written, so that numbers stay.
+    classes = common.written(classes.withColumn("node", F.monotonically_increasing_id()), "vector_classes")
     most = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     bits, bands = codes.bands(most)
-    nodes = classes.select("label", "node", "copies").join(rows.select(F.col("vec_id").alias("node"), "label", "embedding"), ["node", "label"]).dropDuplicates(["node", "label"])
+    nodes = classes.select("label", "key", "least_id", "node", "copies").join(with_keys.withColumnRenamed("vec_id", "least_id"), ["label", "key", "least_id"]).dropDuplicates(["node"])
     nodes = common.written(nodes.select("node", "label", "copies", "embedding"), "vectors")
     narrow = common.written(nodes.mapInArrow(lambda it: _banded(it, bits, bands, False), _NARROW), "vector_bands")
     counts = common.written(narrow.groupBy("label", "band", "bits").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "vector_buckets")
@@ -230,8 +235,11 @@ def near_vectors(vectors: DataFrame, codes: Codes | None = None, id_col: str = "
     linked = common.written(linked, "vector_links")
     degree = linked.groupBy("node").agg(F.sum("links").alias("links"))
     labels = components(linked.select(F.col("node").alias("u"), F.col("hub").alias("v")), "vector_components")
-    found = classes.join(degree, "node", "left").join(labels, "node", "left")
-    found = found.select("label", "key", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("component"))
+    linked = labels.join(classes.select("node", "least_id"), "node")
+    least = linked.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    linked = linked.join(least, "component").select("node", "component_id")
+    found = classes.join(degree, "node", "left").join(linked, "node", "left")
+    found = found.select("label", "key", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "least_id").alias("component"))
     out = keyed.join(found, ["label", "key"], "left")
     component = F.when(F.col("vec_id").isNotNull(), F.coalesce("component", "vec_id"))
     return out.select("vec_id", F.when(F.col("vec_id").isNull(), 0).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"), component.alias("component_id")).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

@@ -12,7 +12,7 @@ import pytest
 from conftest import SF
 from pyspark.sql import functions as F
 
-from geoquilt.llm import common, conversations, importance, katz, queries
+from geoquilt.llm import common, conversations, importance, katz, mixing, near_duplicates, near_vectors, queries
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 NAME = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -260,3 +260,93 @@ def test_resampling_of_awkward_tables(spark):
     assert {r.doc_id: (r.weight, r["rank"]) for r in got if r.doc_id in (4,)} == {4: (0, None)}
     assert importance.resample(docs.where("false"), target).collect() == []
     assert all(r.n_features for r in importance.resample(docs.where("doc_id = 3"), target.where("false")).collect())
+
+
+# Ids that stand for several rows; the queue of the mix replayed
+
+
+def groups(n, linked):
+    """For each of n rows the rows that links reach."""
+    parent = list(range(n))
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(n):
+        for b in range(a):
+            if linked(a, b):
+                parent[max(top(a), top(b))] = min(top(a), top(b))
+    return [top(x) for x in range(n)]
+
+
+def test_an_id_of_several_vectors_loses_no_link(spark):
+    random = np.random.default_rng(2)
+    base = random.normal(size=(6, 16))
+    rows = [(int(random.integers(0, 12)), 1, (base[k % 6] + 0.01 * random.normal(size=16)).tolist()) for k in range(40)] + [(5, 1, base[0].tolist()), (5, 1, base[1].tolist()), (6, 1, (base[0] * 2).tolist())]
+    unit = np.array([v for *_, v in rows])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.98
+    of = groups(len(rows), lambda a, b: near[a, b])
+    least = {g: min(rows[i][0] for i in range(len(rows)) if of[i] == g) for g in of}
+    wanted = sorted((r[0], int(near[i].sum()) - 1, least[of[i]], r[0] == least[of[i]]) for i, r in enumerate(rows))
+    got = near_vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, label long, embedding array<double>").repartition(3)).collect()
+    assert sorted(map(tuple, got)) == wanted
+
+
+def test_an_id_of_several_texts_loses_no_link(spark):
+    random = np.random.default_rng(4)
+    base = [" ".join(random.choice([f"w{i}" for i in range(300)], 60)) for _ in range(6)]
+    rows = [(int(random.integers(0, 12)), base[k % 6].replace(base[k % 6].split()[k], f"new{k}", 1)) for k in range(40)] + [(5, base[0]), (5, base[1]), (6, base[0] + " "), (3, None), (3, "")]
+
+    def shingles(text):
+        words = (text or "").split()
+        return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+    sets = [shingles(t) for _, t in rows]
+    of = groups(len(rows), lambda a, b: bool(sets[a] and sets[b]) and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]))
+    least = {g: min(rows[i][0] for i in range(len(rows)) if of[i] == g) for g in of}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = near_duplicates.near_duplicates(docs).collect()
+    assert sorted(map(tuple, got)) == sorted((r[0], len(sets[i]), least[of[i]] if sets[i] else r[0], not sets[i] or r[0] == least[of[i]]) for i, r in enumerate(rows))
+    stay = near_duplicates.one_of_each(docs).collect()
+    kept = [(r.doc_id, next(g for g, s in zip(of, sets, strict=True) if s == shingles(r.text))) for r in stay if shingles(r.text)]
+    assert sorted(kept) == sorted((least[g], g) for g in {of[i] for i in range(len(rows)) if sets[i]})
+    assert sorted((r.doc_id, r.text or "-") for r in stay if not shingles(r.text)) == [(3, "-"), (3, "-")]
+
+
+def mixed_slowly(rows, goals, turns):
+    """Times that each document is taken: finish times of all passes in order, cut at the budget."""
+    sizes, queue = Counter(), []
+    for _, source, size in rows:
+        sizes[source] += size
+    for source, target in goals.items():
+        so_far = 0
+        for i, s, size in sorted((r for r in rows if r[1] == source), key=lambda r: (turns[r[0]], r[0])):
+            so_far += size
+            if target > 0:
+                queue += [((so_far + k * sizes[s]) / target, turns[i], i, size) for k in range(3)]
+    times, taken, budget = Counter(), 0, sum(sizes.values())
+    for _, _, i, size in sorted(queue):
+        taken += size
+        if taken > budget:
+            break
+        times[i] += 1
+    return times
+
+
+@pytest.mark.parametrize("case", range(4))
+def test_mix_equals_the_queue_replayed(spark, case):
+    random = np.random.default_rng(case)
+    if case == 0:  # small sources at their limits, one with a single large document, one of small documents
+        rows = [(i, f"a{i}", 3) for i in range(10)] + [(100, "b", 5000)] + [(200 + i, "c", 1) for i in range(429)]
+    else:
+        rows = [(i, str(random.choice(["x", "y", "z", "q"], p=[0.7, 0.2, 0.07, 0.03])), int(random.integers(0, 50))) for i in range(200)]
+    docs = spark.createDataFrame([(i, s, "w " * n) for i, s, n in rows], "doc_id long, source string, text string").repartition(3)
+    turns = {r.doc_id: r.turn for r in docs.select("doc_id", F.xxhash64("doc_id", F.lit(17)).alias("turn")).collect()}
+    got = mixing.mix(docs).collect()
+    wanted = mixed_slowly(rows, {r.source: r.target for r in got}, turns)
+    assert {r.doc_id: r.times for r in got if r.size} == {i: wanted[i] for i, _, n in rows if n}
+    if case == 0:
+        assert sum(r.taken for r in got) == sum(wanted[i] * n for i, _, n in rows)
