@@ -19,7 +19,7 @@ def overlap_area(a: tuple, b: tuple) -> Column:
     return F.greatest(wide, F.lit(0.0)) * F.greatest(high, F.lit(0.0))
 
 
-def _edges(ring: Column) -> Column:
+def edges(ring: Column) -> Column:
     """array<struct<a, b>>: the ends of each edge of a closed ring."""
     n = F.greatest(F.size(ring) - 1, F.lit(0))
     return F.zip_with(F.slice(ring, 1, n), F.slice(ring, 2, n), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
@@ -30,6 +30,11 @@ def in_ring(x: Column, y: Column, ring: Column, edge: bool = False) -> Column:
 
     Edges of no length cross nothing. What lies on an edge is otherwise inside or not by which side it is.
     """
+    return among_edges(x, y, edges(ring), edge)
+
+
+def among_edges(x: Column, y: Column, lines: Column, edge: bool = False) -> Column:
+    """Whether a point is inside what the edges of some closed rings enclose, by counting crossed ones; with ``edge``, on one as well."""
 
     def crosses(e: Column) -> Column:
         a, b = e["a"], e["b"]
@@ -40,8 +45,17 @@ def in_ring(x: Column, y: Column, ring: Column, edge: bool = False) -> Column:
         straight = (b["x"] - a["x"]) * (y - a["y"]) == (b["y"] - a["y"]) * (x - a["x"])
         return straight & x.between(F.least(a["x"], b["x"]), F.greatest(a["x"], b["x"])) & y.between(F.least(a["y"], b["y"]), F.greatest(a["y"], b["y"]))
 
-    inside = F.size(F.filter(_edges(ring), crosses)) % 2 == 1
-    return inside | F.exists(_edges(ring), on) if edge else inside
+    inside = F.size(F.filter(lines, crosses)) % 2 == 1
+    return inside | F.exists(lines, on) if edge else inside
+
+
+def edges_meet(s: Column, t: Column) -> Column:
+    """Whether two edges share a point: each has its ends on both sides of the other's line or on it, and their boxes touch."""
+    side = lambda e, p: (e["b"]["x"] - e["a"]["x"]) * (p["y"] - e["a"]["y"]) - (e["b"]["y"] - e["a"]["y"]) * (p["x"] - e["a"]["x"])
+    apart = lambda e, f: F.signum(side(e, f["a"])) * F.signum(side(e, f["b"])) > 0
+    low, high = (lambda e, c: F.least(e["a"][c], e["b"][c])), (lambda e, c: F.greatest(e["a"][c], e["b"][c]))
+    near = (low(s, "x") <= high(t, "x")) & (low(t, "x") <= high(s, "x")) & (low(s, "y") <= high(t, "y")) & (low(t, "y") <= high(s, "y"))
+    return near & ~apart(s, t) & ~apart(t, s)
 
 
 def ring_box(ring: Column) -> Column:
@@ -52,22 +66,23 @@ def ring_box(ring: Column) -> Column:
 
 def ring_area(ring: Column) -> Column:
     """The area of a closed ring by the shoelace formula."""
-    twice = F.aggregate(_edges(ring), F.lit(0.0), lambda s, e: s + e["a"]["x"] * e["b"]["y"] - e["b"]["x"] * e["a"]["y"])
+    twice = F.aggregate(edges(ring), F.lit(0.0), lambda s, e: s + e["a"]["x"] * e["b"]["y"] - e["b"]["x"] * e["a"]["y"])
     return F.abs(twice) / 2
 
 
 def ring_meets_box(ring: Column, box: tuple[Column, Column, Column, Column]) -> Column:
     """Whether a closed ring's area and a box share a point, borders included."""
-    xmin, ymin, xmax, ymax = box
+    # Without an edge that touches it, the box is as a whole inside or outside.
+    return F.exists(edges(ring), lambda e: edge_meets_box(e, box)) | in_ring(box[0], box[1], ring)
 
-    def touches(e: Column) -> Column:
-        a, b = e["a"], e["b"]
-        near = (F.least(a["x"], b["x"]) <= xmax) & (F.greatest(a["x"], b["x"]) >= xmin) & (F.least(a["y"], b["y"]) <= ymax) & (F.greatest(a["y"], b["y"]) >= ymin)
-        sides = [(b["x"] - a["x"]) * (y - a["y"]) - (b["y"] - a["y"]) * (x - a["x"]) for x in (xmin, xmax) for y in (ymin, ymax)]
-        return near & (F.least(*sides) <= 0) & (F.greatest(*sides) >= 0)
 
-    # Without an edge that touches it, the box is as a whole inside or outside.
-    return F.exists(_edges(ring), touches) | in_ring(xmin, ymin, ring)
+def edge_meets_box(e: Column, box: tuple[Column, Column, Column, Column]) -> Column:
+    """Whether an edge and a box share a point, borders included."""
+    xmin, ymin, xmax, ymax = box
+    a, b = e["a"], e["b"]
+    near = (F.least(a["x"], b["x"]) <= xmax) & (F.greatest(a["x"], b["x"]) >= xmin) & (F.least(a["y"], b["y"]) <= ymax) & (F.greatest(a["y"], b["y"]) >= ymin)
+    sides = [(b["x"] - a["x"]) * (y - a["y"]) - (b["y"] - a["y"]) * (x - a["x"]) for x in (xmin, xmax) for y in (ymin, ymax)]
+    return near & (F.least(*sides) <= 0) & (F.greatest(*sides) >= 0)
 
 
 def clipped_ring(ring: Column, box: tuple[Column, Column, Column, Column]) -> Column:
@@ -90,7 +105,7 @@ def clipped_ring(ring: Column, box: tuple[Column, Column, Column, Column]) -> Co
             inside = F.when(depth(b) >= 0, F.array(point(b["x"], b["y"]))).otherwise(F.array().cast("array<struct<x:double,y:double>>"))
             return F.when((depth(a) >= 0) != (depth(b) >= 0), F.concat(F.array(border), inside)).otherwise(inside)
 
-        left = F.flatten(F.transform(_edges(ring), kept))
+        left = F.flatten(F.transform(edges(ring), kept))
         return F.concat(left, F.slice(left, 1, 1))
 
     return F.aggregate(sides, ring, cut)

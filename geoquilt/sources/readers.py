@@ -45,6 +45,24 @@ def features(spark: SparkSession, path: str, crs: str | None = None, lines: bool
     return read.select(name.alias("crs"), F.explode("features").alias("f")).select("crs", F.col("f.properties.id").alias("feature_id"), _ring(F.col("f.geometry.coordinates")).alias("ring"))
 
 
+def polygons(spark: SparkSession, path: str, crs: str | None = None, lines: bool = False) -> DataFrame:
+    """(crs, feature_id, rings) of GeoJSON Polygon and MultiPolygon features: all rings of all parts, holes among them.
+
+    Other kinds of geometry have no rings (NULL). Files as in ``features``: a file each or, with ``lines``, a line each; one
+    that names no system takes ``crs``, without which it is an error, as is one without features.
+    """
+    shape = "crs struct<properties:struct<name:string>>, features array<struct<properties:struct<id:bigint>, geometry:struct<type:string, coordinates:string>>>"
+    read = spark.read.option("multiLine", not lines).schema(shape).json(path)
+    name = F.coalesce("crs.properties.name", F.lit(crs))
+    if crs is None:
+        name = F.when(name.isNull(), F.raise_error(F.lit("a file names no coordinate system"))).otherwise(name)
+        read = read.withColumn("features", F.when(F.size("features") > 0, F.col("features")).otherwise(F.raise_error(F.lit("a file has no features")).cast(read.schema["features"].dataType)))
+    point = lambda p: F.struct(F.element_at(p, 1).alias("x"), F.element_at(p, 2).alias("y"))
+    text = F.col("f.geometry.coordinates")
+    whole = F.when(F.col("f.geometry.type") == "Polygon", F.from_json(text, _POINT)).when(F.col("f.geometry.type") == "MultiPolygon", F.flatten(F.from_json(text, f"array<{_POINT}>")))
+    return read.select(name.alias("crs"), F.explode("features").alias("f")).select("crs", F.col("f.properties.id").alias("feature_id"), F.transform(whole, lambda r: F.transform(r, point)).alias("rings"))
+
+
 def scene_items(spark: SparkSession, path: str) -> DataFrame:
     """(scene_id, acq_date, xmin … ymax, cloud) of catalogue pages: the box of the geometry, else the bbox; the first date and cloud that are given."""
     item = spark.read.schema(ITEMS).json(path).select(F.explode("features").alias("f")).select("f.*")

@@ -53,6 +53,25 @@ AOIS = {
     "E": [[(2, 2), (16, 2), (16, 14), (2, 14), (2, 2)]],
 }
 
+#: Areas of several rings: H a square with a hole and an island in it, M a triangle and a square with a hole, N a strip beside others.
+SHAPES = {
+    "H": [[(2, 2), (16, 2), (16, 16), (2, 16), (2, 2)], [(5, 5), (5, 12), (12, 12), (12, 5), (5, 5)], [(7, 7), (9, 7), (9, 9), (7, 9), (7, 7)]],
+    "M": [[(0, 12), (6, 12), (0, 19), (0, 12)], [(10, 0), (19, 0), (19, 6), (10, 6), (10, 0)], [(12, 2), (12, 4), (17, 4), (17, 2), (12, 2)]],
+    "N": [[(3.25, 0), (3.5, 0), (3.5, 20), (3.25, 20), (3.25, 0)]],
+}
+
+
+def shapes(spark: SparkSession, scale: float = 1.0) -> DataFrame:
+    """(aoi_id, rings): areas of several rings, in units of ``scale``."""
+    rows = [(k, [[(x * scale, y * scale) for x, y in ring] for ring in rings]) for k, rings in SHAPES.items()]
+    return spark.createDataFrame(rows, "aoi_id string, rings array<array<struct<x:double,y:double>>>")
+
+
+def shape_edges_sql() -> str:
+    """The edges of these areas as SQL: (aoi_id, x1, y1, x2, y2)."""
+    rows = [f"('{k}', {float(a[0])}e0, {float(a[1])}e0, {float(b[0])}e0, {float(b[1])}e0)" for k, rings in SHAPES.items() for ring in rings for a, b in zip(ring, ring[1:], strict=False)]
+    return f"select * from (values {', '.join(rows)}) e(aoi_id, x1, y1, x2, y2)"
+
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived view over the tables of ``sf_dir``; each table is bound by its path, no temporary view stays."""
@@ -75,7 +94,7 @@ def aoi_edges_sql(name: str | None = None) -> str:
 
 def with_views(sql: str, **more: str) -> str:
     """DuckDB SQL with the views (and further named queries) that it mentions put before it."""
-    known = VIEWS | {f"aoi_{k.lower()}": aoi_edges_sql(k) for k in AOIS} | {"aoi_all": aoi_edges_sql()} | more
+    known = VIEWS | {f"aoi_{k.lower()}": aoi_edges_sql(k) for k in AOIS} | {"aoi_all": aoi_edges_sql(), "shape_edges": shape_edges_sql()} | more
     needed: list[str] = []
 
     def visit(text: str) -> None:
