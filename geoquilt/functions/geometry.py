@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,6 +119,13 @@ def small_or_not(keyed: DataFrame, ring: str = "ring", vertices: int = 1_000_000
     return F.broadcast(keyed) if total <= vertices else keyed.hint("shuffle_hash")
 
 
+def cell_size(boxed: DataFrame, sides: tuple, across: int = 4) -> float:
+    """The power of two of which the widest box takes ``across`` and one more at most: cells follow the areas, in whatever units they are."""
+    xmin, ymin, xmax, ymax = map(F.col, sides)
+    widest = boxed.agg(F.max(F.greatest(xmax - xmin, ymax - ymin))).first()[0]
+    return 2.0 ** math.ceil(math.log2(widest / across)) if widest else 1.0
+
+
 def cell(value: Column, size: float) -> Column:
     return F.floor(value / size).cast("long")
 

@@ -131,6 +131,25 @@ def tagged(points: DataFrame, areas: DataFrame, x: str = "lon", y: str = "lat",
     return met.where(~F.col("crossed") | (near & inside(px, py, F.col("rings"), edge))).select(*points.columns, "aoi_id")
 
 
+def inside_any(points: DataFrame, areas: DataFrame, x: str = "lon", y: str = "lat", edge: bool = True) -> DataFrame:
+    """The points that are in an area or, with ``edge``, on one: each once, however many areas (rows of ``rings``, or of one ``ring``) hold it.
+
+    All areas take cells of one side, that of the widest, so that a point has one cell; few areas are broadcast.
+    """
+    rows = areas.select("rings") if "rings" in areas.columns else areas.select(F.array("ring").alias("rings"))
+    boxed = with_box(rows.distinct()).withColumn("own", level_of(*[F.col(f"a_{c}") for c in BOX]))
+    levels, vertices, around = _profile(boxed)
+    if around is None:
+        return points.where("false")
+    px, py, level = F.col(x), F.col(y), F.lit(levels[-1])
+    some = points.where(px.between(around[0], around[2]) & py.between(around[1], around[3]))
+    placed = some.withColumns({"cell_x": _cell(px, level), "cell_y": _cell(py, level)})
+    covered = _covered(boxed, tuple(f"a_{c}" for c in BOX), F.array(level))
+    near = px.between(F.col("a_xmin"), F.col("a_xmax")) & py.between(F.col("a_ymin"), F.col("a_ymax"))
+    on = (placed.cell_x == covered.cell_x) & (placed.cell_y == covered.cell_y) & near & inside(px, py, F.col("rings"), edge)
+    return placed.join(_sized(covered, vertices * 4), on, "left_semi").drop("cell_x", "cell_y")
+
+
 def tagged_boxes(boxes: DataFrame, areas: DataFrame, sides: tuple = BOX, keep: tuple = ()) -> DataFrame:
     """boxes with aoi_id (and columns ``keep`` of the areas): a row for each area whose box touches a box; all areas in one pass.
 

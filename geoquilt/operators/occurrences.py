@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions import geometry, text
 from ..sources.readers import RECORD_FIELDS, RECORD_NAMES
+from . import areas as area_tests
 
 # Names of taxon keys.
 KINGDOMS = {1: "Animalia", 2: "Archaea", 3: "Bacteria", 4: "Chromista", 5: "Fungi", 6: "Plantae", 7: "Protozoa", 8: "Viruses"}
@@ -91,18 +92,9 @@ def capped(occ: DataFrame, most: int, order: list[str]) -> DataFrame:
     return occ.orderBy(*order).limit(most)
 
 
-def in_areas(points: DataFrame, areas: DataFrame, size: float = 4.0, x: str = "lon", y: str = "lat", edge: bool = True) -> DataFrame:
-    """Points inside an area or, with ``edge``, on its border: each once, however many features hold it.
-
-    Cells of the areas' boxes make it a hash join; the ring decides among the points of a cell. Few areas are
-    broadcast, so that points stay where they are.
-    """
-    rings = areas.select("ring").distinct().withColumn("box", geometry.ring_box(F.col("ring")))
-    rings = geometry.with_box_cells(rings.select("ring", *[F.col(f"box.{b}").alias(f"a_{b}") for b in ("xmin", "ymin", "xmax", "ymax")]), ("a_xmin", "a_ymin", "a_xmax", "a_ymax"), size)
-    placed = geometry.with_point_cells(points, x, y, size)
-    near = F.col(x).between(F.col("a_xmin"), F.col("a_xmax")) & F.col(y).between(F.col("a_ymin"), F.col("a_ymax"))
-    on = (placed.cell_x == rings.cell_x) & (placed.cell_y == rings.cell_y) & near & geometry.in_ring(F.col(x), F.col(y), F.col("ring"), edge)
-    return placed.join(geometry.small_or_not(rings), on, "left_semi").drop("cell_x", "cell_y")
+def in_areas(points: DataFrame, areas: DataFrame, x: str = "lon", y: str = "lat", edge: bool = True) -> DataFrame:
+    """Points inside an area or, with ``edge``, on its border: each once, however many features hold it. See ``areas.tagged`` for which."""
+    return area_tests.inside_any(points, areas, x, y, edge)
 
 
 def kingdom_union(occ: DataFrame, classes: list[int], others: list[int], order: list[str]) -> DataFrame:

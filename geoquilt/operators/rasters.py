@@ -7,40 +7,39 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import crs, geometry
-from .ranks import upper_median
+from .grids import few
+from .ranks import upper_medians
 
 BOX = ("xmin", "ymin", "xmax", "ymax")
 
 
 def tile_stats(tiles: DataFrame, by: list[str]) -> DataFrame:
-    """(by, median_width, median_height): the upper median, the middle value or the higher of the two."""
-    upper = lambda c: F.element_at(F.array_sort(F.collect_list(c)), (F.count(c) / 2).cast("int") + 1)
-    sized = tiles.select(*by, (F.col("xmax") - F.col("xmin")).alias("w"), (F.col("ymax") - F.col("ymin")).alias("h"))
-    return sized.groupBy(*by).agg(upper("w").alias("median_width"), upper("h").alias("median_height"))
+    """(by, median_width, median_height): the upper median, the middle value or the higher of the two, picked by rank; no group is held."""
+    sized = tiles.select(*by, (F.col("xmax") - F.col("xmin")).alias("median_width"), (F.col("ymax") - F.col("ymin")).alias("median_height"))
+    return upper_medians(sized, ["median_width", "median_height"], tuple(by))
 
 
 def bounds(df: DataFrame, by: list[str]) -> DataFrame:
     return df.groupBy(*by).agg(F.min("xmin").alias("xmin"), F.min("ymin").alias("ymin"), F.max("xmax").alias("xmax"), F.max("ymax").alias("ymax"))
 
 
-def overlapping_tiles(tiles: DataFrame, areas: DataFrame, size: float = 4.0, areas_wgs84: DataFrame | None = None, order: str = "tile_id", required: bool = False) -> DataFrame:
+def overlapping_tiles(tiles: DataFrame, areas: DataFrame, areas_wgs84: DataFrame | None = None, order: str = "tile_id", required: bool = False) -> DataFrame:
     """(relpath, tile_id, xmin … ymax): the tiles to read for some areas, each relpath once, the first in ``order``.
 
     These are the tiles that touch the areas' common box, widened by half the median tile; any tile that touches an
     area itself is one of them. If there are none, those whose box in degrees (w_xmin … w_ymax, see ``tile_index``)
-    touches the box of ``areas_wgs84``. With ``required`` it is an error to find none. A box is one row, so its cells
-    are few and a cell key makes the tests hash joins.
+    touches the box of ``areas_wgs84``. With ``required`` it is an error to find none. A box is four numbers, which reach
+    the scan as filters.
     """
     sized = tiles.withColumn("w", F.col("xmax") - F.col("xmin")).withColumn("h", F.col("ymax") - F.col("ymin"))
-    half = upper_median(sized, "w").crossJoin(upper_median(sized, "h"))
-    box = common_box(areas).crossJoin(half)
-    wide = box.select((F.col("xmin") - F.col("w") / 2).alias("a_xmin"), (F.col("ymin") - F.col("h") / 2).alias("a_ymin"), (F.col("xmax") + F.col("w") / 2).alias("a_xmax"), (F.col("ymax") + F.col("h") / 2).alias("a_ymax"))
-    hit = touching_box(tiles, BOX, wide, size)
+    half, box = upper_medians(sized, ["w", "h"]).first(), common_box(areas).first()
+    wide = (box.xmin - half.w / 2, box.ymin - half.h / 2, box.xmax + half.w / 2, box.ymax + half.h / 2) if half and half.w is not None and box.xmin is not None else None
+    hit = touching_box(tiles, BOX, wide)
     if (areas_wgs84 is not None or required) and hit.isEmpty():
         # No tile touches the widened box, so none touches an area inside it: only boxes in degrees are left.
         if areas_wgs84 is not None:
-            degrees = common_box(areas_wgs84).select(*[F.col(c).alias(f"a_{c}") for c in BOX])
-            hit = touching_box(tiles, tuple(f"w_{c}" for c in BOX), degrees, size)
+            degrees = tuple(common_box(areas_wgs84).first())
+            hit = touching_box(tiles, tuple(f"w_{c}" for c in BOX), degrees if degrees[0] is not None else None)
         if required and hit.isEmpty():
             raise ValueError("the areas touch no tile")
     first = F.min_by(F.struct("tile_id", *BOX), F.struct(order, "tile_id"))
@@ -52,12 +51,9 @@ def common_box(areas: DataFrame) -> DataFrame:
     return areas.select(geometry.ring_box(F.col("ring")).alias("b")).agg(*[f(f"b.{c}").alias(c) for f, c in zip((F.min, F.min, F.max, F.max), BOX, strict=True)])
 
 
-def touching_box(tiles: DataFrame, sides: tuple, box: DataFrame, size: float = 4.0) -> DataFrame:
-    """The tiles whose box, four named columns, touches the one of ``box`` (a_xmin, a_ymin, a_xmax, a_ymax); those without a box touch nothing."""
-    left = geometry.with_box_cells(tiles.where(F.col(sides[0]).isNotNull()), sides, size)
-    right = geometry.with_box_cells(box, ("a_xmin", "a_ymin", "a_xmax", "a_ymax"), size)
-    met = (left.cell_x == right.cell_x) & (left.cell_y == right.cell_y) & geometry.boxes_touch(sides, ("a_xmin", "a_ymin", "a_xmax", "a_ymax"))
-    return left.join(right.hint("shuffle_hash"), met, "left_semi").select(*tiles.columns)
+def touching_box(tiles: DataFrame, sides: tuple, box: tuple[float, float, float, float] | None) -> DataFrame:
+    """The tiles whose box, four named columns, touches a box of four numbers; those without a box touch nothing, nor does no box."""
+    return tiles.where(geometry.boxes_touch(sides, tuple(map(F.lit, box))) if box else F.lit(False))
 
 
 def normalize_dims(raster: DataFrame, dims: list[str]) -> DataFrame:
@@ -87,12 +83,13 @@ def recode_landcover(pixels: DataFrame, column: str, nodata: int = -9999, missin
     return pixels.withColumn(column, F.when(none, nodata).otherwise(c).cast("int"))
 
 
-def best_overlap(rasters: DataFrame, areas: DataFrame, size: float = 4.0) -> DataFrame:
+def best_overlap(rasters: DataFrame, areas: DataFrame) -> DataFrame:
     """(aoi_id, path, area): the raster that shares most with each area, the first path of equals (to nine decimals); none without overlap.
 
     A ring given twice counts once; an area's different rings must not overlap.
     """
     rings = areas.select("aoi_id", "ring").distinct().withColumn("b", geometry.ring_box(F.col("ring"))).select("aoi_id", "ring", *[F.col(f"b.{x}").alias(f"a_{x}") for x in BOX])
+    size = geometry.cell_size(rings, tuple(f"a_{c}" for c in BOX))
     left, right = geometry.with_box_cells(rasters, BOX, size), geometry.with_box_cells(rings, tuple(f"a_{c}" for c in BOX), size)
     met = left.join(geometry.small_or_not(right), ["cell_x", "cell_y"]).where(geometry.boxes_touch(BOX, tuple(f"a_{x}" for x in BOX)))
     once = met.select("aoi_id", "ring", "path", *BOX).distinct()
@@ -108,12 +105,12 @@ def tile_mosaic(pixels: DataFrame, order: str = "tile_ord", value: str = "v") ->
 
 def north_up(pixels: DataFrame, grid: DataFrame) -> DataFrame:
     """Pixels whose rows run from north to south: grids (grid_id, height, y0, dy) with dy above 0 are turned."""
-    joined = pixels.join(F.broadcast(grid), "grid_id")
+    joined = pixels.join(few(grid), "grid_id")
     turned = F.col("dy") > 0
     return joined.withColumns({"row": F.when(turned, F.col("height") - 1 - F.col("row")).otherwise(F.col("row")), "y0": F.when(turned, F.col("y0") + F.col("height") * F.col("dy")).otherwise(F.col("y0")), "dy": -F.abs("dy")})
 
 
-def clip(pixels: DataFrame, areas: DataFrame, touched: bool = False, size: float = 4.0) -> DataFrame:
+def clip(pixels: DataFrame, areas: DataFrame, touched: bool = False) -> DataFrame:
     """Pixels whose centre is in an area; with ``touched``, all whose square shares a point with an area.
 
     ``touched`` is asked for, it is no silent second attempt. Repeated rows stay.
@@ -122,10 +119,11 @@ def clip(pixels: DataFrame, areas: DataFrame, touched: bool = False, size: float
 
     if not touched:
         centred = pixels.withColumns({"centre_x": F.col("col") + 0.5, "centre_y": F.col("row") + 0.5})
-        return in_areas(centred, areas, size, "centre_x", "centre_y", edge=False).drop("centre_x", "centre_y")
+        return in_areas(centred, areas, "centre_x", "centre_y", edge=False).drop("centre_x", "centre_y")
     # Boxes of areas are wider by one pixel, so that a square's first corner is enough to find them by.
     rings = areas.select("ring").distinct().withColumn("b", geometry.ring_box(F.col("ring")))
     rings = rings.select("ring", (F.col("b.xmin") - 1).alias("a_xmin"), (F.col("b.ymin") - 1).alias("a_ymin"), F.col("b.xmax").alias("a_xmax"), F.col("b.ymax").alias("a_ymax"))
+    size = geometry.cell_size(rings, tuple(f"a_{c}" for c in BOX))
     rings = geometry.with_box_cells(rings, tuple(f"a_{c}" for c in BOX), size)
     placed = geometry.with_point_cells(pixels, "col", "row", size)
     square = (F.col("col"), F.col("row"), F.col("col") + 1, F.col("row") + 1)
@@ -133,13 +131,13 @@ def clip(pixels: DataFrame, areas: DataFrame, touched: bool = False, size: float
     return placed.join(geometry.small_or_not(rings), on, "left_semi").drop("cell_x", "cell_y")
 
 
-def clip_or_whole(pixels: DataFrame, areas: DataFrame, size: float = 4.0) -> DataFrame:
+def clip_or_whole(pixels: DataFrame, areas: DataFrame) -> DataFrame:
     """Pixels whose centre is in an area; if none is, those that an area touches; if none is touched, all of them.
 
     An area that does not meet the box around the pixels is an error. Each step is tried only when the one before is empty.
     """
     for touched in (False, True):
-        found = clip(pixels, areas, touched, size)
+        found = clip(pixels, areas, touched)
         if not found.isEmpty():
             return found
     box = pixels.agg(F.min("col").alias("xmin"), F.min("row").alias("ymin"), (F.max("col") + 1).alias("xmax"), (F.max("row") + 1).alias("ymax"))

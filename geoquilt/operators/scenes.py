@@ -17,9 +17,10 @@ def cloud_at_most(scenes: DataFrame, limit: float) -> DataFrame:
     return scenes.where(F.col("cloud").isNull() | (F.col("cloud") <= limit))
 
 
-def scenes_in_area(scenes: DataFrame, areas: DataFrame, size: float = 4.0) -> DataFrame:
+def scenes_in_area(scenes: DataFrame, areas: DataFrame) -> DataFrame:
     """Scenes whose footprint touches an area, its border included. A cell key makes it a hash join; duplicate areas double nothing."""
     rings = areas.select("ring").distinct().withColumn("b", geometry.ring_box(F.col("ring"))).select("ring", *[F.col(f"b.{x}").alias(f"a_{x}") for x in BOX])
+    size = geometry.cell_size(rings, tuple(f"a_{x}" for x in BOX))
     left = geometry.with_box_cells(scenes.withColumn("scene_row", F.monotonically_increasing_id()), BOX, size)
     right = geometry.with_box_cells(rings, tuple(f"a_{x}" for x in BOX), size)
     near = geometry.boxes_touch(BOX, tuple(f"a_{x}" for x in BOX)) & geometry.ring_meets_box(F.col("ring"), tuple(map(F.col, BOX)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import queries_areas, queries_grids, queries_plans, queries_rasters, queries_shapes, queries_sources  # noqa: F401  they register themselves
+from . import queries_areas, queries_grids, queries_keyed, queries_plans, queries_rasters, queries_shapes, queries_sources  # noqa: F401  they register themselves
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES", "flagship"]

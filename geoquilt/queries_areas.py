@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .functions import crs, dates, geometry, spectral, text
+from .operators import areas as ar
 from .operators import observations as ob
 from .operators import occurrences as oc
 from .operators import rasters as ra
@@ -183,9 +184,8 @@ INSIDE_B = """((select count(*) from aoi_b e where (e.y1 > lat) <> (e.y2 > lat)
 
 @query("j1_points_in_aoi", f"select 'A' as aoi, pos from occ where lon between 4 and 12 and lat between 4 and 12 union all select 'B', pos from occ where {INSIDE_B} union all select 'D', pos from occ where lon between 6 and 10 and lat between 6 and 10")
 def j1_points_in_aoi(spark, d):
-    occ = view(spark, d, "occ")
-    parts = [oc.in_areas(occ, aoi(spark, name)).select(F.lit(name).alias("aoi"), "pos") for name in "ABD"]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    areas = aoi(spark).where(F.col("aoi_id").isin("A", "B", "D"))
+    return ar.tagged(view(spark, d, "occ"), areas).select(F.col("aoi_id").alias("aoi"), "pos")
 
 
 DEDUPE = "select pos from (select pos, row_number() over (partition by coalesce('g' || gbif_id, 'o' || occurrence_id) order by pos) as n, coalesce(gbif_id, occurrence_id) as k from {rows}) where n = 1 or k is null"

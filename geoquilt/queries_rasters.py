@@ -114,7 +114,7 @@ TONE = "(power({x} + 0.01e0, 2.3e0) - power(0.01e0, 2.3e0)) / (power(1.01e0, 2.3
 def _tone_sql(band: str, haze: float) -> str:
     x = f"greatest(0e0, least(1e0, ({band} / 10000 - {haze}e0) / 3e0))"
     t = "(0.13e0 / 3e0)"
-    return TONE.format(x=f"({x} * ({x} * ({t} + 1e0 - 1e0) - 1e0) / ({x} * (2e0 * {t} - 1e0) - {t}))")
+    return TONE.format(x=f"({x} * ({x} * {t} - 1e0) / ({x} * (2e0 * {t} - 1e0) - {t}))")
 
 
 COLOR_SQL = (
@@ -181,9 +181,7 @@ def a2_median_of_index(spark, d):
 def a3_temporal_agg(spark, d):
     """Mean, median, and a named date, which goes before any aggregate."""
     obs = ob.scan(view(spark, d, "obs"), ["b04"], *SUMMER)
-    mean, median = (ob.composite(obs, ["b04"], how).withColumnRenamed("b04", f"{how}_b04") for how in ("mean", "median"))
-    dated = ob.composite(ob.scan(obs, ["b04"], "1996-07-16", "1996-07-16"), ["b04"], "mean").withColumnRenamed("b04", "dated_b04")
-    return rounded(mean.join(median, ["row", "col"]).join(dated, ["row", "col"], "left"), "mean_b04", "median_b04", "dated_b04")
+    return rounded(ob.reduced(obs, "b04", {"mean_b04": "mean", "median_b04": "median", "dated_b04": "1996-07-16"}), "mean_b04", "median_b04", "dated_b04")
 
 
 @query("a4_first_in_time", "select row, col, arg_min(struct_pack(b04 := b04, b08 := b08), (obs_date, obs_id)).b04 as b04, arg_min(struct_pack(b04 := b04, b08 := b08), (obs_date, obs_id)).b08 as b08 from obs group by row, col")

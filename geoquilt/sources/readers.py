@@ -114,8 +114,10 @@ def annual_images(images: DataFrame, areas: DataFrame, year: int, date: str = "i
     columns = [c for c in images.columns if c != "aoi_id"]
     rings = areas.select("aoi_id", "ring").distinct()
     box = geometry.ring_box(F.col("ring"))
-    keyed = geometry.with_box_cells(rings.select("aoi_id", "ring", *[box[c].alias(f"a_{c}") for c in BOX]), tuple(f"a_{c}" for c in BOX), 4.0)
-    met = geometry.with_box_cells(of_year, BOX, 4.0).join(geometry.small_or_not(keyed), ["cell_x", "cell_y"])
+    boxed = rings.select("aoi_id", "ring", *[box[c].alias(f"a_{c}") for c in BOX])
+    size = geometry.cell_size(boxed, tuple(f"a_{c}" for c in BOX))
+    keyed = geometry.with_box_cells(boxed, tuple(f"a_{c}" for c in BOX), size)
+    met = geometry.with_box_cells(of_year, BOX, size).join(geometry.small_or_not(keyed), ["cell_x", "cell_y"])
     met = met.where(geometry.ring_meets_box(F.col("ring"), tuple(map(F.col, BOX))))
     first = met.groupBy("aoi_id").agg(F.min_by(F.struct(*columns), F.struct(date, key)).alias("image"))
     if required:
