@@ -119,8 +119,11 @@ def mosaic(tiles: Layer, values: list[str], by: str | None = None, order: str =
     far = lambda start, step, n: F.col(start) + F.col(step) * F.col(n)
     corner = lambda start, step, n: F.when(F.min(step) > 0, F.min(F.least(F.col(start), far(start, step, n)))).otherwise(F.max(F.greatest(F.col(start), far(start, step, n))))
     end = lambda start, step, n: F.when(F.min(step) > 0, F.max(far(start, step, n))).otherwise(F.min(far(start, step, n)))
-    same = lambda c: F.when(F.min(c) == F.max(c), F.min(c)).otherwise(F.raise_error(F.lit(f"tiles of one mosaic differ in {c}")).cast(tiles.grids.schema[c].dataType)).alias(c)
-    common = placed.groupBy("mosaic_id").agg(same("crs"), corner("x0", "dx", "width").alias("x0"), corner("y0", "dy", "height").alias("y0"), same("dx"), same("dy"), end("x0", "dx", "width").alias("x1"), end("y0", "dy", "height").alias("y1"))
+    # The corners carry the check, as nothing reads the pixels of a mosaic without them.
+    unlike = F.when(F.min("crs") != F.max("crs"), "crs").when(F.min("dx") != F.max("dx"), "dx").when(F.min("dy") != F.max("dy"), "dy")
+    checked = lambda c: F.when(unlike.isNull(), c).otherwise(F.raise_error(F.concat(F.lit("tiles of one mosaic differ in "), unlike)).cast("double"))
+    ends = [end("x0", "dx", "width").alias("x1"), end("y0", "dy", "height").alias("y1")]
+    common = placed.groupBy("mosaic_id").agg(F.min("crs").alias("crs"), checked(corner("x0", "dx", "width")).alias("x0"), checked(corner("y0", "dy", "height")).alias("y0"), F.min("dx").alias("dx"), F.min("dy").alias("dy"), *ends)
     common = common.select(F.col("mosaic_id").alias("grid_id"), "crs", "x0", "y0", "dx", "dy", F.round((F.col("x1") - F.col("x0")) / F.col("dx")).cast("long").alias("width"), F.round((F.col("y1") - F.col("y0")) / F.col("dy")).cast("long").alias("height"))
     start = few(common.select(F.col("grid_id").alias("mosaic_id"), F.col("x0").alias("m_x0"), F.col("y0").alias("m_y0")))
     shift = placed.join(start, "mosaic_id").select("grid_id", "mosaic_id", F.col(order).alias("ord"), F.round((F.col("x0") - F.col("m_x0")) / F.col("dx")).cast("long").alias("right"), F.round((F.col("y0") - F.col("m_y0")) / F.col("dy")).cast("long").alias("down"))

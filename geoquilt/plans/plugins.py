@@ -8,10 +8,11 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 
+from ..operators.grids import Layer
 from . import catalog
 
-#: (areas, year, season, resolution) to a table, or to a table and the resolution that it really has.
-Extractor = Callable[[DataFrame, "int | str", str, "float | None"], "DataFrame | tuple[DataFrame, float]"]
+#: (areas, year, season, resolution) to a table, or to a table and the resolution that it really has; a raster may be a layer, whose grids say it all.
+Extractor = Callable[[DataFrame, "int | str", str, "float | None"], "DataFrame | Layer | tuple[DataFrame | Layer, float]"]
 Options = Mapping[str, Any]
 
 
@@ -53,11 +54,12 @@ class Variables:
         ext = self.get(name).ext
         return ext(options or {}) if callable(ext) else ext
 
-    def layer(self, name: str, areas: DataFrame, year: int | str, season: str, resolution: float | None = None, options: Options | None = None) -> tuple[DataFrame, float | None]:
-        """A variable's table and its resolution: what the extractor says, else what was asked for, else the catalogue's."""
+    def layer(self, name: str, areas: DataFrame, year: int | str, season: str, resolution: float | None = None, options: Options | None = None) -> tuple[DataFrame | Layer, float | None]:
+        """A variable's table and its resolution: what the extractor says, else what was asked for, else the catalogue's. Of a layer the pixels are transformed."""
         variable, options = self.get(name), options or {}
         found = variable.extractor(options)(areas, year, season, resolution)
         df, real = found if isinstance(found, tuple) else (found, resolution)
         if real is None:
             real = next((known[1] for known in catalog.VARIABLES if known[0] == name.lower()), None)
-        return df.transform(variable.transform(options)), real
+        change = variable.transform(options)
+        return Layer(df.pixels.transform(change), df.grids) if isinstance(df, Layer) else df.transform(change), real

@@ -220,7 +220,7 @@ def test_quantiles_like_numpy(spark, n):
         assert row.low is None and row.high is None
     else:
         assert np.allclose([row.low, row.high], np.percentile(values, [5, 95]))
-        assert ranks.upper_median(df, "v").collect()[0].v == sorted(values)[n // 2]
+        assert ranks.upper_medians(df, ["v"]).collect()[0].v == sorted(values)[n // 2]
 
 
 def test_tile_files_by_their_numbers(spark, tmp_path):
