@@ -119,6 +119,18 @@ def small_or_not(keyed: DataFrame, ring: str = "ring", vertices: int = 1_000_000
     return F.broadcast(keyed) if total <= vertices else keyed.hint("shuffle_hash")
 
 
+def z_order(x: Column, y: Column) -> Column:
+    """A number that is near for near cells: the bits of both, which are between -2^30 and 2^30, in turn."""
+
+    def spread(v: Column) -> Column:
+        v = v.cast("long") + (1 << 30)
+        for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+            v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask).cast("long"))
+        return v
+
+    return spread(x).bitwiseOR(F.shiftleft(spread(y), 1))
+
+
 def cell_size(boxed: DataFrame, sides: tuple, across: int = 4) -> float:
     """The power of two of which the widest box takes ``across`` and one more at most: cells follow the areas, in whatever units they are."""
     xmin, ymin, xmax, ymax = map(F.col, sides)

@@ -146,3 +146,16 @@ def boxes(grids: DataFrame) -> DataFrame:
     """grids with xmin … ymax."""
     x1, y1 = F.col("x0") + F.col("dx") * F.col("width"), F.col("y0") + F.col("dy") * F.col("height")
     return grids.withColumns({"xmin": F.least("x0", x1), "ymin": F.least("y0", y1), "xmax": F.greatest("x0", x1), "ymax": F.greatest("y0", y1)})
+
+
+def native(grids: DataFrame, target: str) -> DataFrame:
+    """The grids in a target system, width and height kept: the box of points along their edges, and rows from north to south."""
+    from .rasters import native_grid
+
+    sources, out = [r[0] for r in grids.select("crs").distinct().sort("crs").collect()], None  # at most the known systems
+    for source in sources:
+        moved = native_grid(boxes(grids.where(F.col("crs") == source)), source, target)
+        out = moved if out is None else out.unionByName(moved)
+    if out is None:
+        return grids.select(*GRID)
+    return out.select("grid_id", F.lit(target).alias("crs"), "x0", "y0", "dx", (-F.col("dy")).alias("dy"), "width", "height")

@@ -119,3 +119,21 @@ def p21_north_up_layer(spark, d):
     grids = spark.range(6).select(F.col("id").alias("grid_id"), F.lit("EPSG:3857").alias("crs"), F.lit(0.0).alias("x0"), F.when(south, 100.0).otherwise(300.0).alias("y0"), F.lit(10.0).alias("dx"), F.when(south, 10.0).otherwise(-10.0).alias("dy"), F.lit(20).alias("width"), F.lit(20).alias("height"))
     turned = gr.north_up(gr.Layer(px, grids))
     return turned.pixels.join(gr.few(turned.grids.select("grid_id", "y0", "dy")), "grid_id").select("grid_id", "row", "col", "v", "y0", "dy")
+
+
+MERCATOR = "6378137e0 * ln(tan(pi() / 4 + radians({y}) / 2))"
+
+
+@query("t6_native_layer", f"select grid_id, 'EPSG:3857' as crs, round(6378137e0 * radians(x0), 4) as x0, round({MERCATOR.format(y='y0')}, 4) as y0, round(6378137e0 * radians(0.8) / 8, 4) as dx, round(({MERCATOR.format(y='y0 - 0.8')} - {MERCATOR.format(y='y0')}) / 8, 4) as dy, 8 as width, 8 as height from degrees", degrees=DEGREES_SQL)
+def t6_native_layer(spark, d):
+    """Grids of degrees as grids of web Mercator with as many cells."""
+    out = gr.native(degree_layer(spark, d).grids, "EPSG:3857")
+    return out.withColumns({c: F.round(c, 4) for c in ("x0", "y0", "dx", "dy")})
+
+
+@query("j7_grid_align_layer", "select t.grid_id, r.range as row, c.range as col, p.v from part_grids t cross join range(4) r cross join range(4) c left join px p on p.grid_id = t.grid_id and p.row = r.range * 2 + 1 and p.col = c.range * 2 + 1", px=PX_SQL, part_grids="select p_partkey as grid_id from part")
+def j7_grid_align_layer(spark, d):
+    """Grids of half as many cells in the same system and place: each takes the fine cell that begins in its middle."""
+    source = degree_layer(spark, d)
+    coarse = source.grids.select("grid_id", "crs", (F.col("x0") + 0.01).alias("x0"), (F.col("y0") - 0.01).alias("y0"), (F.col("dx") * 2).alias("dx"), (F.col("dy") * 2).alias("dy"), F.lit(4).alias("width"), F.lit(4).alias("height"))
+    return gr.reproject(source, coarse, ["v"]).pixels

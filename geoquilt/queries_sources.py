@@ -158,6 +158,25 @@ def k4_write_run_report(spark, d):
     return flat.groupBy("job_name").agg(F.count("output_id").alias("n"), F.count_distinct("job_name", "ts", "git_commit").alias("runs"))
 
 
+@query("k4_run_records_read_back", "select job_name, count(*) as n, count(distinct (ts, git_commit)) as runs, count(gcs_uri) as stored from outputs group by job_name")
+def k4_run_records_read_back(spark, d):
+    """The JSON of the reports, read by the reader of run records."""
+    path = scratch.new_path(spark, "reports")
+    sinks.write_reports(view(spark, d, "outputs"), path)
+    runs = readers.run_records(spark, f"{path}/json")
+    stored = F.size(F.filter("outputs", lambda o: o["gcs_uri"].isNotNull()))
+    return runs.groupBy("job_info.job_name").agg(F.sum(F.size("outputs")).alias("n"), F.count(F.lit(1)).alias("runs"), F.sum(stored).alias("stored"))
+
+
+@query("s2_pruned_scan", "select obs_id, row, col, cast(obs_date as varchar) as obs_date, b04 from obs where obs_date between date '1996-06-10' and date '1996-08-20' and col + 0.5 between 4 and 12 and row + 0.5 between 4 and 12")
+def s2_pruned_scan(spark, d):
+    """Observations written by month and neighbourhood, and a box of some months read again."""
+    path = scratch.new_path(spark, "observations")
+    sinks.write_observations(view(spark, d, "obs"), path)
+    found = readers.observations(spark, path, "1996-06-10", "1996-08-20", (4, 4, 12, 12))
+    return found.select("obs_id", "row", "col", F.col("obs_date").cast("string").alias("obs_date"), "b04")
+
+
 COLLECTION_SQL = "case event_id % 7 when 0 then 'SENTINEL2_L2A' when 1 then 'my_sentinel2_l2a' when 2 then 'Sentinel2-L1C' when 3 then 'landsat_l2a' when 4 then '' when 5 then null else 'SENTINEL2_L2A_SENTINELHUB' end"
 
 

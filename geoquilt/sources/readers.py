@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,9 +89,25 @@ def run_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).schema(HISTORY).csv(path)
 
 
-def listing_links(pages: DataFrame, pattern: str = r'href="([^"]*)"', html: str = "html") -> DataFrame:
-    """(link): the distinct targets of links in HTML listings."""
-    return pages.select(F.explode(F.regexp_extract_all(html, F.lit(pattern), 1)).alias("link")).distinct()
+def listing_links(pages: DataFrame, pattern: str = r'href="([^"]*)"', html: str = "html", required: bool = False) -> DataFrame:
+    """(link): the distinct targets of links in HTML listings, in their order. With ``required`` it is an error to find none."""
+    links = pages.select(F.explode(F.regexp_extract_all(html, F.lit(pattern), 1)).alias("link")).distinct().orderBy("link")
+    if required and links.isEmpty():
+        raise ValueError("the listings hold no link")
+    return links
+
+
+def observations(spark: SparkSession, path: str, start: str, end: str, box: tuple[float, float, float, float] | None = None) -> DataFrame:
+    """What ``sinks.write_observations`` wrote, from start to end, both included, of pixels whose centre is in a box, borders included.
+
+    Months are partitions; dates, rows and columns are plain comparisons, by which files are skipped.
+    """
+    out = spark.read.parquet(path).where((F.col("month") >= start[:7]) & (F.col("month") <= end[:7]))
+    out = out.where(F.col("obs_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    if box is not None:
+        low, high = (lambda v: math.ceil(v - 0.5)), (lambda v: math.floor(v - 0.5))
+        out = out.where(F.col("col").between(low(box[0]), high(box[2])) & F.col("row").between(low(box[1]), high(box[3])))
+    return out.drop("month")
 
 
 def tile_files(spark: SparkSession, path: str) -> DataFrame:

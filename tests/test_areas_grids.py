@@ -220,3 +220,42 @@ def test_cover_of_keys_without_a_range(spark):
     assert got == {("a", 1.0): 0.0, ("a", 2.0): 1.0, ("a", None): None, ("b", 3.0): None, (None, 1.0): 0.0, (None, 5.0): 1.0}
     with pytest.raises(Exception, match="the percentiles are one value"):
         ob.fractional_cover(df, by=("k",), strict=True).collect()
+
+
+# Layout
+
+
+def scanned(df):
+    """Rows and files that a query's scan gives, after it ran."""
+    execution = df._jdf.queryExecution()
+    leaf = execution.executedPlan().collectLeaves().head()
+    execution.toRdd().count()
+    return {k: leaf.metrics().get(k).get().value() for k in ("numOutputRows", "numFiles")}
+
+
+def test_a_box_of_a_month_reads_few_files_and_rows(spark, tmp_path):
+    obs = spark.range(200_000).select(F.col("id").alias("obs_id"), (F.col("id") % 400).alias("col"), (F.expr("id div 400") % 500).alias("row"), F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") * 7 % 360).cast("int")).alias("obs_date"))
+    from geoquilt.sources import sinks
+
+    sinks.write_observations(obs, str(tmp_path / "obs"), 96)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        whole = scanned(spark.read.parquet(str(tmp_path / "obs")))
+        month = scanned(readers.observations(spark, str(tmp_path / "obs"), "2020-03-01", "2020-03-31"))
+        box = readers.observations(spark, str(tmp_path / "obs"), "2020-03-01", "2020-03-31", (100, 100, 150, 150))
+        some = scanned(box)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert whole["numOutputRows"] == 200_000 and month["numFiles"] < whole["numFiles"] / 8
+    assert some["numOutputRows"] < month["numOutputRows"] / 2  # files outside the box are skipped by their statistics
+    assert box.count() == obs.where("col between 100 and 149 and row between 100 and 149 and obs_date between '2020-03-01' and '2020-03-31'").count()
+
+
+def test_neighbours_are_near_in_the_space_filling_key(spark):
+    from geoquilt.functions import geometry
+
+    cells = [(x, y) for x in range(-8, 8) for y in range(-8, 8)]
+    keys = spark.createDataFrame(cells, "x long, y long").select("x", "y", geometry.z_order(F.col("x"), F.col("y")).alias("z")).collect()
+    interleave = lambda x, y: sum(((x + 2**30) >> b & 1) << 2 * b | ((y + 2**30) >> b & 1) << 2 * b + 1 for b in range(31))
+    assert all(r.z == interleave(r.x, r.y) for r in keys)
