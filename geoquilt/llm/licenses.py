@@ -22,6 +22,10 @@ from . import common
 TEMPLATES = (
     ("AGPL-3.0", "licensed under the GNU Affero General Public License, version 3"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
+    ("Apache-2.0", "Licensed under Apache License 2.0"),
+    ("Apache-2.0", "Released under the Apache License, Version 2.0"),
+    ("BSD", "Released under the BSD License"),
+    ("BSD", "Licensed under the BSD License"),
     ("Artistic-2.0", "licensed under the Artistic License 2.0"),
     ("BSD-2-Clause", "licensed under the BSD 2-Clause License"),
     ("BSD-3-Clause", "licensed under the BSD 3-Clause License"),
@@ -43,6 +47,8 @@ TEMPLATES = (
     ("LGPL-2.1", "licensed under the GNU Lesser General Public License, version 2.1"),
     ("LGPL-3.0", "licensed under the GNU Lesser General Public License, version 3"),
     ("MIT", "Released under the MIT License"),
+    ("MIT", "Released under an MIT License"),
+    ("MIT", "Licensed under an MIT License"),
     ("MIT", "Licensed under the MIT License"),
     ("MPL-2.0", "subject to the terms of the Mozilla Public License, v. 2.0"),
     ("Unlicense", "free and unencumbered software released into the public domain"),
@@ -85,18 +91,23 @@ def _bands(window: str, bands: int) -> Column:
 
 
 def _templates(spark: SparkSession, scan: Scan) -> DataFrame:
-    """(template, license, own, length): a fixed number of rows."""
+    """(template, license, own, length, versions): a fixed number of rows. versions: the shingles that hold all words of the template with a digit."""
     rows = spark.createDataFrame([(i, code, text) for i, (code, text) in enumerate(scan.templates)], "template int, license string, text string")
     rows = rows.withColumn("words", words_of(F.col("text"))).withColumn("own", F.array_distinct(shingles("words", scan.words)))
-    return rows.select("template", "license", "own", F.size("own").alias("length"))
+    numbers = F.filter("words", lambda w: w.rlike("[0-9]"))
+    at = lambda i: F.slice("words", i, scan.words)
+    places = F.filter(F.sequence(F.lit(1), F.greatest(F.size("words") - (scan.words - 1), F.lit(1))), lambda i: F.size(F.array_except(numbers, at(i))) == 0)
+    versions = F.when(F.size(numbers) == 0, F.array().cast("array<bigint>")).otherwise(F.transform(places, lambda i: F.element_at(shingles("words", scan.words), i)))
+    return rows.select("template", "license", "own", F.size("own").alias("length"), versions.alias("versions"))
 
 
 def licenses(docs: DataFrame, scan: Scan | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, license, containment, first_word): a row for each licence that a whole text states.
 
     A licence is stated where a window of as many shingles as one of its templates has holds at
-    least the share ``scan.containment`` of the template's; the best window counts, of equal ones
-    the first. first_word is the window's first word, from 0. Null texts and texts without words
+    least the share ``scan.containment`` of the template's and, if the template names a version, one
+    of the shingles that hold it whole: another version is another licence. The best window counts,
+    of equal ones the first. first_word is the window's first word, from 0. Null texts and texts without words
     state none. Rows are scanned one by one, so a repeated row gives its results again; other
     columns are ignored. An empty table gives no rows.
     """
@@ -113,10 +124,11 @@ def licenses(docs: DataFrame, scan: Scan | None = None, id_col: str = "doc_id",
     lengths = F.broadcast(templates.select(F.explode("own").alias("shingle"), "length").distinct())
     windows = hits.join(lengths, "shingle").select("doc_id", "row", "at", "length", F.slice("h", F.col("at") + 1, F.col("length")).alias("window"))
     banded = windows.select("doc_id", "row", "at", "length", "window", F.explode(_bands("window", scan.bands)).alias("band"))
-    meant = templates.select("template", "license", "own", "length", F.explode(_bands("own", scan.bands)).alias("band"))
+    meant = templates.select("template", "license", "own", "versions", "length", F.explode(_bands("own", scan.bands)).alias("band"))
     met = banded.join(F.broadcast(meant), ["length", "band"]).dropDuplicates(["row", "at", "template"])
     share = F.size(F.array_intersect("window", "own")) / F.col("length")
-    found = met.select("doc_id", "row", "license", "at", share.alias("containment")).where(F.col("containment") >= scan.containment)
+    of_version = (F.size("versions") == 0) | F.arrays_overlap("window", "versions")
+    found = met.where(of_version).select("doc_id", "row", "license", "at", share.alias("containment")).where(F.col("containment") >= scan.containment)
     top = F.max("containment").over(Window.partitionBy("row", "at"))
     found = found.withColumn("top", top).where("containment = top").drop("top")
     best = found.groupBy("row", "license").agg(F.first("doc_id").alias("doc_id"), F.min(F.struct((-F.col("containment")).alias("less"), F.col("at"))).alias("best"))
@@ -133,16 +145,17 @@ def oracle(scan: Scan | None = None) -> str:
 with t(template, license, phrase) as (values
   {values}
 ), tw as (select template, license, {split.format("phrase")} as w from t),
-ts as (select template, license, list_distinct({pieces}) as own from tw),
-tu as (select template, license, len(own) as length, unnest(own) as shingle from ts),
+ts as (select template, license, list_distinct({pieces}) as own, list_filter(w, lambda x: regexp_matches(x, '[0-9]')) as numbers from tw),
+tu as (select template, license, length, shingle, len(numbers) = 0 or list_has_all(string_split(shingle, ' '), numbers) as of_version from (select template, license, numbers, len(own) as length, unnest(own) as shingle from ts)),
 dw as (select row_number() over () as r, doc_id, {split.format("coalesce(text, '')")} as w from documents),
 ds as (select r, doc_id, {pieces} as s from dw),
 du as (select r, doc_id, unnest(s) as shingle, generate_subscripts(s, 1) - 1 as pos from ds),
-hit as (select du.r, du.doc_id, du.pos, du.shingle, template, license, length from du join tu using (shingle)),
+hit as (select du.r, du.doc_id, du.pos, du.shingle, template, license, length, of_version from du join tu using (shingle)),
 win as (
   select a.r, a.doc_id, a.template, a.license, a.pos, count(distinct b.shingle) / cast(a.length as double) as containment
   from hit a join hit b on a.r = b.r and a.template = b.template and b.pos >= a.pos and b.pos < a.pos + a.length
   group by a.r, a.doc_id, a.template, a.license, a.pos, a.length
+  having bool_or(b.of_version)
 ), topped as (
   select *, max(containment) over (partition by r, pos) as top from win where containment >= {scan.containment}
 ), ranked as (

@@ -9,10 +9,10 @@ from functools import lru_cache
 
 import numpy as np
 import pytest
-from conftest import SF
+from conftest import SF, duck
 from pyspark.sql import functions as F
 
-from geoquilt.llm import common, conversations, importance, katz, mixing, near_duplicates, near_vectors, queries
+from geoquilt.llm import common, conversations, importance, katz, licenses, mixing, near_duplicates, near_vectors, queries
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 NAME = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -350,3 +350,30 @@ def test_mix_equals_the_queue_replayed(spark, case):
     assert {r.doc_id: r.times for r in got if r.size} == {i: wanted[i] for i, _, n in rows if n}
     if case == 0:
         assert sum(r.taken for r in got) == sum(wanted[i] * n for i, _, n in rows)
+
+
+# Licences
+
+
+@pytest.mark.parametrize(
+    ("text", "wanted"),
+    [
+        ("This is licensed under the GNU General Public License, version 2 of the year.", {"GPL-2.0"}),
+        ("This is licensed under the GNU General Public License, version 3, so there.", {"GPL-3.0"}),
+        ("This is licensed under the GNU General Public License, version 1, so there.", set()),
+        ("This is licensed under the GNU General Public License, version 4, so there.", set()),
+        ("It is licensed under the GNU Lesser General Public License, version 2 only.", set()),
+        ("It is licensed under the GNU Lesser General Public License, version 2.1 only.", {"LGPL-2.1"}),
+        ("It is licensed under the GNU Affero General Public License, version 1 only.", set()),
+        ("Released under the BSD License by us.", {"BSD"}),
+        ("It is licensed under Apache License 2.0 today.", {"Apache-2.0"}),
+        ("Licensed under the Apache License, Version 1.1 long ago.", set()),
+        ("We released under an MIT License all of it.", {"MIT"}),
+    ],
+)
+def test_a_licence_is_named_with_its_version(spark, text, wanted):
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert {r.license for r in licenses.licenses(docs).collect()} == wanted
+    c = duck()
+    c.execute("create temp table one as select 1 as doc_id, ? as text", [text])
+    assert {r[1] for r in c.sql(licenses.oracle().replace("from documents", "from one")).fetchall()} == wanted
