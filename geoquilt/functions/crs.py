@@ -33,24 +33,42 @@ _B0 = math.asin(_q(math.sin(LAEA_LAT)) / _QP)
 _D = A * (math.cos(LAEA_LAT) / math.sqrt(1 - E2 * math.sin(LAEA_LAT) ** 2)) / (_RQ * math.cos(_B0))
 
 
-def _from_degrees_3035(lon: Column, lat: Column) -> tuple[Column, Column]:
-    beta, d = F.asin(_q(F.sin(F.radians(lat))) / _QP), F.radians(lon) - LAEA_LON
+def _laea_start(lon: Column, lat: Column) -> tuple[Column, Column]:
+    return F.asin(_q(F.sin(F.radians(lat))) / _QP), F.radians(lon) - LAEA_LON
+
+
+def _laea_end(beta: Column, d: Column) -> tuple[Column, Column]:
     b = F.sqrt(F.lit(2.0) / (F.sin(beta) * math.sin(_B0) + 1 + F.cos(beta) * F.cos(d) * math.cos(_B0))) * _RQ
     return b * _D * F.cos(beta) * F.sin(d) + LAEA_X, b / _D * (F.sin(beta) * math.cos(_B0) - F.cos(beta) * F.cos(d) * math.sin(_B0)) + LAEA_Y
 
 
-def _to_degrees_3035(x: Column, y: Column) -> tuple[Column, Column]:
+def _laea_polar(x: Column, y: Column) -> tuple[Column, Column, Column, Column]:
     dx, dy = (x - LAEA_X) / _D, (y - LAEA_Y) * _D
     rho = F.sqrt(dx * dx + dy * dy)
-    c = F.asin(rho / (2 * _RQ)) * 2
+    return dx, dy, rho, F.asin(rho / (2 * _RQ)) * 2
+
+
+def _laea_sphere(dx: Column, dy: Column, rho: Column, c: Column) -> tuple[Column, Column]:
     at_origin = rho < 1e-9
     beta = F.when(at_origin, _B0).otherwise(F.asin(F.cos(c) * math.sin(_B0) + F.try_divide(dy * F.sin(c) * math.cos(_B0), rho)))
+    lon = F.when(at_origin, 0.0).otherwise(F.atan2(dx * F.sin(c), rho * math.cos(_B0) * F.cos(c) - dy * math.sin(_B0) * F.sin(c)))
+    return lon, beta
+
+
+def _laea_degrees(lon: Column, beta: Column) -> tuple[Column, Column]:
     e4, e6 = E2 * E2, E2 * E2 * E2
     lat = beta + F.sin(2 * beta) * (E2 / 3 + 31 * e4 / 180 + 517 * e6 / 5040) + F.sin(4 * beta) * (23 * e4 / 360 + 251 * e6 / 3780) + F.sin(6 * beta) * (761 * e6 / 45360)
-    lon = F.when(at_origin, 0.0).otherwise(F.atan2(dx * F.sin(c), rho * math.cos(_B0) * F.cos(c) - dy * math.sin(_B0) * F.sin(c)))
     return F.degrees(lon + LAEA_LON), F.degrees(lat)
 
 
+def _from_degrees_3035(lon: Column, lat: Column) -> tuple[Column, Column]:
+    return _laea_end(*_laea_start(lon, lat))
+
+
+def _to_degrees_3035(x: Column, y: Column) -> tuple[Column, Column]:
+    return _laea_degrees(*_laea_sphere(*_laea_polar(x, y)))
+
+
 def _from_degrees_3857(lon: Column, lat: Column) -> tuple[Column, Column]:
     return F.radians(lon) * SPHERE, F.log(F.tan(F.radians(lat) / 2 + math.pi / 4)) * SPHERE
 
@@ -102,26 +120,44 @@ def _to_degrees_tm(x: Column, y: Column, zone: int) -> tuple[Column, Column]:
     return _tm_end(*_tm_series(xi, eta, tuple(-b for b in _BETA)), zone)
 
 
+def _columns(df: DataFrame, names: tuple[str, ...], values: tuple[Column, ...]) -> tuple[DataFrame, list[Column]]:
+    return df.withColumns(dict(zip(names, values, strict=True))), [F.col(n) for n in names]
+
+
 def with_transformed(df: DataFrame, x: str, y: str, source: str, target: str, out_x: str, out_y: str) -> DataFrame:
-    """df with the point in the target system. Transverse Mercator goes by columns in between, which keeps the code of a stage small."""
+    """df with the point in the target system, as ``transform`` gives it, for tables of many points.
+
+    The series go by columns in between, and the point comes out of a generator: later filters and joins on it would
+    otherwise be moved below, each with a copy of the whole formula, until the code of a stage is too long to compile.
+    """
     for name in (source, target):
         if name not in KNOWN:
             raise ValueError(f"{name} is not one of {', '.join(KNOWN)}")
-    k = TM_SCALE * _RECTIFYING
-    if source.startswith("EPSG:258"):
-        north, east = _tm_series(F.col("tm_xi"), F.col("tm_eta"), tuple(-b for b in _BETA))
-        df = df.withColumns({"tm_xi": F.col(y) / k, "tm_eta": (F.col(x) - TM_X) / k}).withColumns({"tm_north": north, "tm_east": east})
-        lon, lat = _tm_end(F.col("tm_north"), F.col("tm_east"), int(source[-2:]))
-        df = df.withColumns({out_x: lon, out_y: lat}).drop("tm_xi", "tm_eta", "tm_north", "tm_east")
-    else:
-        lon, lat = transform(F.col(x), F.col(y), source, "EPSG:4326")
-        df = df.withColumns({out_x: lon, out_y: lat})
-    if target.startswith("EPSG:258"):
-        xi, eta = _tm_start(F.col(out_x), F.col(out_y), int(target[-2:]))
-        north, east = _tm_series(F.col("tm_xi"), F.col("tm_eta"), _ALPHA)
-        return df.withColumns({"tm_xi": xi, "tm_eta": eta}).withColumns({out_x: east * k + TM_X, out_y: north * k}).drop("tm_xi", "tm_eta")
-    x1, y1 = transform(F.col(out_x), F.col(out_y), "EPSG:4326", target)
-    return df.withColumns({out_x: x1, out_y: y1})
+    kept, k, at = df.columns, TM_SCALE * _RECTIFYING, (F.col(x), F.col(y))
+    if source == target:
+        return df.withColumns({out_x: at[0], out_y: at[1]})
+    if source == "EPSG:3035":
+        df, polar = _columns(df, ("laea_dx", "laea_dy", "laea_rho", "laea_c"), _laea_polar(*at))
+        df, sphere = _columns(df, ("laea_lon", "laea_beta"), _laea_sphere(*polar))
+        at = _laea_degrees(*sphere)
+    elif source.startswith("EPSG:258"):
+        df, series = _columns(df, ("tm_xi", "tm_eta"), (at[1] / k, (at[0] - TM_X) / k))
+        df, ends = _columns(df, ("tm_north", "tm_east"), _tm_series(*series, tuple(-b for b in _BETA)))
+        at = _tm_end(*ends, int(source[-2:]))
+    elif source == "EPSG:3857":
+        at = _to_degrees_3857(*at)
+    df, at = _columns(df, ("lon_between", "lat_between"), tuple(at))
+    if target == "EPSG:3035":
+        df, start = _columns(df, ("laea_beta_to", "laea_d_to"), _laea_start(*at))
+        at = _laea_end(*start)
+    elif target.startswith("EPSG:258"):
+        df, start = _columns(df, ("tm_xi_to", "tm_eta_to"), _tm_start(*at, int(target[-2:])))
+        north, east = _tm_series(*start, _ALPHA)
+        at = east * k + TM_X, north * k
+    elif target == "EPSG:3857":
+        at = _from_degrees_3857(*at)
+    point = F.inline(F.array(F.struct(at[0].alias(out_x), at[1].alias(out_y))))
+    return df.select(*[F.col(c) for c in kept if c not in (out_x, out_y)], point)
 
 
 def transform(x: Column, y: Column, source: str, target: str) -> tuple[Column, Column]:
