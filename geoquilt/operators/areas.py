@@ -70,7 +70,7 @@ def signed_rings(rings: Column) -> Column:
 
 def shared_area(rings: Column, box: tuple[Column, Column, Column, Column]) -> Column:
     """How much of an area, whose rings don't cross, is in a box."""
-    part = lambda s: s["sign"] * geometry.ring_area(geometry.clipped_ring(s["ring"], box))
+    part = lambda s: s["sign"] * geometry.clipped_area(s["ring"], box)
     return F.aggregate(F.transform(signed_rings(rings), part), F.lit(0.0), lambda total, x: total + x)
 
 
@@ -225,5 +225,5 @@ def grid_tiles(areas: DataFrame, step: float) -> DataFrame:
     edge = lambda low, high, k: F.least(F.col(low) + k * step, F.col(high))
     i, j = F.col("i"), F.col("j")
     cells = cells.withColumns({"xmin": edge("a_xmin", "a_xmax", i), "ymin": edge("a_ymin", "a_ymax", j), "xmax": edge("a_xmin", "a_xmax", i + 1), "ymax": edge("a_ymin", "a_ymax", j + 1)})
-    part = F.col("sign") * geometry.ring_area(geometry.clipped_ring(F.col("ring"), tuple(map(F.col, BOX))))
+    part = F.col("sign") * geometry.clipped_area(F.col("ring"), tuple(map(F.col, BOX)))
     return cells.groupBy("aoi_id", "i", "j", *BOX).agg(F.round(F.sum(part), 9).alias("area")).where("area > 0")

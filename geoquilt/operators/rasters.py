@@ -93,7 +93,7 @@ def best_overlap(rasters: DataFrame, areas: DataFrame) -> DataFrame:
     left, right = geometry.with_box_cells(rasters, BOX, size), geometry.with_box_cells(rings, tuple(f"a_{c}" for c in BOX), size)
     met = left.join(geometry.small_or_not(right), ["cell_x", "cell_y"]).where(geometry.boxes_touch(BOX, tuple(f"a_{x}" for x in BOX)))
     once = met.select("aoi_id", "ring", "path", *BOX).distinct()
-    shared = geometry.ring_area(geometry.clipped_ring(F.col("ring"), tuple(map(F.col, BOX))))
+    shared = geometry.clipped_area(F.col("ring"), tuple(map(F.col, BOX)))
     sums = once.groupBy("aoi_id", "path", *BOX).agg(F.round(F.sum(shared), 9).alias("area")).where("area > 0")
     return sums.groupBy("aoi_id").agg(F.min_by("path", F.struct(-F.col("area"), F.col("path"))).alias("path"), F.max("area").alias("area"))
 

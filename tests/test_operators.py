@@ -293,3 +293,27 @@ def test_plugins_by_name_and_their_resolutions(spark):
         known.add("SWI", found(None))
     with pytest.raises(ValueError, match="unknown variable"):
         known.get("x")
+
+
+def test_clipped_area_like_the_clipped_ring(spark):
+    random = np.random.default_rng(5)
+    rings, boxes = [], []
+    for i in range(300):
+        n = int(random.integers(3, 9))
+        turn = np.sort(random.uniform(0, 2 * math.pi, n))[:: 1 if i % 2 else -1]
+        far = random.uniform(1, 6, n)
+        points = [(float(r * math.cos(t)), float(r * math.sin(t))) for r, t in zip(far, turn, strict=True)]
+        points = [(float(round(x)), float(round(y))) for x, y in points] if i % 3 == 0 else points  # edges straight up, flat, on the box
+        low, high = random.integers(-5, 0, 2), random.integers(1, 6, 2)
+        rings.append([*points, points[0]])
+        boxes.append((float(low[0]), float(low[1]), float(high[0]), float(high[1])))
+    rows = [(r, *b) for r, b in zip(rings, boxes, strict=True)]
+    df = spark.createDataFrame(rows, "ring array<struct<x:double,y:double>>, xmin double, ymin double, xmax double, ymax double")
+    box = tuple(F.col(c) for c in ("xmin", "ymin", "xmax", "ymax"))
+    area, wanted = geometry.clipped_area(F.col("ring"), box), geometry.ring_area(geometry.clipped_ring(F.col("ring"), box))
+    for got, want in df.select(area, wanted).collect():
+        assert got == pytest.approx(want, abs=1e-9)
+    holes = [([(0.0, 0.0), (4.0, None), (4.0, 4.0), (0.0, 0.0)],), ([],)]
+    missing = spark.createDataFrame(holes, "ring array<struct<x:double,y:double>>")
+    unit = tuple(F.lit(v) for v in (0.0, 0.0, 1.0, 1.0))
+    assert [r[0] for r in missing.select(geometry.clipped_area(F.col("ring"), unit)).collect()] == [None, 0.0]
