@@ -232,18 +232,21 @@ def area_tiles(areas: DataFrame, step: float) -> DataFrame:
 
     ``parts`` are the rings of what the box and the area's features share; a ring given twice counts
     once. A box that only touches the area stays, its parts have no area. Edges come from the number
-    of steps, so they don't drift.
+    of steps, so they don't drift. Each ring goes to the boxes that its own box touches and is cut there.
     """
-    boxed = areas.select("aoi_id", "ring", geometry.ring_box(F.col("ring")).alias("b"))
-    box = boxed.groupBy("aoi_id").agg(F.collect_set("ring").alias("rings"), *[f(f"b.{c}").alias(f"a_{c}") for f, c in zip((F.min, F.min, F.max, F.max), BOX, strict=True)])
-    many = lambda low, high: F.sequence(F.lit(0), F.greatest(F.ceil((F.col(high) - F.col(low)) / step).cast("int") - 1, F.lit(0)))
-    cells = box.withColumn("i", F.explode(many("a_xmin", "a_xmax"))).withColumn("j", F.explode(many("a_ymin", "a_ymax")))
+    ring = areas.select("aoi_id", "ring").distinct().withColumn("b", geometry.ring_box(F.col("ring")))
+    box = ring.groupBy("aoi_id").agg(*[f(f"b.{c}").alias(f"a_{c}") for f, c in zip((F.min, F.min, F.max, F.max), BOX, strict=True)])
+    last = lambda low, high: F.greatest(F.ceil((F.col(high) - F.col(low)) / step).cast("int") - 1, F.lit(0))
+    at = lambda value, low, high, more: F.greatest(F.least(F.floor((F.col(value) - F.col(low)) / step).cast("int") + more, last(low, high)), F.lit(0))
+    near = lambda c: F.explode(F.sequence(at(f"b.{c}min", f"a_{c}min", f"a_{c}max", -1), at(f"b.{c}max", f"a_{c}min", f"a_{c}max", 1)))
+    cells = ring.join(box, "aoi_id").withColumn("i", near("x")).withColumn("j", near("y"))
     edge = lambda low, high, k: F.least(F.col(low) + k * step, F.col(high))
     i, j = F.col("i"), F.col("j")
     ends = {"xmin": edge("a_xmin", "a_xmax", i), "ymin": edge("a_ymin", "a_ymax", j), "xmax": edge("a_xmin", "a_xmax", i + 1), "ymax": edge("a_ymin", "a_ymax", j + 1)}
     tile = tuple(map(F.col, BOX))
-    met = cells.select("aoi_id", "i", "j", *[c.alias(n) for n, c in ends.items()], "rings").withColumn("rings", F.filter("rings", lambda r: geometry.ring_meets_box(r, tile))).where(F.size("rings") > 0)
-    return met.select("aoi_id", "i", "j", *BOX, F.transform("rings", lambda r: geometry.clipped_ring(r, tile)).alias("parts"))
+    met = cells.withColumns(ends).where(geometry.ring_meets_box(F.col("ring"), tile))
+    part = geometry.clipped_ring(F.col("ring"), tile)
+    return met.groupBy("aoi_id", "i", "j", *BOX).agg(F.sort_array(F.collect_list(part)).alias("parts"))
 
 
 def tile_shrink(points: DataFrame, start: float, most: int, floor: float, x: str = "x", y: str = "y") -> DataFrame:

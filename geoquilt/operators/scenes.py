@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -18,14 +20,30 @@ def cloud_at_most(scenes: DataFrame, limit: float) -> DataFrame:
 
 
 def scenes_in_area(scenes: DataFrame, areas: DataFrame) -> DataFrame:
-    """Scenes whose footprint touches an area, its border included. A cell key makes it a hash join; duplicate areas double nothing."""
+    """Scenes whose footprint touches an area, its border included. Duplicate areas double nothing; scenes without a box touch none.
+
+    A scene stands in one cell, that of its lower left corner, of a level at which it is no wider than a cell; areas stand in
+    all cells from which a scene can reach them. So the semi join, on cells, gives each scene once.
+    """
+    sides = tuple(f"a_{x}" for x in BOX)
     rings = areas.select("ring").distinct().withColumn("b", geometry.ring_box(F.col("ring"))).select("ring", *[F.col(f"b.{x}").alias(f"a_{x}") for x in BOX])
-    size = geometry.cell_size(rings, tuple(f"a_{x}" for x in BOX))
-    left = geometry.with_box_cells(scenes.withColumn("scene_row", F.monotonically_increasing_id()), BOX, size)
-    right = geometry.with_box_cells(rings, tuple(f"a_{x}" for x in BOX), size)
-    near = geometry.boxes_touch(BOX, tuple(f"a_{x}" for x in BOX)) & geometry.ring_meets_box(F.col("ring"), tuple(map(F.col, BOX)))
-    hit = left.join(geometry.small_or_not(right), (left.cell_x == right.cell_x) & (left.cell_y == right.cell_y) & near, "left_semi")
-    return hit.dropDuplicates(["scene_row"]).drop("scene_row", "cell_x", "cell_y")
+    around = rings.agg(*[f(c) for f, c in zip((F.min, F.min, F.max, F.max), sides, strict=True)]).first()
+    if around[0] is None:
+        return scenes.where("false")
+    base = int(math.log2(geometry.cell_size(rings, sides)))
+    xmin, ymin, xmax, ymax = map(F.col, BOX)
+    wide = F.greatest(xmax - xmin, ymax - ymin)
+    level = F.when(wide > 2.0**base, F.ceil(F.log2(wide) + 1e-9).cast("int")).otherwise(base)
+    some = scenes.where((xmin <= around[2]) & (xmax >= around[0]) & (ymin <= around[3]) & (ymax >= around[1])).withColumn("level", level)
+    levels = sorted(r.level for r in some.select("level").distinct().collect())  # no more than there are exponents
+    cell = lambda value: F.floor(value / F.pow(F.lit(2.0), F.col("level"))).cast("long")
+    reach = lambda low, high: F.explode(F.sequence(cell(F.col(low) - F.pow(F.lit(2.0), F.col("level"))), cell(F.col(high))))
+    right = rings.withColumn("level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>")))
+    right = right.withColumn("cell_x", reach("a_xmin", "a_xmax")).withColumn("cell_y", reach("a_ymin", "a_ymax"))
+    left = some.withColumns({"cell_x": cell(xmin), "cell_y": cell(ymin)})
+    near = geometry.boxes_touch(BOX, sides) & geometry.ring_meets_box(F.col("ring"), tuple(map(F.col, BOX)))
+    same = (left.level == right.level) & (left.cell_x == right.cell_x) & (left.cell_y == right.cell_y)
+    return left.join(geometry.small_or_not(right), same & near, "left_semi").select(*scenes.columns)
 
 
 def date_stats(scenes: DataFrame) -> DataFrame:
