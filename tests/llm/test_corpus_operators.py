@@ -10,7 +10,7 @@ import pytest
 from conftest import SF, duck, rows
 
 import corpus_pipeline
-from geoquilt.llm import components, language, licenses, mixing, near_duplicates, near_vectors, nearest, packing, pii, quality, queries, tokens
+from geoquilt.llm import components, language, licenses, mixing, near_duplicates, near_vectors, nearest, packing, pii, prefixes, quality, queries, tokens
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, node long, score double, kept boolean, hashes binary, words string, row string, at string, h string"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -489,3 +489,11 @@ def test_stretches_have_the_ids_of_the_library():
     found = tokens.Stretches(path, tokens.WITHOUT_SPACE, tokens.as_bytes)
     got = [b"".join(found.known[y] for y in x) for x in found.of(texts)]
     assert got == [np.array(x, "<u4").tobytes() for x in tokens.load(path)(texts)]
+
+
+def test_prefix_counts_by_the_library_where_totals_differ(monkeypatch):
+    counter = prefixes.PrefixCounter(queries.vocabulary("byte_bpe_50k.json"))
+    texts = ["two words", "naïve 你好", "x", ""]
+    wanted = counter.counts(texts)
+    monkeypatch.setattr(counter, "one", lambda text: np.full(len(text), 99))
+    assert counter.counts(texts) == wanted
