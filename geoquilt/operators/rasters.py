@@ -244,7 +244,8 @@ def area_tiles(areas: DataFrame, step: float) -> DataFrame:
     i, j = F.col("i"), F.col("j")
     ends = {"xmin": edge("a_xmin", "a_xmax", i), "ymin": edge("a_ymin", "a_ymax", j), "xmax": edge("a_xmin", "a_xmax", i + 1), "ymax": edge("a_ymin", "a_ymax", j + 1)}
     tile = tuple(map(F.col, BOX))
-    met = cells.withColumns(ends).where(geometry.ring_meets_box(F.col("ring"), tile))
+    placed = cells.select("aoi_id", "ring", "i", "j", F.inline(F.array(F.struct(*[c.alias(n) for n, c in ends.items()]))))  # else each edge works them out
+    met = placed.where(geometry.ring_meets_box(F.col("ring"), tile))
     part = geometry.clipped_ring(F.col("ring"), tile)
     return met.groupBy("aoi_id", "i", "j", *BOX).agg(F.sort_array(F.collect_list(part)).alias("parts"))
 
