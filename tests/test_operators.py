@@ -48,7 +48,7 @@ def test_true_color_like_numpy(spark):
 
     def tone(a):
         x, t = np.clip(a / 3.0, 0, 1), 0.13 / 3.0
-        c = x * (x * (t + 1 - 1) - 1) / (x * (2 * t - 1) - t)
+        c = x * (x * t - 1) / (x * (2 * t - 1) - t)
         return ((c + 0.01) ** 2.3 - 0.01**2.3) / (1.01**2.3 - 0.01**2.3)
 
     tones = [tone(a - h) for a, h in zip((v, v[::-1], np.roll(v, 7)), (0.013, 0.024, 0.041), strict=True)]
