@@ -77,12 +77,13 @@ class PrefixCounter:
 
     def _go_on(self, data: bytes, count: list[int], last: list[int]) -> None:
         """Counts and last tokens of the prefixes of a word, from those of its first bytes on, which are there already."""
-        number, known = self.number, self.known
+        number, known = self.number.get, self.known
+        begin = len(count) - 1
         for end in range(len(count), len(data) + 1):
-            begin = end - 1
+            # Most often the last token of the prefix before grows by the new byte; else it is looked for from the shortest on.
+            grown, tried = begin, False
             while True:
-                part = data[begin:end]
-                token = number.get(part)
+                token = number(data[begin:end])
                 if token is not None:
                     if begin == 0:
                         break
@@ -94,7 +95,11 @@ class PrefixCounter:
                         valid = known[pair] = self._valid(last[begin], token)
                     if valid:
                         break
+                if not tried:
+                    tried, begin = True, end
                 begin -= 1
+                if begin == grown:
+                    begin -= 1
             count.append(count[begin] + 1)
             last.append(token)
 

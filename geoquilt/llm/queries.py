@@ -70,8 +70,8 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = tokens.prefix_counts(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
-    return counted.select("doc_id", "n_bytes", tokens.tokens_within(F.size("prefix_tokens")).alias("n_tokens")).withColumn("over_limit", F.col("n_tokens") > 1024)
+    counted = tokens.token_counts(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ import struct
 import sys
 import zlib
 from collections.abc import Callable, Iterator
-from functools import cache, reduce
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -35,6 +35,9 @@ WITHOUT_SPACE = r"[^ \t\n\r\x0b\x0c]+"
 #: The same where ``words_of`` knows the tokenizer: a first run of Latin letters stands apart from punctuation behind it.
 LETTERS_APART = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+(?=[!-&(-/:;=?@\[-`{}~ \t\n\r\x0b\x0c]|\Z)|" + WITHOUT_SPACE
 
+#: With white space, the same; a line break before a Latin letter stands alone, as it does in the encoding.
+LETTERS_APART_WITH_SPACE = r"\n(?=[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])| ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+(?=[!-&(-/:;=?@\[-`{}~ \t\n\r\x0b\x0c]|\Z)|" + WITH_SPACE
+
 
 def load(path: str) -> Callable[[list[str]], list[list[int]]]:
     """A function from texts to token ids, without begin, end or added special tokens."""
@@ -159,32 +162,20 @@ class Tables(Stretches):
     """Stretches of which the counts of all prefixes are known, 32-bit numbers as bytes."""
 
     def __init__(self, path: str, pattern: str):
-        self.find, self.counter, self.words = re.compile(pattern).findall, prefixes.PrefixCounter(path), words_of(path)
+        self.counter, self.words = prefixes.PrefixCounter(path), words_of(path)
+        self.find = re.compile(LETTERS_APART_WITH_SPACE if self.words and pattern == WITH_SPACE else pattern).findall
         self.known, self.old, self.passing, self.lower = {}, {}, [], False
 
-    def _after(self, first: bytes, second: bytes) -> bytes:
-        """The counts of two stretches that share no token, one behind the other."""
-        return first + (np.frombuffer(second, np.uint32) + np.uint32(int.from_bytes(first[-4:], sys.byteorder))).tobytes()
-
     def _learn_all(self, new: list[str]) -> None:
-        parts = {}
-        for x in new:
-            line = x[0] == "\n" and len(x) > 1 and x[1] not in prefixes.WHITE_SPACE  # a line break before a word stands alone
-            found = WORD.fullmatch(x, int(line)) if len(x) <= LONG else None
-            if found:
-                parts[x] = ([x[0]] if line else []) + [y for y in found.groups() if y]
-        pieces = set(chain.from_iterable(parts.values())).difference(self.known)
-        heads = [x for x in pieces if x[-1].isalpha()]
-        counts = self.counter.single(heads)
-        for i, (x, whole) in enumerate(zip(heads, self.words(heads), strict=True)):
-            if len(whole) != int.from_bytes(counts[i][-4:], sys.byteorder):
-                counts[i] = self.counter.by_library(x).astype(np.uint32).tobytes()
-        self.known.update(zip(heads, counts, strict=True))
-        rest = [x for x in pieces if not x[-1].isalpha()] + [x for x in new if x not in parts and x not in pieces]
-        self.known.update(zip(rest, self.counter.counts(rest), strict=True))
-        for x, of in parts.items():
-            if len(of) > 1:
-                self.known[x] = reduce(self._after, (self.known[y] for y in of))
+        heads = [x for x in new if len(x) <= LONG and (m := WORD.fullmatch(x)) and not m[2]] if self.words else []
+        if heads:
+            counts = self.counter.single(heads)
+            for i, (x, whole) in enumerate(zip(heads, self.words(heads), strict=True)):
+                if len(whole) != int.from_bytes(counts[i][-4:], sys.byteorder):
+                    counts[i] = self.counter.by_library(x).astype(np.uint32).tobytes()
+            self.known.update(zip(heads, counts, strict=True))
+            new = list(set(new).difference(heads))
+        self.known.update(zip(new, self.counter.counts(new), strict=True))
 
 
 @cache
@@ -211,29 +202,42 @@ def _texts(batch: pa.RecordBatch, column: int, most: int = 1 << 20) -> Iterator[
         yield first, [x or "" for x in texts.slice(first, last - first).to_pylist()]
 
 
-_PREFIXES = "doc_id long, n_bytes long, n_tokens long, prefix_tokens array<int>"
+_COUNTS = "doc_id long, n_bytes long, n_tokens long"
+_PREFIXES = _COUNTS + ", prefix_tokens array<int>"
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+def _prefixes(batches: Iterator[pa.RecordBatch], path: str, listed: bool) -> Iterator[pa.RecordBatch]:
+    """The counts of whole texts, and those of all their prefixes if they are to be listed."""
     tables = tables_of(path, WITH_SPACE)
     for batch in batches:
         for first, texts in _texts(batch, 1):
             found = tables.of(texts)
             flat = [tables.known[x] for x in chain.from_iterable(found)]
             sizes = np.fromiter(map(len, flat), np.int64, len(flat)) // 4
-            counts = np.frombuffer(b"".join(flat), np.uint32).astype(np.int32)
+            counts = np.frombuffer(b"".join(flat), np.uint32)
             # The recurrence over stretches: the count at a prefix is the one at the cut before and that within the stretch.
-            each = np.array([len(x) for x in found], np.int64)
-            of_doc = np.repeat(np.arange(len(texts)), each)
-            whole = counts[np.cumsum(sizes) - 1] if len(sizes) else np.zeros(0, np.int32)
-            before = np.cumsum(whole) - whole
-            starts = np.concatenate([before, [0]])[np.minimum(np.cumsum(each) - each, len(before))]
-            counts = counts + np.repeat(before - starts[of_doc], sizes).astype(np.int32)
-            ends = np.concatenate([[0], np.cumsum(np.bincount(of_doc, sizes, len(texts)).astype(np.int64))])
-            total = np.where(np.diff(ends) > 0, counts[np.maximum(ends[1:] - 1, 0)] if len(counts) else 0, 0)
-            listed = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(counts))
+            cuts = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64)
+            after = np.concatenate([[0], np.cumsum(counts[np.cumsum(sizes) - 1], dtype=np.int64)])
+            total = after[cuts[1:]] - after[cuts[:-1]]
             n_bytes = pa.array([len(x.encode()) for x in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), n_bytes, pa.array(total.astype(np.int64)), listed], names=["doc_id", "n_bytes", "n_tokens", "prefix_tokens"])
+            columns = {"doc_id": batch.column(0).slice(first, len(texts)), "n_bytes": n_bytes, "n_tokens": pa.array(total)}
+            if listed:
+                before = after[:-1] - np.repeat(after[cuts[:-1]], np.diff(cuts))
+                ends = np.concatenate([[0], np.cumsum(sizes)])[cuts].astype(np.int32)
+                every = (counts + np.repeat(before, sizes)).astype(np.int32)
+                columns["prefix_tokens"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(every))
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
+def _counted(docs: DataFrame, path: str, id_col: str, text_col: str, listed: bool) -> DataFrame:
+    common.importable(docs.sparkSession)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(lambda it, path=path, listed=listed: _prefixes(it, path, listed), _PREFIXES if listed else _COUNTS)
+
+
+def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_bytes, n_tokens): ``prefix_counts`` without the counts of the prefixes, which stay in the worker that makes them."""
+    return _counted(docs, path, id_col, text_col, listed=False)
 
 
 def prefix_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -245,9 +249,7 @@ def prefix_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     an error. Null texts count as empty: 0 bytes, 0 tokens, an empty array. Each row is counted on its
     own, repeated ids and null ids too; other columns are ignored. An empty table gives no rows.
     """
-    common.importable(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(lambda it, path=path: _prefixes(it, path), _PREFIXES)
+    return _counted(docs, path, id_col, text_col, listed=True)
 
 
 def truncated(counted: DataFrame, budget: int) -> DataFrame:

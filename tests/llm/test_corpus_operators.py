@@ -497,3 +497,19 @@ def test_prefix_counts_by_the_library_where_totals_differ(monkeypatch):
     wanted = counter.counts(texts)
     monkeypatch.setattr(counter, "one", lambda text: np.full(len(text), 99))
     assert counter.counts(texts) == wanted
+
+
+def test_token_counts_of_texts_cut_in_many_ways(spark):
+    """Words, line breaks, punctuation, special strings and letters of several scripts in random order, against the library."""
+    path = queries.vocabulary("byte_bpe_50k.json")
+    bits = ["word", "Über", "ñandú", "x" * 90, "don't", "we'll", "'", "12", "3.5", ",", "...", "-", "<|endoftext|>", "<|end", "|>", "日本語", "ж", "é", "é", "😀", " ", "  ", "\n", "\n\n", "\t", "\r\n", "\xa0", " ", "\x0b", "_", "{", "~", "×", "ª"]
+    picks = np.random.default_rng(9)
+    texts = ["".join(picks.choice(bits, picks.integers(1, 14))) for _ in range(1500)]
+    encode = tokens.load(path)
+    wanted = [len(x) for x in encode(texts)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counted = {r.doc_id: r for r in tokens.prefix_counts(docs, path).collect()}
+    totals = {r.doc_id: r.n_tokens for r in tokens.token_counts(docs, path).collect()}
+    assert [counted[i].n_tokens for i in range(len(texts))] == wanted == [totals[i] for i in range(len(texts))]
+    for i in range(0, len(texts), 5):
+        assert counted[i].prefix_tokens == [len(x) for x in encode([texts[i][: n + 1] for n in range(len(texts[i]))])], texts[i]
