@@ -12,7 +12,7 @@ import pytest
 from conftest import SF, duck
 from pyspark.sql import functions as F
 
-from geoquilt.llm import common, conversations, importance, katz, licenses, mixing, near_duplicates, near_vectors, queries
+from geoquilt.llm import common, conversations, importance, katz, language, licenses, mixing, near_duplicates, near_vectors, quality, queries
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 NAME = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -377,3 +377,97 @@ def test_a_licence_is_named_with_its_version(spark, text, wanted):
     c = duck()
     c.execute("create temp table one as select 1 as doc_id, ? as text", [text])
     assert {r[1] for r in c.sql(licenses.oracle().replace("from documents", "from one")).fetchall()} == wanted
+
+
+def made_up(letters: str, seed: int, n: int) -> list[str]:
+    """Texts of words over some letters, with gaps of several sorts between them."""
+    picks = np.random.default_rng(seed)
+    word = lambda: "".join(picks.choice(list(letters), picks.integers(1, 7)))
+    return ["".join(x for _ in range(picks.integers(1, 9)) for x in (word(), str(picks.choice([" ", ", ", " 7 ", ". ", "-"])))) for _ in range(n)]
+
+
+def spectrum(text: str) -> set[str]:
+    """Runs of one to three letters or gaps that hold a letter."""
+    places = "".join(c if c.isalpha() else " " for c in f" {text.lower()} ")
+    return {places[i : i + k] for k in (1, 2, 3) for i in range(len(places) - k + 1)} - {" ", "  ", "   "}
+
+
+def test_language_equals_kernel_ridge_over_sets(spark):
+    """Kernels of sets of n-grams and a regression by least squares, where every document is a landmark."""
+    letters = {"xa": "aeioñtrs", "xb": "uybdgßkl", "xc": "aeubcfgh"}
+    kinds = language._kinds()
+    used = sorted(set("".join(letters.values())))
+    assert len({kinds[ord(c)] for c in used}) == len(used)  # no two letters of the test are one kind
+    rows = [(i * 3 + j, text, lang) for j, lang in enumerate(letters) for i, text in enumerate(made_up(letters[lang], j, 20))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    new = [(1000 + i, t) for i, t in enumerate([*made_up("aeioubñtßrs", 9, 30), "a", "!", "ß ñ", "QQQ"])]
+    learner = language.Learner(landmarks=3 * 20)
+    model = language.fit(docs, learner)
+    found = {r.doc_id: r for r in language.identify(spark.createDataFrame(new, "doc_id long, text string"), model).collect()}
+
+    marks = [spectrum(text) for _, text, _ in rows]
+    share = lambda a, b: len(a & b) / math.sqrt(max(1, len(a)) * max(1, len(b)))
+    kernel = np.array([[share(a, b) for b in marks] for a in marks])
+    names = sorted(letters)
+    wanted = np.array([[1.0 if lang == name else -1.0 for name in names] for _, _, lang in rows])
+    n, size = len(rows), len(rows) + 1
+    penalty = np.zeros((size, size))
+    penalty[:-1, :-1] = kernel
+    root = np.linalg.cholesky(learner.ridge * n / size * penalty + 1e-8 * n * np.eye(size)).T
+    stacked = np.concatenate([np.concatenate([kernel, np.ones((n, 1))], axis=1), root])
+    weights = np.linalg.lstsq(stacked, np.concatenate([wanted, np.zeros((size, len(names)))]), rcond=None)[0]
+    for doc_id, text in new:
+        own = spectrum(text)
+        if not own:
+            assert (found[doc_id].lang_pred, found[doc_id].score) == ("und", 0.0)
+            continue
+        values = np.array([share(own, b) for b in marks] + [1.0]) @ weights
+        top = np.sort(values)
+        assert found[doc_id].score == pytest.approx(1 / (1 + math.exp(-4 * top[-1])), abs=2e-3), text
+        if top[-1] - top[-2] > 2e-3:
+            assert found[doc_id].lang_pred == names[int(values.argmax())], text
+
+
+def word_features(text: str) -> dict[tuple, float]:
+    """Shares of words, pairs of words, forms and pairs of forms, by name instead of by hash."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    low = [x.lower() for x in words]
+    kind = lambda c: "a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else c
+    forms = [(re.sub(r"(.)\1+", r"\1", "".join(map(kind, x))), i > 0 and low[i] == low[i - 1]) for i, x in enumerate(words)]
+    out = {}
+    for sort, seen in enumerate((low, list(zip(low, low[1:], strict=False)), forms, list(zip(forms, forms[1:], strict=False)))):
+        out |= {(sort, x): k / len(seen) for x, k in Counter(seen).items()}
+    return out
+
+
+def test_quality_equals_regression_by_named_features(spark):
+    """Follow-the-regularised-leader one example and one feature at a time, in dictionaries."""
+    picks = np.random.default_rng(4)
+    good, bad = ["river", "Stone", "green", "walks", "7", "far"], ["BUY", "buy", "now!!", "$$$", "win", "far"]
+    texts = [" ".join(picks.choice(good if i % 2 else bad, picks.integers(0, 9))) for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    learner = quality.Learner()
+    found = {r.doc_id: r.quality_score for r in quality.score(docs, quality.fit(docs, labels, learner), learner).collect()}
+
+    order = [r.id for r in spark.range(40).orderBy(F.xxhash64("id"), "id").collect()]
+    examples = [({key: v * learner.scale for key, v in word_features(texts[i]).items()} | {"constant": 1.0}, i % 2) for i in order]
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(key):
+        if abs(z[key]) <= learner.l1:
+            return 0.0
+        return -(z[key] - math.copysign(learner.l1, z[key])) / ((learner.beta + math.sqrt(n[key])) / learner.alpha + learner.l2)
+
+    chance = lambda values: 1 / (1 + math.exp(-sum(weight(key) * v for key, v in values.items())))
+    for epoch in range(learner.epochs):
+        for i in np.random.default_rng(epoch).permutation(len(examples)):
+            values, label = examples[i]
+            off = chance(values) - label
+            for key, v in values.items():
+                gradient, w = off * v, weight(key)
+                z[key] += gradient - (math.sqrt(n[key] + gradient**2) - math.sqrt(n[key])) / learner.alpha * w
+                n[key] += gradient**2
+    for i, text in enumerate(texts):
+        values = {key: v * learner.scale for key, v in word_features(text).items()} | {"constant": 1.0}
+        assert found[i] == pytest.approx(chance(values), abs=1e-4), text
