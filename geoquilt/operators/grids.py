@@ -7,7 +7,9 @@ Pixels have (grid_id, row, col) and values. No operator here takes a step, an of
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +19,10 @@ from ..functions import crs
 GRID = ("grid_id", "crs", "x0", "y0", "dx", "dy", "width", "height")
 #: Grids, at most so many, that are sent to all tasks; beyond it the join shuffles.
 FEW = 200_000
+#: Cells of a band of a grid's rows, of one row at least, and of a task that makes cells; tasks at most.
+BAND, CELLS_A_TASK, MOST_TASKS = 65_536, 200_000, 20_000
+#: Source cells across a block, for bilinear.
+BLOCK = 16
 
 
 @dataclass(frozen=True)
@@ -28,15 +34,28 @@ class Layer:
 
 
 def few(df: DataFrame, rows: int = FEW) -> DataFrame:
-    """df marked for broadcast if it has at most so many rows."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """df marked for broadcast if it has at most so many rows, else for a join by sorting.
+
+    Left to itself Spark goes by the size of files, and takes grids with all their cells for as small as the grids' file.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df.hint("merge")
+
+
+def _all_cells(grids: DataFrame, *names: str) -> DataFrame:
+    """grids with row and col: a row for each cell. Bands of rows are dealt out by these columns first, as a file of many grids may be one task."""
+    width, height = F.col("width").cast("long"), F.col("height").cast("long")
+    some = grids.where("width > 0 and height > 0")
+    total = some.agg(F.sum(width.cast("double") * height)).first()[0] or 0
+    high = F.greatest(F.floor(F.lit(BAND) / width), F.lit(1)).cast("long")
+    bands = some.withColumn("high", high).withColumn("band", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((height - 1) / F.col("high")))))
+    dealt = bands.repartition(min(max(math.ceil(total / CELLS_A_TASK), 1), MOST_TASKS), *names, "band")
+    row = F.sequence(F.col("band") * F.col("high"), F.least((F.col("band") + 1) * F.col("high"), height) - 1)
+    return dealt.withColumn("row", F.explode(row)).withColumn("col", F.explode(F.sequence(F.lit(0).cast("long"), width - 1))).drop("high", "band")
 
 
 def cells(grids: DataFrame) -> DataFrame:
     """(grid_id, row, col): all cells of the grids."""
-    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n).cast("long") - 1))
-    some = grids.where("width > 0 and height > 0")
-    return some.select("grid_id", "width", upto("height").alias("row")).select("grid_id", "row", upto("width").alias("col"))
+    return _all_cells(grids, "grid_id").select("grid_id", "row", "col")
 
 
 def centre(row: Column, col: Column) -> tuple[Column, Column]:
@@ -44,24 +63,64 @@ def centre(row: Column, col: Column) -> tuple[Column, Column]:
     return F.col("x0") + (col + 0.5) * F.col("dx"), F.col("y0") + (row + 0.5) * F.col("dy")
 
 
-def _carried(target: DataFrame, sources: DataFrame) -> DataFrame:
+def _paired(sources: DataFrame, target: DataFrame) -> DataFrame:
+    """(target_id, the target's grid, source_id, taken, s_crs … s_height, ord): a row for each target and source of it; without a source one of NULLs."""
+    source = sources.select("target_id", F.col("grid_id").alias("source_id"), *[F.col(c).alias(f"s_{c}") for c in GRID[1:]], "ord", F.lit(True).alias("taken"))
+    return target.select(F.col("grid_id").alias("target_id"), *GRID[1:]).join(few(source), "target_id", "left")
+
+
+def _carried(pairs: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
     """(target_id, row, col, source_id, ord, place_x, place_y): where the middle of each target cell lies in each of its sources, in cells from the corner.
 
+    Places outside a source are NULL. Apart from them (target_id, row, col): the cells of targets without a source.
     Systems differ from grid to grid; for each pair of systems that occurs, a few at most, one projection of all its cells.
     """
-    source = sources.select("target_id", F.col("grid_id").alias("source_id"), F.col("crs").alias("source_crs"), *[F.col(c).alias(f"s_{c}") for c in ("x0", "y0", "dx", "dy", "width", "height")], "ord")
-    pairs = source.join(few(target.select(F.col("grid_id").alias("target_id"), *GRID[1:])), "target_id")
-    systems = [tuple(r) for r in pairs.select("crs", "source_crs").distinct().sort("crs", "source_crs").collect()]  # at most the known systems, squared
+    systems = [tuple(r) for r in pairs.where("taken").select("crs", "s_crs").distinct().sort("crs", "s_crs").collect()]  # at most the known systems, squared
     x, y = centre(F.col("row"), F.col("col"))
-    out = None
+    placed = []
     for to, of in systems:
-        some = cells(target.where(F.col("crs") == to)).withColumnRenamed("grid_id", "target_id").join(few(pairs.where((F.col("crs") == to) & (F.col("source_crs") == of))), "target_id")
-        placed = crs.with_transformed(some.withColumns({"px": x, "py": y}), "px", "py", to, of, "sx", "sy")
+        some = _all_cells(pairs.where(F.col("crs").eqNullSafe(to) & F.col("s_crs").eqNullSafe(of) & F.col("taken")), "target_id", "source_id")
+        moved = crs.with_transformed(some.withColumns({"px": x, "py": y}), "px", "py", to, of, "sx", "sy")
         u, v = (F.col("sx") - F.col("s_x0")) / F.col("s_dx"), (F.col("sy") - F.col("s_y0")) / F.col("s_dy")
-        placed = placed.select("target_id", "row", "col", "source_id", "ord", u.alias("place_x"), v.alias("place_y"), "s_width", "s_height")
-        inside = placed.where((F.col("place_x") >= 0) & (F.col("place_y") >= 0) & (F.col("place_x") < F.col("s_width")) & (F.col("place_y") < F.col("s_height")))
-        out = inside if out is None else out.unionByName(inside)
-    return out
+        inside = (u >= 0) & (v >= 0) & (u < F.col("s_width")) & (v < F.col("s_height"))
+        placed.append(moved.select("target_id", "row", "col", "source_id", "ord", F.when(inside, u).alias("place_x"), F.when(inside, v).alias("place_y")))
+    alone = pairs.where("taken is null")
+    rest = _all_cells(alone, "target_id").select("target_id", "row", "col") if not systems or alone.limit(1).count() else None
+    return reduce(DataFrame.unionByName, placed) if placed else None, rest
+
+
+def _blocks(pixels: DataFrame, values: list[str]) -> DataFrame:
+    """(source_id, block_row, block_col, block): sums and numbers of values by place, for blocks of cells with the cells about them.
+
+    Cell r stands where it is the first or the second of two neighbours: r or r + 1, counted from the pair before the first row.
+    """
+    key = ["source_id", "source_row", "source_col"]
+    sums = pixels.groupBy(*key).agg(*[f(v).alias(f"{name}_{v}") for v in values for name, f in (("sum", F.sum), ("n", F.count))])
+    of = lambda c: F.explode(F.array_distinct(F.array(*[F.floor((F.col(c) + k) / BLOCK).cast("long") for k in (0, 1)])))
+    at = sums.withColumn("block_row", of("source_row")).withColumn("block_col", of("source_col"))
+    place = lambda c: F.col(f"source_{c}") + 1 - F.col(f"block_{c}") * BLOCK
+    entry = F.struct((place("row") * (BLOCK + 1) + place("col")).cast("int"), F.struct(*[f"{name}_{v}" for v in values for name in ("sum", "n")]))
+    return at.groupBy("source_id", "block_row", "block_col").agg(F.map_from_entries(F.collect_list(entry)).alias("block"))
+
+
+def _nearest(carried: DataFrame, pixels: DataFrame, values: list[str]) -> DataFrame:
+    key = ["source_id", "source_row", "source_col"]
+    once = pixels.groupBy(*key).agg(*[F.max(v).alias(v) for v in values])
+    placed = carried.withColumns({"source_row": F.floor("place_y").cast("long"), "source_col": F.floor("place_x").cast("long")})
+    return placed.join(once.hint("merge"), key, "left").select("target_id", "row", "col", "ord", *values)
+
+
+def _bilinear(carried: DataFrame, pixels: DataFrame, values: list[str]) -> DataFrame:
+    first = {"first_row": (F.floor(F.col("place_y") - 0.5) + 1).cast("long"), "first_col": (F.floor(F.col("place_x") - 0.5) + 1).cast("long")}
+    block = lambda c: F.floor(F.col(c) / BLOCK).cast("long")
+    placed = carried.withColumns(first).withColumns({"block_row": block("first_row"), "block_col": block("first_col")})
+    met = placed.join(_blocks(pixels, values).hint("merge"), ["source_id", "block_row", "block_col"], "left")
+    past = lambda c: F.col(c) - 0.5 - F.floor(F.col(c) - 0.5)
+    near = lambda c, k: past(c) if k else 1 - past(c)
+    place = lambda c, k: F.col(f"first_{c}") + k - F.col(f"block_{c}") * BLOCK
+    four = [(near("place_x", i) * near("place_y", j), F.col("block")[(place("row", j) * (BLOCK + 1) + place("col", i)).cast("int")]) for i in (0, 1) for j in (0, 1)]
+    total = lambda name: reduce(lambda a, b: a + b, [F.coalesce(weight * found[name], F.lit(0.0)) for weight, found in four])
+    return met.select("target_id", "row", "col", "ord", *[F.try_divide(total(f"sum_{v}"), total(f"n_{v}")).alias(v) for v in values])
 
 
 def _taken_from(source: Layer, target: DataFrame) -> DataFrame:
@@ -84,28 +143,27 @@ def reproject(source: Layer, target: DataFrame, values: list[str], how: str = "n
     counts (so a layer of tiles is merged on the way). The source cell is computed, so the join is an equality. Repeated pixels
     of a grid: any of them for nearest, their mean for bilinear. Empty tables give NULLs or no rows.
     """
-    carried = _carried(target, _taken_from(source, target))
-    every = cells(target).withColumnRenamed("grid_id", "target_id")
-    if carried is None:
-        return Layer(every.select(F.col("target_id").alias("grid_id"), "row", "col", *[F.lit(None).cast("double").alias(v) for v in values]), target)
-    pixels = source.pixels.select(F.col("grid_id").alias("source_id"), F.col("row").cast("long").alias("source_row"), F.col("col").cast("long").alias("source_col"), *values)
-    key = ["source_id", "source_row", "source_col"]
-    if how == "nearest":
-        met = carried.withColumns({"source_row": F.floor("place_y").cast("long"), "source_col": F.floor("place_x").cast("long")}).join(pixels, key)
-        sampled = met.groupBy("target_id", "row", "col").agg(*[F.min_by(v, F.when(F.col(v).isNotNull(), F.col("ord"))).alias(v) for v in values])
-    elif how == "bilinear":
-        corner = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)])).alias("k")
-        four = carried.select("target_id", "row", "col", "source_id", "ord", (F.col("place_x") - 0.5).alias("place_x"), (F.col("place_y") - 0.5).alias("place_y"), corner)
-        near = lambda c, k: F.when(F.col(k) == 1, F.col(c) - F.floor(c)).otherwise(1 - (F.col(c) - F.floor(c)))
-        placed = four.withColumns({"source_col": (F.floor("place_x") + F.col("k.i")).cast("long"), "source_row": (F.floor("place_y") + F.col("k.j")).cast("long"), "weight": near("place_x", "k.i") * near("place_y", "k.j")})
-        met = placed.join(pixels, key)
-        mean = lambda v: F.try_divide(F.sum(F.col("weight") * F.col(v)), F.sum(F.when(F.col(v).isNotNull(), F.col("weight")))).alias(v)
-        of_each = met.groupBy("target_id", "row", "col", "source_id", "ord").agg(*map(mean, values))
-        sampled = of_each.groupBy("target_id", "row", "col").agg(*[F.min_by(v, F.when(F.col(v).isNotNull(), F.col("ord"))).alias(v) for v in values])
-    else:
+    if how not in ("nearest", "bilinear"):
         raise ValueError(f"{how} is neither nearest nor bilinear")
-    out = every.join(sampled, ["target_id", "row", "col"], "left").withColumnRenamed("target_id", "grid_id")
-    return Layer(out.select("grid_id", "row", "col", *values), target)
+    sources = _taken_from(source, target)
+    carried, rest = _carried(_paired(sources, target))
+    pixels = source.pixels.select(F.col("grid_id").alias("source_id"), F.col("row").cast("long").alias("source_row"), F.col("col").cast("long").alias("source_col"), *values)
+    sample = _nearest if how == "nearest" else _bilinear
+    cell, out = ["target_id", "row", "col"], []
+    if carried is not None:
+        several = sources.where("target_id is not null").groupBy("target_id").count().where("count > 1").limit(1).count()
+        if several:
+            met = sample(carried.where("place_x is not null"), pixels, values)
+            sampled = met.groupBy(*cell).agg(*[F.min_by(v, F.when(F.col(v).isNotNull(), F.col("ord"))).alias(v) for v in values])
+            every = cells(target.join(few(sources.select(F.col("target_id").alias("grid_id")).distinct()), "grid_id", "left_semi")).withColumnRenamed("grid_id", "target_id")
+            out.append(every.join(sampled.hint("merge"), cell, "left"))
+        else:
+            out.append(sample(carried, pixels, values))
+    if rest is not None:
+        like = out[0].schema if out else None
+        out.append(rest.select(*cell, *[F.lit(None).cast(like[v].dataType if like else "double").alias(v) for v in values]))
+    every = reduce(DataFrame.unionByName, [df.select(*cell, *values) for df in out])
+    return Layer(every.withColumnRenamed("target_id", "grid_id"), target)
 
 
 def mosaic(tiles: Layer, values: list[str], by: str | None = None, order: str = "grid_id") -> Layer:

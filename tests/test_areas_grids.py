@@ -175,6 +175,25 @@ def test_reprojection_equals_cell_by_cell(spark):
     assert nothing.count() == 18 * 14 and nothing.where("v is not null").count() == 0
 
 
+def many_grids(spark, n):
+    """A layer of n grids of 8 x 8 cells out of one partition, each with a target grid of its own."""
+    key = F.col("id")
+    grids = spark.range(n).coalesce(1).select(key.alias("grid_id"), F.lit("EPSG:3857").alias("crs"), (key * 100.0).alias("x0"), F.lit(0.0).alias("y0"), F.lit(10.0).alias("dx"), F.lit(-10.0).alias("dy"), F.lit(8).alias("width"), F.lit(8).alias("height"), key.alias("target_id"))
+    pixels = grids.select("grid_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(7).cast("long"))).alias("row")).select("grid_id", "row", F.col("row").alias("col"), F.col("row").cast("double").alias("v"))
+    return gr.Layer(pixels, grids)
+
+
+@pytest.mark.parametrize("how", ["nearest", "bilinear"])
+def test_cells_are_never_broadcast_however_small_their_grids_look(spark, how):
+    layer = many_grids(spark, 300)
+    out = gr.reproject(layer, layer.grids.drop("target_id"), ["v"], how).pixels
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastExchange") == 1 and "SortMergeJoin" in plan  # the grids, which were counted
+    assert out.count() == 300 * 64 and out.where("v = row and row = col").count() == 300 * 8
+    # More than few grids are not left to the size of their file.
+    assert "merge" in gr.few(layer.grids, 299)._jdf.queryExecution().logical().toString()
+
+
 def test_mosaic_of_tiles_with_rows_from_south_or_north_and_of_unlike_tiles(spark):
     grids = spark.createDataFrame([(1, "EPSG:3857", 0.0, 0.0, 10.0, 10.0, 2, 2, 0, 1), (2, "EPSG:3857", 10.0, 10.0, 10.0, 10.0, 2, 2, 0, 2)], GRIDS)
     pixels = spark.createDataFrame([(g, r, c, None if (g, r, c) == (1, 1, 1) else float(g * 10 + r * 2 + c)) for g in (1, 2) for r in (0, 1) for c in (0, 1)], "grid_id long, row long, col long, v double")
