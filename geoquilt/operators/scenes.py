@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import geometry
+from .grids import few
 
 BOX = ("xmin", "ymin", "xmax", "ymax")
 NO_CLOUD_KNOWN = 1e9
@@ -56,10 +57,16 @@ def footprint_coverage(scenes: DataFrame, cells: DataFrame, least: float = 0.999
 
     Exact where footprints end on cell edges.
     """
-    whole = scenes.select("acq_date", F.explode(F.sequence(F.ceil("xmin"), F.floor("xmax") - 1)).alias("cell_x"), "ymin", "ymax").select("acq_date", "cell_x", F.explode(F.sequence(F.ceil("ymin"), F.floor("ymax") - 1)).alias("cell_y"))
-    total = cells.select("cell_x", "cell_y").distinct().agg(F.count(F.lit(1)).alias("n"))
-    hit = whole.join(cells.select("cell_x", "cell_y").distinct(), ["cell_x", "cell_y"]).distinct().groupBy("acq_date").agg(F.count(F.lit(1)).alias("hit"))
-    return hit.crossJoin(F.broadcast(total)).select("acq_date", (F.col("hit") / F.col("n")).alias("ratio")).withColumn("covers", F.col("ratio") >= least)
+    area = cells.select("cell_x", "cell_y").distinct()
+    n, *around = area.agg(F.count(F.lit(1)), F.min("cell_x"), F.max("cell_x"), F.min("cell_y"), F.max("cell_y")).first()
+    if not n:
+        return scenes.select("acq_date", F.lit(None).cast("double").alias("ratio"), F.lit(None).cast("boolean").alias("covers")).where("false")
+    # Whole cells of each footprint, those within the area's box; each box of a date once, and each cell before it meets the area.
+    span = {f"{k}_{c}": v for c, low, high in (("x", *around[:2]), ("y", *around[2:])) for k, v in (("low", F.greatest(F.ceil(f"{c}min"), F.lit(low))), ("high", F.least(F.floor(f"{c}max") - 1, F.lit(high))))}
+    boxes = scenes.dropna(subset=list(BOX)).select("acq_date", *[v.alias(k) for k, v in span.items()]).where("low_x <= high_x and low_y <= high_y").distinct()
+    whole = boxes.withColumn("cell_x", F.explode(F.sequence("low_x", "high_x"))).select("acq_date", "cell_x", F.explode(F.sequence("low_y", "high_y")).alias("cell_y")).distinct()
+    hit = whole.join(few(area), ["cell_x", "cell_y"]).groupBy("acq_date").agg(F.count(F.lit(1)).alias("hit"))
+    return hit.select("acq_date", (F.col("hit") / F.lit(n)).alias("ratio")).withColumn("covers", F.col("ratio") >= least)
 
 
 def ranked_dates(dates: DataFrame, target: str, as_of: str | None = None) -> DataFrame:

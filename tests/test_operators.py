@@ -180,6 +180,18 @@ def test_scene_dates_without_cloud(spark):
     assert sc.cloud_at_most(scenes, 5.0).count() == 2
 
 
+def test_footprints_hold_whole_cells_and_are_not_broadcast(spark):
+    cells = spark.range(4).select(F.col("id").alias("cell_x"), F.lit(0).cast("long").alias("cell_y"))
+    rows = [("a", 0.0, 0.0, 2.0, 1.0), ("a", 1.0, 0.0, 3.0, 9.0), ("b", 0.2, 0.0, 0.8, 1.0), ("c", -5.0, -5.0, 50.0, 50.0), ("d", None, 0.0, 1.0, 1.0), ("e", 6.0, 6.0, 9.0, 9.0)]
+    out = sc.footprint_coverage(spark.createDataFrame(rows, "acq_date string, xmin double, ymin double, xmax double, ymax double"), cells)
+    assert {r.acq_date: (r.ratio, r.covers) for r in out.collect()} == {"a": (0.75, False), "c": (1.0, True)}
+    assert sc.footprint_coverage(spark.createDataFrame(rows, "acq_date string, xmin double, ymin double, xmax double, ymax double"), cells.where("false")).count() == 0
+    from geoquilt.queries import QUERIES
+
+    plan = QUERIES["a9_footprint_coverage"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastExchange") == 1 and "BuildLeft" not in plan
+
+
 def test_feature_files_need_a_system_and_features(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"features": [{"properties": {"id": 1}, "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [1, 1], [0, 0]]]}}]}')
     with pytest.raises(Exception, match="coordinate system"):
