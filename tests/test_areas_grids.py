@@ -194,6 +194,14 @@ def test_cells_are_never_broadcast_however_small_their_grids_look(spark, how):
     assert "merge" in gr.few(layer.grids, 299)._jdf.queryExecution().logical().toString()
 
 
+def test_cells_of_many_grids_in_one_file_are_made_by_many_tasks(spark):
+    cells = gr.cells(many_grids(spark, 10_000).grids)
+    tasks = cells.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) >= 3 and sum(r["count"] for r in tasks) == 640_000 and max(r["count"] for r in tasks) < 320_000
+    wide = spark.createDataFrame([(1, 70_000, 3), (2, 5, 30_000), (3, 0, 9)], "grid_id long, width int, height int")
+    assert {(r.grid_id, r[1], r[2], r[3]) for r in gr.cells(wide).groupBy("grid_id").agg(F.count_distinct("row", "col"), F.max("row"), F.max("col")).collect()} == {(1, 210_000, 2, 69_999), (2, 150_000, 29_999, 4)}
+
+
 def test_mosaic_of_tiles_with_rows_from_south_or_north_and_of_unlike_tiles(spark):
     grids = spark.createDataFrame([(1, "EPSG:3857", 0.0, 0.0, 10.0, 10.0, 2, 2, 0, 1), (2, "EPSG:3857", 10.0, 10.0, 10.0, 10.0, 2, 2, 0, 2)], GRIDS)
     pixels = spark.createDataFrame([(g, r, c, None if (g, r, c) == (1, 1, 1) else float(g * 10 + r * 2 + c)) for g in (1, 2) for r in (0, 1) for c in (0, 1)], "grid_id long, row long, col long, v double")
