@@ -202,6 +202,22 @@ def test_cells_of_many_grids_in_one_file_are_made_by_many_tasks(spark):
     assert {(r.grid_id, r[1], r[2], r[3]) for r in gr.cells(wide).groupBy("grid_id").agg(F.count_distinct("row", "col"), F.max("row"), F.max("col")).collect()} == {(1, 210_000, 2, 69_999), (2, 150_000, 29_999, 4)}
 
 
+def test_bilinear_meets_each_target_cell_once_and_across_blocks(spark):
+    n = 2 * gr.BLOCK + 5
+    grids = spark.createDataFrame([(1, "EPSG:3857", 0.0, 0.0, 1.0, -1.0, n, n, 1, 0)], GRIDS)
+    pixels = spark.range(n * n).select(F.lit(1).cast("long").alias("grid_id"), F.expr(f"id div {n}").alias("row"), (F.col("id") % n).alias("col")).withColumn("v", F.col("row") * 100.0 + F.col("col"))
+    target = grids.drop("target_id", "ord").withColumns({"x0": F.lit(0.25), "y0": F.lit(-0.25)})
+    out = gr.reproject(gr.Layer(pixels.unionByName(pixels.where("row = 3")), grids), target, ["v"], "bilinear").pixels
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 1 and "explode(array(struct(i" not in plan  # cells with blocks: no row for each of four cells
+    got = {(r.row, r.col): r.v for r in out.collect()}
+    assert len(got) == n * n
+    for (row, col), v in got.items():
+        if row not in (2, 3) and max(row, col) < n - 1:  # repeated pixels weigh more
+            assert abs(v - (row * 100 + 25 + col + 0.25)) < 1e-9
+    assert abs(got[2, 0] - (0.75 * 200 + 2 * 0.25 * 300) / (0.75 + 2 * 0.25) - 0.25) < 1e-9
+
+
 def test_mosaic_of_tiles_with_rows_from_south_or_north_and_of_unlike_tiles(spark):
     grids = spark.createDataFrame([(1, "EPSG:3857", 0.0, 0.0, 10.0, 10.0, 2, 2, 0, 1), (2, "EPSG:3857", 10.0, 10.0, 10.0, 10.0, 2, 2, 0, 2)], GRIDS)
     pixels = spark.createDataFrame([(g, r, c, None if (g, r, c) == (1, 1, 1) else float(g * 10 + r * 2 + c)) for g in (1, 2) for r in (0, 1) for c in (0, 1)], "grid_id long, row long, col long, v double")
