@@ -13,12 +13,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry
+from .grids import dealt
 
 BOX = ("xmin", "ymin", "xmax", "ymax")
 #: Cells that the longer side of an area's box takes at most, less one.
 ACROSS = 4
 #: Areas of so many vertices in all are sent to all tasks, so that points stay where they are.
 FEW_VERTICES = 1_000_000
+#: Areas of a task that cuts them into boxes.
+AREAS_A_TASK = 2500
 RINGS = "array<array<struct<x:double,y:double>>>"
 
 
@@ -215,7 +218,7 @@ def grid_tiles(areas: DataFrame, step: float) -> DataFrame:
     Each ring goes to the boxes that its own box touches, and its share is taken there; no row holds an area's boxes or carries
     more than one ring. A box that a ring only touches, or that lies in a hole, stays out; edges come from the number of steps.
     """
-    boxed = with_box(with_rings(areas))
+    boxed = with_box(with_rings(dealt(areas, AREAS_A_TASK, "aoi_id")))
     ring = boxed.withColumn("s", F.explode(signed_rings(F.col("rings")))).select("aoi_id", *[f"a_{c}" for c in BOX], F.col("s.ring").alias("ring"), F.col("s.sign").alias("sign"))
     ring = ring.withColumn("b", geometry.ring_box(F.col("ring")))
     last = lambda low, high: F.greatest(F.ceil((F.col(high) - F.col(low)) / step).cast("int") - 1, F.lit(0))

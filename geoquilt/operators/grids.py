@@ -41,6 +41,11 @@ def few(df: DataFrame, rows: int = FEW) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df.hint("merge")
 
 
+def dealt(df: DataFrame, rows: int, *names: str) -> DataFrame:
+    """df dealt out by some columns over tasks of about so many rows, however few files or bytes it is."""
+    return df.repartition(min(max(math.ceil(df.count() / rows), 1), MOST_TASKS), *names)
+
+
 def _all_cells(grids: DataFrame, *names: str) -> DataFrame:
     """grids with row and col: a row for each cell. Bands of rows are dealt out by these columns first, as a file of many grids may be one task."""
     width, height = F.col("width").cast("long"), F.col("height").cast("long")

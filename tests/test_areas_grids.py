@@ -218,6 +218,16 @@ def test_bilinear_meets_each_target_cell_once_and_across_blocks(spark):
     assert abs(got[2, 0] - (0.75 * 200 + 2 * 0.25 * 300) / (0.75 + 2 * 0.25) - 0.25) < 1e-9
 
 
+def test_areas_of_one_file_are_cut_into_boxes_by_many_tasks(spark, monkeypatch):
+    for module in (ar,):
+        monkeypatch.setattr(module, "AREAS_A_TASK", 10, raising=False)
+    corners = [F.struct((F.col("id") + x).cast("double").alias("x"), F.lit(y).alias("y")) for x, y in ((0, 0.0), (2, 0.0), (2, 1.0), (0, 1.0), (0, 0.0))]
+    areas = spark.range(80).coalesce(1).select(F.col("id").alias("aoi_id"), F.array(*corners).alias("ring"))
+    for out, area in ((ar.grid_tiles(areas, 0.5), F.col("area")),):
+        found = out.select("aoi_id", area.alias("area"), F.spark_partition_id().alias("task")).collect()
+        assert len({r.task for r in found}) >= 4 and len(found) == 80 * 8 and {r.area for r in found} == {0.25}
+
+
 def test_mosaic_of_tiles_with_rows_from_south_or_north_and_of_unlike_tiles(spark):
     grids = spark.createDataFrame([(1, "EPSG:3857", 0.0, 0.0, 10.0, 10.0, 2, 2, 0, 1), (2, "EPSG:3857", 10.0, 10.0, 10.0, 10.0, 2, 2, 0, 2)], GRIDS)
     pixels = spark.createDataFrame([(g, r, c, None if (g, r, c) == (1, 1, 1) else float(g * 10 + r * 2 + c)) for g in (1, 2) for r in (0, 1) for c in (0, 1)], "grid_id long, row long, col long, v double")
