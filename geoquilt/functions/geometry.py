@@ -92,13 +92,21 @@ def clipped_ring(ring: Column, box: tuple[Column, Column, Column, Column]) -> Co
 
     Parts that a box cuts off from each other stay joined along its border, which adds no area.
     """
-    xmin, ymin, xmax, ymax = box
-    side = lambda x, y, c: F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y"), c.cast("double").alias("c"))
-    sides = F.array(side(1, 0, xmin), side(-1, 0, -xmax), side(0, 1, ymin), side(0, -1, -ymax))
+    return ring_between(ring_between(ring, "x", box[0], box[2]), "y", box[1], box[3])
+
+
+def ring_between(ring: Column, axis: str, low: Column, high: Column, extent: tuple[Column, Column] | None = None) -> Column:
+    """The closed ring of what a ring has between two numbers of one axis, x or y: a strip, of which boxes can be cut.
+
+    With ``extent``, between which the ring is known to be on this axis, it is only cut where it reaches beyond.
+    """
+    side = lambda sign, c, beyond: F.struct(F.lit(float(sign)).alias("sign"), c.cast("double").alias("c"), beyond.alias("beyond"))
+    beyond = (extent[0] < low, extent[1] > high) if extent else (F.lit(True), F.lit(True))
+    sides = F.filter(F.array(side(1, low, beyond[0]), side(-1, -high, beyond[1])), lambda s: s["beyond"])
     point = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
 
     def cut(ring: Column, s: Column) -> Column:
-        depth = lambda p: s["x"] * p["x"] + s["y"] * p["y"] - s["c"]
+        depth = lambda p: s["sign"] * p[axis] - s["c"]
 
         def kept(e: Column) -> Column:
             a, b = e["a"], e["b"]

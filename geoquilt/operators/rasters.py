@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import crs, geometry
-from .grids import few
+from .areas import AREAS_A_TASK
+from .grids import dealt, few
 from .ranks import upper_medians
 
 BOX = ("xmin", "ymin", "xmax", "ymax")
@@ -234,19 +235,20 @@ def area_tiles(areas: DataFrame, step: float) -> DataFrame:
     once. A box that only touches the area stays, its parts have no area. Edges come from the number
     of steps, so they don't drift. Each ring goes to the boxes that its own box touches and is cut there.
     """
-    ring = areas.select("aoi_id", "ring").distinct().withColumn("b", geometry.ring_box(F.col("ring")))
+    ring = dealt(areas.select("aoi_id", "ring"), AREAS_A_TASK, "aoi_id").distinct().withColumn("b", geometry.ring_box(F.col("ring")))
     box = ring.groupBy("aoi_id").agg(*[f(f"b.{c}").alias(f"a_{c}") for f, c in zip((F.min, F.min, F.max, F.max), BOX, strict=True)])
     last = lambda low, high: F.greatest(F.ceil((F.col(high) - F.col(low)) / step).cast("int") - 1, F.lit(0))
     at = lambda value, low, high, more: F.greatest(F.least(F.floor((F.col(value) - F.col(low)) / step).cast("int") + more, last(low, high)), F.lit(0))
     near = lambda c: F.explode(F.sequence(at(f"b.{c}min", f"a_{c}min", f"a_{c}max", -1), at(f"b.{c}max", f"a_{c}min", f"a_{c}max", 1)))
-    cells = ring.join(box, "aoi_id").withColumn("i", near("x")).withColumn("j", near("y"))
     edge = lambda low, high, k: F.least(F.col(low) + k * step, F.col(high))
-    i, j = F.col("i"), F.col("j")
-    ends = {"xmin": edge("a_xmin", "a_xmax", i), "ymin": edge("a_ymin", "a_ymax", j), "xmax": edge("a_xmin", "a_xmax", i + 1), "ymax": edge("a_ymin", "a_ymax", j + 1)}
-    tile = tuple(map(F.col, BOX))
-    placed = cells.select("aoi_id", "ring", "i", "j", F.inline(F.array(F.struct(*[c.alias(n) for n, c in ends.items()]))))  # else each edge works them out
-    met = placed.where(geometry.ring_meets_box(F.col("ring"), tile))
-    part = geometry.clipped_ring(F.col("ring"), tile)
+    # Out of generators, else each edge works the ends out again, and each box of a strip the strip.
+    ends = lambda c, k: [edge(f"a_{c}min", f"a_{c}max", F.col(k)).alias(f"{c}min"), edge(f"a_{c}min", f"a_{c}max", F.col(k) + 1).alias(f"{c}max")]
+    strips = ring.join(box.hint("merge"), "aoi_id").withColumn("i", near("x"))
+    strips = strips.select("aoi_id", "ring", "b", "a_ymin", "a_ymax", "i", F.inline(F.array(F.struct(*ends("x", "i")))))
+    strips = strips.select("*", F.explode(F.array(geometry.ring_between(F.col("ring"), "x", F.col("xmin"), F.col("xmax"), (F.col("b.xmin"), F.col("b.xmax"))))).alias("strip")).withColumn("j", near("y"))
+    placed = strips.select("aoi_id", "ring", "b", "strip", "i", "j", "xmin", "xmax", F.inline(F.array(F.struct(*ends("y", "j")))))
+    met = placed.where(geometry.ring_meets_box(F.col("ring"), tuple(map(F.col, BOX))))
+    part = geometry.ring_between(F.col("strip"), "y", F.col("ymin"), F.col("ymax"), (F.col("b.ymin"), F.col("b.ymax")))
     return met.groupBy("aoi_id", "i", "j", *BOX).agg(F.sort_array(F.collect_list(part)).alias("parts"))
 
 

@@ -7,7 +7,7 @@ import pytest
 from conftest import SF
 from pyspark.sql import functions as F
 
-from geoquilt.functions import crs
+from geoquilt.functions import crs, geometry
 from geoquilt.operators import areas as ar
 from geoquilt.operators import grids as gr
 from geoquilt.operators import observations as ob
@@ -219,11 +219,13 @@ def test_bilinear_meets_each_target_cell_once_and_across_blocks(spark):
 
 
 def test_areas_of_one_file_are_cut_into_boxes_by_many_tasks(spark, monkeypatch):
-    for module in (ar,):
+    from geoquilt.operators import rasters as ra
+
+    for module in (ar, ra):
         monkeypatch.setattr(module, "AREAS_A_TASK", 10, raising=False)
     corners = [F.struct((F.col("id") + x).cast("double").alias("x"), F.lit(y).alias("y")) for x, y in ((0, 0.0), (2, 0.0), (2, 1.0), (0, 1.0), (0, 0.0))]
     areas = spark.range(80).coalesce(1).select(F.col("id").alias("aoi_id"), F.array(*corners).alias("ring"))
-    for out, area in ((ar.grid_tiles(areas, 0.5), F.col("area")),):
+    for out, area in ((ra.area_tiles(areas, 0.5), F.aggregate("parts", F.lit(0.0), lambda s, r: s + geometry.ring_area(r))), (ar.grid_tiles(areas, 0.5), F.col("area"))):
         found = out.select("aoi_id", area.alias("area"), F.spark_partition_id().alias("task")).collect()
         assert len({r.task for r in found}) >= 4 and len(found) == 80 * 8 and {r.area for r in found} == {0.25}
 
