@@ -21,7 +21,7 @@ GRID = ("grid_id", "crs", "x0", "y0", "dx", "dy", "width", "height")
 FEW = 200_000
 #: Cells of a band of a grid's rows, of one row at least, and of a task that makes cells; tasks at most.
 BAND, CELLS_A_TASK, MOST_TASKS = 65_536, 200_000, 20_000
-#: Source cells across a block, for bilinear.
+#: Source cells across a block. Sources of fewer cells across and down are one block each, which is met before cells are made.
 BLOCK = 16
 
 
@@ -46,11 +46,15 @@ def dealt(df: DataFrame, rows: int, *names: str) -> DataFrame:
     return df.repartition(min(max(math.ceil(df.count() / rows), 1), MOST_TASKS), *names)
 
 
-def _all_cells(grids: DataFrame, *names: str) -> DataFrame:
-    """grids with row and col: a row for each cell. Bands of rows are dealt out by these columns first, as a file of many grids may be one task."""
+def _all_cells(grids: DataFrame, *names: str, beside: DataFrame | None = None) -> DataFrame:
+    """grids with row and col: a row for each cell. Bands of rows are dealt out by these columns first, as a file of many grids may be one task.
+
+    Columns of ``beside``, one row for a source_id at most, come along; it is met after grids were counted and before there are cells.
+    """
     width, height = F.col("width").cast("long"), F.col("height").cast("long")
     some = grids.where("width > 0 and height > 0")
     total = some.agg(F.sum(width.cast("double") * height)).first()[0] or 0
+    some = some if beside is None else some.join(beside.hint("merge"), "source_id", "left")
     high = F.greatest(F.floor(F.lit(BAND) / width), F.lit(1)).cast("long")
     bands = some.withColumn("high", high).withColumn("band", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((height - 1) / F.col("high")))))
     dealt = bands.repartition(min(max(math.ceil(total / CELLS_A_TASK), 1), MOST_TASKS), *names, "band")
@@ -74,24 +78,45 @@ def _paired(sources: DataFrame, target: DataFrame) -> DataFrame:
     return target.select(F.col("grid_id").alias("target_id"), *GRID[1:]).join(few(source), "target_id", "left")
 
 
-def _carried(pairs: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
+def _carried(pairs: DataFrame, whole: DataFrame) -> tuple[list[DataFrame], DataFrame | None]:
     """(target_id, row, col, source_id, ord, place_x, place_y): where the middle of each target cell lies in each of its sources, in cells from the corner.
 
-    Places outside a source are NULL. Apart from them (target_id, row, col): the cells of targets without a source.
+    Places outside a source are NULL. Sources of one block have it in ``block``, from ``whole``; those of more cells are a table without it.
+    Apart from them (target_id, row, col): the cells of targets without a source.
     Systems differ from grid to grid; for each pair of systems that occurs, a few at most, one projection of all its cells.
     """
-    systems = [tuple(r) for r in pairs.where("taken").select("crs", "s_crs").distinct().sort("crs", "s_crs").collect()]  # at most the known systems, squared
+    one = F.coalesce((F.col("s_width") < BLOCK) & (F.col("s_height") < BLOCK), F.lit(False))
+    kinds = pairs.where("taken").select("crs", "s_crs", one.alias("one")).distinct().sort("crs", "s_crs", "one").collect()  # at most the known systems, squared, twice
     x, y = centre(F.col("row"), F.col("col"))
     placed = []
-    for to, of in systems:
-        some = _all_cells(pairs.where(F.col("crs").eqNullSafe(to) & F.col("s_crs").eqNullSafe(of) & F.col("taken")), "target_id", "source_id")
+    for to, of, is_one in map(tuple, kinds):
+        some = pairs.where(F.col("crs").eqNullSafe(to) & F.col("s_crs").eqNullSafe(of) & F.col("taken") & (one == is_one))
+        some = _all_cells(some, "target_id", "source_id", beside=whole if is_one else None)
         moved = crs.with_transformed(some.withColumns({"px": x, "py": y}), "px", "py", to, of, "sx", "sy")
         u, v = (F.col("sx") - F.col("s_x0")) / F.col("s_dx"), (F.col("sy") - F.col("s_y0")) / F.col("s_dy")
         inside = (u >= 0) & (v >= 0) & (u < F.col("s_width")) & (v < F.col("s_height"))
-        placed.append(moved.select("target_id", "row", "col", "source_id", "ord", F.when(inside, u).alias("place_x"), F.when(inside, v).alias("place_y")))
+        placed.append(moved.select("target_id", "row", "col", "source_id", "ord", F.when(inside, u).alias("place_x"), F.when(inside, v).alias("place_y"), *["block"] * is_one))
     alone = pairs.where("taken is null")
-    rest = _all_cells(alone, "target_id").select("target_id", "row", "col") if not systems or alone.limit(1).count() else None
-    return reduce(DataFrame.unionByName, placed) if placed else None, rest
+    rest = _all_cells(alone, "target_id").select("target_id", "row", "col") if not placed or alone.limit(1).count() else None
+    return placed, rest
+
+
+def _merged(pixels: DataFrame, values: list[str], how: str) -> tuple[DataFrame, Column]:
+    """Pixels of which each place is there once, and what is kept of it: any of its values for nearest, their sum and number for bilinear."""
+    kept = {v: F.max(v) for v in values} if how == "nearest" else {f"{name}_{v}": f(v) for v in values for name, f in (("sum", F.sum), ("n", F.count))}
+    return pixels.groupBy("source_id", "source_row", "source_col").agg(*[c.alias(name) for name, c in kept.items()]), F.struct(*kept)
+
+
+def _in_block(row: Column, col: Column, block_row: Column | int = 0, block_col: Column | int = 0) -> Column:
+    """The place of a cell in a block, of which the first row and column are those before its own first cell."""
+    return ((row + 1 - block_row * BLOCK) * (BLOCK + 1) + col + 1 - block_col * BLOCK).cast("int")
+
+
+def _whole(pixels: DataFrame, values: list[str], how: str) -> DataFrame:
+    """(source_id, block): what is kept of each pixel by place, for the first block of each source."""
+    merged, kept = _merged(pixels.where(F.col("source_row").between(-1, BLOCK - 1) & F.col("source_col").between(-1, BLOCK - 1)), values, how)
+    entry = F.struct(_in_block(F.col("source_row"), F.col("source_col")), kept)
+    return merged.groupBy("source_id").agg(F.map_from_entries(F.collect_list(entry)).alias("block"))
 
 
 def _blocks(pixels: DataFrame, values: list[str]) -> DataFrame:
@@ -99,31 +124,31 @@ def _blocks(pixels: DataFrame, values: list[str]) -> DataFrame:
 
     Cell r stands where it is the first or the second of two neighbours: r or r + 1, counted from the pair before the first row.
     """
-    key = ["source_id", "source_row", "source_col"]
-    sums = pixels.groupBy(*key).agg(*[f(v).alias(f"{name}_{v}") for v in values for name, f in (("sum", F.sum), ("n", F.count))])
+    sums, kept = _merged(pixels, values, "bilinear")
     of = lambda c: F.explode(F.array_distinct(F.array(*[F.floor((F.col(c) + k) / BLOCK).cast("long") for k in (0, 1)])))
     at = sums.withColumn("block_row", of("source_row")).withColumn("block_col", of("source_col"))
-    place = lambda c: F.col(f"source_{c}") + 1 - F.col(f"block_{c}") * BLOCK
-    entry = F.struct((place("row") * (BLOCK + 1) + place("col")).cast("int"), F.struct(*[f"{name}_{v}" for v in values for name in ("sum", "n")]))
+    entry = F.struct(_in_block(*map(F.col, ("source_row", "source_col", "block_row", "block_col"))), kept)
     return at.groupBy("source_id", "block_row", "block_col").agg(F.map_from_entries(F.collect_list(entry)).alias("block"))
 
 
 def _nearest(carried: DataFrame, pixels: DataFrame, values: list[str]) -> DataFrame:
-    key = ["source_id", "source_row", "source_col"]
-    once = pixels.groupBy(*key).agg(*[F.max(v).alias(v) for v in values])
     placed = carried.withColumns({"source_row": F.floor("place_y").cast("long"), "source_col": F.floor("place_x").cast("long")})
-    return placed.join(once.hint("merge"), key, "left").select("target_id", "row", "col", "ord", *values)
+    if "block" in carried.columns:
+        found = F.col("block")[_in_block(F.col("source_row"), F.col("source_col"))]
+        return placed.select("target_id", "row", "col", "ord", *[found[v].alias(v) for v in values])
+    once, _ = _merged(pixels, values, "nearest")
+    return placed.join(once.hint("merge"), ["source_id", "source_row", "source_col"], "left").select("target_id", "row", "col", "ord", *values)
 
 
 def _bilinear(carried: DataFrame, pixels: DataFrame, values: list[str]) -> DataFrame:
     first = {"first_row": (F.floor(F.col("place_y") - 0.5) + 1).cast("long"), "first_col": (F.floor(F.col("place_x") - 0.5) + 1).cast("long")}
     block = lambda c: F.floor(F.col(c) / BLOCK).cast("long")
     placed = carried.withColumns(first).withColumns({"block_row": block("first_row"), "block_col": block("first_col")})
-    met = placed.join(_blocks(pixels, values).hint("merge"), ["source_id", "block_row", "block_col"], "left")
+    met = placed if "block" in carried.columns else placed.join(_blocks(pixels, values).hint("merge"), ["source_id", "block_row", "block_col"], "left")
     past = lambda c: F.col(c) - 0.5 - F.floor(F.col(c) - 0.5)
     near = lambda c, k: past(c) if k else 1 - past(c)
-    place = lambda c, k: F.col(f"first_{c}") + k - F.col(f"block_{c}") * BLOCK
-    four = [(near("place_x", i) * near("place_y", j), F.col("block")[(place("row", j) * (BLOCK + 1) + place("col", i)).cast("int")]) for i in (0, 1) for j in (0, 1)]
+    at = lambda j, i: _in_block(F.col("first_row") + j - 1, F.col("first_col") + i - 1, F.col("block_row"), F.col("block_col"))
+    four = [(near("place_x", i) * near("place_y", j), F.col("block")[at(j, i)]) for i in (0, 1) for j in (0, 1)]
     total = lambda name: reduce(lambda a, b: a + b, [F.coalesce(weight * found[name], F.lit(0.0)) for weight, found in four])
     return met.select("target_id", "row", "col", "ord", *[F.try_divide(total(f"sum_{v}"), total(f"n_{v}")).alias(v) for v in values])
 
@@ -145,25 +170,26 @@ def reproject(source: Layer, target: DataFrame, values: list[str], how: str = "n
     The middle of each target cell is carried into the source's system. ``nearest`` takes the cell in which it lies, ``bilinear``
     the four about it, by nearness, those without a value left out; what lies outside a source grid takes nothing from it.
     Each source grid goes to the target grid that its ``target_id`` names. Of several the first in ``ord`` that has the value
-    counts (so a layer of tiles is merged on the way). The source cell is computed, so the join is an equality. Repeated pixels
+    counts (so a layer of tiles is merged on the way). The source cell is computed, so the join is an equality; grids of less than
+    a block meet whole before their cells are made, so that no cell is shuffled. Repeated pixels
     of a grid: any of them for nearest, their mean for bilinear. Empty tables give NULLs or no rows.
     """
     if how not in ("nearest", "bilinear"):
         raise ValueError(f"{how} is neither nearest nor bilinear")
     sources = _taken_from(source, target)
-    carried, rest = _carried(_paired(sources, target))
     pixels = source.pixels.select(F.col("grid_id").alias("source_id"), F.col("row").cast("long").alias("source_row"), F.col("col").cast("long").alias("source_col"), *values)
+    carried, rest = _carried(_paired(sources, target), _whole(pixels, values, how))
     sample = _nearest if how == "nearest" else _bilinear
     cell, out = ["target_id", "row", "col"], []
-    if carried is not None:
+    if carried:
         several = sources.where("target_id is not null").groupBy("target_id").count().where("count > 1").limit(1).count()
         if several:
-            met = sample(carried.where("place_x is not null"), pixels, values)
+            met = reduce(DataFrame.unionByName, [sample(some.where("place_x is not null"), pixels, values) for some in carried])
             sampled = met.groupBy(*cell).agg(*[F.min_by(v, F.when(F.col(v).isNotNull(), F.col("ord"))).alias(v) for v in values])
             every = cells(target.join(few(sources.select(F.col("target_id").alias("grid_id")).distinct()), "grid_id", "left_semi")).withColumnRenamed("grid_id", "target_id")
             out.append(every.join(sampled.hint("merge"), cell, "left"))
         else:
-            out.append(sample(carried, pixels, values))
+            out += [sample(some, pixels, values) for some in carried]
     if rest is not None:
         like = out[0].schema if out else None
         out.append(rest.select(*cell, *[F.lit(None).cast(like[v].dataType if like else "double").alias(v) for v in values]))

@@ -194,6 +194,36 @@ def test_cells_are_never_broadcast_however_small_their_grids_look(spark, how):
     assert "merge" in gr.few(layer.grids, 299)._jdf.queryExecution().logical().toString()
 
 
+@pytest.mark.parametrize("how", ["nearest", "bilinear"])
+def test_no_cell_is_shuffled_where_sources_are_less_than_a_block(spark, how):
+    layer = many_grids(spark, 300)
+    out = gr.reproject(layer, layer.grids.drop("target_id"), ["v"], how).pixels
+    above, shuffle, _ = out._jdf.queryExecution().executedPlan().toString().partition("Exchange")
+    assert shuffle and above.count("Generate explode") == 2 and "Join" not in above  # rows and columns come after the last shuffle
+
+
+@pytest.mark.parametrize("how", ["nearest", "bilinear"])
+def test_sources_that_are_one_block_give_what_those_met_by_cells_give(spark, how, monkeypatch):
+    rnd, side = np.random.default_rng(2), gr.BLOCK
+    sizes = [(side - 1, side - 1), (side, 3), (3, side), (side + 4, side + 4), (1, 1), (5, 0)]
+    made = [(k, "EPSG:4326", -4.0 + k / 10, 43.0, 0.05, -0.05, w, h, 10 + k // 2, 9 - k) for k, (w, h) in enumerate(sizes)]
+    points = [(k, r, c, float(rnd.integers(1, 99)) if rnd.random() < 0.8 else None) for k, (w, h) in enumerate(sizes) for r in range(-1, h + 1) for c in range(-1, w + 1)]
+    pixels = spark.createDataFrame([*points, *points[::7], (0, None, 1, 5.0), (None, 1, 1, 5.0)], "grid_id long, row long, col long, v double")
+    target = spark.createDataFrame([(10 + k, "EPSG:3857", -445000.0 + 20000 * k, 5310000.0, 5000.0, -5000.0, 25, 25) for k in range(4)], "grid_id long, crs string, x0 double, y0 double, dx double, dy double, width int, height int")
+    if how == "bilinear":
+        pixels = pixels.where("row is not null")
+
+    def found(several):
+        grids = spark.createDataFrame(made, GRIDS)
+        return {(r.grid_id, r.row, r.col): r.v for r in gr.reproject(gr.Layer(pixels, grids if several else grids.where("grid_id % 2 = 0")), target, ["v"], how).pixels.collect()}
+
+    whole = [found(True), found(False)]
+    monkeypatch.setattr(gr, "BLOCK", 1)
+    for a, b in zip(whole, [found(True), found(False)], strict=True):
+        assert a.keys() == b.keys() and len(a) == 4 * 625 and sum(v is not None for v in a.values()) > 100
+        assert all((a[k] is None) == (b[k] is None) and (a[k] is None or abs(a[k] - b[k]) < 1e-9) for k in a)
+
+
 def test_cells_of_many_grids_in_one_file_are_made_by_many_tasks(spark):
     cells = gr.cells(many_grids(spark, 10_000).grids)
     tasks = cells.groupBy(F.spark_partition_id()).count().collect()
