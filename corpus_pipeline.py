@@ -39,9 +39,12 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document stands in the training sequences. A null or empty text is one token long, a repeated row is packed again."""
     room = packing.Room()
-    return packing.pack(tokens.pieces(docs, queries.vocabulary("word_bpe_49k.json"), end=0, most=room.tokens), room)
+    return packing.pack(tokens.pieces(docs, queries.vocabulary("word_bpe_49k.json"), end=0, most=room.tokens, kept=KEPT), room)
 
 
+#: Stretches that a worker keeps while it packs. The workers of one stage serve the next, so what they keep adds to the memory of all.
+KEPT = 200_000
+
 STAGES = [
     ("quality", good_documents),
     ("near_dedup", one_of_each_group),

@@ -360,7 +360,7 @@ def _classified(docs: DataFrame, forest: Forest, id_col: str, text_col: str) ->
     f = forest.sized(docs.count())
     common.importable(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    signed = common.written(source.mapInArrow(lambda it, w=f.words, n=f.hashes: _signatures(it, w, n), _SIGN), "signatures")
+    signed = common.written(source.mapInArrow(lambda it, w=f.words, n=f.hashes: common.trimmed(_signatures(it, w, n)), _SIGN), "signatures")
     classes = signed.where("doc_id is not null and n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("least_id"), *[F.min(x).alias(x) for x in ("signature", "n_shingles", "bits")])
     # Classes are numbered, as ids may stand for several sets; written, so that numbers stay.
     classes = common.written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
@@ -390,7 +390,7 @@ def one_of_each(docs: DataFrame, forest: Forest | None = None, id_col: str = "do
     once = rows.join(again, "doc_id", "left_anti").join(gone, "doc_id", "left_anti")
     several = common.written(rows.join(again, "doc_id", "left_semi").withColumn("text", F.col(f"row.`{text_col}`").cast("string")), "several")
     first = found.join(again, "doc_id", "left_semi").where("kept and n_shingles > 0").groupBy("doc_id", "group").agg(F.min("set_id").alias("set_id"))
-    named = several.select("doc_id", "text").distinct().mapInArrow(lambda it, w=f.words: _named(it, w), "doc_id long, text string, set_id binary, n_shingles long")
+    named = several.select("doc_id", "text").distinct().mapInArrow(lambda it, w=f.words: common.trimmed(_named(it, w)), "doc_id long, text string, set_id binary, n_shingles long")
     named = common.written(named, "named")
     stay = named.join(first, ["doc_id", "set_id"], "left_semi").groupBy("doc_id", "set_id").agg(F.min("text").alias("text")).select("doc_id", "text")
     stay = common.written(stay.union(named.where("n_shingles = 0").select("doc_id", "text")), "stay").withColumnsRenamed({"doc_id": "id2", "text": "text2"})
@@ -412,9 +412,9 @@ def _join_classes(source: DataFrame, classes: DataFrame, f: Forest) -> DataFrame
         now = alone
         if labels is not None:
             now = nodes.join(labels, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "signature")
-        rows = now.mapInArrow(lambda it, f=f, trees=trees: _sorted_orders(it, f, trees), "tree int, key binary, node long, component long")
+        rows = now.mapInArrow(lambda it, f=f, trees=trees: common.trimmed(_sorted_orders(it, f, trees)), "tree int, key binary, node long, component long")
         rows = rows.repartitionByRange(parts, "tree", "key", "node").sortWithinPartitions("tree", "key", "node")
-        pairs = common.written(rows.mapInArrow(lambda it, f=f, forests=forests: _neighbours(it, f, forests), "u long, v long").distinct(), "pairs")
+        pairs = common.written(rows.mapInArrow(lambda it, f=f, forests=forests: common.trimmed(_neighbours(it, f, forests)), "u long, v long").distinct(), "pairs")
         found = _confirmed(source, classes, _open(classes, pairs, f), f)
         links = found if links is None else links.union(found)
         links = common.written(links, "links")
@@ -435,7 +435,7 @@ def _apart(now: DataFrame, classes: DataFrame, f: Forest) -> DataFrame:
     with their parities; large regions meet block by block in cells of their own.
     """
     parts = int(now.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = common.written(now.mapInArrow(lambda it, f=f: _regions(it, f), "region long, node long, component long"), "regions")
+    rows = common.written(now.mapInArrow(lambda it, f=f: common.trimmed(_regions(it, f)), "region long, node long, component long"), "regions")
     mixed = rows.groupBy("region").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("n")).where("least <> most")
     mixed = common.written(mixed.select("region", F.ceil(F.col("n") / f.cell).cast("long").alias("blocks")), "mixed")
     met = rows.join(common.small_or_not(mixed), "region")
@@ -444,14 +444,14 @@ def _apart(now: DataFrame, classes: DataFrame, f: Forest) -> DataFrame:
     cells = cells.join(classes.select("node", "n_shingles", "bits"), "node").select(*cells.columns, "n_shingles", "bits")
     by = ["region", "first", "second"]
     cells = cells.repartition(parts, *by).sortWithinPartitions(*by)
-    return common.written(cells.mapInArrow(lambda it, p=f.percent: _meeting(it, p), "u long, v long").distinct(), "possible")
+    return common.written(cells.mapInArrow(lambda it, p=f.percent: common.trimmed(_meeting(it, p)), "u long, v long").distinct(), "possible")
 
 
 def _open(classes: DataFrame, pairs: DataFrame, f: Forest) -> DataFrame:
     """Those of the pairs (u, v) that sizes and parities do not refute."""
     of = lambda end: classes.select(F.col("node").alias(end), F.col("n_shingles").alias(f"size_{end}"), F.col("bits").alias(f"bits_{end}"))
     light = pairs.join(of("u"), "u").join(of("v"), "v").select("u", "v", "size_u", "size_v", "bits_u", "bits_v")
-    return common.written(light.mapInArrow(lambda it, p=f.percent: _possible(it, p), "u long, v long").distinct(), "possible")
+    return common.written(light.mapInArrow(lambda it, p=f.percent: common.trimmed(_possible(it, p)), "u long, v long").distinct(), "possible")
 
 
 def _confirmed(source: DataFrame, classes: DataFrame, pairs: DataFrame, f: Forest) -> DataFrame:
@@ -459,7 +459,7 @@ def _confirmed(source: DataFrame, classes: DataFrame, pairs: DataFrame, f: Fores
     needed = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
     needed = common.written(needed.join(classes.select("node", "set_id", "least_id"), "node"), "needed")
     texts = source.join(common.small_or_not(needed.select(F.col("least_id").alias("doc_id"))), "doc_id", "left_semi")
-    sets = texts.select("text").mapInArrow(lambda it, w=f.words: _sets(it, w), "set_id binary, hashes binary")
+    sets = texts.select("text").mapInArrow(lambda it, w=f.words: common.trimmed(_sets(it, w)), "set_id binary, hashes binary")
     sets = common.written(sets.join(common.small_or_not(needed.select("set_id", "node")), "set_id").dropDuplicates(["set_id"]).select("node", "hashes"), "sets")
     both = pairs.join(sets.select(F.col("node").alias("u"), F.col("hashes").alias("set_u")), "u").join(sets.select(F.col("node").alias("v"), F.col("hashes").alias("set_v")), "v")
-    return both.select("u", "v", "set_u", "set_v").mapInArrow(lambda it, p=f.percent: _confirm(it, p), "u long, v long")
+    return both.select("u", "v", "set_u", "set_v").mapInArrow(lambda it, p=f.percent: common.trimmed(_confirm(it, p)), "u long, v long")

@@ -123,7 +123,7 @@ def fit(docs: DataFrame, labels: DataFrame, learner: Learner | None = None, id_c
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
     once = rows.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     once = once.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id").select("label", "text")
-    found = once.mapInArrow(lambda it: _train(it, learner), "place long, weight double").collect()  # of a fixed number
+    found = once.mapInArrow(lambda it: common.trimmed(_train(it, learner)), "place long, weight double").collect()  # of a fixed number
     weights = np.zeros(learner.dimensions + 1)
     for place, weight in found:
         weights[place] = weight
@@ -153,7 +153,7 @@ def _scored(docs: DataFrame, weights: np.ndarray, learner: Learner, keep: list[s
     row = F.struct(F.lit(True).alias("quality_mark"), *[F.col(f"`{c}`") for c in keep]) if "quality_mark" not in keep else F.struct(*[F.col(f"`{c}`") for c in keep])
     rows = docs.select(row.alias("row"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())])
-    return rows.mapInArrow(lambda it: _score(it, sent, learner), schema)
+    return rows.mapInArrow(lambda it: common.trimmed(_score(it, sent, learner)), schema)
 
 
 def score(docs: DataFrame, weights: np.ndarray, learner: Learner | None = None, keep: list[str] | None = None, text_col: str = "text") -> DataFrame:

@@ -113,8 +113,8 @@ class Stretches:
     What is made of two stretches in a row must be the sum of what is made of each.
     """
 
-    def __init__(self, path: str, pattern: str, make: Callable[[list[int]], object]):
-        self.encode, self.make = load(path), make
+    def __init__(self, path: str, pattern: str, make: Callable[[list[int]], object], kept: int = KEPT):
+        self.encode, self.make, self.kept = load(path), make, kept
         self.words = words_of(path)
         self.find = re.compile(LETTERS_APART if self.words and pattern == WITHOUT_SPACE else pattern).findall
         self.lower, self.special = _lowers(path) if self.words else (False, [])
@@ -137,7 +137,7 @@ class Stretches:
     def of(self, texts: list[str]) -> list[list[str]]:
         for x in self.passing:
             self.known.pop(x, None)
-        if len(self.known) > KEPT // 2:
+        if len(self.known) > self.kept // 2:
             self.old, self.known = self.known, {}
         found = [self.find(self._same(x)) for x in texts]
         distinct = set(chain.from_iterable(found))
@@ -164,7 +164,7 @@ class Tables(Stretches):
     def __init__(self, path: str, pattern: str):
         self.counter, self.words = prefixes.PrefixCounter(path), words_of(path)
         self.find = re.compile(LETTERS_APART_WITH_SPACE if self.words and pattern == WITH_SPACE else pattern).findall
-        self.known, self.old, self.passing, self.lower = {}, {}, [], False
+        self.known, self.old, self.passing, self.lower, self.kept = {}, {}, [], False, KEPT
 
     def _learn_all(self, new: list[str]) -> None:
         heads = [x for x in new if len(x) <= LONG and (m := WORD.fullmatch(x)) and not m[2]] if self.words else []
@@ -185,9 +185,9 @@ def tables_of(path: str, pattern: str) -> Tables:
 
 
 @cache
-def stretches_of(path: str, pattern: str, make: Callable[[list[int]], object]) -> Stretches:
+def stretches_of(path: str, pattern: str, make: Callable[[list[int]], object], kept: int = KEPT) -> Stretches:
     """One for all tasks that a worker runs."""
-    return Stretches(path, pattern, make)
+    return Stretches(path, pattern, make, kept)
 
 
 def as_bytes(ids: list[int]) -> bytes:
@@ -268,8 +268,8 @@ def tokens_within(chars: Column) -> Column:
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], path: str, end: int, most: int) -> Iterator[pa.RecordBatch]:
-    stretches, close = stretches_of(path, WITHOUT_SPACE, as_bytes), as_bytes([end])
+def _pieces(batches: Iterator[pa.RecordBatch], path: str, end: int, most: int, kept: int) -> Iterator[pa.RecordBatch]:
+    stretches, close = stretches_of(path, WITHOUT_SPACE, as_bytes, kept), as_bytes([end])
     for batch in batches:
         for first, texts in _texts(batch, 1):
             rows: list[list] = [[], [], [], [], []]
@@ -282,11 +282,12 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, end: int, most: int) -
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
 
-def pieces(docs: DataFrame, path: str, end: int, most: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pieces(docs: DataFrame, path: str, end: int, most: int, id_col: str = "doc_id", text_col: str = "text", kept: int = KEPT) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): each text's ids, then ``end``, cut into pieces of ``most``.
 
     The tokenizer must drop white space. A null text is an empty one: a single piece that holds ``end``.
+    ``kept`` is how many stretches a worker keeps, some 200 bytes each, for as long as it lives; it changes no result.
     """
     common.importable(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(lambda it, path=path, end=end, most=most: _pieces(it, path, end, most), _PIECES)
+    return rows.mapInArrow(lambda it, path=path, end=end, most=most, kept=kept: common.trimmed(_pieces(it, path, end, most, kept)), _PIECES)

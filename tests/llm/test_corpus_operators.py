@@ -499,6 +499,21 @@ def test_prefix_counts_by_the_library_where_totals_differ(monkeypatch):
     assert counter.counts(texts) == wanted
 
 
+def test_workers_of_the_pipeline_keep_few_stretches_and_the_same_ids(spark, monkeypatch):
+    path, random = queries.vocabulary("word_bpe_49k.json"), np.random.default_rng(3)
+    texts = [" ".join(f"w{k}" for k in random.integers(0, 3000, 50)) for _ in range(60)]
+    few, many = (tokens.Stretches(path, tokens.WITHOUT_SPACE, tokens.as_bytes, kept) for kept in (200, tokens.KEPT))
+    for at in range(0, 60, 4):
+        found = few.of(texts[at : at + 4])
+        assert len(few.known) + len(few.old) <= 2 * (200 // 2 + 4 * 50)
+        assert [[few.known[x] for x in f] for f in found] == [[many.known[x] for x in f] for f in many.of(texts[at : at + 4])]
+    assert len(many.known) > 1000
+    asked = []
+    monkeypatch.setattr(tokens, "pieces", lambda docs, *a, f=tokens.pieces, **b: asked.append(b["kept"]) or f(docs, *a, **b))
+    docs = documents(spark, list(enumerate(texts)))
+    assert corpus_pipeline.packed_sequences(spark, docs, SF).count() == 60 and max(asked) <= tokens.KEPT // 4
+
+
 def test_token_counts_of_texts_cut_in_many_ways(spark):
     """Words, line breaks, punctuation, special strings and letters of several scripts in random order, against the library."""
     path = queries.vocabulary("byte_bpe_50k.json")
