@@ -124,6 +124,18 @@ def _columns(df: DataFrame, names: tuple[str, ...], values: tuple[Column, ...])
     return df.withColumns(dict(zip(names, values, strict=True))), [F.col(n) for n in names]
 
 
+def _tm_series_by_columns(df: DataFrame, xi: Column, eta: Column, factors: tuple[float, ...]) -> tuple[DataFrame, Column, Column]:
+    """df with columns in between, and what ``_tm_series`` gives: sines of multiples are made of those of twice the angle, so four functions are called instead of sixteen."""
+    df, (s2, c2, h2, k2) = _columns(df, ("tm_s2", "tm_c2", "tm_h2", "tm_k2"), (F.sin(xi * 2), F.cos(xi * 2), F.sinh(eta * 2), F.cosh(eta * 2)))
+    df, (s4, c4, h4, k4) = _columns(df, ("tm_s4", "tm_c4", "tm_h4", "tm_k4"), (s2 * c2 * 2, F.lit(1.0) - s2 * s2 * 2, h2 * k2 * 2, h2 * h2 * 2 + 1))
+    sines, cosines = (s2, s4, s4 * c2 + c4 * s2, s4 * c4 * 2), (c2, c4, c4 * c2 - s4 * s2, F.lit(1.0) - s4 * s4 * 2)
+    sinhs, coshs = (h2, h4, h4 * k2 + k4 * h2, h4 * k4 * 2), (k2, k4, k4 * k2 + h4 * h2, h4 * h4 * 2 + 1)
+    north, east = xi, eta
+    for a, s, c, h, k in zip(factors, sines, cosines, sinhs, coshs, strict=False):
+        north, east = north + s * k * a, east + c * h * a
+    return df, north, east
+
+
 def with_transformed(df: DataFrame, x: str, y: str, source: str, target: str, out_x: str, out_y: str) -> DataFrame:
     """df with the point in the target system, as ``transform`` gives it, for tables of many points.
 
@@ -142,7 +154,8 @@ def with_transformed(df: DataFrame, x: str, y: str, source: str, target: str, ou
         at = _laea_degrees(*sphere)
     elif source.startswith("EPSG:258"):
         df, series = _columns(df, ("tm_xi", "tm_eta"), (at[1] / k, (at[0] - TM_X) / k))
-        df, ends = _columns(df, ("tm_north", "tm_east"), _tm_series(*series, tuple(-b for b in _BETA)))
+        df, *ends = _tm_series_by_columns(df, *series, tuple(-b for b in _BETA))
+        df, ends = _columns(df, ("tm_north", "tm_east"), tuple(ends))
         at = _tm_end(*ends, int(source[-2:]))
     elif source == "EPSG:3857":
         at = _to_degrees_3857(*at)
@@ -152,7 +165,7 @@ def with_transformed(df: DataFrame, x: str, y: str, source: str, target: str, ou
         at = _laea_end(*start)
     elif target.startswith("EPSG:258"):
         df, start = _columns(df, ("tm_xi_to", "tm_eta_to"), _tm_start(*at, int(target[-2:])))
-        north, east = _tm_series(*start, _ALPHA)
+        df, north, east = _tm_series_by_columns(df, *start, _ALPHA)
         at = east * k + TM_X, north * k
     elif target == "EPSG:3857":
         at = _from_degrees_3857(*at)

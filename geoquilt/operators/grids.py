@@ -41,23 +41,33 @@ def few(df: DataFrame, rows: int = FEW) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df.hint("merge")
 
 
+def tasks(count: float, rows: int) -> int:
+    """How many tasks of about so many rows that is."""
+    return min(max(math.ceil(count / rows), 1), MOST_TASKS)
+
+
 def dealt(df: DataFrame, rows: int, *names: str) -> DataFrame:
     """df dealt out by some columns over tasks of about so many rows, however few files or bytes it is."""
-    return df.repartition(min(max(math.ceil(df.count() / rows), 1), MOST_TASKS), *names)
+    return df.repartition(tasks(df.count(), rows), *names)
+
+
+def _area() -> Column:
+    """The number of cells of all grids of a group; sizes of 0 or less are none."""
+    return F.coalesce(F.sum(F.when(F.expr("width > 0 and height > 0"), F.col("width").cast("double") * F.col("height"))), F.lit(0.0))
 
 
-def _all_cells(grids: DataFrame, *names: str, beside: DataFrame | None = None) -> DataFrame:
+def _all_cells(grids: DataFrame, *names: str, beside: DataFrame | None = None, total: float | None = None) -> DataFrame:
     """grids with row and col: a row for each cell. Bands of rows are dealt out by these columns first, as a file of many grids may be one task.
 
-    Columns of ``beside``, one row for a source_id at most, come along; it is met after grids were counted and before there are cells.
+    Columns of ``beside``, one row for a source_id at most, come along; it is met before there are cells. Cells are counted, unless their ``total`` is known.
     """
     width, height = F.col("width").cast("long"), F.col("height").cast("long")
+    total = grids.agg(_area()).first()[0] if total is None else total
     some = grids.where("width > 0 and height > 0")
-    total = some.agg(F.sum(width.cast("double") * height)).first()[0] or 0
     some = some if beside is None else some.join(beside.hint("merge"), "source_id", "left")
     high = F.greatest(F.floor(F.lit(BAND) / width), F.lit(1)).cast("long")
     bands = some.withColumn("high", high).withColumn("band", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((height - 1) / F.col("high")))))
-    dealt = bands.repartition(min(max(math.ceil(total / CELLS_A_TASK), 1), MOST_TASKS), *names, "band")
+    dealt = bands.repartition(tasks(total, CELLS_A_TASK), *names, "band")
     row = F.sequence(F.col("band") * F.col("high"), F.least((F.col("band") + 1) * F.col("high"), height) - 1)
     return dealt.withColumn("row", F.explode(row)).withColumn("col", F.explode(F.sequence(F.lit(0).cast("long"), width - 1))).drop("high", "band")
 
@@ -78,31 +88,31 @@ def _paired(sources: DataFrame, target: DataFrame) -> DataFrame:
     return target.select(F.col("grid_id").alias("target_id"), *GRID[1:]).join(few(source), "target_id", "left")
 
 
-def _carried(pairs: DataFrame, whole: DataFrame) -> tuple[list[DataFrame], DataFrame | None]:
+def _carried(pairs: DataFrame, whole: DataFrame) -> tuple[list[DataFrame], DataFrame | None, int]:
     """(target_id, row, col, source_id, ord, place_x, place_y): where the middle of each target cell lies in each of its sources, in cells from the corner.
 
     Places outside a source are NULL. Sources of one block have it in ``block``, from ``whole``; those of more cells are a table without it.
-    Apart from them (target_id, row, col): the cells of targets without a source.
+    Apart from them (target_id, row, col), the cells of targets without a source, and the number of pairs. One job looks at all pairs.
     Systems differ from grid to grid; for each pair of systems that occurs, a few at most, one projection of all its cells.
     """
     one = F.coalesce((F.col("s_width") < BLOCK) & (F.col("s_height") < BLOCK), F.lit(False))
-    kinds = pairs.where("taken").select("crs", "s_crs", one.alias("one")).distinct().sort("crs", "s_crs", "one").collect()  # at most the known systems, squared, twice
+    kinds = pairs.groupBy("taken", "crs", "s_crs", one.alias("one")).agg(_area().alias("total"), F.count("*").alias("pairs")).sort("taken", "crs", "s_crs", "one").collect()  # at most the known systems, squared, twice
     x, y = centre(F.col("row"), F.col("col"))
     placed = []
-    for to, of, is_one in map(tuple, kinds):
+    for to, of, is_one, total in [(k["crs"], k["s_crs"], k["one"], k["total"]) for k in kinds if k["taken"]]:
         some = pairs.where(F.col("crs").eqNullSafe(to) & F.col("s_crs").eqNullSafe(of) & F.col("taken") & (one == is_one))
-        some = _all_cells(some, "target_id", "source_id", beside=whole if is_one else None)
+        some = _all_cells(some, "target_id", "source_id", beside=whole if is_one else None, total=total)
         moved = crs.with_transformed(some.withColumns({"px": x, "py": y}), "px", "py", to, of, "sx", "sy")
         u, v = (F.col("sx") - F.col("s_x0")) / F.col("s_dx"), (F.col("sy") - F.col("s_y0")) / F.col("s_dy")
         inside = (u >= 0) & (v >= 0) & (u < F.col("s_width")) & (v < F.col("s_height"))
         placed.append(moved.select("target_id", "row", "col", "source_id", "ord", F.when(inside, u).alias("place_x"), F.when(inside, v).alias("place_y"), *["block"] * is_one))
-    alone = pairs.where("taken is null")
-    rest = _all_cells(alone, "target_id").select("target_id", "row", "col") if not placed or alone.limit(1).count() else None
-    return placed, rest
+    alone = [k["total"] for k in kinds if not k["taken"]]
+    rest = _all_cells(pairs.where("taken is null"), "target_id", total=sum(alone)).select("target_id", "row", "col") if not placed or alone else None
+    return placed, rest, sum(k["pairs"] for k in kinds)
 
 
 def _merged(pixels: DataFrame, values: list[str], how: str) -> tuple[DataFrame, Column]:
-    """Pixels of which each place is there once, and what is kept of it: any of its values for nearest, their sum and number for bilinear."""
+    """Pixels of which each place is there once, and what is kept of it: the largest of its values for nearest, their sum and number for bilinear."""
     kept = {v: F.max(v) for v in values} if how == "nearest" else {f"{name}_{v}": f(v) for v in values for name, f in (("sum", F.sum), ("n", F.count))}
     return pixels.groupBy("source_id", "source_row", "source_col").agg(*[c.alias(name) for name, c in kept.items()]), F.struct(*kept)
 
@@ -113,10 +123,11 @@ def _in_block(row: Column, col: Column, block_row: Column | int = 0, block_col:
 
 
 def _whole(pixels: DataFrame, values: list[str], how: str) -> DataFrame:
-    """(source_id, block): what is kept of each pixel by place, for the first block of each source."""
+    """(source_id, block): what is kept of each pixel by place, for the first block of each source; for nearest apart for each value."""
     merged, kept = _merged(pixels.where(F.col("source_row").between(-1, BLOCK - 1) & F.col("source_col").between(-1, BLOCK - 1)), values, how)
-    entry = F.struct(_in_block(F.col("source_row"), F.col("source_col")), kept)
-    return merged.groupBy("source_id").agg(F.map_from_entries(F.collect_list(entry)).alias("block"))
+    by_place = lambda c: F.map_from_entries(F.collect_list(F.struct(_in_block(F.col("source_row"), F.col("source_col")), c)))
+    block = F.struct(*[by_place(F.col(v)).alias(v) for v in values]) if how == "nearest" else by_place(kept)
+    return merged.groupBy("source_id").agg(block.alias("block"))
 
 
 def _blocks(pixels: DataFrame, values: list[str]) -> DataFrame:
@@ -134,8 +145,8 @@ def _blocks(pixels: DataFrame, values: list[str]) -> DataFrame:
 def _nearest(carried: DataFrame, pixels: DataFrame, values: list[str]) -> DataFrame:
     placed = carried.withColumns({"source_row": F.floor("place_y").cast("long"), "source_col": F.floor("place_x").cast("long")})
     if "block" in carried.columns:
-        found = F.col("block")[_in_block(F.col("source_row"), F.col("source_col"))]
-        return placed.select("target_id", "row", "col", "ord", *[found[v].alias(v) for v in values])
+        place = _in_block(F.col("source_row"), F.col("source_col"))
+        return placed.select("target_id", "row", "col", "ord", *[F.col("block")[v][place].alias(v) for v in values])
     once, _ = _merged(pixels, values, "nearest")
     return placed.join(once.hint("merge"), ["source_id", "source_row", "source_col"], "left").select("target_id", "row", "col", "ord", *values)
 
@@ -172,18 +183,17 @@ def reproject(source: Layer, target: DataFrame, values: list[str], how: str = "n
     Each source grid goes to the target grid that its ``target_id`` names. Of several the first in ``ord`` that has the value
     counts (so a layer of tiles is merged on the way). The source cell is computed, so the join is an equality; grids of less than
     a block meet whole before their cells are made, so that no cell is shuffled. Repeated pixels
-    of a grid: any of them for nearest, their mean for bilinear. Empty tables give NULLs or no rows.
+    of a grid: the largest of each value for nearest, their mean for bilinear. Empty tables give NULLs or no rows.
     """
     if how not in ("nearest", "bilinear"):
         raise ValueError(f"{how} is neither nearest nor bilinear")
     sources = _taken_from(source, target)
     pixels = source.pixels.select(F.col("grid_id").alias("source_id"), F.col("row").cast("long").alias("source_row"), F.col("col").cast("long").alias("source_col"), *values)
-    carried, rest = _carried(_paired(sources, target), _whole(pixels, values, how))
+    carried, rest, pairs = _carried(_paired(sources, target), _whole(pixels, values, how))
     sample = _nearest if how == "nearest" else _bilinear
     cell, out = ["target_id", "row", "col"], []
     if carried:
-        several = sources.where("target_id is not null").groupBy("target_id").count().where("count > 1").limit(1).count()
-        if several:
+        if pairs > target.count():  # a target has a pair of its own without a source, so some target has several
             met = reduce(DataFrame.unionByName, [sample(some.where("place_x is not null"), pixels, values) for some in carried])
             sampled = met.groupBy(*cell).agg(*[F.min_by(v, F.when(F.col(v).isNotNull(), F.col("ord"))).alias(v) for v in values])
             every = cells(target.join(few(sources.select(F.col("target_id").alias("grid_id")).distinct()), "grid_id", "left_semi")).withColumnRenamed("grid_id", "target_id")

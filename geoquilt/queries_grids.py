@@ -12,6 +12,7 @@ from .registry import query
 from .sources.views import view
 
 SIDE = 8
+LINES_A_TASK = 200_000
 # Each part has a grid of 8 x 8 cells of a tenth of a degree in Iberia, and pixels from its order lines.
 PX_SQL = "select l_partkey as grid_id, l_suppkey % 8 as row, l_orderkey % 8 as col, cast(max(l_quantity) as double) as v from lineitem where l_orderkey % 5 <> 0 group by all"
 DEGREES_SQL = "select p_partkey as grid_id, -9 + (p_partkey * 7) % 50 * 0.2e0 as x0, 44 - (p_partkey * 13) % 60 * 0.1e0 as y0 from part"
@@ -41,13 +42,19 @@ FOUR_SQL = """, four as (select grid_id, row, col, cast(floor(u - 0.5) as bigint
 select c.grid_id, c.row, c.col, round(s.v, 6) as v from found c left join sampled s on s.grid_id = c.grid_id and s.row = c.row and s.col = c.col"""
 
 
-def degree_layer(spark, d) -> gr.Layer:
-    """The grids of the parts in degrees, each meant for the target grid of its own name."""
-    lines = spark.read.parquet(f"{d}/lineitem.parquet").where("l_orderkey % 5 <> 0")
+def line_pixels(spark, d):
+    """A pixel of each order line, so that places repeat: of those of one place the largest value counts."""
+    lines = spark.read.parquet(f"{d}/lineitem.parquet")
     # Dealt out by their part, of which there are some thirty lines: what is done by grid later on needs no other shuffle.
-    placed = lines.select(F.col("l_partkey").alias("grid_id"), (F.col("l_suppkey") % SIDE).alias("row"), (F.col("l_orderkey") % SIDE).alias("col"), "l_quantity").repartition("grid_id")
-    px = placed.groupBy("grid_id", "row", "col").agg(F.max("l_quantity").cast("double").alias("v"))
-    key = F.col("p_partkey")
+    # Over a number of tasks, as Spark would go by bytes, and its last few tasks would wait for each other.
+    kept = lines.where("l_orderkey % 5 <> 0").select(F.col("l_partkey").alias("grid_id"), (F.col("l_suppkey") % SIDE).alias("row"), (F.col("l_orderkey") % SIDE).alias("col"), F.col("l_quantity").cast("double").alias("v"))
+    return kept.repartition(gr.tasks(lines.count(), LINES_A_TASK), "grid_id")
+
+
+def degree_layer(spark, d, repeated: bool = False) -> gr.Layer:
+    """The grids of the parts in degrees, each meant for the target grid of its own name; its pixels once, or as ``repeated`` as the lines."""
+    lines, key = line_pixels(spark, d), F.col("p_partkey")
+    px = lines if repeated else lines.groupBy("grid_id", "row", "col").agg(F.max("v").alias("v"))
     grids = spark.read.parquet(f"{d}/part.parquet").select(key.alias("grid_id"), F.lit("EPSG:4326").alias("crs"), (key * 7 % 50 * 0.2 - 9).alias("x0"), (F.lit(44) - key * 13 % 60 * 0.1).alias("y0"), F.lit(0.1).alias("dx"), F.lit(-0.1).alias("dy"), F.lit(SIDE).alias("width"), F.lit(SIDE).alias("height"), key.alias("target_id"))
     return gr.Layer(px, grids)
 
@@ -60,7 +67,7 @@ def equal_area_grids(layer: gr.Layer):
 @query("j9_reproject_to_3035", "select f.grid_id, f.row, f.col, p.v from found f left join px p on p.grid_id = f.grid_id and p.row = cast(floor(f.v) as bigint) and p.col = cast(floor(f.u) as bigint)", **TO_3035)
 def j9_reproject_to_3035(spark, d):
     """Grids of degrees on grids of an equal-area system, a pair of each part, by the nearest cell."""
-    source = degree_layer(spark, d)
+    source = degree_layer(spark, d, repeated=True)
     return gr.reproject(source, equal_area_grids(source), ["v"]).pixels
 
 
@@ -88,7 +95,7 @@ TM3 = f"select grid_id, row, col, (500000 + {SCALE!r} * ({EAST}) - x0) / 2000e0
 @query("j9_reproject_to_3857", "select f.grid_id, f.row, f.col, p.v from tm3 f left join px p on p.grid_id = f.grid_id and p.row = cast(floor(f.v) as bigint) and p.col = cast(floor(f.u) as bigint)", px=PX_SQL, utm=UTM_SQL, web=WEB_SQL, web_cells=WEB_CELLS, tm1=TM1, tm2=TM2, tm3=TM3)
 def j9_reproject_to_3857(spark, d):
     """Grids of a transverse Mercator zone on grids of web Mercator."""
-    px, key = degree_layer(spark, d).pixels, F.col("p_partkey")
+    px, key = line_pixels(spark, d), F.col("p_partkey")
     grids = spark.read.parquet(f"{d}/part.parquet").select(key.alias("grid_id"), key.alias("target_id"), F.lit("EPSG:25830").alias("crs"), (key * 7 % 50 * 3000.0 + 400000).alias("x0"), (F.lit(4600000) - key * 13 % 60 * 4000.0).alias("y0"), F.lit(2000.0).alias("dx"), F.lit(-2000.0).alias("dy"), F.lit(SIDE).alias("width"), F.lit(SIDE).alias("height"))
     x, y = F.floor(((F.col("x0") - 500000) * 1.31 - 334000) / 100) * 100.0, F.floor(((F.col("y0") - 4490000) * 1.3 + 4950000) / 100) * 100.0
     target = grids.select("grid_id", F.lit("EPSG:3857").alias("crs"), x.alias("x0"), y.alias("y0"), F.lit(3000.0).alias("dx"), F.lit(-3000.0).alias("dy"), "width", "height")
@@ -136,6 +143,6 @@ def t6_native_layer(spark, d):
 @query("j7_grid_align_layer", "select t.grid_id, r.range as row, c.range as col, p.v from part_grids t cross join range(4) r cross join range(4) c left join px p on p.grid_id = t.grid_id and p.row = r.range * 2 + 1 and p.col = c.range * 2 + 1", px=PX_SQL, part_grids="select p_partkey as grid_id from part")
 def j7_grid_align_layer(spark, d):
     """Grids of half as many cells in the same system and place: each takes the fine cell that begins in its middle."""
-    source = degree_layer(spark, d)
+    source = degree_layer(spark, d, repeated=True)
     coarse = source.grids.select("grid_id", "crs", (F.col("x0") + 0.01).alias("x0"), (F.col("y0") - 0.01).alias("y0"), (F.col("dx") * 2).alias("dx"), (F.col("dy") * 2).alias("dy"), F.lit(4).alias("width"), F.lit(4).alias("height"))
     return gr.reproject(source, coarse, ["v"]).pixels

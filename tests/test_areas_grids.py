@@ -1,12 +1,14 @@
 """Areas with holes, grids as data and ranks by key against slow versions and awkward rows."""
 
 import random
+import re
 
 import numpy as np
 import pytest
 from conftest import SF
 from pyspark.sql import functions as F
 
+from geoquilt import queries_grids
 from geoquilt.functions import crs, geometry
 from geoquilt.operators import areas as ar
 from geoquilt.operators import grids as gr
@@ -232,6 +234,34 @@ def test_cells_of_many_grids_in_one_file_are_made_by_many_tasks(spark):
     assert {(r.grid_id, r[1], r[2], r[3]) for r in gr.cells(wide).groupBy("grid_id").agg(F.count_distinct("row", "col"), F.max("row"), F.max("col")).collect()} == {(1, 210_000, 2, 69_999), (2, 150_000, 29_999, 4)}
 
 
+def test_lines_of_one_file_are_gathered_by_many_tasks_and_merged_once(spark, monkeypatch):
+    monkeypatch.setattr(queries_grids, "LINES_A_TASK", 500, raising=False)
+    assert len(queries_grids.degree_layer(spark, SF).pixels.select(F.spark_partition_id()).distinct().collect()) >= 8
+    for name in ("j9_reproject_to_3857", "j9_reproject_to_3035", "j7_grid_align_layer"):
+        plan = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        assert len(re.findall(r"Aggregate \[", plan)) == 2  # repeated pixels, and blocks
+
+
+def test_all_pairs_of_grids_are_looked_at_once(spark):
+    layer = many_grids(spark, 100)
+    spark.sparkContext.setJobGroup("pairs", "the jobs that a reprojection runs before its own")
+    gr.reproject(layer, layer.grids.drop("target_id"), ["v"])
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("pairs"))
+    spark.sparkContext.setJobGroup("other", "")
+    assert jobs <= 5, jobs
+
+
+def test_series_of_multiples_give_the_points_of_the_plain_ones(spark):
+    points = spark.range(2_000).select((F.col("id") % 50 * 0.4 - 13).alias("x"), (F.expr("id div 50") * 2.0 - 40).alias("y"))
+    for zone in ("EPSG:25829", "EPSG:25830", "EPSG:25831"):
+        out = crs.with_transformed(points, "x", "y", "EPSG:4326", zone, "east", "north").withColumns(dict(zip(("e", "n"), crs.transform(F.col("x"), F.col("y"), "EPSG:4326", zone), strict=True)))
+        back = crs.with_transformed(out, "east", "north", zone, "EPSG:4326", "lon", "lat").withColumns(dict(zip(("x2", "y2"), crs.transform(F.col("east"), F.col("north"), zone, "EPSG:4326"), strict=True)))
+        far = back.agg(*[F.max(F.abs(F.col(a) - F.col(b))) for a, b in (("east", "e"), ("north", "n"), ("lon", "x2"), ("lat", "y2"))]).first()
+        assert far[0] < 1e-7 and far[1] < 1e-7 and far[2] < 1e-12 and far[3] < 1e-12
+        plan = out.select("east", "north")._jdf.queryExecution().optimizedPlan().toString()
+        assert len(re.findall(r"COSH\(", plan)) == 1 and len(re.findall(r"COS\(\(tm", plan)) == 1
+
+
 def test_bilinear_meets_each_target_cell_once_and_across_blocks(spark):
     n = 2 * gr.BLOCK + 5
     grids = spark.createDataFrame([(1, "EPSG:3857", 0.0, 0.0, 1.0, -1.0, n, n, 1, 0)], GRIDS)
